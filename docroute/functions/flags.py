@@ -1,10 +1,14 @@
 """Flag predicates and flag updates on the nested ``doclib`` array.
 
+The functions give columns.  Their texts (``*_sql``) serve inside larger
+expressions and lambdas; ``flags`` is the name of the flag array there.
 Presence, head and any-of tests read single fields of the array
-(``doclib.key``, ``doclib.reset`` ...), so a Parquet scan under them reads only
-those leaf columns.
+(``doclib.key``, ``doclib.reset`` ...), so that a Parquet scan under them reads
+only those leaf columns.
 """
 
+from __future__ import annotations
+
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
@@ -13,177 +17,199 @@ from pyspark.sql import functions as F
 from docroute.schema import FLAG_TYPE
 
 ANALYTICAL_FLAG = "analytical.supervisor"
+FLAG = FLAG_TYPE.simpleString()
+NO_FLAGS = f"CAST(array() AS array<{FLAG}>)"
+
+
+def quote(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def let_sql(value: str, name: str, body: str) -> str:
+    """Bind ``value`` to ``name`` once for use in ``body``, also within lambdas."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
 
+def contains_sql(array: str, value: str) -> str:
+    return f"coalesce(array_contains({array}, {value}), false)"
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Bind ``value`` once for use inside ``body``, also within lambdas."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
 
+def _all_sql(conditions: Sequence[str]) -> str:
+    return "(" + " AND ".join(["true", *conditions]) + ")"
 
-def _flags(flags: Column | None) -> Column:
-    return F.col("doclib") if flags is None else flags
 
+# -- predicates --------------------------------------------------------------------
 
-def epoch_second(ts: Column) -> Column:
+
+def epoch_second_sql(ts: str) -> str:
     """Whole seconds since the epoch of a zone-less timestamp, whatever the
     session time zone is."""
     return (
-        F.unix_date(ts.cast("date")).cast("bigint") * 86400
-        + F.hour(ts) * 3600
-        + F.minute(ts) * 60
-        + F.second(ts)
+        f"(CAST(unix_date(CAST({ts} AS DATE)) AS BIGINT) * 86400"
+        f" + hour({ts}) * 3600 + minute({ts}) * 60 + second({ts}))"
     )
 
 
-def has_flag(key: str, flags: Column | None = None) -> Column:
-    return F.coalesce(F.array_contains(_flags(flags)["key"], key), F.lit(False))
+def _position_sql(key: str, flags: str) -> str:
+    return f"CAST(array_position({flags}.key, {quote(key)}) AS INT) - 1"
 
 
-def head_field(key: str, field: str, flags: Column | None = None) -> Column:
-    """One field of the first flag with this key; NULL if there is none."""
-    flags = _flags(flags)
-    position = F.array_position(flags["key"], key).cast("int")
-    return F.get(flags[field], position - 1)
+def has_flag_sql(key: str, flags: str = "doclib") -> str:
+    return contains_sql(f"{flags}.key", quote(key))
 
 
-def head_flag(key: str, flags: Column | None = None) -> Column:
-    """The first flag with this key, whole; NULL if there is none."""
-    flags = _flags(flags)
-    return F.get(flags, F.array_position(flags["key"], key).cast("int") - 1)
+def has_flag(key: str, flags: str = "doclib") -> Column:
+    return F.expr(has_flag_sql(key, flags))
 
 
-def ended_keys(flags: Column | None = None) -> Column:
-    """Keys of the flags that have ended; NULL in the place of the others."""
-    flags = _flags(flags)
-    return F.zip_with(flags["key"], flags["ended"], lambda k, e: F.when(e.isNotNull(), k))
+def head_field_sql(key: str, field: str, flags: str = "doclib") -> str:
+    return f"get({flags}.{field}, {_position_sql(key, flags)})"
 
 
-def queued_keys(flags: Column | None = None) -> Column:
-    """Keys of the flags that are queued; NULL in the place of the others."""
-    flags = _flags(flags)
-    return F.zip_with(flags["key"], flags["queued"], lambda k, q: F.when(q, k))
+def head_flag(key: str, flags: str = "doclib") -> Column:
+    """The first flag with this key; NULL if there is none."""
+    return F.expr(f"get({flags}, {_position_sql(key, flags)})")
 
 
-def _contains(keys: Column, key: str | Column) -> Column:
-    return F.coalesce(F.array_contains(keys, key), F.lit(False))
+def ended_keys_sql(flags: str = "doclib") -> str:
+    """Keys of the flags that have ended; NULL in the place of the others."""
+    return f"zip_with({flags}.key, {flags}.ended, (k, e) -> CASE WHEN e IS NOT NULL THEN k END)"
 
 
-def _all(conditions: Sequence[Column]) -> Column:
-    result = F.lit(True)
-    for condition in conditions:
-        result = result & condition
-    return result
+def queued_keys_sql(flags: str = "doclib") -> str:
+    """Keys of the flags that are queued; NULL in the place of the others."""
+    return f"zip_with({flags}.key, {flags}.queued, (k, q) -> CASE WHEN q THEN k END)"
 
 
-def completed(required: Sequence[str], flags: Column | None = None) -> Column:
+def has_ended_sql(key: str, flags: str = "doclib") -> str:
+    return contains_sql(ended_keys_sql(flags), quote(key))
+
+
+def completed(required: Sequence[str], flags: str = "doclib") -> Column:
     """Every required flag has an entry that ended; true if none is required."""
-    keys = ended_keys(flags)
-    return _all([_contains(keys, key) for key in required])
+    return F.expr(_all_sql([has_ended_sql(key, flags) for key in required]))
 
 
-def started(required: Sequence[str], flags: Column | None = None) -> Column:
+def started(required: Sequence[str], flags: str = "doclib") -> Column:
     """Every required flag exists; true if none is required."""
-    return _all([has_flag(key, flags) for key in required])
+    return F.expr(_all_sql([has_flag_sql(key, flags) for key in required]))
+
+
+def sendable_allowed_sql(
+    flag: str, flags: str = "doclib", analytical_flag: str = ANALYTICAL_FLAG
+) -> str:
+    if flag == analytical_flag:
+        return "true"
+    reset, begun = head_field_sql(flag, "reset", flags), head_field_sql(flag, "started", flags)
+    return (
+        f"CASE WHEN NOT {has_flag_sql(flag, flags)} THEN true WHEN {reset} IS NULL THEN false"
+        f" ELSE {epoch_second_sql(reset)} > {epoch_second_sql(begun)} END"
+    )
 
 
 def sendable_allowed(
-    flag: str, flags: Column | None = None, analytical_flag: str = ANALYTICAL_FLAG
+    flag: str, flags: str = "doclib", analytical_flag: str = ANALYTICAL_FLAG
 ) -> Column:
     """May work on this flag be sent?  Absent flags may, present ones only if
     they were reset in a later second than they started; the analytical flag
     always may.  NULL stands for the error of a reset without a start."""
-    if flag == analytical_flag:
-        return F.lit(True)
-    reset = head_field(flag, "reset", flags)
-    begun = head_field(flag, "started", flags)
-    return (
-        F.when(~has_flag(flag, flags), F.lit(True))
-        .when(reset.isNull(), F.lit(False))
-        .otherwise(epoch_second(reset) > epoch_second(begun))
-    )
+    return F.expr(sendable_allowed_sql(flag, flags, analytical_flag))
 
 
-def is_queued(key: str | Column, flags: Column | None = None) -> Column:
-    return _contains(queued_keys(flags), key)
+def is_queued(key: str, flags: str = "doclib") -> Column:
+    """Has any entry of the key been queued?"""
+    return F.expr(contains_sql(queued_keys_sql(flags), quote(key)))
 
 
-def can_queue(flag: str | Column, reset: Column, flags: Column | None = None) -> Column:
+def can_queue_sql(flag: str, reset: str, flags: str = "doclib") -> str:
+    return f"({contains_sql(reset, flag)} OR NOT {contains_sql(queued_keys_sql(flags), flag)})"
+
+
+def can_queue(flag: str, reset: str = "reset", flags: str = "doclib") -> Column:
     """A flag that the message resets, or that no entry has queued."""
-    return _contains(reset, flag) | ~is_queued(flag, flags)
+    return F.expr(can_queue_sql(quote(flag), reset, flags))
+
 
+# -- updates -----------------------------------------------------------------------
 
-def _is_latest(flag: Column, index: Column, flags: Column) -> Column:
+
+def _is_latest_sql(flag: str, index: str, flags: str) -> str:
     """Is this the entry of its key that started last?  (The first of equals;
     entries that never started come last.)"""
-    rank = F.transform(
-        flags,
-        lambda other, i: F.when(
-            other["key"] == flag["key"], F.struct(other["started"].alias("started"), (-i).alias("place"))
-        ),
+    rank = (
+        f"transform({flags}, (other, place) -> CASE WHEN other.key = {flag}.key"
+        " THEN named_struct('started', other.started, 'place', -place) END)"
     )
-    return F.array_max(rank)["place"] == -index
+    return f"array_max({rank}).place = -{index}"
+
 
+def latest_flags_sql(flags: str = "doclib") -> str:
+    return f"filter({flags}, (latest, at) -> {_is_latest_sql('latest', 'at', flags)})"
 
-def latest_flag_per_key(flags: Column | None = None) -> Column:
+
+def latest_flag_per_key(flags: str = "doclib") -> Column:
     """Keep the most current entry of every key."""
-    flags = _flags(flags)
-    return F.filter(flags, lambda f, i: _is_latest(f, i, flags))
+    return F.expr(latest_flags_sql(flags))
+
 
+def _with_sql(flag: str, **changed: str) -> str:
+    fields = ", ".join(
+        f"'{name}', {changed.get(name, f'{flag}.{name}')}" for name in FLAG_TYPE.fieldNames()
+    )
+    return f"named_struct({fields})"
 
-def stamp_resets(flags: Column, stamp: Callable[[Column], Column]) -> Column:
+
+def stamp_resets_sql(flags: str, stamp: Callable[[str], str]) -> str:
     """Collapse and stamp the flags for which ``stamp(key)`` gives a time;
     leave the others as they are."""
-    kept = F.filter(flags, lambda f, i: stamp(f["key"]).isNull() | _is_latest(f, i, flags))
-    return F.transform(
-        kept, lambda f: f.withField("reset", F.coalesce(stamp(f["key"]), f["reset"]))
+    kept = (
+        f"filter({flags}, (own, at) -> {stamp('own.key')} IS NULL OR {_is_latest_sql('own', 'at', flags)})"
+    )
+    stamped = _with_sql("kept", reset=f"coalesce({stamp('kept.key')}, kept.reset)")
+    return f"transform({kept}, kept -> {stamped})"
+
+
+def apply_reset_sql(reset: str, now: str, flags: str = "doclib") -> str:
+    stamped = stamp_resets_sql(
+        flags, lambda key: f"CASE WHEN array_contains({reset}, {key}) THEN {now} END"
     )
+    return f"CASE WHEN {resets_any_sql(reset, flags)} THEN {stamped} ELSE {flags} END"
 
 
-def apply_reset(reset: Column, now: Column, flags: Column | None = None) -> Column:
+def apply_reset(reset: str = "reset", now: str = "ts", flags: str = "doclib") -> Column:
     """Collapse duplicates of the keys in ``reset`` and stamp them with ``now``;
     keys that the document does not have change nothing."""
-    flags = _flags(flags)
-    return F.when(
-        F.coalesce(F.arrays_overlap(flags["key"], reset), F.lit(False)),
-        stamp_resets(flags, lambda key: F.when(F.array_contains(reset, key), now)),
-    ).otherwise(flags)
+    return F.expr(apply_reset_sql(reset, now, flags))
+
 
+def resets_any_sql(reset: str, flags: str = "doclib") -> str:
+    return f"coalesce(arrays_overlap({flags}.key, {reset}), false)"
 
-def reset_changed(reset: Column, flags: Column | None = None) -> Column:
+
+def reset_changed(reset: str = "reset", flags: str = "doclib") -> Column:
     """Did the reset change a flag?  True for a message without a reset list."""
-    return F.when(reset.isNull(), F.lit(True)).otherwise(
-        F.coalesce(F.arrays_overlap(_flags(flags)["key"], reset), F.lit(False))
-    )
+    return F.expr(f"{reset} IS NULL OR {resets_any_sql(reset, flags)}")
 
 
-def new_flag(key: Column, reset: Column | None = None) -> Column:
+def new_flag_sql(key: str, reset: str = "NULL") -> str:
     """A flag that was queued before any consumer saw the document."""
-    version = F.struct(
-        F.lit("").alias("number"),
-        F.lit(0).alias("major"),
-        F.lit(0).alias("minor"),
-        F.lit(0).alias("patch"),
-        F.lit("").alias("hash"),
+    version = "named_struct('number', '', 'major', 0, 'minor', 0, 'patch', 0, 'hash', '')"
+    return (
+        f"CAST(named_struct('key', {key}, 'version', {version}, 'started', NULL, 'ended', NULL,"
+        f" 'reset', {reset}, 'queued', true) AS {FLAG})"
     )
-    none = F.lit(None).cast("timestamp_ntz")
-    return F.struct(
-        key.alias("key"),
-        version.alias("version"),
-        none.alias("started"),
-        none.alias("ended"),
-        (none if reset is None else reset).alias("reset"),
-        F.lit(True).alias("queued"),
-    ).cast(FLAG_TYPE)
-
-
-def queue_flags(selected: Column, flags: Column | None = None) -> Column:
+
+
+def mark_queued_sql(selected: str, flags: str = "doclib") -> str:
+    queued = f"CASE WHEN array_contains({selected}, own.key) THEN true ELSE own.queued END"
+    return f"transform({flags}, own -> {_with_sql('own', queued=queued)})"
+
+
+def queue_flags(selected: str = "sends.flag", flags: str = "doclib") -> Column:
     """Mark the selected keys as queued, adding those the document lacks."""
-    flags = _flags(flags)
-    marked = F.transform(
-        flags,
-        lambda f: f.withField(
-            "queued", F.when(F.array_contains(selected, f["key"]), F.lit(True)).otherwise(f["queued"])
-        ),
+    added = f"transform(array_except({selected}, {flags}.key), added -> {new_flag_sql('added')})"
+    return F.expr(
+        f"CASE WHEN size({selected}) > 0 THEN concat({mark_queued_sql(selected, flags)}, {added})"
+        f" ELSE {flags} END"
     )
-    added = F.transform(F.array_except(selected, flags["key"]), lambda key: new_flag(key))
-    return F.when(F.size(selected) > 0, F.concat(marked, added)).otherwise(flags)

@@ -2,27 +2,30 @@
 
 The rules are flattened into ordered steps (rule, stage, condition).  The first
 step that matches wins.  Everything is a narrow projection over one document:
-no join and no shuffle.
+no join and no shuffle.  The expressions are built as SQL text, because one
+text is parsed at once where thousands of column objects would take seconds.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docroute.functions import flags as ff
+from docroute.functions.flags import quote
 from docroute.functions.messages import RESET_WITHOUT_START
 from docroute.operators.rules import Rule, default_rules
 from docroute.schema import RESOLUTION_TYPE, SENDS_TYPE
 from docroute.sources.rules import Required, RulesTable
 
-# A test of one flag, by its key.
-FlagTest = Callable[[str], Column]
+SENDS = SENDS_TYPE.simpleString()
+NO_SENDS = f"CAST(array() AS {SENDS})"
+
+# The text of a test of one flag, by the flag's key.
+FlagTest = Callable[[str], str]
 
 
 @dataclass(frozen=True)
@@ -33,13 +36,16 @@ class Step:
     empty_wins: bool
 
 
-def _any(conditions: Sequence[Column]) -> Column:
-    return reduce(or_, conditions, F.lit(False))
+def any_sql(conditions: Sequence[str]) -> str:
+    return "(" + " OR ".join(["false", *conditions]) + ")"
 
 
-def distinct_routes(sends: Column) -> Column:
+def distinct_routes_sql(sends: str) -> str:
     """Drop sends to a queue that an earlier send already names."""
-    return F.filter(sends, lambda s, i: F.array_position(sends["route"], s["route"]) == i + 1)
+    return (
+        f"filter({sends}, (send, at) ->"
+        f" array_position(transform({sends}, s -> s.route), send.route) = at + 1)"
+    )
 
 
 class Engine:
@@ -82,53 +88,37 @@ class Engine:
     def default(analytical: bool = False, table: RulesTable | None = None) -> Engine:
         return Engine(default_rules(analytical), table)
 
-    # -- expressions over "is this flag allowed / ended / queued" ------------
-
-    def stage_error(self, stage_key: str, allowed: FlagTest) -> Column:
-        return _any([allowed(flag).isNull() for flag in self.table.flags(stage_key)])
-
-    def stage_sendables(self, stage_key: str, allowed: FlagTest) -> Column:
-        """The allowed entries of a stage, in the order of the table."""
-        return self._entries(stage_key, lambda e: allowed(e.flag))
-
-    def _entries(self, stage_key: str, keep: Callable[[Required], Column], flag=None) -> Column:
-        entries = [
-            F.when(
-                F.coalesce(keep(e), F.lit(False)),
-                F.struct(
-                    F.lit(e.ordinal).alias("ordinal"),
-                    F.lit(flag(e) if flag else e.flag).alias("flag"),
-                    F.lit(e.route).alias("route"),
-                ),
-            )
-            for e in self.table.stage(stage_key)
-        ]
-        return F.array_compact(F.array(*entries)).cast(SENDS_TYPE)
+    # -- texts over "is this flag allowed / ended / queueable" ----------------
 
-    def choose(
-        self,
-        eligible: Callable[[int], Column],
-        allowed: FlagTest,
-        ended: FlagTest,
-    ) -> Column:
+    def choose_sql(self, eligible: Callable[[int], str], allowed: FlagTest, ended: FlagTest) -> str:
         """The number of the first step that matches, NULL if none does.  A step
         whose stage meets an error stops the search as well."""
-        chosen = F.lit(None).cast("int")
-        for number, step in reversed(list(enumerate(self.steps))):
+        branches = []
+        for number, step in enumerate(self.steps):
             flags = self.table.flags(step.stage_key)
             if step.empty_wins:
-                matches = ~reduce(lambda a, b: a & b, [ended(f) for f in flags], F.lit(True))
+                matches = "NOT (" + " AND ".join(["true", *map(ended, flags)]) + ")"
             else:
                 # Allowed or in error: anything but a plain no.
-                matches = _any([F.coalesce(allowed(f), F.lit(True)) for f in flags])
-            chosen = F.when(eligible(number) & matches, F.lit(number)).otherwise(chosen)
-        return chosen
+                matches = any_sql([f"coalesce({allowed(flag)}, true)" for flag in flags])
+            branches.append(f" WHEN {eligible(number)} AND {matches} THEN {number}")
+        return "CASE" + "".join(branches or [" WHEN false THEN 0"]) + " END"
 
-    def failed(self, step: Column, allowed: FlagTest) -> Column:
+    def failed_sql(self, step: str, allowed: FlagTest) -> str:
         """Did the chosen step meet an error?"""
-        return self._by_stage(step, lambda key: self.stage_error(key, allowed), F.lit(False))
+        return self._by_stage_sql(
+            step,
+            lambda key: any_sql([f"{allowed(flag)} IS NULL" for flag in self.table.flags(key)]),
+            "false",
+        )
 
-    def selected(self, step: Column, allowed: FlagTest, can_queue: FlagTest) -> Column:
+    def sendables_sql(self, stage_key: str, allowed: FlagTest) -> str:
+        """The allowed entries of a stage, one per queue, in the order of the table."""
+        sends = self._entries_sql(stage_key, lambda entry: allowed(entry.flag))
+        routes = [e.route for e in self.table.stage(stage_key)]
+        return sends if len(set(routes)) == len(routes) else distinct_routes_sql(sends)
+
+    def selected_sql(self, step: str, allowed: FlagTest, can_queue: FlagTest) -> str:
         """What the chosen step sends after the second gate: one send per queue,
         under the flag of the stage's first entry for that queue, if that flag
         can be queued."""
@@ -136,105 +126,118 @@ class Engine:
         def marked(entry: Required) -> str:
             return self.table.config(entry.stage_key, entry.route).flag
 
-        def keep(entry: Required) -> Column:
+        def keep(entry: Required) -> str:
             earlier = [
                 e.flag
                 for e in self.table.stage(entry.stage_key)
                 if e.route == entry.route and e.ordinal < entry.ordinal
             ]
-            taken = _any([allowed(flag) for flag in earlier])
-            return allowed(entry.flag) & ~taken & can_queue(marked(entry))
+            taken = any_sql([allowed(flag) for flag in earlier])
+            return f"{allowed(entry.flag)} AND NOT {taken} AND {can_queue(marked(entry))}"
 
-        empty = F.array().cast(SENDS_TYPE)
-        return self._by_stage(step, lambda key: self._entries(key, keep, marked), empty)
+        return self._by_stage_sql(step, lambda key: self._entries_sql(key, keep, marked), NO_SENDS)
 
-    def _by_stage(self, step: Column, value: Callable[[str], Column], default: Column) -> Column:
-        result = default
-        for key in reversed(self.stage_keys):
-            numbers = [n for n, s in enumerate(self.steps) if s.stage_key == key]
-            result = F.when(step.isin(numbers), value(key)).otherwise(result)
-        return result
+    def _entries_sql(
+        self,
+        stage_key: str,
+        keep: Callable[[Required], str],
+        flag: Callable[[Required], str] = lambda entry: entry.flag,
+    ) -> str:
+        entries = [
+            f"CASE WHEN {keep(e)} THEN named_struct('ordinal', {e.ordinal},"
+            f" 'flag', {quote(flag(e))}, 'route', {quote(e.route)}) END"
+            for e in self.table.stage(stage_key)
+        ]
+        return f"CAST(array_compact(array({', '.join(entries)})) AS {SENDS})"
+
+    def _by_stage_sql(self, step: str, value: Callable[[str], str], default: str) -> str:
+        branches = [
+            f" WHEN {step} IN ({', '.join(str(n) for n, s in enumerate(self.steps) if s.stage_key == key)})"
+            f" THEN {value(key)}"
+            for key in self.stage_keys
+        ]
+        return "CASE" + "".join(branches or [" WHEN false THEN " + default]) + f" ELSE {default} END"
 
-    def step_label(self, step: Column, field: str) -> Column:
+    def label_sql(self, step: str, field: str) -> str:
         """The rule or the stage_key of a step number."""
-        if not self.steps:
-            return F.lit(None).cast("string")
-        return F.get(F.array(*[F.lit(getattr(s, field)) for s in self.steps]), step)
+        labels = [quote(getattr(s, field)) for s in self.steps]
+        return f"get(CAST(array({', '.join(labels)}) AS array<string>), {step})"
+
+    def eligible(self) -> Column:
+        """Per step: does the document meet its condition?"""
+        conditions = [F.coalesce(step.condition, F.lit(False)) for step in self.steps]
+        return F.array(*conditions).cast("array<boolean>")
 
     # -- operators over documents ---------------------------------------------
 
     def resolve(self, documents: DataFrame, column: str = "resolution") -> DataFrame:
         """Add the resolution of every document: NULL if no rule matches, else
         the rule, the stage, the sends (one per queue) and the error, if any."""
-        if not self.steps:
-            return documents.withColumn(column, F.lit(None).cast(RESOLUTION_TYPE))
         names = {flag: f"__allowed_{i}" for i, flag in enumerate(self.flags)}
-
-        def allowed(flag: str) -> Column:
-            return F.col(names[flag])
-
-        def ended(flag: str) -> Column:
-            return F.coalesce(F.array_contains(ff.ended_keys(), flag), F.lit(False))
-
-        step, failed = F.col("__step"), F.col("__failed")
-        sends = self._by_stage(
-            step,
-            lambda key: self._distinct_sendables(key, allowed),
-            F.array().cast(SENDS_TYPE),
-        )
-        resolution = F.struct(
-            self.step_label(step, "rule").alias("rule"),
-            self.step_label(step, "stage_key").alias("stage_key"),
-            F.when(failed, F.array().cast(SENDS_TYPE)).otherwise(sends).alias("sends"),
-            F.when(failed, F.lit(RESET_WITHOUT_START)).alias("error"),
+        allowed = names.__getitem__
+        step = "__step"
+        failed = self.failed_sql(step, allowed)
+        sends = self._by_stage_sql(step, lambda key: self.sendables_sql(key, allowed), NO_SENDS)
+        resolution = (
+            f"CASE WHEN {step} IS NOT NULL THEN CAST(named_struct("
+            f"'rule', {self.label_sql(step, 'rule')}, 'stage_key', {self.label_sql(step, 'stage_key')},"
+            f" 'sends', CASE WHEN {failed} THEN {NO_SENDS} ELSE {sends} END,"
+            f" 'error', CASE WHEN {failed} THEN {quote(RESET_WITHOUT_START)} END)"
+            f" AS {RESOLUTION_TYPE.simpleString()}) END"
         )
+        given = [F.col(f"`{name}`") for name in documents.columns]
         return (
-            documents.withColumns(
-                {
-                    name: ff.sendable_allowed(flag, analytical_flag=self.analytical_flag)
+            documents.select(
+                *given,
+                self.eligible().alias("__eligible"),
+                *[
+                    ff.sendable_allowed(flag, analytical_flag=self.analytical_flag).alias(name)
                     for flag, name in names.items()
-                }
+                ],
             )
-            .withColumn("__step", self.choose(lambda n: self.steps[n].condition, allowed, ended))
-            .withColumn("__failed", self.failed(step, allowed))
-            .withColumn(column, F.when(step.isNotNull(), resolution))
-            .drop("__step", "__failed", *names.values())
+            .select(
+                *given,
+                *names.values(),
+                F.expr(
+                    self.choose_sql(
+                        lambda n: f"__eligible[{n}]", allowed, lambda flag: ff.has_ended_sql(flag)
+                    )
+                ).alias(step),
+            )
+            .select(*given, F.expr(resolution).alias(column))
         )
 
-    def _distinct_sendables(self, stage_key: str, allowed: FlagTest) -> Column:
-        sends = self.stage_sendables(stage_key, allowed)
-        routes = [e.route for e in self.table.stage(stage_key)]
-        return sends if len(set(routes)) == len(routes) else distinct_routes(sends)
-
 
 def select_sends(
     resolved: DataFrame,
     table: RulesTable | None = None,
-    reset: Column | None = None,
+    reset: str | None = None,
     column: str = "sends",
 ) -> DataFrame:
     """Add what is really sent: each queue of the resolution is looked up in its
-    stage, and sent to if the flag found there can be queued.
+    stage, and sent to if the flag found there can be queued.  ``reset`` names
+    the column with the reset list of the message, if there is one.
 
     Works on the resolution of any engine.  The lookup table is configuration,
     so it is a literal map and not a join.
     """
     table = table or RulesTable.default()
-    reset = F.lit(None).cast("array<string>") if reset is None else reset
+    reset = reset or "CAST(NULL AS array<string>)"
     pairs = [(s, r) for s in table.stages() for r in dict.fromkeys(e.route for e in table.stage(s))]
-    config = F.create_map(
-        *[F.lit(x) for s, r in pairs for x in (f"{s}\n{r}", table.config(s, r).flag)]
+    config = ", ".join(
+        quote(x) for s, r in pairs for x in (f"{s}\n{r}", table.config(s, r).flag)
     )
-    stage_key, sends = F.col("resolution.stage_key"), F.col("resolution.sends")
-    configured = F.transform(
-        sends,
-        lambda s: F.struct(
-            s["ordinal"].alias("ordinal"),
-            F.try_element_at(config, F.concat_ws("\n", stage_key, s["route"])).alias("flag"),
-            s["route"].alias("route"),
-        ),
+    key = "concat_ws('\\n', resolution.stage_key, s.route)"
+    configured = (
+        "transform(resolution.sends, s -> named_struct('ordinal', s.ordinal,"
+        f" 'flag', try_element_at(map({config}), {key}), 'route', s.route))"
     )
-    selected = F.filter(configured, lambda s: s["flag"].isNotNull() & ff.can_queue(s["flag"], reset))
+    queueable = ff.can_queue_sql("s.flag", reset)
     return resolved.withColumn(
-        column, F.when(F.size(sends) > 0, selected).otherwise(F.array().cast(SENDS_TYPE)).cast(SENDS_TYPE)
+        column,
+        F.expr(
+            f"CAST(CASE WHEN size(resolution.sends) > 0 THEN"
+            f" filter({configured}, s -> s.flag IS NOT NULL AND {queueable})"
+            f" ELSE array() END AS {SENDS})"
+        ),
     )

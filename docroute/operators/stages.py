@@ -1,89 +1,76 @@
-"""Long-form views of the stages: one row per document, stage and entry."""
+"""Long-form views of the stages: one row per document, stage and entry.
 
-from __future__ import annotations
+The entries are literals in the row, so these multiply rows without a join.
+"""
 
-from functools import reduce
-from operator import and_
+from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docroute.functions import flags as ff
+from docroute.functions.flags import quote
 from docroute.sources.rules import RulesTable
 
 
 def head_flags(documents: DataFrame) -> DataFrame:
     """The first flag of every key of a document."""
-    first = F.filter("doclib", lambda f, i: F.array_position(F.col("doclib.key"), f["key"]) == i + 1)
-    return documents.select("id", F.inline(first)).drop("version").withColumnRenamed("key", "flag_key")
+    first = "filter(doclib, (f, at) -> array_position(doclib.key, f.key) = at + 1)"
+    return documents.selectExpr("id", f"inline({first})").drop("version").withColumnRenamed("key", "flag_key")
+
 
+def _with_allowed(documents: DataFrame, table: RulesTable, analytical_flag: str) -> tuple[DataFrame, dict]:
+    names = {flag: f"__allowed_{i}" for i, flag in enumerate(dict.fromkeys(e.flag for e in table.entries))}
+    allowed = [
+        ff.sendable_allowed(flag, analytical_flag=analytical_flag).alias(name)
+        for flag, name in names.items()
+    ]
+    return documents.select("id", *allowed), names
 
-def required_entries(documents: DataFrame, table: RulesTable, analytical_flag: str = ff.ANALYTICAL_FLAG):
+
+def required_entries(
+    documents: DataFrame, table: RulesTable, analytical_flag: str = ff.ANALYTICAL_FLAG
+) -> DataFrame:
     """Every required entry against every document: may it be sent?
 
     ``allowed`` is NULL where the flag was reset without having started.
-    The entries are literals in the row, so this multiplies rows without a join.
     """
-    flags = list(dict.fromkeys(e.flag for e in table.entries))
-    names = {flag: f"__allowed_{i}" for i, flag in enumerate(flags)}
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(e.stage_key).alias("stage_key"),
-                F.lit(e.ordinal).alias("ordinal"),
-                F.lit(e.flag).alias("flag"),
-                F.lit(e.route).alias("route"),
-                F.col(names[e.flag]).alias("allowed"),
-            )
-            for e in table.entries
-        ]
+    df, names = _with_allowed(documents, table, analytical_flag)
+    entries = ", ".join(
+        f"named_struct('stage_key', {quote(e.stage_key)}, 'ordinal', {e.ordinal}, 'flag', {quote(e.flag)},"
+        f" 'route', {quote(e.route)}, 'allowed', {names[e.flag]})"
+        for e in table.entries
     )
-    return documents.withColumns(
-        {n: ff.sendable_allowed(f, analytical_flag=analytical_flag) for f, n in names.items()}
-    ).select("id", F.inline(entries))
+    return df.selectExpr("id", f"inline(array({entries}))")
 
 
-def stage_sendables(documents: DataFrame, table: RulesTable, analytical_flag: str = ff.ANALYTICAL_FLAG):
+def stage_sendables(
+    documents: DataFrame, table: RulesTable, analytical_flag: str = ff.ANALYTICAL_FLAG
+) -> DataFrame:
     """The allowed entries of every stage, whatever the document is; a stage
     that meets an error has none."""
-    names = {key: f"__stage_{i}" for i, key in enumerate(table.stages())}
-    allowed = {flag: f"__allowed_{i}" for i, flag in enumerate(dict.fromkeys(e.flag for e in table.entries))}
-    df = documents.withColumns(
-        {n: ff.sendable_allowed(f, analytical_flag=analytical_flag) for f, n in allowed.items()}
-    )
-    sound = {
-        key: reduce(and_, [F.col(allowed[f]).isNotNull() for f in table.flags(key)], F.lit(True))
-        for key in names
-    }
-    entries = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    sound[e.stage_key] & F.coalesce(F.col(allowed[e.flag]), F.lit(False)),
-                    F.struct(
-                        F.lit(e.stage_key).alias("stage_key"),
-                        F.lit(e.ordinal).alias("ordinal"),
-                        F.lit(e.flag).alias("flag"),
-                        F.lit(e.route).alias("route"),
-                    ),
-                )
-                for e in table.entries
-            ]
-        )
+    df, names = _with_allowed(documents, table, analytical_flag)
+
+    def sound(stage_key: str) -> str:
+        return " AND ".join(f"{names[flag]} IS NOT NULL" for flag in table.flags(stage_key))
+
+    entries = ", ".join(
+        f"CASE WHEN {names[e.flag]} AND {sound(e.stage_key)} THEN named_struct("
+        f"'stage_key', {quote(e.stage_key)}, 'ordinal', {e.ordinal}, 'flag', {quote(e.flag)},"
+        f" 'route', {quote(e.route)}) END"
+        for e in table.entries
     )
-    return df.select("id", F.inline(entries))
+    return df.selectExpr("id", f"inline(array_compact(array({entries})))")
 
 
 def stage_progress(documents: DataFrame, table: RulesTable) -> DataFrame:
     """For every stage: have all required flags ended, do all of them exist?"""
-    stages = F.array(
-        *[
-            F.struct(
-                F.lit(key).alias("stage_key"),
-                ff.completed(table.flags(key)).alias("completed"),
-                ff.started(table.flags(key)).alias("started_all"),
-            )
-            for key in table.stages()
-        ]
-    )
-    return documents.select("id", F.inline(stages))
+    stages = [
+        F.struct(
+            F.lit(key).alias("stage_key"),
+            ff.completed(table.flags(key)).alias("completed"),
+            ff.started(table.flags(key)).alias("started_all"),
+        )
+        for key in table.stages()
+    ]
+    return documents.select("id", F.inline(F.array(*stages)))

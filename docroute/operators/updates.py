@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,10 +26,11 @@ def last_resets(messages: DataFrame) -> DataFrame:
     )
 
 
-def resets_per_document(resets: DataFrame, documents: DataFrame) -> DataFrame:
-    """Collect the last resets of a document, restricted to the keys it has, so
-    that the list is never longer than the document's own flags."""
-    own = documents.select("id", F.explode(F.array_distinct("doclib.key")).alias("key"))
+def resets_per_document(resets: DataFrame, documents: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Collect the last resets of a document, restricted to the keys it has and
+    the given ones, so that the list is never longer than these."""
+    more = F.array(*[F.lit(key) for key in keys]).cast("array<string>")
+    own = documents.select("id", F.explode(F.array_union("doclib.key", more)).alias("key"))
     return (
         resets.join(own, ["id", "key"], "left_semi")
         .groupBy("id")
@@ -40,30 +43,22 @@ def reset_flags(documents: DataFrame, messages: DataFrame) -> DataFrame:
     their most current entry, stamped with the time of the last message that
     names them.  ``started`` and ``ended`` stay."""
     asked = resets_per_document(last_resets(messages), documents)
-    resets = F.col("resets")
-
-    def stamp(key):
-        return F.get(resets["ts"], F.array_position(resets["key"], key).cast("int") - 1)
-
+    stamped = ff.stamp_resets_sql(
+        "doclib", lambda key: f"get(resets.ts, CAST(array_position(resets.key, {key}) AS INT) - 1)"
+    )
     return (
         documents.join(asked, "id", "left")
-        .withColumn(
-            "doclib",
-            F.when(resets.isNull(), F.col("doclib")).otherwise(ff.stamp_resets(F.col("doclib"), stamp)),
-        )
+        .withColumn("doclib", F.expr(f"CASE WHEN resets IS NULL THEN doclib ELSE {stamped} END"))
         .drop("resets")
     )
 
 
 def reset_changed(messages: DataFrame, documents: DataFrame) -> DataFrame:
     """Per message with a document: does its reset list change anything?"""
-    keys = documents.select("id", F.col("doclib.key").alias("__keys"))
-    changed = F.when(F.col("reset").isNull(), F.lit(True)).otherwise(
-        F.coalesce(F.arrays_overlap("__keys", "reset"), F.lit(False))
-    )
-    return messages.join(keys, "id").withColumn("changed", changed).drop("__keys")
+    joined = messages.join(documents.select("id", F.col("doclib").alias("__doclib")), "id")
+    return joined.withColumn("changed", ff.reset_changed("reset", "__doclib")).drop("__doclib")
 
 
 def queue_flags(selected: DataFrame) -> DataFrame:
     """Mark the flags of ``sends`` as queued in ``doclib``, adding missing ones."""
-    return selected.withColumn("doclib", ff.queue_flags(F.col("sends.flag")))
+    return selected.withColumn("doclib", ff.queue_flags())

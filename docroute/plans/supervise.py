@@ -98,18 +98,15 @@ def supervise(
     decoded = decode_messages(messages)
     valid = decoded.filter("reason is null").select("seq", "ts", "id", "reset")
     first = first_per_document(valid)
-    deferred = (
-        valid.join(first.select("id", F.col("seq").alias("__first")), "id")
-        .filter("seq > __first")
-        .drop("__first")
-    )
+    # Keyed by id and seq, so a document with most of the messages is no hot key.
+    deferred = valid.join(first.select("id", "seq"), ["id", "seq"], "left_anti")
 
     found = documents.withColumn("doclib", F.coalesce("doclib", F.array().cast(FLAGS_TYPE)))
     joined = first.withColumnRenamed("reset", "__reset").join(
         found.withColumn("found", F.lit(True)), "id", "left"
     )
-    reset = joined.withColumn("doclib", ff.apply_reset(F.col("__reset"), F.col("ts")))
-    selected = select_sends(resolve(reset), table, F.col("__reset"))
+    reset = joined.withColumn("doclib", ff.apply_reset("__reset", "ts"))
+    selected = select_sends(resolve(reset), table, "__reset")
     resolution, reason = F.col("resolution"), F.col("reason")
     handled = (
         selected.withColumn("found", F.coalesce("found", F.lit(False)))
@@ -124,7 +121,7 @@ def supervise(
             F.when(reason.isNull(), F.col("sends")).otherwise(F.array().cast(SENDS_TYPE)),
         )
         .withColumn("status", status(reason, F.col("stage_key"), F.col("sends")))
-        .withColumn("doclib", ff.queue_flags(F.col("sends.flag")))
+        .withColumn("doclib", ff.queue_flags())
         .select(*RESULT_COLUMNS, "found", F.col("__reset").alias("reset"), "doclib")
     )
     return Supervised(handled, decoded.filter("reason is not null"), deferred)
