@@ -35,8 +35,9 @@ def contains_sql(array: str, value: str) -> str:
     return f"coalesce(array_contains({array}, {value}), false)"
 
 
-def _all_sql(conditions: Sequence[str]) -> str:
-    return "(" + " AND ".join(["true", *conditions]) + ")"
+def strings_sql(values: Sequence[str]) -> str:
+    """An array of string literals."""
+    return f"CAST(array({', '.join(map(quote, values))}) AS array<string>)"
 
 
 # -- predicates --------------------------------------------------------------------
@@ -63,10 +64,6 @@ def has_flag(key: str, flags: str = "doclib") -> Column:
     return F.expr(has_flag_sql(key, flags))
 
 
-def head_field_sql(key: str, field: str, flags: str = "doclib") -> str:
-    return f"get({flags}.{field}, {_position_sql(key, flags)})"
-
-
 def head_flag(key: str, flags: str = "doclib") -> Column:
     """The first flag with this key; NULL if there is none."""
     return F.expr(f"get({flags}, {_position_sql(key, flags)})")
@@ -83,28 +80,24 @@ def queued_keys_sql(flags: str = "doclib") -> str:
 
 
 def has_ended_sql(key: str, flags: str = "doclib") -> str:
-    return contains_sql(ended_keys_sql(flags), quote(key))
+    return contains_sql(ended_keys_sql(flags), key)
 
 
 def completed(required: Sequence[str], flags: str = "doclib") -> Column:
     """Every required flag has an entry that ended; true if none is required."""
-    return F.expr(_all_sql([has_ended_sql(key, flags) for key in required]))
+    return F.expr(f"forall({strings_sql(required)}, key -> {has_ended_sql('key', flags)})")
 
 
 def started(required: Sequence[str], flags: str = "doclib") -> Column:
     """Every required flag exists; true if none is required."""
-    return F.expr(_all_sql([has_flag_sql(key, flags) for key in required]))
+    return F.expr(f"forall({strings_sql(required)}, key -> {contains_sql(f'{flags}.key', 'key')})")
 
 
-def sendable_allowed_sql(
-    flag: str, flags: str = "doclib", analytical_flag: str = ANALYTICAL_FLAG
-) -> str:
-    if flag == analytical_flag:
-        return "true"
-    reset, begun = head_field_sql(flag, "reset", flags), head_field_sql(flag, "started", flags)
+def _flag_allowed_sql(flag: str) -> str:
+    """May a flag that exists be sent?  NULL if it was reset but never started."""
     return (
-        f"CASE WHEN NOT {has_flag_sql(flag, flags)} THEN true WHEN {reset} IS NULL THEN false"
-        f" ELSE {epoch_second_sql(reset)} > {epoch_second_sql(begun)} END"
+        f"CASE WHEN {flag}.reset IS NULL THEN false"
+        f" ELSE {epoch_second_sql(f'{flag}.reset')} > {epoch_second_sql(f'{flag}.started')} END"
     )
 
 
@@ -114,7 +107,29 @@ def sendable_allowed(
     """May work on this flag be sent?  Absent flags may, present ones only if
     they were reset in a later second than they started; the analytical flag
     always may.  NULL stands for the error of a reset without a start."""
-    return F.expr(sendable_allowed_sql(flag, flags, analytical_flag))
+    if flag == analytical_flag:
+        return F.lit(True)
+    head = f"get({flags}, {_position_sql(flag, flags)})"
+    allowed = let_sql(head, "head", _flag_allowed_sql("head"))
+    return F.expr(f"CASE WHEN {has_flag_sql(flag, flags)} THEN {allowed} ELSE true END")
+
+
+def sendable_allowed_each_sql(
+    keys: str, flags: str = "doclib", analytical_flag: str = ANALYTICAL_FLAG
+) -> str:
+    """``sendable_allowed`` of every key in the array ``keys``, as an array.
+
+    The flags are judged in one pass and then looked up, so the size of the
+    expression does not grow with the number of keys.
+    """
+    lookup = let_sql(
+        "CAST(array_position(own, key) AS INT)",
+        "place",
+        f"CASE WHEN key = {quote(analytical_flag)} THEN true WHEN place > 0 THEN judged[place - 1]"
+        " ELSE true END",
+    )
+    looked_up = let_sql(f"{flags}.key", "own", f"transform({keys}, key -> {lookup})")
+    return let_sql(f"transform({flags}, f -> {_flag_allowed_sql('f')})", "judged", looked_up)
 
 
 def is_queued(key: str, flags: str = "doclib") -> Column:

@@ -1,5 +1,7 @@
 """Message bodies: strict decoding and rendering."""
 
+from __future__ import annotations
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -8,48 +10,49 @@ BAD_ID = "bad_id"
 MISSING_DOCUMENT = "missing_document"
 RESET_WITHOUT_START = "reset_without_start"
 
+# Fixed value: document ids are 24 hex digits.
 OBJECT_ID_PATTERN = "^[0-9a-fA-F]{24}$"
 
 
-def parse_body(body: Column) -> Column:
+def parse_body(body: str = "body") -> Column:
     """The body as a variant, NULL unless the whole text is one JSON value.
 
     The parser stops after the first value, so the body is parsed inside
     brackets, where text after it is an error.  Only a body that closes the
     bracket itself could slip through; such a body is parsed in braces too.
     """
-    listed = F.try_parse_json(F.concat(F.lit("["), body, F.lit("]")))
-    single = F.try_variant_get(listed, "$[1]", "variant").isNull()
-    braced = F.try_parse_json(F.concat(F.lit('{"m":'), body, F.lit("}")))
-    whole = single & (~body.rlike(r"\}\s*\]") | braced.isNotNull())
-    return F.when(whole, F.try_variant_get(listed, "$[0]", "variant"))
-
-
-def message_id(message: Column) -> Column:
-    """The id of a parsed message; NULL unless it is a JSON string."""
-    kind = F.schema_of_variant(F.try_variant_get(message, "$.id", "variant"))
-    return F.when(kind == "STRING", F.try_variant_get(message, "$.id", "string"))
-
-
-def message_reset(message: Column) -> Column:
-    """The reset list of a parsed message, NULL if it has none."""
-    return F.try_variant_get(message, "$.reset", "array<string>")
+    listed = f"try_parse_json(concat('[', {body}, ']'))"
+    braced = f"try_parse_json(concat('{{\"m\":', {body}, '}}'))"
+    single = f"try_variant_get({listed}, '$[1]', 'variant') IS NULL"
+    return F.expr(
+        f"CASE WHEN {single} AND (NOT {body} RLIKE r'\\}}\\s*\\]' OR {braced} IS NOT NULL)"
+        f" THEN try_variant_get({listed}, '$[0]', 'variant') END"
+    )
 
 
-def reset_is_valid(message: Column) -> Column:
-    """Absent, null, or a list of strings only."""
-    kind = F.schema_of_variant(F.try_variant_get(message, "$.reset", "variant"))
-    reset = message_reset(message)
+def message_parts_sql(message: str) -> str:
+    """``id`` and ``reset`` of a parsed message, with the JSON types they had."""
     return (
-        F.when(kind.isNull() | (kind == "VOID"), F.lit(True))
-        .when(kind == "ARRAY<VOID>", F.size(reset) == 0)
-        .when(kind == "ARRAY<STRING>", ~F.exists(reset, lambda r: r.isNull()))
-        .otherwise(F.lit(False))
+        "named_struct("
+        f"'id', try_variant_get({message}, '$.id', 'string'),"
+        f" 'id_type', schema_of_variant(try_variant_get({message}, '$.id', 'variant')),"
+        f" 'reset', try_variant_get({message}, '$.reset', 'array<string>'),"
+        f" 'reset_type', schema_of_variant(try_variant_get({message}, '$.reset', 'variant')))"
     )
 
 
-def is_object_id(text: Column) -> Column:
-    return text.rlike(OBJECT_ID_PATTERN)
+def message_fields_sql(parts: str) -> str:
+    """``struct<id, reset>``, NULL unless the message has a string ``id`` and its
+    ``reset`` is absent, null or a list of strings."""
+    valid = (
+        f"CASE coalesce({parts}.reset_type, 'VOID') WHEN 'VOID' THEN true"
+        f" WHEN 'ARRAY<VOID>' THEN size({parts}.reset) = 0"
+        f" WHEN 'ARRAY<STRING>' THEN NOT exists({parts}.reset, r -> r IS NULL) ELSE false END"
+    )
+    return (
+        f"CASE WHEN {parts}.id_type = 'STRING' AND {valid}"
+        f" THEN named_struct('id', {parts}.id, 'reset', {parts}.reset) END"
+    )
 
 
 def render_body(document_id: Column) -> Column:

@@ -2,8 +2,9 @@
 
 The rules are flattened into ordered steps (rule, stage, condition).  The first
 step that matches wins.  Everything is a narrow projection over one document:
-no join and no shuffle.  The expressions are built as SQL text, because one
-text is parsed at once where thousands of column objects would take seconds.
+no join and no shuffle.  The rules enter the expressions as literal tables, so
+that the expressions stay small, however many rules and flags there are: large
+generated methods would not be compiled by the JVM.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docroute.functions import flags as ff
-from docroute.functions.flags import quote
+from docroute.functions.flags import quote, strings_sql
 from docroute.functions.messages import RESET_WITHOUT_START
 from docroute.operators.rules import Rule, default_rules
 from docroute.schema import RESOLUTION_TYPE, SENDS_TYPE
@@ -24,8 +25,8 @@ from docroute.sources.rules import Required, RulesTable
 SENDS = SENDS_TYPE.simpleString()
 NO_SENDS = f"CAST(array() AS {SENDS})"
 
-# The text of a test of one flag, by the flag's key.
-FlagTest = Callable[[str], str]
+# The text of a test of one required entry, given the name of the entry.
+EntryTest = Callable[[str], str]
 
 
 @dataclass(frozen=True)
@@ -36,18 +37,6 @@ class Step:
     empty_wins: bool
 
 
-def any_sql(conditions: Sequence[str]) -> str:
-    return "(" + " OR ".join(["false", *conditions]) + ")"
-
-
-def distinct_routes_sql(sends: str) -> str:
-    """Drop sends to a queue that an earlier send already names."""
-    return (
-        f"filter({sends}, (send, at) ->"
-        f" array_position(transform({sends}, s -> s.route), send.route) = at + 1)"
-    )
-
-
 class Engine:
     """Ordered rules over a table of required flags.
 
@@ -88,80 +77,82 @@ class Engine:
     def default(analytical: bool = False, table: RulesTable | None = None) -> Engine:
         return Engine(default_rules(analytical), table)
 
-    # -- texts over "is this flag allowed / ended / queueable" ----------------
-
-    def choose_sql(self, eligible: Callable[[int], str], allowed: FlagTest, ended: FlagTest) -> str:
-        """The number of the first step that matches, NULL if none does.  A step
-        whose stage meets an error stops the search as well."""
-        branches = []
-        for number, step in enumerate(self.steps):
-            flags = self.table.flags(step.stage_key)
-            if step.empty_wins:
-                matches = "NOT (" + " AND ".join(["true", *map(ended, flags)]) + ")"
-            else:
-                # Allowed or in error: anything but a plain no.
-                matches = any_sql([f"coalesce({allowed(flag)}, true)" for flag in flags])
-            branches.append(f" WHEN {eligible(number)} AND {matches} THEN {number}")
-        return "CASE" + "".join(branches or [" WHEN false THEN 0"]) + " END"
-
-    def failed_sql(self, step: str, allowed: FlagTest) -> str:
-        """Did the chosen step meet an error?"""
-        return self._by_stage_sql(
-            step,
-            lambda key: any_sql([f"{allowed(flag)} IS NULL" for flag in self.table.flags(key)]),
-            "false",
-        )
+    # -- texts: the rules are literal tables, walked by higher-order functions ----
 
-    def sendables_sql(self, stage_key: str, allowed: FlagTest) -> str:
-        """The allowed entries of a stage, one per queue, in the order of the table."""
-        sends = self._entries_sql(stage_key, lambda entry: allowed(entry.flag))
-        routes = [e.route for e in self.table.stage(stage_key)]
-        return sends if len(set(routes)) == len(routes) else distinct_routes_sql(sends)
+    @property
+    def flags_sql(self) -> str:
+        return strings_sql(self.flags)
 
-    def selected_sql(self, step: str, allowed: FlagTest, can_queue: FlagTest) -> str:
-        """What the chosen step sends after the second gate: one send per queue,
-        under the flag of the stage's first entry for that queue, if that flag
-        can be queued."""
+    def _steps_sql(self) -> str:
+        """Per step its number, its stage and whether that wins when empty."""
+        rows = [
+            f"named_struct('n', {n}, 'stage', {self.stage_keys.index(step.stage_key)},"
+            f" 'empty_wins', {str(step.empty_wins).lower()})"
+            for n, step in enumerate(self.steps)
+        ]
+        return f"CAST(array({', '.join(rows)}) AS array<struct<n: int, stage: int, empty_wins: boolean>>)"
 
-        def marked(entry: Required) -> str:
-            return self.table.config(entry.stage_key, entry.route).flag
+    def _stages_sql(self) -> str:
+        """Per stage its entries: the place of the flag in ``flags``, the places of
+        earlier entries with the same route, and the flag that is marked when
+        the route is sent to (the flag of the stage's first entry for it)."""
 
-        def keep(entry: Required) -> str:
+        def entry(e: Required) -> str:
+            marked = self.table.config(e.stage_key, e.route).flag
             earlier = [
-                e.flag
-                for e in self.table.stage(entry.stage_key)
-                if e.route == entry.route and e.ordinal < entry.ordinal
+                str(self.flags.index(o.flag))
+                for o in self.table.stage(e.stage_key)
+                if o.route == e.route and o.ordinal < e.ordinal
             ]
-            taken = any_sql([allowed(flag) for flag in earlier])
-            return f"{allowed(entry.flag)} AND NOT {taken} AND {can_queue(marked(entry))}"
-
-        return self._by_stage_sql(step, lambda key: self._entries_sql(key, keep, marked), NO_SENDS)
+            return (
+                f"named_struct('ordinal', {e.ordinal}, 'flag', {quote(e.flag)}, 'route', {quote(e.route)},"
+                f" 'place', {self.flags.index(e.flag)}, 'earlier', CAST(array({', '.join(earlier)}) AS array<int>),"
+                f" 'marked', {quote(marked)}, 'marked_place', {self.flags.index(marked)})"
+            )
 
-    def _entries_sql(
-        self,
-        stage_key: str,
-        keep: Callable[[Required], str],
-        flag: Callable[[Required], str] = lambda entry: entry.flag,
-    ) -> str:
-        entries = [
-            f"CASE WHEN {keep(e)} THEN named_struct('ordinal', {e.ordinal},"
-            f" 'flag', {quote(flag(e))}, 'route', {quote(e.route)}) END"
-            for e in self.table.stage(stage_key)
-        ]
-        return f"CAST(array_compact(array({', '.join(entries)})) AS {SENDS})"
+        stages = [f"array({', '.join(map(entry, self.table.stage(key)))})" for key in self.stage_keys]
+        return f"array({', '.join(stages)})"
+
+    def choose_sql(self, eligible: str, allowed: str, ended: EntryTest) -> str:
+        """The first step that matches, as ``struct<n, stage, empty_wins>``; NULL if
+        none does.  A step whose stage meets an error stops the search as well.
+
+        ``eligible`` and ``allowed`` name arrays of booleans, by step and by flag.
+        """
+        if not self.steps:
+            return "CAST(NULL AS struct<n: int, stage: int, empty_wins: boolean>)"
+        entries = f"get({self._stages_sql()}, step.stage)"
+        matches = (
+            f"CASE WHEN step.empty_wins THEN NOT forall({entries}, e -> {ended('e')})"
+            # Allowed or in error: anything but a plain no.
+            f" ELSE exists({entries}, e -> coalesce({allowed}[e.place], true)) END"
+        )
+        return f"get(filter({self._steps_sql()}, step -> {eligible}[step.n] AND {matches}), 0)"
 
-    def _by_stage_sql(self, step: str, value: Callable[[str], str], default: str) -> str:
-        branches = [
-            f" WHEN {step} IN ({', '.join(str(n) for n, s in enumerate(self.steps) if s.stage_key == key)})"
-            f" THEN {value(key)}"
-            for key in self.stage_keys
-        ]
-        return "CASE" + "".join(branches or [" WHEN false THEN " + default]) + f" ELSE {default} END"
+    def failed_sql(self, step: str, allowed: str) -> str:
+        """Did the chosen step meet an error?"""
+        if not self.steps:
+            return "false"
+        entries = f"get({self._stages_sql()}, {step}.stage)"
+        return f"coalesce(exists({entries}, e -> {allowed}[e.place] IS NULL), false)"
+
+    def sends_sql(self, step: str, allowed: str, can_queue: EntryTest | None = None) -> str:
+        """What the chosen step, which has not failed, sends: the first allowed entry
+        of every route.  With ``can_queue``, the second gate is applied, and the
+        sends carry the flags to be marked."""
+        if not self.steps:
+            return NO_SENDS
+        entries = f"get({self._stages_sql()}, {step}.stage)"
+        first = f"{allowed}[e.place] AND NOT exists(e.earlier, i -> {allowed}[i])"
+        flag = "e.flag"
+        if can_queue is not None:
+            first, flag = f"{first} AND {can_queue('e')}", "e.marked"
+        send = f"named_struct('ordinal', e.ordinal, 'flag', {flag}, 'route', e.route)"
+        return f"coalesce(transform(filter({entries}, e -> {first}), e -> {send}), {NO_SENDS})"
 
     def label_sql(self, step: str, field: str) -> str:
         """The rule or the stage_key of a step number."""
-        labels = [quote(getattr(s, field)) for s in self.steps]
-        return f"get(CAST(array({', '.join(labels)}) AS array<string>), {step})"
+        return f"get({strings_sql([getattr(s, field) for s in self.steps])}, {step})"
 
     def eligible(self) -> Column:
         """Per step: does the document meet its condition?"""
@@ -173,41 +164,39 @@ class Engine:
     def resolve(self, documents: DataFrame, column: str = "resolution") -> DataFrame:
         """Add the resolution of every document: NULL if no rule matches, else
         the rule, the stage, the sends (one per queue) and the error, if any."""
-        names = {flag: f"__allowed_{i}" for i, flag in enumerate(self.flags)}
-        allowed = names.__getitem__
-        step = "__step"
-        failed = self.failed_sql(step, allowed)
-        sends = self._by_stage_sql(step, lambda key: self.sendables_sql(key, allowed), NO_SENDS)
+        given = [F.col(f"`{name}`") for name in documents.columns]
+        allowed = ff.sendable_allowed_each_sql(self.flags_sql, analytical_flag=self.analytical_flag)
+        step = self.choose_sql(
+            "__eligible", "__allowed", lambda entry: ff.has_ended_sql(f"{entry}.flag")
+        )
+        failed = self.failed_sql("__step", "__allowed")
+        sends = self.sends_sql("__step", "__allowed")
         resolution = (
-            f"CASE WHEN {step} IS NOT NULL THEN CAST(named_struct("
-            f"'rule', {self.label_sql(step, 'rule')}, 'stage_key', {self.label_sql(step, 'stage_key')},"
-            f" 'sends', CASE WHEN {failed} THEN {NO_SENDS} ELSE {sends} END,"
-            f" 'error', CASE WHEN {failed} THEN {quote(RESET_WITHOUT_START)} END)"
+            "CASE WHEN __step IS NOT NULL THEN CAST(named_struct("
+            f"'rule', {self.label_sql('__step.n', 'rule')},"
+            f" 'stage_key', {self.label_sql('__step.n', 'stage_key')},"
+            f" 'sends', CASE WHEN __failed THEN {NO_SENDS} ELSE {sends} END,"
+            f" 'error', CASE WHEN __failed THEN {quote(RESET_WITHOUT_START)} END)"
             f" AS {RESOLUTION_TYPE.simpleString()}) END"
         )
-        given = [F.col(f"`{name}`") for name in documents.columns]
         return (
             documents.select(
-                *given,
-                self.eligible().alias("__eligible"),
-                *[
-                    ff.sendable_allowed(flag, analytical_flag=self.analytical_flag).alias(name)
-                    for flag, name in names.items()
-                ],
-            )
-            .select(
-                *given,
-                *names.values(),
-                F.expr(
-                    self.choose_sql(
-                        lambda n: f"__eligible[{n}]", allowed, lambda flag: ff.has_ended_sql(flag)
-                    )
-                ).alias(step),
+                *given, self.eligible().alias("__eligible"), F.expr(allowed).alias("__allowed")
             )
+            .select(*given, "__allowed", F.expr(step).alias("__step"))
+            .select(*given, "__allowed", "__step", F.expr(failed).alias("__failed"))
             .select(*given, F.expr(resolution).alias(column))
         )
 
 
+def distinct_routes(sends: str = "sends") -> Column:
+    """Drop sends to a queue that an earlier send already names."""
+    return F.expr(
+        f"filter({sends}, (send, place) ->"
+        f" array_position(transform({sends}, s -> s.route), send.route) = place + 1)"
+    )
+
+
 def select_sends(
     resolved: DataFrame,
     table: RulesTable | None = None,

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docroute.functions import flags as ff
-from docroute.functions.flags import quote
+from docroute.functions.flags import let_sql, quote, strings_sql
 from docroute.sources.rules import RulesTable
 
 
@@ -19,13 +19,19 @@ def head_flags(documents: DataFrame) -> DataFrame:
     return documents.selectExpr("id", f"inline({first})").drop("version").withColumnRenamed("key", "flag_key")
 
 
-def _with_allowed(documents: DataFrame, table: RulesTable, analytical_flag: str) -> tuple[DataFrame, dict]:
-    names = {flag: f"__allowed_{i}" for i, flag in enumerate(dict.fromkeys(e.flag for e in table.entries))}
-    allowed = [
-        ff.sendable_allowed(flag, analytical_flag=analytical_flag).alias(name)
-        for flag, name in names.items()
+def _entries_sql(table: RulesTable) -> str:
+    rows = [
+        f"named_struct('stage_key', {quote(e.stage_key)}, 'ordinal', {e.ordinal},"
+        f" 'flag', {quote(e.flag)}, 'route', {quote(e.route)})"
+        for e in table.entries
     ]
-    return documents.select("id", *allowed), names
+    return f"array({', '.join(rows)})"
+
+
+def _with_allowed(documents: DataFrame, table: RulesTable, analytical_flag: str) -> DataFrame:
+    flags = strings_sql([e.flag for e in table.entries])
+    allowed = ff.sendable_allowed_each_sql(flags, analytical_flag=analytical_flag)
+    return documents.select("id", F.expr(allowed).alias("__allowed"))
 
 
 def required_entries(
@@ -35,13 +41,11 @@ def required_entries(
 
     ``allowed`` is NULL where the flag was reset without having started.
     """
-    df, names = _with_allowed(documents, table, analytical_flag)
-    entries = ", ".join(
-        f"named_struct('stage_key', {quote(e.stage_key)}, 'ordinal', {e.ordinal}, 'flag', {quote(e.flag)},"
-        f" 'route', {quote(e.route)}, 'allowed', {names[e.flag]})"
-        for e in table.entries
+    entries = (
+        f"transform({_entries_sql(table)}, (e, i) -> named_struct('stage_key', e.stage_key,"
+        " 'ordinal', e.ordinal, 'flag', e.flag, 'route', e.route, 'allowed', __allowed[i]))"
     )
-    return df.selectExpr("id", f"inline(array({entries}))")
+    return _with_allowed(documents, table, analytical_flag).selectExpr("id", f"inline({entries})")
 
 
 def stage_sendables(
@@ -49,28 +53,39 @@ def stage_sendables(
 ) -> DataFrame:
     """The allowed entries of every stage, whatever the document is; a stage
     that meets an error has none."""
-    df, names = _with_allowed(documents, table, analytical_flag)
-
-    def sound(stage_key: str) -> str:
-        return " AND ".join(f"{names[flag]} IS NOT NULL" for flag in table.flags(stage_key))
-
-    entries = ", ".join(
-        f"CASE WHEN {names[e.flag]} AND {sound(e.stage_key)} THEN named_struct("
-        f"'stage_key', {quote(e.stage_key)}, 'ordinal', {e.ordinal}, 'flag', {quote(e.flag)},"
-        f" 'route', {quote(e.route)}) END"
-        for e in table.entries
+    entries = _entries_sql(table)
+    unsound = f"filter(transform({entries}, (e, i) -> CASE WHEN __allowed[i] IS NULL THEN e.stage_key END), k -> k IS NOT NULL)"
+    allowed = let_sql(
+        unsound,
+        "unsound",
+        f"filter({entries}, (e, i) -> __allowed[i] AND NOT array_contains(unsound, e.stage_key))",
     )
-    return df.selectExpr("id", f"inline(array_compact(array({entries})))")
+    return _with_allowed(documents, table, analytical_flag).selectExpr("id", f"inline({allowed})")
 
 
 def stage_progress(documents: DataFrame, table: RulesTable) -> DataFrame:
     """For every stage: have all required flags ended, do all of them exist?"""
-    stages = [
-        F.struct(
-            F.lit(key).alias("stage_key"),
-            ff.completed(table.flags(key)).alias("completed"),
-            ff.started(table.flags(key)).alias("started_all"),
-        )
+    stages = ", ".join(
+        f"named_struct('stage_key', {quote(key)}, 'flags', {strings_sql(table.flags(key))})"
         for key in table.stages()
-    ]
-    return documents.select("id", F.inline(F.array(*stages)))
+    )
+    progress = let_sql(
+        ff.ended_keys_sql(),
+        "ended",
+        f"transform(array({stages}), s -> named_struct('stage_key', s.stage_key,"
+        f" 'completed', forall(s.flags, key -> {ff.contains_sql('ended', 'key')}),"
+        f" 'started_all', forall(s.flags, key -> {ff.contains_sql('doclib.key', 'key')})))",
+    )
+    return documents.selectExpr("id", f"inline({progress})")
+
+
+def queueable_flags(documents: DataFrame, flags: list[str], reset: str) -> DataFrame:
+    """Every flag against every document: may it be queued, given the list in
+    the column ``reset``?"""
+    tested = let_sql(
+        ff.queued_keys_sql(),
+        "queued",
+        f"transform({strings_sql(flags)}, key -> named_struct('flag', key,"
+        f" 'can_queue', {ff.contains_sql(reset, 'key')} OR NOT {ff.contains_sql('queued', 'key')}))",
+    )
+    return documents.selectExpr("id", f"inline({tested})")

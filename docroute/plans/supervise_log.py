@@ -38,7 +38,7 @@ PIECE_MESSAGES = 1_000_000
 # Up to this many document ids (24 characters each) are broadcast.
 BROADCAST_IDS = 100_000
 
-RESET = "struct<seq: bigint, ts: timestamp_ntz>"
+RESET = "struct<seq: bigint, ts: timestamp_ntz, second: bigint>"
 OUTCOME = f"struct<seq: bigint, ts: timestamp_ntz, step: int, failed: boolean, sends: {SENDS}>"
 STATE = f"struct<resets: array<{RESET}>, since: array<bigint>, log: array<{OUTCOME}>>"
 
@@ -84,70 +84,70 @@ def supervise_log(
 # -- what a message meets -------------------------------------------------------
 
 
-def _keys(engine: Engine) -> str:
-    return f"CAST(array({', '.join(map(quote, engine.flags))}) AS array<string>)"
+def _prepare(documents: DataFrame, engine: Engine) -> DataFrame:
+    """Documents with their eligible steps; all else follows from the flags."""
+    return documents.select(
+        "id",
+        F.expr(f"coalesce(doclib, {ff.NO_FLAGS})").alias("doclib"),
+        engine.eligible().alias("eligible"),
+    )
 
 
-def _prepare(documents: DataFrame, engine: Engine) -> DataFrame:
-    """Documents with their eligible steps and a view of every flag in the rules."""
+def _views(engine: Engine) -> str:
+    """Per flag of the rules, what the document's own entries say: at first, and
+    once a reset has collapsed them to the latest."""
+    allowed = ff.sendable_allowed_each_sql(engine.flags_sql, analytical_flag=engine.analytical_flag)
     view = (
-        "named_struct('present', size(own) > 0,"
-        " 'head_started', get(own, 0).started, 'head_reset', get(own, 0).reset,"
+        f"named_struct('always', key = {quote(engine.analytical_flag)}, 'present', size(own) > 0,"
+        " 'allowed', size(own) > 0 AND allowed[i],"
         " 'any_ended', exists(own, f -> f.ended IS NOT NULL),"
         " 'any_queued', exists(own, f -> coalesce(f.queued, false)),"
-        " 'last_started', last.started, 'last_ended', last.ended IS NOT NULL,"
+        f" 'last_second', {ff.epoch_second_sql('last.started')},"
+        " 'last_ended', last.ended IS NOT NULL,"
         " 'last_queued', coalesce(last.queued, false))"
     )
     last = let_sql(f"get({ff.latest_flags_sql('own')}, 0)", "last", view)
-    views = f"transform({_keys(engine)}, key -> {let_sql('filter(doclib, f -> f.key = key)', 'own', last)})"
-    return documents.select(
-        "id", F.expr(f"coalesce(doclib, {ff.NO_FLAGS})").alias("doclib"), engine.eligible().alias("eligible")
-    ).withColumn("views", F.expr(views))
+    own = let_sql("filter(doclib, f -> f.key = key)", "own", last)
+    return let_sql(allowed, "allowed", f"transform({engine.flags_sql}, (key, i) -> {own})")
 
 
 def _standings(engine: Engine, resets: str, since: str, asked: str) -> str:
     """Per flag: is it allowed, has it ended, may this message queue it?"""
     renewed = (
-        f"CASE WHEN view.present THEN get({resets}, i) IS NOT NULL"
-        f" ELSE coalesce(get({resets}, i).seq > get({since}, i), false) END"
+        "CASE WHEN view.present THEN reset IS NOT NULL ELSE coalesce(reset.seq > first, false) END"
     )
-    analytical = quote(engine.analytical_flag)
-    key = f"get({_keys(engine)}, i)"
     standing = (
-        "named_struct("
-        f"'allowed', CASE WHEN {key} = {analytical} OR NOT (view.present OR now.sent) THEN true"
-        " WHEN now.reset IS NULL THEN false"
-        f" ELSE {ff.epoch_second_sql('now.reset')} > {ff.epoch_second_sql('now.started')} END,"
-        " 'ended', now.ended,"
-        f" 'can_queue', {ff.contains_sql(asked, key)} OR NOT now.queued)"
-    )
-    now = (
-        f"named_struct('sent', get({since}, i) IS NOT NULL,"
-        f" 'reset', CASE WHEN renewed THEN get({resets}, i).ts ELSE view.head_reset END,"
-        " 'started', CASE WHEN renewed THEN view.last_started ELSE view.head_started END,"
+        "named_struct('allowed',"
+        " CASE WHEN view.always OR (NOT view.present AND first IS NULL) THEN true"
+        " WHEN renewed THEN reset.second > view.last_second ELSE view.allowed END,"
         " 'ended', CASE WHEN renewed THEN view.last_ended ELSE view.any_ended END,"
-        f" 'queued', get({since}, i) IS NOT NULL OR"
-        " CASE WHEN renewed THEN view.last_queued ELSE view.any_queued END)"
+        f" 'can_queue', {ff.contains_sql(asked, f'get({engine.flags_sql}, i)')} OR NOT"
+        " (first IS NOT NULL OR CASE WHEN renewed THEN view.last_queued ELSE view.any_queued END))"
+    )
+    body = let_sql(
+        f"get({resets}, i)",
+        "reset",
+        let_sql(f"get({since}, i)", "first", let_sql(renewed, "renewed", standing)),
     )
-    body = let_sql(renewed, "renewed", let_sql(now, "now", standing))
     return f"transform(views, (view, i) -> {body})"
 
 
 def _outcome(engine: Engine, seq: str, ts: str, standings: str) -> str:
     """The step a message takes and what it sends."""
-    place = {flag: i for i, flag in enumerate(engine.flags)}
-
-    def test(field: str):
-        return lambda flag: f"standings[{place[flag]}].{field}"
-
-    step = engine.choose_sql(lambda n: f"eligible[{n}]", test("allowed"), test("ended"))
-    failed = engine.failed_sql("step", test("allowed"))
-    sends = engine.selected_sql("step", test("allowed"), test("can_queue"))
+    step = engine.choose_sql("eligible", "allowed", lambda entry: f"standings[{entry}.place].ended")
+    sends = engine.sends_sql(
+        "step", "allowed", lambda entry: f"standings[{entry}.marked_place].can_queue"
+    )
     outcome = (
-        f"CAST(named_struct('seq', {seq}, 'ts', {ts}, 'step', step, 'failed', failed,"
-        f" 'sends', CASE WHEN failed THEN {NO_SENDS} ELSE {sends} END) AS {OUTCOME})"
+        f"named_struct('seq', {seq}, 'ts', {ts}, 'step', step.n, 'failed', failed,"
+        f" 'sends', CASE WHEN failed THEN {NO_SENDS} ELSE {sends} END)"
+    )
+    failed = let_sql(engine.failed_sql("step", "allowed"), "failed", outcome)
+    return let_sql(
+        standings,
+        "standings",
+        let_sql("transform(standings, s -> s.allowed)", "allowed", let_sql(step, "step", failed)),
     )
-    return let_sql(standings, "standings", let_sql(step, "step", let_sql(failed, "failed", outcome)))
 
 
 def _new_flags(engine: Engine) -> str:
@@ -160,7 +160,7 @@ def _new_flags(engine: Engine) -> str:
 
     sent = (
         f"filter(transform(since, (first, i) -> named_struct('first', first, 'i', i,"
-        f" 'key', get({_keys(engine)}, i))), s -> s.first IS NOT NULL)"
+        f" 'key', get({engine.flags_sql}, i))), s -> s.first IS NOT NULL)"
     )
     own = (
         "CASE WHEN coalesce(arrays_overlap(doclib.key, resets.key), false)"
@@ -202,17 +202,21 @@ def _fold(valid: DataFrame, prepared: DataFrame, engine: Engine) -> DataFrame:
     are grouped on the id, which the join with the documents reuses."""
     entry = F.struct("seq", "ts", "reset")
     logs = valid.groupBy("id").agg(F.sort_array(F.collect_list(entry)).alias("messages"))
-    joined = logs.join(prepared.withColumn("found", F.lit(True)), "id", "left")
-    keys, width = _keys(engine), len(engine.flags)
+    joined = logs.join(prepared.withColumn("found", F.lit(True)), "id", "left").withColumn(
+        "views", F.expr(_views(engine))
+    )
+    keys, width = engine.flags_sql, len(engine.flags)
 
     start = (
         f"CAST(named_struct('resets', array_repeat(CAST(NULL AS {RESET}), {width}),"
         f" 'since', array_repeat(CAST(NULL AS BIGINT), {width}), 'log', array()) AS {STATE})"
     )
+    reset = f"named_struct('seq', m.seq, 'ts', m.ts, 'second', {ff.epoch_second_sql('m.ts')})"
+    named = f"CASE WHEN array_contains(m.reset, get({keys}, i)) THEN stamp ELSE last END"
     resets = (
-        "CASE WHEN size(m.reset) > 0 THEN transform(state.resets, (last, i) ->"
-        f" CASE WHEN array_contains(m.reset, get({keys}, i))"
-        " THEN named_struct('seq', m.seq, 'ts', m.ts) ELSE last END) ELSE state.resets END"
+        "CASE WHEN size(m.reset) > 0 THEN "
+        + let_sql(reset, "stamp", f"transform(state.resets, (last, i) -> {named})")
+        + " ELSE state.resets END"
     )
     fresh = _outcome(
         engine, "m.seq", "m.ts", _standings(engine, "resets_now", "state.since", "m.reset")
@@ -221,17 +225,17 @@ def _fold(valid: DataFrame, prepared: DataFrame, engine: Engine) -> DataFrame:
     # that one sent nothing.
     outcome = (
         "CASE WHEN coalesce(size(before.sends) = 0, false) AND (m.reset IS NULL OR size(m.reset) = 0)"
-        " THEN CAST(named_struct('seq', m.seq, 'ts', m.ts, 'step', before.step,"
-        f" 'failed', before.failed, 'sends', before.sends) AS {OUTCOME}) ELSE {fresh} END"
+        " THEN named_struct('seq', m.seq, 'ts', m.ts, 'step', before.step,"
+        f" 'failed', before.failed, 'sends', before.sends) ELSE {fresh} END"
     )
     since = (
         "CASE WHEN size(outcome.sends) > 0 THEN transform(state.since, (first, i) ->"
         f" coalesce(first, CASE WHEN array_contains(outcome.sends.flag, get({keys}, i)) THEN m.seq END))"
         " ELSE state.since END"
     )
+    # No cast here: it would copy the whole log at every message.
     advanced = (
-        f"CAST(named_struct('resets', resets_now, 'since', {since},"
-        f" 'log', concat(state.log, array(outcome))) AS {STATE})"
+        f"named_struct('resets', resets_now, 'since', {since}, 'log', concat(state.log, array(outcome)))"
     )
     handle = let_sql(
         "get(state.log, size(state.log) - 1)",
@@ -252,10 +256,13 @@ def _fold(valid: DataFrame, prepared: DataFrame, engine: Engine) -> DataFrame:
 
 
 def _fold_results(folded: DataFrame, engine: Engine) -> DataFrame:
-    return _results(folded.select("id", "found", F.explode("state.log").alias("outcome")), engine)
+    # No log is empty; the outer form only keeps Spark from testing for it first,
+    # which would run the fold twice.
+    return _results(folded.select("id", "found", F.explode_outer("state.log").alias("outcome")), engine)
 
 
 def _fold_documents(folded: DataFrame, engine: Engine) -> DataFrame:
+    """The new flags of the folded documents."""
     latest = (
         "array_max(transform(filter(asking, m -> array_contains(m.reset, key)),"
         " m -> named_struct('seq', m.seq, 'ts', m.ts)))"
@@ -298,7 +305,9 @@ def _solve(
 ) -> SupervisedLog:
     """Solve whole logs without ever holding one: every document's messages are
     cut by range of seq into pieces of bounded size, which are worked in parallel."""
-    found = cut_lineage(prepared.join(hot.select("id"), "id", "left_semi"))
+    found = cut_lineage(
+        prepared.join(hot.select("id"), "id", "left_semi").withColumn("views", F.expr(_views(engine)))
+    )
     ranged = cut_lineage(
         rows.repartitionByRange(pieces, "id", "seq").withColumn("piece", F.spark_partition_id())
     )
@@ -308,7 +317,7 @@ def _solve(
 
     # The last reset of each flag: within the piece by a window, before it by a
     # window over the totals of the pieces, of which a document has few.
-    stamp = F.struct("seq", "ts")
+    stamp = F.struct("seq", "ts", F.expr(ff.epoch_second_sql("ts")).alias("second"))
     named = [F.when(F.array_contains("reset", flag), stamp).cast(RESET) for flag in engine.flags]
     columns = [f"__reset_{i}" for i in range(len(engine.flags))]
     inside = Window.partitionBy("id", "piece").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
@@ -318,7 +327,7 @@ def _solve(
         "piece",
         "seq",
         "ts",
-        F.array_intersect("reset", F.expr(_keys(engine))).alias("asked"),
+        F.array_intersect("reset", F.expr(engine.flags_sql)).alias("asked"),
         F.array(*[F.max(n).over(inside) for n in named]).cast(f"array<{RESET}>").alias("resets"),
     )
     totals = ranged.groupBy("id", "piece").agg(
@@ -383,7 +392,7 @@ def _solve(
 def _first_sends(evaluated: DataFrame, engine: Engine) -> DataFrame:
     """Per document, the first message that sends a flag not sent before."""
     unsent = (
-        f"transform(since, (first, i) -> CASE WHEN first IS NULL THEN get({_keys(engine)}, i) END)"
+        f"transform(since, (first, i) -> CASE WHEN first IS NULL THEN get({engine.flags_sql}, i) END)"
     )
     return (
         evaluated.select("id", "seq", F.expr(f"array_intersect(outcome.sends.flag, {unsent})").alias("flags"))
@@ -396,6 +405,6 @@ def _first_sends(evaluated: DataFrame, engine: Engine) -> DataFrame:
 def _advance(sent: DataFrame, step: DataFrame, engine: Engine) -> DataFrame:
     since = (
         "transform(since, (first, i) -> coalesce(first,"
-        f" CASE WHEN array_contains(flags, get({_keys(engine)}, i)) THEN first_seq END))"
+        f" CASE WHEN array_contains(flags, get({engine.flags_sql}, i)) THEN first_seq END))"
     )
     return sent.join(step, "id", "left").select("id", F.expr(since).alias("since"))

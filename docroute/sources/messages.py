@@ -37,21 +37,24 @@ def decode_messages(messages: DataFrame) -> DataFrame:
     ``reason`` names what is wrong, also for an id that is not 24 hex digits.
     Ids come out in lower case.
     """
-    message = F.col("__message")
-    ok = fm.message_id(message).isNotNull() & fm.reset_is_valid(message)
-    return (
-        messages.withColumn("__message", fm.parse_body(F.col("body")))
-        .withColumn("__ok", F.coalesce(ok, F.lit(False)))
-        .withColumn("__id", F.when(F.col("__ok"), fm.message_id(message)))
-        .select(
-            *messages.columns,
-            F.when(fm.is_object_id(F.col("__id")), F.lower("__id")).otherwise(F.col("__id")).alias("id"),
-            F.when(F.col("__ok"), fm.message_reset(message)).alias("reset"),
-            F.col("__ok").alias("ok"),
-            F.when(~F.col("__ok"), F.lit(fm.UNDECODABLE))
-            .when(~fm.is_object_id(F.col("__id")), F.lit(fm.BAD_ID))
-            .alias("reason"),
-        )
+    # The fields pass through a one-row generator.  Filters on them stay above
+    # it; pushed below, they would parse every body again for each reference.
+    given = [F.col(f"`{name}`") for name in messages.columns]
+    decoded = (
+        messages.withColumn("__message", fm.parse_body("body"))
+        .select(*given, F.expr(fm.message_parts_sql("__message")).alias("__parts"))
+        .select(*given, F.explode(F.array(F.expr(fm.message_fields_sql("__parts")))).alias("__fields"))
+    )
+    return decoded.select(
+        *given,
+        F.expr(f"CASE WHEN __fields.id RLIKE '{fm.OBJECT_ID_PATTERN}' THEN lower(__fields.id) ELSE __fields.id END")
+        .alias("id"),
+        F.col("__fields.reset").alias("reset"),
+        F.col("__fields").isNotNull().alias("ok"),
+        F.expr(
+            f"CASE WHEN __fields IS NULL THEN '{fm.UNDECODABLE}'"
+            f" WHEN NOT __fields.id RLIKE '{fm.OBJECT_ID_PATTERN}' THEN '{fm.BAD_ID}' END"
+        ).alias("reason"),
     )
 
 
