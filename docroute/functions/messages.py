@@ -14,44 +14,53 @@ RESET_WITHOUT_START = "reset_without_start"
 OBJECT_ID_PATTERN = "^[0-9a-fA-F]{24}$"
 
 
-def parse_body(body: str = "body") -> Column:
-    """The body as a variant, NULL unless the whole text is one JSON value.
+# A body is parsed in three steps, as three columns, so that each is worked out
+# once: the variant, its typed parts, the checked fields.
+
+
+def parse_sql(body: str) -> str:
+    """The body as the only element of a JSON list; NULL if that is no JSON.
 
     The parser stops after the first value, so the body is parsed inside
-    brackets, where text after it is an error.  Only a body that closes the
-    bracket itself could slip through; such a body is parsed in braces too.
+    brackets, where text after it is an error.
     """
-    listed = f"try_parse_json(concat('[', {body}, ']'))"
+    return f"try_parse_json(concat('[', {body}, ']'))"
+
+
+def parts_sql(listed: str, body: str) -> str:
+    """``id`` and ``reset`` of the parsed body as variants; NULL unless the body is
+    one JSON object.  A body that closes the bracket itself could still hide
+    text after its value; such a body is parsed in braces too."""
     braced = f"try_parse_json(concat('{{\"m\":', {body}, '}}'))"
-    single = f"try_variant_get({listed}, '$[1]', 'variant') IS NULL"
-    return F.expr(
-        f"CASE WHEN {single} AND (NOT {body} RLIKE r'\\}}\\s*\\]' OR {braced} IS NOT NULL)"
-        f" THEN try_variant_get({listed}, '$[0]', 'variant') END"
+    whole = (
+        f"try_variant_get({listed}, '$[1]', 'variant') IS NULL"
+        f" AND (NOT {body} RLIKE r'\\}}\\s*\\]' OR {braced} IS NOT NULL)"
     )
+    parts = f"try_variant_get({listed}, '$[0]', 'struct<id: variant, reset: variant>')"
+    return f"CASE WHEN {whole} THEN {parts} END"
 
 
-def message_parts_sql(message: str) -> str:
-    """``id`` and ``reset`` of a parsed message, with the JSON types they had."""
+def typed_sql(parts: str) -> str:
+    """The parts as text and list of texts, with the JSON types they had."""
     return (
         "named_struct("
-        f"'id', try_variant_get({message}, '$.id', 'string'),"
-        f" 'id_type', schema_of_variant(try_variant_get({message}, '$.id', 'variant')),"
-        f" 'reset', try_variant_get({message}, '$.reset', 'array<string>'),"
-        f" 'reset_type', schema_of_variant(try_variant_get({message}, '$.reset', 'variant')))"
+        f"'id', try_variant_get({parts}.id, '$', 'string'), 'id_type', schema_of_variant({parts}.id),"
+        f" 'reset', try_variant_get({parts}.reset, '$', 'array<string>'),"
+        f" 'reset_type', schema_of_variant({parts}.reset))"
     )
 
 
-def message_fields_sql(parts: str) -> str:
-    """``struct<id, reset>``, NULL unless the message has a string ``id`` and its
-    ``reset`` is absent, null or a list of strings."""
+def fields_sql(typed: str) -> str:
+    """``struct<id, reset>``, NULL unless ``id`` is a string and ``reset`` is absent,
+    null or a list of strings."""
     valid = (
-        f"CASE coalesce({parts}.reset_type, 'VOID') WHEN 'VOID' THEN true"
-        f" WHEN 'ARRAY<VOID>' THEN size({parts}.reset) = 0"
-        f" WHEN 'ARRAY<STRING>' THEN NOT exists({parts}.reset, r -> r IS NULL) ELSE false END"
+        f"CASE coalesce({typed}.reset_type, 'VOID') WHEN 'VOID' THEN true"
+        f" WHEN 'ARRAY<VOID>' THEN size({typed}.reset) = 0"
+        f" WHEN 'ARRAY<STRING>' THEN NOT exists({typed}.reset, r -> r IS NULL) ELSE false END"
     )
     return (
-        f"CASE WHEN {parts}.id_type = 'STRING' AND {valid}"
-        f" THEN named_struct('id', {parts}.id, 'reset', {parts}.reset) END"
+        f"CASE WHEN {typed}.id_type = 'STRING' AND {valid}"
+        f" THEN named_struct('id', {typed}.id, 'reset', {typed}.reset) END"
     )
 
 

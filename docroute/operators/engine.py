@@ -185,7 +185,9 @@ class Engine:
             )
             .select(*given, "__allowed", F.expr(step).alias("__step"))
             .select(*given, "__allowed", "__step", F.expr(failed).alias("__failed"))
-            .select(*given, F.expr(resolution).alias(column))
+            # Through a one-row generator: filters on the resolution stay above it,
+            # instead of working it out again below.
+            .select(*given, F.explode(F.array(F.expr(resolution))).alias(column))
         )
 
 

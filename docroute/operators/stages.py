@@ -16,7 +16,19 @@ from docroute.sources.rules import RulesTable
 def head_flags(documents: DataFrame) -> DataFrame:
     """The first flag of every key of a document."""
     first = "filter(doclib, (f, at) -> array_position(doclib.key, f.key) = at + 1)"
-    return documents.selectExpr("id", f"inline({first})").drop("version").withColumnRenamed("key", "flag_key")
+    return flag_rows(documents.withColumn("doclib", F.expr(first))).drop("version")
+
+
+def sends_of(selected: DataFrame, sends: str = "sends") -> DataFrame:
+    """The sends in long form: (id, stage_key, flag, route)."""
+    rows = selected.selectExpr("id", "resolution.stage_key AS stage_key", f"inline_outer({sends})")
+    return rows.filter("route IS NOT NULL").drop("ordinal")
+
+
+def flag_rows(documents: DataFrame) -> DataFrame:
+    """The flags in long form, one row per document and entry."""
+    rows = documents.selectExpr("id", "inline_outer(doclib)")
+    return rows.filter("key IS NOT NULL").withColumnRenamed("key", "flag_key")
 
 
 def _entries_sql(table: RulesTable) -> str:
@@ -45,7 +57,7 @@ def required_entries(
         f"transform({_entries_sql(table)}, (e, i) -> named_struct('stage_key', e.stage_key,"
         " 'ordinal', e.ordinal, 'flag', e.flag, 'route', e.route, 'allowed', __allowed[i]))"
     )
-    return _with_allowed(documents, table, analytical_flag).selectExpr("id", f"inline({entries})")
+    return _with_allowed(documents, table, analytical_flag).selectExpr("id", f"inline_outer({entries})")
 
 
 def stage_sendables(
@@ -60,7 +72,7 @@ def stage_sendables(
         "unsound",
         f"filter({entries}, (e, i) -> __allowed[i] AND NOT array_contains(unsound, e.stage_key))",
     )
-    return _with_allowed(documents, table, analytical_flag).selectExpr("id", f"inline({allowed})")
+    return _with_allowed(documents, table, analytical_flag).selectExpr("id", f"inline_outer({allowed})").filter("route IS NOT NULL")
 
 
 def stage_progress(documents: DataFrame, table: RulesTable) -> DataFrame:
@@ -76,7 +88,7 @@ def stage_progress(documents: DataFrame, table: RulesTable) -> DataFrame:
         f" 'completed', forall(s.flags, key -> {ff.contains_sql('ended', 'key')}),"
         f" 'started_all', forall(s.flags, key -> {ff.contains_sql('doclib.key', 'key')})))",
     )
-    return documents.selectExpr("id", f"inline({progress})")
+    return documents.selectExpr("id", f"inline_outer({progress})")
 
 
 def queueable_flags(documents: DataFrame, flags: list[str], reset: str) -> DataFrame:
@@ -88,4 +100,4 @@ def queueable_flags(documents: DataFrame, flags: list[str], reset: str) -> DataF
         f"transform({strings_sql(flags)}, key -> named_struct('flag', key,"
         f" 'can_queue', {ff.contains_sql(reset, 'key')} OR NOT {ff.contains_sql('queued', 'key')}))",
     )
-    return documents.selectExpr("id", f"inline({tested})")
+    return documents.selectExpr("id", f"inline_outer({tested})")

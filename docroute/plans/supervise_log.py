@@ -58,8 +58,12 @@ def supervise_log(
     engine: Engine,
     hot_messages: int = HOT_MESSAGES,
     piece_messages: int = PIECE_MESSAGES,
+    keep: bool = False,
 ) -> SupervisedLog:
-    """Handle every message in the order of ``seq``, which must be unique."""
+    """Handle every message in the order of ``seq``, which must be unique.
+
+    ``keep`` saves the fold, for callers that use both outputs.
+    """
     decoded = decode_messages(messages)
     valid = decoded.filter("reason is null").select("seq", "ts", "id", "reset")
     failed = failed_results(decoded.filter("reason is not null"))
@@ -67,12 +71,14 @@ def supervise_log(
 
     hot = cut_lineage(valid.groupBy("id").agg(F.count("*").alias("n")).filter(F.col("n") > hot_messages))
     n_ids, n_messages = hot.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    cold = valid if n_ids == 0 else _restrict(valid, hot, n_ids, "left_anti")
+    folded = _fold(cold, prepared, engine)
+    if keep:
+        folded = cut_lineage(folded)
     if n_ids == 0:
-        folded = _fold(valid, prepared, engine)
         return SupervisedLog(
             _fold_results(folded, engine).unionByName(failed), _fold_documents(folded, engine)
         )
-    folded = _fold(_restrict(valid, hot, n_ids, "left_anti"), prepared, engine)
     pieces = max(n_messages // piece_messages + 1, valid.sparkSession.sparkContext.defaultParallelism)
     solved = _solve(_restrict(valid, hot, n_ids, "left_semi"), hot, prepared, engine, pieces)
     return SupervisedLog(
@@ -201,7 +207,10 @@ def _fold(valid: DataFrame, prepared: DataFrame, engine: Engine) -> DataFrame:
     """One row per document: its messages, outcomes and first sends.  The messages
     are grouped on the id, which the join with the documents reuses."""
     entry = F.struct("seq", "ts", "reset")
-    logs = valid.groupBy("id").agg(F.sort_array(F.collect_list(entry)).alias("messages"))
+    # The fold is bound by its work, not by its data, so the number of partitions
+    # is set, where adaptive execution would merge small ones.
+    parts = int(valid.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    logs = valid.repartition(parts, "id").groupBy("id").agg(F.sort_array(F.collect_list(entry)).alias("messages"))
     joined = logs.join(prepared.withColumn("found", F.lit(True)), "id", "left").withColumn(
         "views", F.expr(_views(engine))
     )
@@ -252,7 +261,7 @@ def _fold(valid: DataFrame, prepared: DataFrame, engine: Engine) -> DataFrame:
             f"CASE WHEN found THEN aggregate(messages, {start}, (state, m) -> {handle})"
             f" ELSE {unhandled} END"
         ),
-    )
+    ).select("id", "found", "messages", "doclib", "state")
 
 
 def _fold_results(folded: DataFrame, engine: Engine) -> DataFrame:
@@ -370,8 +379,7 @@ def _solve(
     )
     active = sent
     while True:
-        step = _first_sends(evaluate(active, True), engine)
-        step = cut_lineage(step)
+        step = cut_lineage(_first_sends(evaluate(active, True), engine))
         if step.isEmpty():
             break
         sent = cut_lineage(_advance(sent, step, engine))

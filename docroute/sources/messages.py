@@ -41,9 +41,10 @@ def decode_messages(messages: DataFrame) -> DataFrame:
     # it; pushed below, they would parse every body again for each reference.
     given = [F.col(f"`{name}`") for name in messages.columns]
     decoded = (
-        messages.withColumn("__message", fm.parse_body("body"))
-        .select(*given, F.expr(fm.message_parts_sql("__message")).alias("__parts"))
-        .select(*given, F.explode(F.array(F.expr(fm.message_fields_sql("__parts")))).alias("__fields"))
+        messages.select(*given, F.expr(fm.parse_sql("body")).alias("__listed"))
+        .select(*given, F.expr(fm.parts_sql("__listed", "body")).alias("__parts"))
+        .select(*given, F.expr(fm.typed_sql("__parts")).alias("__typed"))
+        .select(*given, F.explode(F.array(F.expr(fm.fields_sql("__typed")))).alias("__fields"))
     )
     return decoded.select(
         *given,

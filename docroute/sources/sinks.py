@@ -10,9 +10,10 @@ from docroute.functions.messages import render_body
 
 def outgoing(handled: DataFrame) -> DataFrame:
     """One row (route, body) per document and queue, from ``id`` and ``sends``."""
-    return handled.select("id", F.explode("sends.route").alias("route")).select(
-        "route", render_body(F.col("id")).alias("body")
-    )
+    # The outer form, because the inner one makes Spark test for empty sends
+    # first and so work them out twice.
+    routes = handled.select("id", F.explode_outer("sends.route").alias("route"))
+    return routes.filter("route IS NOT NULL").select("route", render_body(F.col("id")).alias("body"))
 
 
 def publish(handled: DataFrame, path: str) -> None:
