@@ -1,4 +1,4 @@
-"""Sinks: queues and dead letters, as folders of JSON text."""
+"""Sinks: queues and dead letters, as folders."""
 
 from __future__ import annotations
 
@@ -17,12 +17,13 @@ def outgoing(handled: DataFrame) -> DataFrame:
 
 
 def publish(handled: DataFrame, path: str) -> None:
-    """Write every queue's messages to its own folder ``route=<queue>``.
+    """Write every queue's messages to its own folder ``route=<queue>``, a JSON
+    text per line.
 
     Overwrites ``path``, so that a repeated batch replaces its own output.
     Rows are not shuffled: a busy queue stays spread over the tasks.
     """
-    outgoing(handled).write.mode("overwrite").partitionBy("route").json(path)
+    outgoing(handled).write.mode("overwrite").partitionBy("route").text(path)
 
 
 def dead_letters(results: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ def _folder(path: str, output: str, batch_id: int) -> str:
 def read_output(spark: SparkSession, path: str, output: str) -> DataFrame:
     """One of the outputs ``results``, ``dead_letters``, ``flags`` or ``sends``."""
     if output == "sends":
-        return spark.read.schema("body string, batch_id bigint, route string").json(f"{path}/sends")
+        return spark.read.text(f"{path}/sends").withColumnRenamed("value", "body")
     return spark.read.parquet(f"{path}/{output}")
 
 
