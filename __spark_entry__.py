@@ -63,7 +63,7 @@ def head_flags(spark, sf):
         "named_struct('flag_key', k, 'has_flag', h IS NOT NULL, 'started', h.started, 'ended', h.ended,"
         " 'reset', h.reset, 'queued', h.queued)",
     )
-    return fixtures.documents(spark, sf).selectExpr("id", f"inline(transform({keys}, k -> {head}))")
+    return fixtures.documents(spark, sf).selectExpr("id", f"inline_outer(transform({keys}, k -> {head}))")
 
 
 def stage_completed(spark, sf):

@@ -45,22 +45,27 @@ def typed_sql(parts: str) -> str:
     return (
         "named_struct("
         f"'id', try_variant_get({parts}.id, '$', 'string'), 'id_type', schema_of_variant({parts}.id),"
+        f" 'id_fits', coalesce(try_variant_get({parts}.id, '$', 'string') RLIKE '{OBJECT_ID_PATTERN}', false),"
         f" 'reset', try_variant_get({parts}.reset, '$', 'array<string>'),"
         f" 'reset_type', schema_of_variant({parts}.reset))"
     )
 
 
 def fields_sql(typed: str) -> str:
-    """``struct<id, reset>``, NULL unless ``id`` is a string and ``reset`` is absent,
-    null or a list of strings."""
-    valid = (
-        f"CASE coalesce({typed}.reset_type, 'VOID') WHEN 'VOID' THEN true"
+    """``struct<id, reset, ok, reason>``: ``ok`` if ``id`` is a string and ``reset`` is
+    absent, null or a list of strings."""
+    ok = (
+        f"{typed}.id_type = 'STRING' AND CASE coalesce({typed}.reset_type, 'VOID') WHEN 'VOID' THEN true"
         f" WHEN 'ARRAY<VOID>' THEN size({typed}.reset) = 0"
         f" WHEN 'ARRAY<STRING>' THEN NOT exists({typed}.reset, r -> r IS NULL) ELSE false END"
     )
     return (
-        f"CASE WHEN {typed}.id_type = 'STRING' AND {valid}"
-        f" THEN named_struct('id', {typed}.id, 'reset', {typed}.reset) END"
+        f"CASE WHEN {ok} THEN named_struct("
+        f"'id', CASE WHEN {typed}.id_fits THEN lower({typed}.id) ELSE {typed}.id END,"
+        f" 'reset', {typed}.reset, 'ok', true,"
+        f" 'reason', CASE WHEN NOT {typed}.id_fits THEN '{BAD_ID}' END)"
+        " ELSE named_struct('id', CAST(NULL AS STRING), 'reset', CAST(NULL AS array<string>), 'ok', false,"
+        f" 'reason', '{UNDECODABLE}') END"
     )
 
 

@@ -46,17 +46,7 @@ def decode_messages(messages: DataFrame) -> DataFrame:
         .select(*given, F.expr(fm.typed_sql("__parts")).alias("__typed"))
         .select(*given, F.explode(F.array(F.expr(fm.fields_sql("__typed")))).alias("__fields"))
     )
-    return decoded.select(
-        *given,
-        F.expr(f"CASE WHEN __fields.id RLIKE '{fm.OBJECT_ID_PATTERN}' THEN lower(__fields.id) ELSE __fields.id END")
-        .alias("id"),
-        F.col("__fields.reset").alias("reset"),
-        F.col("__fields").isNotNull().alias("ok"),
-        F.expr(
-            f"CASE WHEN __fields IS NULL THEN '{fm.UNDECODABLE}'"
-            f" WHEN NOT __fields.id RLIKE '{fm.OBJECT_ID_PATTERN}' THEN '{fm.BAD_ID}' END"
-        ).alias("reason"),
-    )
+    return decoded.select(*given, "__fields.id", "__fields.reset", "__fields.ok", "__fields.reason")
 
 
 def lookup_documents(messages: DataFrame, documents: DataFrame) -> DataFrame:

@@ -229,6 +229,50 @@ new_flags AS (SELECT f.id, f.flag_key, f.started, f.reset, coalesce(s.id IS NOT
   WHERE NOT EXISTS (SELECT 1 FROM renewed_flags f WHERE f.id = s.id AND f.flag_key = s.flag))"""
 
 
+def _log() -> str:
+    """All messages in order: the n-th round handles the n-th message of every
+    document.  The state is rows too: ``doc`` and ``flag`` rows carry on to the
+    next round, ``done`` rows are the outcomes."""
+    inner = f"{_resolved('now_flags', STEPS)},{_selected('asked')}".replace("FROM docs d", "FROM now_docs d")
+    return f"""{DERIVED},{MESSAGES},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq) AS n FROM valid),
+log AS (
+ SELECT CAST(0 AS BIGINT) AS n, id, 'doc' AS kind, CAST(0 AS BIGINT) AS seq, CAST(NULL AS VARCHAR) AS flag_key,
+  CAST(NULL AS TIMESTAMP) AS started, CAST(NULL AS TIMESTAMP) AS ended, CAST(NULL AS TIMESTAMP) AS reset,
+  CAST(NULL AS BOOLEAN) AS queued, CAST(NULL AS VARCHAR) AS status, CAST(NULL AS VARCHAR) AS stage_key,
+  CAST(NULL AS INTEGER) AS n_sent FROM docs
+ UNION ALL
+ SELECT 0, id, 'flag', seq, flag_key, started, ended, reset, queued, NULL, NULL, NULL FROM flags
+ UNION ALL
+ (WITH cur AS (SELECT l.*, m.seq AS message, m.ts, m.reset AS named
+   FROM log l JOIN ranked m ON m.id = l.id AND m.n = l.n + 1 WHERE l.kind <> 'done'),
+ now_docs AS (SELECT id, n + 1 AS n, message, ts, named FROM cur WHERE kind = 'doc'),
+ asked AS (SELECT DISTINCT id, unnest(named) AS flag_key FROM now_docs),
+ marked AS (SELECT *, coalesce(list_contains(named, flag_key), false) AS renewed,
+   row_number() OVER (PARTITION BY id, flag_key ORDER BY started DESC NULLS LAST, seq) AS latest
+  FROM cur WHERE kind = 'flag'),
+ now_flags AS (SELECT id, seq, flag_key, started, ended, CASE WHEN renewed THEN ts ELSE reset END AS reset, queued
+  FROM marked WHERE NOT renewed OR latest = 1),{inner},
+ counted AS (SELECT id, CAST(count(*) AS INTEGER) AS n FROM selected GROUP BY id)
+ SELECT n, id, 'doc', 0, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM now_docs
+ UNION ALL
+ SELECT d.n, f.id, 'flag', f.seq, f.flag_key, f.started, f.ended, f.reset,
+  CASE WHEN s.id IS NOT NULL THEN true ELSE f.queued END, NULL, NULL, NULL
+ FROM now_flags f JOIN now_docs d ON d.id = f.id LEFT JOIN selected s ON s.id = f.id AND s.flag = f.flag_key
+ UNION ALL
+ SELECT d.n, s.id, 'flag', 1000, s.flag, NULL, NULL, NULL, true, NULL, NULL, NULL
+ FROM selected s JOIN now_docs d ON d.id = s.id
+ WHERE NOT EXISTS (SELECT 1 FROM now_flags f WHERE f.id = s.id AND f.flag_key = s.flag)
+ UNION ALL
+ SELECT d.n, d.id, 'done', d.message, NULL, NULL, NULL, NULL, NULL,
+  CASE WHEN c.erred THEN 'reset_without_start' WHEN c.id IS NULL THEN 'no_match'
+   WHEN k.n > 0 THEN 'sent' ELSE 'held' END, c.stage_key, coalesce(k.n, 0)
+ FROM now_docs d LEFT JOIN chosen c ON c.id = d.id LEFT JOIN counted k ON k.id = d.id))
+SELECT seq, id, status, stage_key, n_sent FROM log WHERE kind = 'done'
+UNION ALL SELECT seq, id, reason, NULL, 0 FROM decoded WHERE reason IS NOT NULL
+UNION ALL SELECT seq, id, 'missing_document', NULL, 0 FROM valid v WHERE NOT EXISTS (SELECT 1 FROM docs d WHERE d.id = v.id)"""
+
+
 def statements() -> dict[str, str]:
     base = f"WITH {DERIVED}"
     msgs = f"{base},{MESSAGES}"
@@ -278,6 +322,8 @@ WHERE f.id = v.id AND list_contains(v.reset, f.flag_key)) AS changed FROM valid
         "deferred_messages": f"{msgs} SELECT seq, id FROM valid EXCEPT SELECT seq, id FROM firsts",
         "written_flags": f"""{handled} SELECT d.id, count(n.id) AS n_flags, count(n.id) FILTER (WHERE n.queued_now) AS n_queued
 FROM docs d LEFT JOIN new_flags n ON n.id = d.id GROUP BY d.id""",
+        "supervise_log": f"WITH RECURSIVE {_log()}",
+        "supervise_stream": f"WITH RECURSIVE {_log()}",
         "custom_rule": f"""{base},{_resolved('flags', CUSTOM_STEPS, CUSTOM_ENTRIES)}
 SELECT id, rule, stage_key, n_sends FROM resolved""",
         "custom_engine": f"""{msgs},{FIRST_ASKED},{_reset("flags", "asked")},{_allowed("renewed_flags", FLAG_TEST_ENTRIES)},
