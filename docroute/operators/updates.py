@@ -21,8 +21,7 @@ def last_resets(messages: DataFrame) -> DataFrame:
     return (
         messages.select("id", "seq", "ts", F.explode(F.array_distinct("reset")).alias("key"))
         .groupBy("id", "key")
-        .agg(F.max(F.struct("seq", "ts")).alias("last"))
-        .select("id", "key", F.col("last.seq").alias("seq"), F.col("last.ts").alias("ts"))
+        .agg(F.max("seq").alias("seq"), F.max_by("ts", "seq").alias("ts"))
     )
 
 
@@ -30,7 +29,8 @@ def resets_per_document(resets: DataFrame, documents: DataFrame, keys: Sequence[
     """Collect the last resets of a document, restricted to the keys it has and
     the given ones, so that the list is never longer than these."""
     more = F.array(*[F.lit(key) for key in keys]).cast("array<string>")
-    own = documents.select("id", F.explode(F.array_union("doclib.key", more)).alias("key"))
+    named = documents.join(resets.select("id").distinct(), "id", "left_semi")
+    own = named.select("id", F.explode(F.array_union("doclib.key", more)).alias("key"))
     return (
         resets.join(own, ["id", "key"], "left_semi")
         .groupBy("id")

@@ -37,6 +37,10 @@ HOT_MESSAGES = 2_000
 PIECE_MESSAGES = 1_000_000
 # Up to this many document ids (24 characters each) are broadcast.
 BROADCAST_IDS = 100_000
+# Up to this many pieces (a few kilobytes each) are broadcast.
+BROADCAST_PIECES = 20_000
+
+DECODED_COLUMNS = ["seq", "ts", "id", "reset", "reason"]
 
 RESET = "struct<seq: bigint, ts: timestamp_ntz, second: bigint>"
 OUTCOME = f"struct<seq: bigint, ts: timestamp_ntz, step: int, failed: boolean, sends: {SENDS}>"
@@ -64,7 +68,19 @@ def supervise_log(
 
     ``keep`` saves the fold, for callers that use both outputs.
     """
-    decoded = decode_messages(messages)
+    decoded = cut_lineage(decode_messages(messages).select(*DECODED_COLUMNS))
+    return supervise_decoded(decoded, documents, engine, hot_messages, piece_messages, keep)
+
+
+def supervise_decoded(
+    decoded: DataFrame,
+    documents: DataFrame,
+    engine: Engine,
+    hot_messages: int = HOT_MESSAGES,
+    piece_messages: int = PIECE_MESSAGES,
+    keep: bool = False,
+) -> SupervisedLog:
+    """``supervise_log`` for decoded messages, which are read several times."""
     valid = decoded.filter("reason is null").select("seq", "ts", "id", "reset")
     failed = failed_results(decoded.filter("reason is not null"))
     prepared = _prepare(documents, engine)
@@ -75,16 +91,15 @@ def supervise_log(
     folded = _fold(cold, prepared, engine)
     if keep:
         folded = cut_lineage(folded)
-    if n_ids == 0:
-        return SupervisedLog(
-            _fold_results(folded, engine).unionByName(failed), _fold_documents(folded, engine)
+    results, changed = _fold_results(folded, engine), _fold_documents(folded, engine)
+    if n_ids > 0:
+        pieces = max(
+            n_messages // piece_messages + 1, valid.sparkSession.sparkContext.defaultParallelism
         )
-    pieces = max(n_messages // piece_messages + 1, valid.sparkSession.sparkContext.defaultParallelism)
-    solved = _solve(_restrict(valid, hot, n_ids, "left_semi"), hot, prepared, engine, pieces)
-    return SupervisedLog(
-        _fold_results(folded, engine).unionByName(solved.results).unionByName(failed),
-        _fold_documents(folded, engine).unionByName(solved.documents),
-    )
+        rows = _restrict(valid, hot, n_ids, "left_semi")
+        solved = _solve(rows, hot, n_ids, prepared, engine, pieces)
+        results, changed = results.unionByName(solved.results), changed.unionByName(solved.documents)
+    return SupervisedLog(results.unionByName(failed), changed)
 
 
 # -- what a message meets -------------------------------------------------------
@@ -310,42 +325,67 @@ def _restrict(valid: DataFrame, hot: DataFrame, n_ids: int, how: str) -> DataFra
 
 
 def _solve(
-    rows: DataFrame, hot: DataFrame, prepared: DataFrame, engine: Engine, pieces: int
+    rows: DataFrame, hot: DataFrame, n_ids: int, prepared: DataFrame, engine: Engine, pieces: int
 ) -> SupervisedLog:
     """Solve whole logs without ever holding one: every document's messages are
     cut by range of seq into pieces of bounded size, which are worked in parallel."""
     found = cut_lineage(
         prepared.join(hot.select("id"), "id", "left_semi").withColumn("views", F.expr(_views(engine)))
     )
+    # Written first, since the ranges are sampled from it.
+    rows = cut_lineage(rows)
     ranged = cut_lineage(
         rows.repartitionByRange(pieces, "id", "seq").withColumn("piece", F.spark_partition_id())
     )
-    missing = ranged.join(found.select("id"), "id", "left_anti").select(
+    missing = _restrict(ranged, found, n_ids, "left_anti").select(
         "seq", "ts", "id", F.lit(MISSING_DOCUMENT).alias("reason")
     )
 
     # The last reset of each flag: within the piece by a window, before it by a
     # window over the totals of the pieces, of which a document has few.
-    stamp = F.struct("seq", "ts", F.expr(ff.epoch_second_sql("ts")).alias("second"))
-    named = [F.when(F.array_contains("reset", flag), stamp).cast(RESET) for flag in engine.flags]
-    columns = [f"__reset_{i}" for i in range(len(engine.flags))]
     inside = Window.partitionBy("id", "piece").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy("id").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    stamp = "named_struct('seq', seq, 'ts', ts, 'second', " + ff.epoch_second_sql("ts") + ")"
+    resets = [
+        F.max(F.expr(f"CASE WHEN array_contains(reset, {quote(flag)}) THEN {stamp} END")).over(inside)
+        for flag in engine.flags
+    ]
     running = ranged.select(
         "id",
         "piece",
         "seq",
         "ts",
         F.array_intersect("reset", F.expr(engine.flags_sql)).alias("asked"),
-        F.array(*[F.max(n).over(inside) for n in named]).cast(f"array<{RESET}>").alias("resets"),
+        F.array(*resets).cast(f"array<{RESET}>").alias("resets"),
     )
-    totals = ranged.groupBy("id", "piece").agg(
-        F.count("*").alias("n"), *[F.max(n).alias(c) for n, c in zip(named, columns)]
+    places = range(len(engine.flags))
+    totals = (
+        ranged.select(
+            "id",
+            "piece",
+            "ts",
+            *[
+                F.expr(f"CASE WHEN array_contains(reset, {quote(flag)}) THEN seq END").alias(f"seq_{i}")
+                for i, flag in enumerate(engine.flags)
+            ],
+        )
+        .groupBy("id", "piece")
+        .agg(
+            F.count("*").alias("n"),
+            *[F.max(f"seq_{i}").alias(f"seq_{i}") for i in places],
+            *[F.max_by("ts", f"seq_{i}").alias(f"ts_{i}") for i in places],
+        )
     )
+    last = [
+        f"CASE WHEN seq_{i} IS NOT NULL THEN named_struct('seq', seq_{i}, 'ts', ts_{i},"
+        f" 'second', {ff.epoch_second_sql(f'ts_{i}')}) END"
+        for i in places
+    ]
+    totals = cut_lineage(totals)
     carried = totals.select(
         "id",
         "piece",
-        F.array(*[F.max(c).over(before) for c in columns]).cast(f"array<{RESET}>").alias("carried"),
+        F.array(*[F.max(F.expr(c)).over(before) for c in last]).cast(f"array<{RESET}>").alias("carried"),
     )
     log = cut_lineage(
         running.join(carried, ["id", "piece"]).select(
@@ -361,9 +401,11 @@ def _solve(
     heads = cut_lineage(
         totals.select("id", "piece").join(found.select("id", "eligible", "views"), "id")
     )
+    few = heads.count() <= BROADCAST_PIECES
 
     def evaluate(sent: DataFrame, after_last_send: bool) -> DataFrame:
-        joined = log.join(heads.join(sent, "id"), ["id", "piece"])
+        needed = heads.join(sent, "id")
+        joined = log.join(F.broadcast(needed) if few else needed, ["id", "piece"])
         if after_last_send:
             joined = joined.filter(F.col("seq") > F.coalesce(F.array_max("since"), F.lit(-(2**63))))
         joined = joined.withColumn(

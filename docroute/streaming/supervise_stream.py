@@ -13,9 +13,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from docroute.operators.engine import Engine
-from docroute.plans.supervise_log import supervise_log
+from docroute.plans.supervise_log import DECODED_COLUMNS, supervise_decoded
 from docroute.schema import FLAGS_TYPE
-from docroute.sources.documents import update_documents
+from docroute.sources.documents import cut_lineage, update_documents
 from docroute.sources.messages import decode_messages
 from docroute.sources.sinks import dead_letters, publish
 
@@ -70,11 +70,12 @@ def supervise_batch(
     """Handle one batch of messages and write all its outputs under its number."""
     spark = batch.sparkSession
     # Only the documents that the batch names are brought up to date.
-    ids = decode_messages(batch).filter("reason is null").select("id").distinct()
+    decoded = cut_lineage(decode_messages(batch).select(*DECODED_COLUMNS))
+    ids = decoded.filter("reason is null").select("id").distinct()
     named = documents.join(ids, "id", "left_semi")
     changed = changed_flags(spark, path, batch_id, compact_every)
     current = named if changed is None else update_documents(named, changed)
-    log = supervise_log(batch, current, engine, keep=True)
+    log = supervise_decoded(decoded, current, engine, keep=True)
 
     results_folder = _folder(path, "results", batch_id)
     log.results.write.mode("overwrite").parquet(results_folder)
