@@ -48,9 +48,8 @@ def _supervised(spark: SparkSession, sf: str) -> Supervised:
 
 
 def mimetype_predicates(spark, sf):
-    mimetype = F.col("mimetype")
     return fixtures.documents(spark, sf).select(
-        "id", "mimetype", *[test(mimetype).alias(name) for name, test in PREDICATES.items()]
+        "id", "mimetype", *[test().alias(name) for name, test in PREDICATES.items()]
     )
 
 
@@ -100,8 +99,7 @@ def _one_rule(name: str) -> Query:
 
 
 def never_routed_media(spark, sf):
-    mimetype = F.col("mimetype")
-    media = F.when(is_image(mimetype), "image").when(is_audio(mimetype), "audio").when(is_video(mimetype), "video")
+    media = F.when(is_image(), "image").when(is_audio(), "audio").when(is_video(), "video")
     return (
         fixtures.documents(spark, sf)
         .select("id", "mimetype", media.alias("media"))
@@ -238,8 +236,7 @@ def supervise_stream(spark, sf):
 
 
 def custom_rule(spark, sf):
-    mimetype = F.col("mimetype")
-    media = Rule("Media", is_image(mimetype) | is_audio(mimetype) | is_video(mimetype), ["supervisor.media"])
+    media = Rule("Media", is_image() | is_audio() | is_video(), ["supervisor.media"])
     engine = Engine([*default_rules(), media], RulesTable(oracle.CUSTOM_ENTRIES))
     return _resolved(spark, sf, engine).drop("error")
 

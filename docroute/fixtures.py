@@ -7,10 +7,10 @@ narrow projection per table, without a join.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from docroute.schema import FLAG_TYPE
+from docroute.functions.flags import strings_sql
+from docroute.schema import FLAGS_TYPE
 
 # Mimetypes in turn, and the flags a document may carry.
 MIMETYPES = [
@@ -56,107 +56,66 @@ FLAG_KEYS = [
 ]
 
 
-def _hex_id(number: Column) -> Column:
-    return F.lpad(F.lower(F.hex(number)), 24, "0")
-
-
-def _later(ts: Column, seconds: float) -> Column:
-    return ts + F.make_dt_interval(secs=F.lit(seconds))
+def _hex_id_sql(number: str) -> str:
+    return f"lpad(lower(hex({number})), 24, '0')"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, doc_id, mimetype, doclib)"""
-    doc_id = F.col("doc_id")
-    begin = F.lit("2024-01-01 00:00:00.25").cast("timestamp_ntz") + F.make_dt_interval(
-        secs=doc_id.cast("decimal(18,6)")
+    version = "named_struct('number', '0.0.1', 'major', 0, 'minor', 0, 'patch', 1, 'hash', '1234567890')"
+    state = "((doc_id + 1) * (2 * k + 3) * 7919 + k * 104729) % 1009 % 10"
+    states = (
+        f"filter(transform({strings_sql(FLAG_KEYS)}, (key, k) ->"
+        f" named_struct('key', key, 'k', k, 's', {state})), x -> x.s >= 2)"
     )
-    none = F.lit(None).cast("timestamp_ntz")
-    version = F.struct(
-        F.lit("0.0.1").alias("number"),
-        F.lit(0).alias("major"),
-        F.lit(0).alias("minor"),
-        F.lit(1).alias("patch"),
-        F.lit("1234567890").alias("hash"),
+    flag = (
+        f"named_struct('key', x.key, 'version', {version},"
+        " 'started', CASE WHEN x.s >= 3 THEN t0 END,"
+        " 'ended', CASE WHEN x.s >= 4 THEN t0 + INTERVAL '60' SECOND END,"
+        " 'reset', CASE WHEN x.s = 8 THEN t0 + INTERVAL '600' SECOND"
+        " WHEN x.s = 9 AND x.k % 2 = 1 THEN t0 + INTERVAL '0.5' SECOND"
+        " WHEN x.s = 9 THEN t0 - INTERVAL '600' SECOND"
+        " WHEN x.s = 2 AND doc_id % 5 = 0 THEN t0 END,"
+        " 'queued', CASE WHEN x.s IN (2, 3) THEN true WHEN x.s = 8 AND doc_id % 3 = 0 THEN true"
+        " WHEN x.s = 7 THEN false END)"
     )
-
-    def state(k: Column) -> Column:
-        return F.pmod(F.pmod((doc_id + 1) * (k * 2 + 3) * 7919 + k * 104729, F.lit(1009)), F.lit(10))
-
-    states = F.filter(
-        F.transform(
-            F.array(*[F.lit(key) for key in FLAG_KEYS]),
-            lambda key, k: F.struct(key.alias("key"), k.alias("k"), state(k).alias("s")),
-        ),
-        lambda x: x["s"] >= 2,
+    older = (
+        f"named_struct('key', x.key, 'version', {version},"
+        " 'started', t0 - INTERVAL '86400' SECOND, 'ended', t0 - INTERVAL '86340' SECOND,"
+        " 'reset', CAST(NULL AS TIMESTAMP_NTZ), 'queued', true)"
     )
-
-    def flag(x: Column) -> Column:
-        s, t0 = x["s"], F.col("t0")
-        return F.struct(
-            x["key"].alias("key"),
-            version.alias("version"),
-            F.when(s >= 3, t0).alias("started"),
-            F.when(s >= 4, _later(t0, 60)).alias("ended"),
-            F.when(s == 8, _later(t0, 600))
-            .when((s == 9) & (x["k"] % 2 == 1), _later(t0, 0.5))
-            .when(s == 9, _later(t0, -600))
-            .when((s == 2) & (doc_id % 5 == 0), t0)
-            .alias("reset"),
-            F.when(s.isin(2, 3), F.lit(True))
-            .when((s == 8) & (doc_id % 3 == 0), F.lit(True))
-            .when(s == 7, F.lit(False))
-            .alias("queued"),
-        ).cast(FLAG_TYPE)
-
-    def older(x: Column) -> Column:
-        t0 = F.col("t0")
-        return F.struct(
-            x["key"].alias("key"),
-            version.alias("version"),
-            _later(t0, -86400).alias("started"),
-            _later(t0, -86340).alias("ended"),
-            none.alias("reset"),
-            F.lit(True).alias("queued"),
-        ).cast(FLAG_TYPE)
-
-    duplicated = F.filter(
-        "states",
-        lambda x: ((x["s"] == 6) & (doc_id % 4 == 0)) | ((x["s"] == 8) & (doc_id % 7 == 0)),
+    duplicated = (
+        "filter(states, x -> (x.s = 6 AND doc_id % 4 = 0) OR (x.s = 8 AND doc_id % 7 = 0))"
     )
     return (
         spark.read.parquet(f"{sf_dir}/documents.parquet")
-        .select(
-            _hex_id(doc_id).alias("id"),
+        .selectExpr(
+            f"{_hex_id_sql('doc_id')} AS id",
             "doc_id",
-            F.get(F.array(*[F.lit(m) for m in MIMETYPES]), (doc_id % len(MIMETYPES)).cast("int")).alias(
-                "mimetype"
-            ),
-            begin.alias("t0"),
-            states.alias("states"),
+            f"get({strings_sql(MIMETYPES)}, CAST(doc_id % {len(MIMETYPES)} AS INT)) AS mimetype",
+            "TIMESTAMP_NTZ '2024-01-01 00:00:00.25' + make_dt_interval(0, 0, 0, doc_id) AS t0",
+            f"{states} AS states",
         )
-        .select(
+        .selectExpr(
             "id",
             "doc_id",
             "mimetype",
-            F.concat(F.transform("states", flag), F.transform(duplicated, older)).alias("doclib"),
+            f"CAST(concat(transform(states, x -> {flag}), transform({duplicated}, x -> {older}))"
+            f" AS {FLAGS_TYPE.simpleString()}) AS doclib",
         )
     )
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(seq, ts, body)"""
-    event = F.col("event_id")
-    document = _hex_id(F.floor(event / 9).cast("bigint"))
-    key = F.get(F.array(*[F.lit(k) for k in FLAG_KEYS]), (event % len(FLAG_KEYS)).cast("int"))
+    document = _hex_id_sql("event_id div 9")
+    key = f"get({strings_sql(FLAG_KEYS)}, CAST(event_id % {len(FLAG_KEYS)} AS INT))"
     body = (
-        F.when(event % 97 == 0, F.lit("not json"))
-        .when(event % 89 == 0, F.lit('{"reset":["rawtext"]}'))
-        .when(
-            F.col("event_type") == "error",
-            F.concat(F.lit('{"id":"'), document, F.lit('","reset":["rawtext","'), key, F.lit('"]}')),
-        )
-        .otherwise(F.concat(F.lit('{"id":"'), document, F.lit('"}')))
+        "CASE WHEN event_id % 97 = 0 THEN 'not json'"
+        """ WHEN event_id % 89 = 0 THEN '{"reset":["rawtext"]}'"""
+        f""" WHEN event_type = 'error' THEN concat('{{"id":"', {document}, '","reset":["rawtext","', {key}, '"]}}')"""
+        f""" ELSE concat('{{"id":"', {document}, '"}}') END"""
     )
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        event.alias("seq"), F.col("ts").cast("timestamp_ntz").alias("ts"), body.alias("body")
+    return spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
+        "event_id AS seq", "CAST(ts AS TIMESTAMP_NTZ) AS ts", f"{body} AS body"
     )

@@ -1,4 +1,5 @@
-"""Mimetype predicates: each takes the mimetype column and gives a boolean.
+"""Mimetype predicates: each takes the name of the mimetype column and gives a
+boolean column.
 
 Lists match the whole value, case-sensitively.  Patterns search inside the
 value unless they are anchored.  A NULL mimetype matches nothing.
@@ -7,6 +8,8 @@ value unless they are anchored.  A NULL mimetype matches nothing.
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docroute.functions.flags import quote
+
 # The mimetypes each rule recognises.
 
 ARCHIVE = [
@@ -160,64 +163,68 @@ VIDEO_PATTERN = r"video/(.*)"
 # End of the fixed values.
 
 
-def _known(condition: Column) -> Column:
-    return F.coalesce(condition, F.lit(False))
+def _one_of(mimetype: str, values: list[str]) -> Column:
+    return F.expr(f"coalesce({mimetype} IN ({', '.join(map(quote, values))}), false)")
+
+
+def _found(mimetype: str, pattern: str) -> Column:
+    return F.expr(f"coalesce({mimetype} RLIKE {quote(pattern)}, false)")
 
 
-def is_archive(mimetype: Column) -> Column:
-    return _known(mimetype.isin(ARCHIVE))
+def is_archive(mimetype: str = "mimetype") -> Column:
+    return _one_of(mimetype, ARCHIVE)
 
 
-def is_spreadsheet(mimetype: Column) -> Column:
-    return _known(mimetype.isin(SPREADSHEET))
+def is_spreadsheet(mimetype: str = "mimetype") -> Column:
+    return _one_of(mimetype, SPREADSHEET)
 
 
-def is_analysable(mimetype: Column) -> Column:
-    return _known(mimetype.isin(ANALYSABLE))
+def is_analysable(mimetype: str = "mimetype") -> Column:
+    return _one_of(mimetype, ANALYSABLE)
 
 
-def is_tabular_text(mimetype: Column) -> Column:
-    return _known(mimetype.rlike(TABULAR_TEXT_PATTERN))
+def is_tabular_text(mimetype: str = "mimetype") -> Column:
+    return _found(mimetype, TABULAR_TEXT_PATTERN)
 
 
-def is_html(mimetype: Column) -> Column:
-    return _known(mimetype.rlike(HTML_PATTERN))
+def is_html(mimetype: str = "mimetype") -> Column:
+    return _found(mimetype, HTML_PATTERN)
 
 
-def is_xml(mimetype: Column) -> Column:
-    return _known(mimetype.isin(XML))
+def is_xml(mimetype: str = "mimetype") -> Column:
+    return _one_of(mimetype, XML)
 
 
-def is_text(mimetype: Column) -> Column:
-    return _known(mimetype.isin(TEXT))
+def is_text(mimetype: str = "mimetype") -> Column:
+    return _one_of(mimetype, TEXT)
 
 
-def is_raw_text_convertible(mimetype: Column) -> Column:
-    return _known(mimetype.isin(OFFICE + SPREADSHEET))
+def is_raw_text_convertible(mimetype: str = "mimetype") -> Column:
+    return _one_of(mimetype, OFFICE + SPREADSHEET)
 
 
-def needs_page_images(mimetype: Column) -> Column:
-    return _known(mimetype == PDF)
+def needs_page_images(mimetype: str = "mimetype") -> Column:
+    return _one_of(mimetype, [PDF])
 
 
-def needs_bounding_boxes(mimetype: Column) -> Column:
-    return _known(mimetype == PDF)
+def needs_bounding_boxes(mimetype: str = "mimetype") -> Column:
+    return _one_of(mimetype, [PDF])
 
 
-def is_chemical(mimetype: Column) -> Column:
-    return _known(mimetype.rlike(CHEMICAL_PATTERN))
+def is_chemical(mimetype: str = "mimetype") -> Column:
+    return _found(mimetype, CHEMICAL_PATTERN)
 
 
-def is_image(mimetype: Column) -> Column:
-    return _known(mimetype.rlike(IMAGE_PATTERN))
+def is_image(mimetype: str = "mimetype") -> Column:
+    return _found(mimetype, IMAGE_PATTERN)
 
 
-def is_audio(mimetype: Column) -> Column:
-    return _known(mimetype.rlike(AUDIO_PATTERN))
+def is_audio(mimetype: str = "mimetype") -> Column:
+    return _found(mimetype, AUDIO_PATTERN)
 
 
-def is_video(mimetype: Column) -> Column:
-    return _known(mimetype.rlike(VIDEO_PATTERN))
+def is_video(mimetype: str = "mimetype") -> Column:
+    return _found(mimetype, VIDEO_PATTERN)
 
 
 PREDICATES = {

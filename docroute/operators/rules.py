@@ -40,36 +40,35 @@ class Rule:
         return [s if isinstance(s, Stage) else Stage(s) for s in self.stages]
 
 
-def default_rules(analytical: bool = False, mimetype: Column | None = None) -> list[Rule]:
+def default_rules(analytical: bool = False, mimetype: str = "mimetype") -> list[Rule]:
     """The twelve rules in their order; ``analytical`` switches the last one."""
-    mime = F.col("mimetype") if mimetype is None else mimetype
     ner = "supervisor.ner"
     return [
-        Rule("Archive", m.is_archive(mime), [Stage("supervisor.archive", empty_wins=True)]),
+        Rule("Archive", m.is_archive(mimetype), [Stage("supervisor.archive", empty_wins=True)]),
         Rule(
             "Tabular",
             F.lit(True),
             [
-                Stage("supervisor.tabular.totsv", m.is_spreadsheet(mime)),
-                Stage(ner, m.is_tabular_text(mime)),
-                Stage("supervisor.tabular.analyse", m.is_tabular_text(mime) & m.is_analysable(mime)),
+                Stage("supervisor.tabular.totsv", m.is_spreadsheet(mimetype)),
+                Stage(ner, m.is_tabular_text(mimetype)),
+                Stage("supervisor.tabular.analyse", m.is_tabular_text(mimetype) & m.is_analysable(mimetype)),
             ],
         ),
-        Rule("HTML", m.is_html(mime), [ner]),
-        Rule("XML", m.is_xml(mime), [ner]),
-        Rule("Text", m.is_text(mime), [ner]),
-        Rule("Document", m.is_raw_text_convertible(mime), ["supervisor.text"]),
+        Rule("HTML", m.is_html(mimetype), [ner]),
+        Rule("XML", m.is_xml(mimetype), [ner]),
+        Rule("Text", m.is_text(mimetype), [ner]),
+        Rule("Document", m.is_raw_text_convertible(mimetype), ["supervisor.text"]),
         Rule(
             "PDF",
             F.lit(True),
             [
-                Stage("supervisor.image_intermediate", m.needs_page_images(mime)),
-                Stage("supervisor.bounding_box", m.needs_bounding_boxes(mime)),
+                Stage("supervisor.image_intermediate", m.needs_page_images(mimetype)),
+                Stage("supervisor.bounding_box", m.needs_bounding_boxes(mimetype)),
             ],
         ),
-        Rule("Chemical", m.is_chemical(mime), [ner]),
-        Rule("Image", m.is_image(mime)),
-        Rule("Audio", m.is_audio(mime)),
-        Rule("Video", m.is_video(mime)),
+        Rule("Chemical", m.is_chemical(mimetype), [ner]),
+        Rule("Image", m.is_image(mimetype)),
+        Rule("Audio", m.is_audio(mimetype)),
+        Rule("Video", m.is_video(mimetype)),
         Rule("Analytical", F.lit(analytical), ["supervisor.analytical"]),
     ]

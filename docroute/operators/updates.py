@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docroute.functions import flags as ff
+from docroute.sources.documents import cut_lineage
 
 
 def latest_flag_per_key(documents: DataFrame) -> DataFrame:
@@ -42,7 +43,8 @@ def reset_flags(documents: DataFrame, messages: DataFrame) -> DataFrame:
     """Apply the reset lists of decoded messages: the named flags collapse to
     their most current entry, stamped with the time of the last message that
     names them.  ``started`` and ``ended`` stay."""
-    asked = resets_per_document(last_resets(messages), documents)
+    # Written, since it is read twice and the messages are many.
+    asked = resets_per_document(cut_lineage(last_resets(messages)), documents)
     stamped = ff.stamp_resets_sql(
         "doclib", lambda key: f"get(resets.ts, CAST(array_position(resets.key, {key}) AS INT) - 1)"
     )

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docroute.functions import flags as ff
+from docroute.functions.flags import quote
 from docroute.functions.messages import MISSING_DOCUMENT
-from docroute.operators.engine import Engine, select_sends
+from docroute.operators.engine import NO_SENDS, Engine, select_sends
 from docroute.schema import FLAGS_TYPE, SENDS_TYPE
 from docroute.sources.messages import decode_messages
 from docroute.sources.rules import RulesTable
@@ -47,17 +48,24 @@ def failed_results(messages: DataFrame) -> DataFrame:
 
 @dataclass
 class Supervised:
-    """``handled`` holds a row per handled message with the new flags of its
-    document; the rest is derived from it.  Write ``handled`` once if several
-    of the outputs are needed."""
+    """``handled`` holds a row per handled or undecodable message, with the new
+    flags of its document; all but ``deferred`` is derived from it.  Write
+    ``handled`` once if several of the outputs are needed."""
 
     handled: DataFrame
-    undecoded: DataFrame
-    deferred: DataFrame
+    decoded: DataFrame
+
+    @property
+    def deferred(self) -> DataFrame:
+        """The messages after the first of their document."""
+        valid = self.decoded.filter("reason is null").select("seq", "ts", "id", "reset")
+        first = valid.groupBy("id").agg(F.min("seq").alias("seq"))
+        # Keyed by id and seq, so a document with most of the messages is no hot key.
+        return valid.join(first, ["id", "seq"], "left_anti")
 
     @property
     def results(self) -> DataFrame:
-        return self.handled.select(*RESULT_COLUMNS).unionByName(failed_results(self.undecoded))
+        return self.handled.select(*RESULT_COLUMNS)
 
     @property
     def sends(self) -> DataFrame:
@@ -96,32 +104,41 @@ def supervise(
     if table is None and isinstance(resolver, Engine):
         table = resolver.table
     decoded = decode_messages(messages)
-    valid = decoded.filter("reason is null").select("seq", "ts", "id", "reset")
-    first = first_per_document(valid)
-    # Keyed by id and seq, so a document with most of the messages is no hot key.
-    deferred = valid.join(first.select("id", "seq"), ["id", "seq"], "left_anti")
-
-    found = documents.withColumn("doclib", F.coalesce("doclib", F.array().cast(FLAGS_TYPE)))
-    joined = first.withColumnRenamed("reset", "__reset").join(
-        found.withColumn("found", F.lit(True)), "id", "left"
+    # Failed messages go along under keys of their own, so that all messages are
+    # decoded and shuffled once.
+    first = (
+        decoded.withColumn("__key", F.expr("CASE WHEN reason IS NULL THEN id ELSE concat('!', seq) END"))
+        .groupBy("__key")
+        .agg(F.min_by(F.struct("seq", "ts", "id", "reset", "reason"), "seq").alias("m"))
+        .selectExpr(
+            "__key", "m.seq", "m.ts", "m.reset AS __reset", "m.id AS __id", "m.reason AS __reason"
+        )
     )
-    reset = joined.withColumn("doclib", ff.apply_reset("__reset", "ts"))
+    found = documents.withColumns(
+        {
+            "doclib": F.coalesce("doclib", F.array().cast(FLAGS_TYPE)),
+            "__key": F.col("id"),
+            "found": F.lit(True),
+        }
+    )
+    reset = first.join(found, "__key", "left").withColumn("doclib", ff.apply_reset("__reset", "ts"))
     selected = select_sends(resolve(reset), table, "__reset")
-    resolution, reason = F.col("resolution"), F.col("reason")
     handled = (
-        selected.withColumn("found", F.coalesce("found", F.lit(False)))
-        .withColumn(
-            "reason",
-            F.when(~F.col("found"), F.lit(MISSING_DOCUMENT)).otherwise(resolution["error"]),
-        )
-        .withColumn("rule", F.when(F.col("found"), resolution["rule"]))
-        .withColumn("stage_key", F.when(F.col("found"), resolution["stage_key"]))
-        .withColumn(
-            "sends",
-            F.when(reason.isNull(), F.col("sends")).otherwise(F.array().cast(SENDS_TYPE)),
+        selected.selectExpr(
+            "seq",
+            "ts",
+            "__id AS id",
+            "CASE WHEN found THEN resolution.rule END AS rule",
+            "CASE WHEN found THEN resolution.stage_key END AS stage_key",
+            f"CASE WHEN found AND resolution.error IS NULL THEN sends ELSE {NO_SENDS} END AS sends",
+            "coalesce(__reason, CASE WHEN found THEN resolution.error"
+            f" ELSE {quote(MISSING_DOCUMENT)} END) AS reason",
+            "coalesce(found, false) AS found",
+            "__reset AS reset",
+            "doclib",
         )
-        .withColumn("status", status(reason, F.col("stage_key"), F.col("sends")))
+        .withColumn("status", status(F.col("reason"), F.col("stage_key"), F.col("sends")))
         .withColumn("doclib", ff.queue_flags())
-        .select(*RESULT_COLUMNS, "found", F.col("__reset").alias("reset"), "doclib")
+        .select(*RESULT_COLUMNS, "found", "reset", "doclib")
     )
-    return Supervised(handled, decoded.filter("reason is not null"), deferred)
+    return Supervised(handled, decoded)

@@ -428,7 +428,7 @@ def _solve(
         active = sent.join(step.select("id"), "id", "left_semi")
 
     outcomes = evaluate(sent, False).select("id", F.lit(True).alias("found"), "outcome")
-    resets = resets_per_document(last_resets(rows), found, engine.flags)
+    resets = resets_per_document(cut_lineage(last_resets(rows)), found, engine.flags)
     no_resets = "CAST(array() AS array<struct<key: string, seq: bigint, ts: timestamp_ntz>>)"
     documents = (
         found.join(sent, "id")

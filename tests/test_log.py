@@ -98,7 +98,7 @@ def test_log_of_single_messages_equals_supervise(tables):
     single = messages.join(first.select("seq"), "seq", "left_semi")
     engine = Engine.default(True)
     log, batch = supervise_log(single, documents, engine), supervise(messages, documents, engine)
-    handled = batch.handled.select("seq", "status", "stage_key", "sends")
+    handled = batch.handled.filter("status <> 'undecodable'").select("seq", "status", "stage_key", "sends")
     assert outcome(log.results) == outcome(handled)
     assert changed(log.documents) == changed(batch.documents)
 
