@@ -363,6 +363,7 @@ def _solve(
         ranged.select(
             "id",
             "piece",
+            "seq",
             "ts",
             *[
                 F.expr(f"CASE WHEN array_contains(reset, {quote(flag)}) THEN seq END").alias(f"seq_{i}")
@@ -371,7 +372,8 @@ def _solve(
         )
         .groupBy("id", "piece")
         .agg(
-            F.count("*").alias("n"),
+            F.min("seq").alias("low"),
+            F.max("seq").alias("high"),
             *[F.max(f"seq_{i}").alias(f"seq_{i}") for i in places],
             *[F.max_by("ts", f"seq_{i}").alias(f"ts_{i}") for i in places],
         )
@@ -403,31 +405,34 @@ def _solve(
     )
     few = heads.count() <= BROADCAST_PIECES
 
-    def evaluate(sent: DataFrame, after_last_send: bool) -> DataFrame:
+    def evaluate(sent: DataFrame, window: str = "true") -> DataFrame:
         needed = heads.join(sent, "id")
-        joined = log.join(F.broadcast(needed) if few else needed, ["id", "piece"])
-        if after_last_send:
-            joined = joined.filter(F.col("seq") > F.coalesce(F.array_max("since"), F.lit(-(2**63))))
+        joined = log.join(F.broadcast(needed) if few else needed, ["id", "piece"]).filter(window)
         joined = joined.withColumn(
             "earlier", F.expr("transform(since, first -> CASE WHEN first < seq THEN first END)")
         )
         standings = _standings(engine, "resets", "earlier", "asked")
-        return joined.select(
-            "id", "seq", "since", F.expr(_outcome(engine, "seq", "ts", standings)).alias("outcome")
+        outcome = F.expr(_outcome(engine, "seq", "ts", standings))
+        return joined.select("id", "seq", "since", F.explode(F.array(outcome)).alias("outcome"))
+
+    # Messages up to `settled` add no first send that is not in `since`.  A round looks
+    # at the next `width` numbers only, and at eight times as many after finding
+    # nothing, so that all rounds together evaluate little more than one log.
+    bounds = totals.groupBy("id").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    sent = cut_lineage(
+        found.select("id").join(bounds, "id").select(
+            "id",
+            "high",
+            F.array_repeat(F.lit(None).cast("bigint"), len(engine.flags)).alias("since"),
+            F.expr("low - 1").alias("settled"),
+            F.expr("(high - low) div 64 + 1").alias("width"),
         )
-
-    sent = found.select(
-        "id", F.array_repeat(F.lit(None).cast("bigint"), len(engine.flags)).alias("since")
     )
-    active = sent
-    while True:
-        step = cut_lineage(_first_sends(evaluate(active, True), engine))
-        if step.isEmpty():
-            break
-        sent = cut_lineage(_advance(sent, step, engine))
-        active = sent.join(step.select("id"), "id", "left_semi")
+    while not sent.filter("settled < high").isEmpty():
+        window = evaluate(sent.filter("settled < high"), "seq > settled AND seq - settled <= width")
+        sent = cut_lineage(_advance(sent, _first_sends(window, engine), engine))
 
-    outcomes = evaluate(sent, False).select("id", F.lit(True).alias("found"), "outcome")
+    outcomes = evaluate(sent).select("id", F.lit(True).alias("found"), "outcome")
     resets = resets_per_document(cut_lineage(last_resets(rows)), found, engine.flags)
     no_resets = "CAST(array() AS array<struct<key: string, seq: bigint, ts: timestamp_ntz>>)"
     documents = (
@@ -453,8 +458,16 @@ def _first_sends(evaluated: DataFrame, engine: Engine) -> DataFrame:
 
 
 def _advance(sent: DataFrame, step: DataFrame, engine: Engine) -> DataFrame:
+    """Enter the first sends found; documents without one have settled the window."""
     since = (
         "transform(since, (first, i) -> coalesce(first,"
         f" CASE WHEN array_contains(flags, get({engine.flags_sql}, i)) THEN first_seq END))"
     )
-    return sent.join(step, "id", "left").select("id", F.expr(since).alias("since"))
+    return sent.join(step, "id", "left").select(
+        "id",
+        "high",
+        F.expr(since).alias("since"),
+        F.expr("coalesce(first_seq, least(high, settled + least(width, high - settled)))").alias("settled"),
+        F.expr("CASE WHEN first_seq IS NULL AND width < high - settled THEN width * 8 ELSE width END")
+        .alias("width"),
+    )
