@@ -93,11 +93,11 @@ def started(required: Sequence[str], flags: str = "doclib") -> Column:
     return F.expr(f"forall({strings_sql(required)}, key -> {contains_sql(f'{flags}.key', 'key')})")
 
 
-def _flag_allowed_sql(flag: str) -> str:
+def _flag_allowed_sql(reset: str, begun: str) -> str:
     """May a flag that exists be sent?  NULL if it was reset but never started."""
     return (
-        f"CASE WHEN {flag}.reset IS NULL THEN false"
-        f" ELSE {epoch_second_sql(f'{flag}.reset')} > {epoch_second_sql(f'{flag}.started')} END"
+        f"CASE WHEN {reset} IS NULL THEN false"
+        f" ELSE {epoch_second_sql(reset)} > {epoch_second_sql(begun)} END"
     )
 
 
@@ -110,7 +110,7 @@ def sendable_allowed(
     if flag == analytical_flag:
         return F.lit(True)
     head = f"get({flags}, {_position_sql(flag, flags)})"
-    allowed = let_sql(head, "head", _flag_allowed_sql("head"))
+    allowed = let_sql(head, "head", _flag_allowed_sql("head.reset", "head.started"))
     return F.expr(f"CASE WHEN {has_flag_sql(flag, flags)} THEN {allowed} ELSE true END")
 
 
@@ -129,7 +129,8 @@ def sendable_allowed_each_sql(
         " ELSE true END",
     )
     looked_up = let_sql(f"{flags}.key", "own", f"transform({keys}, key -> {lookup})")
-    return let_sql(f"transform({flags}, f -> {_flag_allowed_sql('f')})", "judged", looked_up)
+    allowed = _flag_allowed_sql("r", "s")
+    return let_sql(f"zip_with({flags}.reset, {flags}.started, (r, s) -> {allowed})", "judged", looked_up)
 
 
 def is_queued(key: str, flags: str = "doclib") -> Column:

@@ -167,7 +167,7 @@ class Engine:
         given = [F.col(f"`{name}`") for name in documents.columns]
         allowed = ff.sendable_allowed_each_sql(self.flags_sql, analytical_flag=self.analytical_flag)
         step = self.choose_sql(
-            "__eligible", "__allowed", lambda entry: ff.has_ended_sql(f"{entry}.flag")
+            "__eligible", "__allowed", lambda entry: ff.contains_sql("__ended", f"{entry}.flag")
         )
         failed = self.failed_sql("__step", "__allowed")
         sends = self.sends_sql("__step", "__allowed")
@@ -180,8 +180,12 @@ class Engine:
             f" AS {RESOLUTION_TYPE.simpleString()}) END"
         )
         return (
+            # All that is read of the flags is read here, by field.
             documents.select(
-                *given, self.eligible().alias("__eligible"), F.expr(allowed).alias("__allowed")
+                *given,
+                self.eligible().alias("__eligible"),
+                F.expr(allowed).alias("__allowed"),
+                F.expr(ff.ended_keys_sql()).alias("__ended"),
             )
             .select(*given, "__allowed", F.expr(step).alias("__step"))
             .select(*given, "__allowed", "__step", F.expr(failed).alias("__failed"))
