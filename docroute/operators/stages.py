@@ -66,13 +66,16 @@ def stage_sendables(
     """The allowed entries of every stage, whatever the document is; a stage
     that meets an error has none."""
     entries = _entries_sql(table)
-    unsound = f"filter(transform({entries}, (e, i) -> CASE WHEN __allowed[i] IS NULL THEN e.stage_key END), k -> k IS NOT NULL)"
+    unsound = (
+        f"array_compact(transform({entries}, (e, i) -> CASE WHEN __allowed[i] IS NULL THEN e.stage_key END))"
+    )
     allowed = let_sql(
         unsound,
         "unsound",
         f"filter({entries}, (e, i) -> __allowed[i] AND NOT array_contains(unsound, e.stage_key))",
     )
-    return _with_allowed(documents, table, analytical_flag).selectExpr("id", f"inline_outer({allowed})").filter("route IS NOT NULL")
+    rows = _with_allowed(documents, table, analytical_flag).selectExpr("id", f"inline_outer({allowed})")
+    return rows.filter("route IS NOT NULL")
 
 
 def stage_progress(documents: DataFrame, table: RulesTable) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from docroute.functions import flags as ff
 from docroute.operators import updates
-from docroute.operators.engine import Engine
+from docroute.operators.engine import Engine, distinct_routes
 from docroute.plans.supervise import supervise
 from docroute.schema import RESOLUTION_TYPE
 from docroute.sources.documents import read_documents, write_flags
@@ -112,6 +112,45 @@ def test_can_queue(spark):
     assert [tuple(r) for r in rows.collect()] == [(True, True), (False, True), (False, True), (True, True)]
 
 
+def test_flag_predicates(spark):
+    df = h.documents(
+        spark,
+        ("x", []),
+        ("x", [begun("a"), ended("a", reset=h.LATER)]),
+        ("x", [ended("a", reset=h.LATER), ended("b", reset=h.EARLIER)]),
+        ("x", [flag("a", reset=NOW)]),
+    )
+    rows = df.orderBy("id").select(
+        ff.has_flag("a"),
+        ff.head_flag("a")["ended"],
+        ff.completed(["a"]),
+        ff.completed(["a", "b"]),
+        ff.completed([]),
+        ff.started(["a", "b"]),
+        ff.sendable_allowed("a"),
+        ff.sendable_allowed("b"),
+        ff.sendable_allowed("a", analytical_flag="a"),
+        ff.is_queued("a"),
+    )
+    assert [tuple(r) for r in rows.collect()] == [
+        (False, None, False, False, True, False, True, True, True, False),
+        (True, None, True, False, True, False, False, True, True, False),
+        (True, NOW, True, True, True, True, True, False, True, False),
+        (True, None, False, False, True, False, None, True, True, False),
+    ]
+
+
+def test_distinct_routes_keeps_the_first(spark):
+    sends = "array({})".format(
+        ", ".join(
+            f"named_struct('ordinal', {i}, 'flag', '{f}', 'route', '{r}')"
+            for i, (f, r) in enumerate([("a", "q"), ("b", "r"), ("c", "q")])
+        )
+    )
+    row = spark.range(1).select(F.expr(sends).alias("sends")).select(distinct_routes().alias("s")).first()
+    assert [s.flag for s in row.s] == ["a", "b"]
+
+
 def send_to(*names):
     """A resolver that always sends to these queues."""
     sends = ", ".join(
