@@ -273,6 +273,17 @@ def written_flags(spark, sf):
     )
 
 
+def _text_operators():
+    """The module of the text operators' queries, or None where it is not installed."""
+    try:
+        from docroute.llm import queries as module
+    except ModuleNotFoundError as error:
+        if error.name not in ("docroute.llm", "docroute.llm.queries", "corpus_pipeline"):
+            raise
+        return None
+    return module
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Documents per stage and queue at sf0.001."""
     return routing_summary(spark, "/root/testdata/sf0.001")
@@ -312,9 +323,10 @@ def queries() -> dict[str, Query]:
         "custom_rule": custom_rule,
         "custom_engine": custom_engine,
         "written_flags": written_flags,
+        **(module.queries() if (module := _text_operators()) else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """The same results in DuckDB SQL."""
-    return oracle.statements()
+    return {**oracle.statements(), **(module.oracle_sql() if (module := _text_operators()) else {})}
