@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docroute.llm import exact_dedup, packing
+from docroute.llm import exact_dedup, packing, wavelet
 
 
 def tokenizer_file(name: str) -> str:
@@ -28,6 +28,10 @@ def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, sf))
 
 
+def op7_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    return wavelet.token_files(_documents(spark, sf), tokenizer_file("byte_bpe_50k.json"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf), tokenizer_file("word_bpe_49k.json"))
 
@@ -35,6 +39,7 @@ def op9_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op6_exact_dedup": op6_exact_dedup,
+        "op7_token_files": op7_token_files,
         "op9_best_fit_packing": op9_best_fit_packing,
     }
 
