@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docroute.llm import exact_dedup, packing, wavelet
+from docroute.llm import bpe_chunks, exact_dedup, packing, wavelet
 
 
 def tokenizer_file(name: str) -> str:
@@ -24,6 +24,13 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+def op4_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = tokenizer_file("byte_bpe_multi_50k.tiktoken")
+    return bpe_chunks.encode_digests(_documents(spark, sf), ranks, public_tokenizers.PATTERN)
+
+
 def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, sf))
 
@@ -38,6 +45,7 @@ def op9_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_byte_bpe": op4_byte_bpe,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_token_files": op7_token_files,
         "op9_best_fit_packing": op9_best_fit_packing,
