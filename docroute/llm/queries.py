@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docroute.llm import bpe_chunks, exact_dedup, packing, wavelet
+from docroute.llm import bpe_chunks, exact_dedup, packing, substring, wavelet
 
 
 def tokenizer_file(name: str) -> str:
@@ -39,6 +39,10 @@ def op7_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return wavelet.token_files(_documents(spark, sf), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substring.substring_digests(_documents(spark, sf))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf), tokenizer_file("word_bpe_49k.json"))
 
@@ -48,6 +52,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_byte_bpe": op4_byte_bpe,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_token_files": op7_token_files,
+        "op8_substring_dedup": op8_substring_dedup,
         "op9_best_fit_packing": op9_best_fit_packing,
     }
 

@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from docroute.llm.files import store
 from docroute.llm.text import Texts, slices
 from docroute.llm.tokenise import encoder
 from docroute.sources.documents import cut_lineage, shared_folder
@@ -223,15 +224,6 @@ class Shard:
         return values.astype(np.uint32)
 
 
-def _store(path: str):
-    """(file system, path in it) of a folder named by a path or URI."""
-    from pyarrow import fs
-
-    if path.startswith("file:"):
-        path = "/" + path[len("file:") :].lstrip("/")
-    return fs.FileSystem.from_uri(path)
-
-
 MANIFEST = "part int, number int, file string, n_docs long, n_ids long"
 
 
@@ -242,8 +234,8 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0,
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        store, root = _store(folder)
-        store.create_dir(root, recursive=True)
+        files, root = store(folder)
+        files.create_dir(root, recursive=True)
         part, number = TaskContext.get().partitionId(), 0
         gathered: list[np.ndarray] = []
         names: list[int | None] = []
@@ -253,7 +245,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0,
             nonlocal number
             ids, sizes = np.concatenate(gathered), np.concatenate(lengths)
             name = f"part-{part:05d}-{number:05d}-{uuid.uuid4().hex}.wvm"
-            with store.open_output_stream(f"{root}/{name}") as out:
+            with files.open_output_stream(f"{root}/{name}") as out:
                 out.write(encode_shard(ids, names, sizes))
             row = {"part": part, "number": number, "file": name, "n_docs": len(names), "n_ids": len(ids)}
             number += 1
@@ -288,10 +280,10 @@ def read_documents(manifest: DataFrame, folder: str, keep_ids: bool = False) ->
     shards = manifest.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = _store(folder)
+        files, root = store(folder)
         for batch in batches:
             for name, base in zip(batch.column("file").to_pylist(), batch.column("base").to_pylist()):
-                with store.open_input_stream(f"{root}/{name}") as file:
+                with files.open_input_stream(f"{root}/{name}") as file:
                     shard = Shard(file.read())
                 names, lengths = shard.documents()
                 ids = shard.ids().astype("<u4")
