@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docroute.llm import bpe_chunks, exact_dedup, packing, substring, wavelet
+from docroute.llm import bpe_chunks, exact_dedup, ngram_join, packing, substring, wavelet
 
 
 def tokenizer_file(name: str) -> str:
@@ -24,6 +24,10 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.near_copies(_documents(spark, sf))
+
+
 def op4_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers
 
@@ -49,6 +53,7 @@ def op9_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ngram_join": op1_ngram_join,
         "op4_byte_bpe": op4_byte_bpe,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_token_files": op7_token_files,
