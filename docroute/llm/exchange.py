@@ -23,6 +23,7 @@ each pass over the same table in one session; a checksum of the keys guards it.
 
 from __future__ import annotations
 
+import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -31,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docroute.llm.files import store
@@ -178,17 +179,22 @@ def returned(
     more: str | None = None,
     wide: bool = False,
     name: str = "counts",
+    totals: bool = False,
 ) -> str:
     """Add up the runs of each slice and write the codes by split; the folder.
 
     ``more`` tells what goes along with a key: "count" (uint32), "hash" (uint64,
     the rest of the key) or nothing.  ``code`` maps totals to what a block is
-    told about its keys: one byte each, or bits.
+    told about its keys: a number each, or bits.  With ``totals`` (keys that are
+    not cut, with counts) the folder also holds what ``distinct_and_sum`` gives.
     """
     spark = runs.sparkSession
     folder = f"{shared_folder(spark)}/docroute-{name}-{uuid.uuid4().hex}"
 
-    def one(rows: list[tuple]) -> pa.RecordBatch:
+    distinct: list[int] = []
+    sums: list[int] = []
+
+    def one(rows: list[tuple]) -> list[bytes]:
         sizes = [r[2] for r in rows]
         if slices.cell_bits:
             keys = np.concatenate([unpack_sorted(r[3], r[2], wide) for r in rows])
@@ -196,6 +202,10 @@ def returned(
             keys = np.concatenate([np.frombuffer(r[3], "<u8") for r in rows])
         extra = None if more is None else np.concatenate([np.frombuffer(r[4], "<u4" if more == "count" else "<u8") for r in rows])
         total = summed(keys, extra if more == "count" else None, extra if more == "hash" else None)
+        if totals:
+            ordered = np.sort(keys[total > 0])
+            distinct.append(int(np.count_nonzero(ordered[1:] != ordered[:-1])) + bool(len(ordered)))
+            sums.append(int(extra.sum()))
         at, codes = 0, []
         for n in sizes:
             codes.append(code(total[at : at + n]).tobytes())
@@ -226,6 +236,12 @@ def returned(
                 held.append(row[1:])
         if held:
             yield out(key, held)
+        if distinct:
+            row = [-1, -1, -1, sum(distinct), struct.pack("<q", sum(sums))]
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([v], k) for v, k in zip(row, kinds)], ["split", "number", "slice", "check", "codes"]
+            )
 
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     met = runs.repartition(partitions, "slice").sortWithinPartitions("slice")
@@ -234,6 +250,13 @@ def returned(
     return folder
 
 
+def distinct_and_sum(spark: SparkSession, folder: str) -> tuple[int, int]:
+    """Of all keys: how many have a count above zero, and the sum of the counts."""
+    rows = spark.read.parquet(folder).filter("number = -1")
+    parts = rows.select("check", "codes").collect()  # one row per shuffle partition
+    return sum(r["check"] for r in parts), sum(struct.unpack("<q", r["codes"])[0] for r in parts)
+
+
 def slices_for(df: DataFrame, cell_bits: int | None = None) -> Slices:
     return Slices(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) * SLICES_PER_PARTITION, cell_bits)
 
@@ -257,10 +280,12 @@ class Codes:
                 for number, i, check, codes in zip(*(c.to_pylist() for c in table.columns)):
                     self.by[number, i] = check, codes
 
-    def of(self, slices: Slices, number: int, keys: np.ndarray, wide: bool = False, bits: bool = False) -> np.ndarray:
+    def of(
+        self, slices: Slices, number: int, keys: np.ndarray, wide: bool = False, bits: bool = False, dtype=np.uint8
+    ) -> np.ndarray:
         """The codes of a block's sorted keys, which must be those it sent."""
         edges = slices.edges(keys)
-        out = np.zeros(len(keys), np.uint8)
+        out = np.zeros(len(keys), dtype)
         for i in np.flatnonzero(np.diff(edges)).tolist():
             a, b = int(edges[i]), int(edges[i + 1])
             own = keys[a:b]
@@ -268,7 +293,7 @@ class Codes:
             check, codes = self.by.get((number, i), (None, b""))
             if check != zlib.crc32(sent):
                 raise RuntimeError("the table's splits are not those of the first pass")
-            raw = np.frombuffer(codes, np.uint8)
+            raw = np.frombuffer(codes, dtype)
             out[a:b] = np.unpackbits(raw, count=b - a) if bits else raw
         return out
 

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docroute.llm import bpe_chunks, exact_dedup, ngram_join, packing, substring, wavelet
+from docroute.llm import bpe_chunks, exact_dedup, lm, ngram_join, packing, substring, wavelet
 
 
 def tokenizer_file(name: str) -> str:
@@ -51,6 +51,10 @@ def op9_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf), tokenizer_file("word_bpe_49k.json"))
 
 
+def op10_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return lm.score(_documents(spark, sf))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_join": op1_ngram_join,
@@ -59,6 +63,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_token_files": op7_token_files,
         "op8_substring_dedup": op8_substring_dedup,
         "op9_best_fit_packing": op9_best_fit_packing,
+        "op10_lm_scores": op10_lm_scores,
     }
 
 
