@@ -40,7 +40,7 @@ from docroute.llm.text import Texts, Words, starts_of_runs, windows
 
 ORDER = 3
 PRIOR = 0.1
-RATE, POWER = 1.0, 0.7
+RATE, POWER = 2.0, 0.9
 END = np.uint64(0x0E4DED0E4DED0E4D)
 #: Bits of an n-gram's cell within a slice.
 CELL_BITS = 40

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docroute.llm import bpe_chunks, exact_dedup, lm, ngram_join, packing, substring, wavelet
+from docroute.llm import ann, bpe_chunks, exact_dedup, lm, ngram_join, packing, substring, wavelet
 
 
 def tokenizer_file(name: str) -> str:
@@ -35,6 +35,10 @@ def op4_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe_chunks.encode_digests(_documents(spark, sf), ranks, public_tokenizers.PATTERN)
 
 
+def op5_nearest_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return ann.nearest(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, sf))
 
@@ -59,6 +63,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_join": op1_ngram_join,
         "op4_byte_bpe": op4_byte_bpe,
+        "op5_nearest_vectors": op5_nearest_vectors,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_token_files": op7_token_files,
         "op8_substring_dedup": op8_substring_dedup,
