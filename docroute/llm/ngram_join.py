@@ -20,10 +20,12 @@ The result is the classes that the links make.
    summed up from every set's own number of subsets and lengths of lists.
 5. Classes.  Of each list, members are first compared with its two ends, and what
    is linked becomes one class.  Then a list that still has members of different
-   classes needs only its pairs across classes.  A list that is long even so is
-   split by a further member, k + 1, before its pairs are formed.  So a list that a third of all
-   documents share costs comparisons in proportion to its length.  Every pair
-   that is formed is checked on the full sets; no link between classes is lost.
+   classes needs only its pairs across classes.  A pair is formed only where the
+   places of the common member leave enough members behind it to be shared.  A
+   list that is long even so is split by a further member, k + 1.  So a list that
+   a third of all documents share costs comparisons in proportion to its length.
+   Every pair that is formed is checked on the full sets; no link between classes
+   is lost.
 
 Sets and shingles are told apart by 64 bits of hash.
 
@@ -39,12 +41,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docroute.llm import exchange
 from docroute.llm.components import components
-from docroute.llm.text import Texts, Words, mix, ranges, starts_of_runs, windows
+from docroute.llm.text import Texts, Words, mix, starts_of_runs, windows
 from docroute.sources.documents import cut_lineage
 
 SHINGLE = 5
@@ -53,10 +55,11 @@ PART, WHOLE = 100, 75
 CELL_BITS = 26
 #: No set above this size is tried as light; subsets of two grow with the square.
 LARGEST_LIGHT = 64
-#: A list of this many members of more than one class is split before pairing.
+#: A list is split by a further member if its pairs across classes may be more
+#: than the square of this.
 LONG_LIST = 64
 #: Rounds of comparing the members of each list with its ends.
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 
 
 class Sets:
@@ -166,70 +169,75 @@ def boundary(costs: list[tuple[int, float, float]]) -> int:
     return min(range(LARGEST_LIGHT + 1), key=cost)
 
 
-_HEAVY, _LIGHT = 1, 2
+LISTS = "sig long, node long, n long, pos int"
 
 
 def _postings(sets: DataFrame, light: int) -> DataFrame:
-    """(sig, node, n, heavy): the lists that a set stands in.  Signatures are of
-    single members (k = 1) or of two (k = 2)."""
+    """(sig, node, n, pos): the lists that a set stands in.  Signatures are of
+    single members (k = 1) or of two (k = 2); if the signature is the first that
+    two sets share, ``pos`` members of either are known not to be shared."""
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sigs, nodes, sizes, kinds = [], [], [], []
+            sigs, places, nodes, sizes, times = [], [], [], [], []
             for node, n, singles, body in zip(*(batch.column(c).to_pylist() for c in ("node", "n", "singles", "body"))):
                 if n < 2:
                     continue  # only an equal set can be linked
                 members = np.frombuffer(body, "<u8")
                 prefix = int(allowed_misses(np.int64(n))) + 1
-                if n > light or n > light * WHOLE // PART:
-                    own = members[min(singles, prefix) : prefix]
-                    sigs.append(own)
-                    kinds.append(np.full(len(own), n > light))
+                if n > light * WHOLE // PART:
+                    at = np.arange(min(singles, prefix), prefix)
+                    sigs.append(members[at])
+                    places.append(at)
                     nodes.append(node)
-                    sizes.append((n, len(own)))
+                    sizes.append(n)
+                    times.append(len(at))
                 if n <= light:
-                    own = members[min(singles, prefix + 1) : min(prefix + 1, n)]
-                    a, b = np.triu_indices(len(own), 1)
-                    sigs.append(mix(own[a] * np.uint64(0x9E3779B97F4A7C15) + own[b]))
-                    kinds.append(np.zeros(len(a), bool))
+                    at = np.arange(min(singles, prefix + 1), min(prefix + 1, n))
+                    a, b = np.triu_indices(len(at), 1)
+                    sigs.append(_two(members[at[a]], members[at[b]]))
+                    places.append(at[b] - 1)
                     nodes.append(node)
-                    sizes.append((n, len(a)))
-            if not sigs:
-                continue
-            times = [m for _, m in sizes]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate(sigs).view(np.int64)),
-                    pa.array(np.repeat(np.array(nodes, np.int64), times)),
-                    pa.array(np.repeat(np.array([n for n, _ in sizes], np.int64), times)),
-                    pa.array(np.concatenate(kinds)),
-                ],
-                ["sig", "node", "n", "heavy"],
-            )
+                    sizes.append(n)
+                    times.append(len(a))
+            if sigs:
+                yield _list_rows(np.concatenate(sigs), np.repeat(nodes, times), np.repeat(sizes, times), np.concatenate(places))
+
+    return sets.select("node", "n", "singles", "body").mapInArrow(post, LISTS)
+
+
+def _two(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return mix(first * np.uint64(0x9E3779B97F4A7C15) + mix(second))
+
 
-    return sets.select("node", "n", "singles", "body").mapInArrow(post, "sig long, node long, n long, heavy boolean")
+def _list_rows(sigs: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
+    columns = [sigs.view(np.int64), nodes.astype(np.int64), sizes.astype(np.int64), places.astype(np.int32)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["sig", "node", "n", "pos"])
 
 
 def _split_lists(sets: DataFrame, long: DataFrame) -> DataFrame:
-    """The lists in ``long`` (sig, node, n, heavy) split by a further member: the
-    sets of such a list meet again in a second one after it in the common order."""
+    """The lists in ``long`` split by a further member: the sets of such a list
+    meet again in a second one after it in the common order."""
     joined = long.join(sets.select("node", "body"), "node")
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [[], [], [], []]
-            for sig, node, n, heavy, body in zip(*(batch.column(c).to_pylist() for c in ("sig", "node", "n", "heavy", "body"))):
+            sigs, places, nodes, sizes, times = [], [], [], [], []
+            for sig, node, n, pos, body in zip(*(batch.column(c).to_pylist() for c in ("sig", "node", "n", "pos", "body"))):
                 members = np.frombuffer(body, "<u8")[: int(allowed_misses(np.int64(n))) + 2]
-                at = np.flatnonzero(members == np.array([sig], np.int64).view(np.uint64)[0])
-                # A signature of two members is left as it is.
-                own = members[at[0] + 1 :] if len(at) else None
-                new = [sig] if own is None else mix(own * np.uint64(0x9E3779B97F4A7C15) ^ mix(members[at])).view(np.int64).tolist()
-                for column, value in zip(out, (new, [node] * len(new), [n] * len(new), [heavy] * len(new))):
-                    column.extend(value)
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["sig", "node", "n", "heavy"])
+                own = np.array([sig], np.int64).view(np.uint64)
+                # A list of two members already is left as it is.
+                single = pos < len(members) and members[pos] == own[0]
+                at = np.arange(pos + 1, len(members)) if single else np.array([pos + 1])
+                sigs.append(_two(np.repeat(own, len(at)), members[at]) if single else own)
+                places.append(at - 1)
+                nodes.append(node)
+                sizes.append(n)
+                times.append(len(at))
+            if sigs:
+                yield _list_rows(np.concatenate(sigs), np.repeat(nodes, times), np.repeat(sizes, times), np.concatenate(places))
 
-    return joined.select("sig", "node", "n", "heavy", "body").mapInArrow(split, "sig long, node long, n long, heavy boolean")
+    return joined.select("sig", "node", "n", "pos", "body").mapInArrow(split, LISTS)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -250,60 +258,65 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(check, "u long, v long, linked boolean")
 
 
-_NEAR = f"{PART} * least(n, n2) >= {WHOLE} * greatest(n, n2)"
+#: What two sets can share at most, if they share nothing ahead of their places.
+_NEAR = f"{PART + WHOLE} * least(n - pos, n2 - pos2) >= {WHOLE} * (n + n2)"
+#: The same, with the smallest set of the list for the other.
+_ABLE = f"{PART + WHOLE} * (n - pos) >= {WHOLE} * (n + least_n)"
 
 
 def _classed(lists: DataFrame, classes: DataFrame | None) -> DataFrame:
-    """The members of lists that hold more than one class, with their class."""
+    """The members of lists that hold more than one class, with their class;
+    without members that no set of the list can be near enough to."""
     if classes is None:
         rows = lists.withColumn("class", F.col("node"))
     else:
         rows = lists.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
-    mixed = (
-        rows.groupBy("sig")
-        .agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("m"))
-        .filter("low <> high")
-        .select("sig", "m")
-    )
-    return rows.join(mixed, "sig")
+    least = rows.groupBy("sig").agg(F.min("n").alias("least_n"), F.min("class").alias("low"), F.max("class").alias("high"))
+    able = rows.join(least.filter("low <> high").select("sig", "least_n"), "sig").filter(_ABLE)
+    mixed = able.groupBy("sig").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high")
+    return able.join(mixed.select("sig"), "sig").select("sig", "node", "n", "pos", "class")
 
 
 def _star_pairs(rows: DataFrame, turn: int) -> DataFrame:
     """Pairs of each member with the ends of its lists, in an order that changes
     with ``turn``; of a member's ends, the two it shares most lists with."""
-    rows = rows.withColumn("place", F.xxhash64("node", F.lit(turn)) if turn else F.col("node"))
-    ends = rows.groupBy("sig").agg(
-        F.min(F.struct("place", "node", "n", "class", "heavy")).alias("low"),
-        F.max(F.struct("place", "node", "n", "class", "heavy")).alias("high"),
-    )
-    ends = ends.select("sig", F.explode(F.array("low", "high")).alias("end")).select(
-        "sig", F.col("end.node").alias("v"), F.col("end.n").alias("n2"), F.col("end.class").alias("class2"), F.col("end.heavy").alias("heavy2")
-    )
+    place = F.xxhash64("node", F.lit(turn)) if turn else F.col("node")
+    member = F.struct(place.alias("place"), F.col("node").alias("v"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("class").alias("class2"))
+    ends = rows.groupBy("sig").agg(F.array(F.min(member), F.max(member)).alias("ends")).select("sig", F.inline("ends"))
     met = rows.join(ends, "sig").filter(F.col("class") != F.col("class2")).filter(_NEAR)
     shared = met.select(F.col("node").alias("u"), "v").groupBy("u", "v").agg(F.count("*").alias("times"))
-    from pyspark.sql import Window
-
     # A member has as many ends as prefix members at most.
     best = Window.partitionBy("u").orderBy(F.desc("times"), "v")
     return shared.withColumn("r", F.row_number().over(best)).filter("r <= 2").select("u", "v")
 
 
-def _cross_pairs(rows: DataFrame, tried: DataFrame | None) -> DataFrame:
-    """All pairs of a list's members of different classes that were not tried."""
-    left = rows.select("sig", F.col("node").alias("u"), "n", "class", "heavy")
-    right = rows.select("sig", F.col("node").alias("v"), F.col("n").alias("n2"), F.col("class").alias("class2"))
-    pairs = left.join(right, "sig").filter("class < class2").filter(_NEAR).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    if tried is None:
-        return pairs
+def _cross_pairs(rows: DataFrame, tried: DataFrame) -> DataFrame:
+    """All pairs of a list's members of different classes that can be near
+    enough and were not tried.  Members outside a list's largest class are met
+    with all; those inside it never with each other."""
+    most = rows.groupBy("sig", "class").agg(F.count("*").alias("members")).groupBy("sig").agg(F.max_by("class", "members").alias("largest"))
+    others = rows.join(most, "sig").filter(F.col("class") != F.col("largest"))
+    right = rows.select(
+        "sig", F.col("node").alias("v"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("class").alias("class2")
+    )
+    met = others.join(right, "sig").filter("class < class2 OR (class <> class2 AND class2 = largest)").filter(_NEAR)
+    pairs = met.select(F.least("node", "v").alias("u"), F.greatest("node", "v").alias("v")).distinct()
     done = tried.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     return pairs.join(done, ["u", "v"], "left_anti")
 
 
+def _work(rows: DataFrame) -> DataFrame:
+    """The lists whose pairs across classes are too many to form as they are."""
+    sizes = rows.groupBy("sig", "class").agg(F.count("*").alias("members"))
+    lists = sizes.groupBy("sig").agg(F.sum("members").alias("m"), F.max("members").alias("largest"))
+    return lists.filter(F.col("m") * (F.col("m") - F.col("largest")) > LONG_LIST * LONG_LIST).select("sig")
+
+
 def _classes(links: DataFrame | None) -> DataFrame | None:
     return None if links is None else cut_lineage(components(links).withColumnRenamed("component", "class"))
 
 
-def joined(docs: DataFrame, shingle: int = SHINGLE, star_rounds: int = STAR_ROUNDS, long_list: int = LONG_LIST) -> tuple[DataFrame, DataFrame, DataFrame]:
+def joined(docs: DataFrame, shingle: int = SHINGLE, star_rounds: int = STAR_ROUNDS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents, links, classes): doc_id, n, node of every document; the checked
     links (u, v) that join the sets into classes; node, class of linked sets."""
     found = _candidates(docs, shingle)
@@ -317,7 +330,7 @@ def joined(docs: DataFrame, shingle: int = SHINGLE, star_rounds: int = STAR_ROUN
     )
     # At most LARGEST_LIGHT rows.
     light = boundary([tuple(r) for r in costs.collect()])
-    lists = cut_lineage(_classed(_postings(sets, light), None).drop("class", "m"))
+    lists = cut_lineage(_classed(_postings(sets, light), None).drop("class"))
 
     tried = links = classes = None
     for turn in range(star_rounds):
@@ -328,10 +341,10 @@ def joined(docs: DataFrame, shingle: int = SHINGLE, star_rounds: int = STAR_ROUN
         classes = _classes(links)
 
     rows = cut_lineage(_classed(lists, classes))
-    long = rows.filter(F.col("m") > long_list)
+    long = cut_lineage(_work(rows))
     if not long.isEmpty():
-        halves = _split_lists(sets, long.select("sig", "node", "n", "heavy"))
-        rows = rows.filter(F.col("m") <= long_list).unionByName(_classed(halves, classes).select(rows.columns))
+        split = _split_lists(sets, rows.join(long, "sig", "left_semi").select("sig", "node", "n", "pos"))
+        rows = cut_lineage(rows.join(long, "sig", "left_anti").unionByName(_classed(split, classes)))
     checked = cut_lineage(_verified(_cross_pairs(rows, tried), sets))
     links = tried.union(checked).filter("linked").select("u", "v")
     classes = _classes(links)
