@@ -18,7 +18,7 @@ The result is the classes that the links make.
    size stand in those lists too, to be met by heavy ones.
    The boundary is the size at which subsets and list scans cost least in all,
    summed up from every set's own number of subsets and lengths of lists.
-5. Classes.  Of each list, members are first compared with its two ends, and what
+5. Classes.  Of each list, members are first compared with a few others, and what
    is linked becomes one class.  Then a list that still has members of different
    classes needs only its pairs across classes.  A pair is formed only where the
    places of the common member leave enough members behind it to be shared.  A
@@ -58,8 +58,11 @@ LARGEST_LIGHT = 64
 #: A list is split by a further member if its pairs across classes may be more
 #: than the square of this.
 LONG_LIST = 64
-#: Rounds of comparing the members of each list with its ends.
-STAR_ROUNDS = 2
+#: Rounds of comparing the members of each list with ends of it, and how many
+#: ends a member is compared with in each round.  What links this leaves over is
+#: found among the pairs across classes.
+STAR_ROUNDS = 3
+ENDS = [2, 8]
 
 
 class Sets:
@@ -277,25 +280,33 @@ def _classed(lists: DataFrame, classes: DataFrame | None) -> DataFrame:
     return able.join(mixed.select("sig"), "sig").select("sig", "node", "n", "pos", "class")
 
 
+def _largest(rows: DataFrame) -> DataFrame:
+    """(sig, largest): the class that most members of a list are in."""
+    sizes = rows.groupBy("sig", "class").agg(F.count("*").alias("members"))
+    return sizes.groupBy("sig").agg(F.max_by("class", "members").alias("largest"))
+
+
 def _star_pairs(rows: DataFrame, turn: int) -> DataFrame:
-    """Pairs of each member with the ends of its lists, in an order that changes
-    with ``turn``; of a member's ends, the two it shares most lists with."""
-    place = F.xxhash64("node", F.lit(turn)) if turn else F.col("node")
+    """Pairs of each member with ends of its lists, those it shares most lists
+    with.  At first the ends are the same for all lists; later each list has ends
+    of its own from its largest class, so a member meets several of that class."""
+    few = ENDS[min(turn, len(ENDS) - 1)]
+    from_class = rows if not turn else rows.join(_largest(rows), "sig").filter("class = largest")
+    place = F.xxhash64("sig", "node", F.lit(turn)) if turn else F.col("node")
     member = F.struct(place.alias("place"), F.col("node").alias("v"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("class").alias("class2"))
-    ends = rows.groupBy("sig").agg(F.array(F.min(member), F.max(member)).alias("ends")).select("sig", F.inline("ends"))
+    ends = from_class.groupBy("sig").agg(F.array(F.min(member), F.max(member)).alias("ends")).select("sig", F.inline("ends"))
     met = rows.join(ends, "sig").filter(F.col("class") != F.col("class2")).filter(_NEAR)
     shared = met.select(F.col("node").alias("u"), "v").groupBy("u", "v").agg(F.count("*").alias("times"))
-    # A member has as many ends as prefix members at most.
+    # A member has two ends for each member of its prefix at most.
     best = Window.partitionBy("u").orderBy(F.desc("times"), "v")
-    return shared.withColumn("r", F.row_number().over(best)).filter("r <= 2").select("u", "v")
+    return shared.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= few).select("u", "v")
 
 
 def _cross_pairs(rows: DataFrame, tried: DataFrame) -> DataFrame:
     """All pairs of a list's members of different classes that can be near
     enough and were not tried.  Members outside a list's largest class are met
     with all; those inside it never with each other."""
-    most = rows.groupBy("sig", "class").agg(F.count("*").alias("members")).groupBy("sig").agg(F.max_by("class", "members").alias("largest"))
-    others = rows.join(most, "sig").filter(F.col("class") != F.col("largest"))
+    others = rows.join(_largest(rows), "sig").filter(F.col("class") != F.col("largest"))
     right = rows.select(
         "sig", F.col("node").alias("v"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("class").alias("class2")
     )
