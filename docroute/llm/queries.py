@@ -10,14 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docroute.llm import ann, bpe_chunks, exact_dedup, lm, ngram_join, packing, substring, wavelet
-
-
-def tokenizer_file(name: str) -> str:
-    """Where an installed public vocabulary file is."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
+import corpus_pipeline
+from docroute.llm import ann, bpe_chunks, exact_dedup, langid, lm, ngram_join, packing, substring, token_counts, wavelet
+from docroute.llm.tokenise import tokenizer_file
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -28,6 +23,14 @@ def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     return ngram_join.near_copies(_documents(spark, sf))
 
 
+def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return langid.languages(_documents(spark, sf)).drop("mixture")
+
+
+def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return token_counts.token_counts(_documents(spark, sf), tokenizer_file("piece_bpe_32k.model"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers
 
@@ -62,6 +65,8 @@ def op10_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_join": op1_ngram_join,
+        "op2_language_id": op2_language_id,
+        "op3_token_counts": op3_token_counts,
         "op4_byte_bpe": op4_byte_bpe,
         "op5_nearest_vectors": op5_nearest_vectors,
         "op6_exact_dedup": op6_exact_dedup,
@@ -69,6 +74,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_lm_scores": op10_lm_scores,
+        "pipeline": corpus_pipeline.run,
     }
 
 
