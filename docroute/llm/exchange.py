@@ -252,7 +252,8 @@ def returned(
 
 def distinct_and_sum(spark: SparkSession, folder: str) -> tuple[int, int]:
     """Of all keys: how many have a count above zero, and the sum of the counts."""
-    rows = spark.read.parquet(folder).filter("number = -1")
+    schema = "number int, slice int, check long, codes binary, split long"
+    rows = spark.read.schema(schema).parquet(folder).filter("number = -1")
     parts = rows.select("check", "codes").collect()  # one row per shuffle partition
     return sum(r["check"] for r in parts), sum(struct.unpack("<q", r["codes"])[0] for r in parts)
 

@@ -258,11 +258,16 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0,
         for batch in batches:
             for some in slices(batch):
                 ids, first = encoder(tokenizer).encode_ended(Texts(some.column("text")), end_id)
-                gathered.append(ids.astype(np.uint32))
-                names.extend(some.column("doc_id").to_pylist())
-                lengths.append(np.diff(first))
-                if sum(map(len, gathered)) >= shard_ids:
-                    yield flush()
+                doc_ids, lo = some.column("doc_id").to_pylist(), 0
+                while lo < len(doc_ids):
+                    room = shard_ids - sum(map(len, gathered))
+                    hi = min(int(np.searchsorted(first, first[lo] + room)), len(doc_ids))
+                    gathered.append(ids[first[lo] : first[hi]].astype(np.uint32))
+                    names.extend(doc_ids[lo:hi])
+                    lengths.append(np.diff(first[lo : hi + 1]))
+                    lo = hi
+                    if sum(map(len, gathered)) >= shard_ids:
+                        yield flush()
         if names:
             yield flush()
 
