@@ -236,7 +236,7 @@ def supervise_stream(spark, sf):
 
 
 def custom_rule(spark, sf):
-    media = Rule("Media", is_image() | is_audio() | is_video(), ["supervisor.media"])
+    media = Rule("Media", is_image() | is_audio() | is_video(), ["media"])
     engine = Engine([*default_rules(), media], RulesTable(oracle.CUSTOM_ENTRIES))
     return _resolved(spark, sf, engine).drop("error")
 
@@ -250,7 +250,7 @@ def custom_engine(spark, sf):
             for e in table.entries
         )
         resolution = (
-            "named_struct('rule', 'FlagTest', 'stage_key', 'supervisor.flag-test',"
+            "named_struct('rule', 'FlagTest', 'stage_key', 'flag-test',"
             f" 'sends', array({sends}), 'error', NULL)"
         )
         return documents.withColumn("resolution", F.expr(resolution).cast(RESOLUTION_TYPE))

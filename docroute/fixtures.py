@@ -47,7 +47,7 @@ FLAG_KEYS = [
     "rawtext",
     "pdf.intermediates",
     "bounding_box",
-    "analytical.supervisor",
+    "analytical",
     "ner.leadmine.chemblactivityterms",
     "ner.leadmine.chemicalentities",
     "ner.leadmine.chemicalidentifiers",

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from docroute.schema import FLAG_TYPE
 
-ANALYTICAL_FLAG = "analytical.supervisor"
+ANALYTICAL_FLAG = "analytical"
 FLAG = FLAG_TYPE.simpleString()
 NO_FLAGS = f"CAST(array() AS array<{FLAG}>)"
 

@@ -42,33 +42,33 @@ class Rule:
 
 def default_rules(analytical: bool = False, mimetype: str = "mimetype") -> list[Rule]:
     """The twelve rules in their order; ``analytical`` switches the last one."""
-    ner = "supervisor.ner"
+    ner = "ner"
     return [
-        Rule("Archive", m.is_archive(mimetype), [Stage("supervisor.archive", empty_wins=True)]),
+        Rule("Archive", m.is_archive(mimetype), [Stage("archive", empty_wins=True)]),
         Rule(
             "Tabular",
             F.lit(True),
             [
-                Stage("supervisor.tabular.totsv", m.is_spreadsheet(mimetype)),
+                Stage("tabular.totsv", m.is_spreadsheet(mimetype)),
                 Stage(ner, m.is_tabular_text(mimetype)),
-                Stage("supervisor.tabular.analyse", m.is_tabular_text(mimetype) & m.is_analysable(mimetype)),
+                Stage("tabular.analyse", m.is_tabular_text(mimetype) & m.is_analysable(mimetype)),
             ],
         ),
         Rule("HTML", m.is_html(mimetype), [ner]),
         Rule("XML", m.is_xml(mimetype), [ner]),
         Rule("Text", m.is_text(mimetype), [ner]),
-        Rule("Document", m.is_raw_text_convertible(mimetype), ["supervisor.text"]),
+        Rule("Document", m.is_raw_text_convertible(mimetype), ["text"]),
         Rule(
             "PDF",
             F.lit(True),
             [
-                Stage("supervisor.image_intermediate", m.needs_page_images(mimetype)),
-                Stage("supervisor.bounding_box", m.needs_bounding_boxes(mimetype)),
+                Stage("image_intermediate", m.needs_page_images(mimetype)),
+                Stage("bounding_box", m.needs_bounding_boxes(mimetype)),
             ],
         ),
         Rule("Chemical", m.is_chemical(mimetype), [ner]),
         Rule("Image", m.is_image(mimetype)),
         Rule("Audio", m.is_audio(mimetype)),
         Rule("Video", m.is_video(mimetype)),
-        Rule("Analytical", F.lit(analytical), ["supervisor.analytical"]),
+        Rule("Analytical", F.lit(analytical), ["analytical"]),
     ]

@@ -18,20 +18,20 @@ MAX_ENTRIES = 10_000
 
 # The stages, flags and queues of the default configuration.
 DEFAULT_ENTRIES = [
-    ("supervisor.archive", 0, "unarchived", "unarchive", "queue"),
-    ("supervisor.tabular.totsv", 0, "tabular.totsv", "tabular.totsv", "queue"),
-    ("supervisor.tabular.analyse", 0, "tabular.analysis", "tabular.analysis", "queue"),
-    ("supervisor.html", 0, "html.screenshot", "html.screenshot", "queue"),
-    ("supervisor.html", 1, "html.render", "html.render", "queue"),
-    ("supervisor.text", 0, "rawtext", "rawtext", "queue"),
-    ("supervisor.image_intermediate", 0, "pdf.intermediates", "pdf.intermediates", "queue"),
-    ("supervisor.bounding_box", 0, "bounding_box", "pdf.figures", "queue"),
-    ("supervisor.analytical", 0, "analytical.supervisor", "analytical.supervisor", "queue"),
-    ("supervisor.ner", 0, "ner.leadmine.chemblactivityterms", "ner.leadmine.chemblactivityterms", "queue"),
-    ("supervisor.ner", 1, "ner.leadmine.chemicalentities", "ner.leadmine.chemicalentities", "queue"),
-    ("supervisor.ner", 2, "ner.leadmine.chemicalidentifiers", "ner.leadmine.chemicalidentifiers", "queue"),
-    ("supervisor.ner", 3, "ner.leadmine.poseidon", "ner.leadmine.poseidon", "queue"),
-    ("supervisor.ner", 4, "ner.leadmine.geneprotein", "ner.leadmine.geneprotein", "queue"),
+    ("archive", 0, "unarchived", "unarchive", "queue"),
+    ("tabular.totsv", 0, "tabular.totsv", "tabular.totsv", "queue"),
+    ("tabular.analyse", 0, "tabular.analysis", "tabular.analysis", "queue"),
+    ("html", 0, "html.screenshot", "html.screenshot", "queue"),
+    ("html", 1, "html.render", "html.render", "queue"),
+    ("text", 0, "rawtext", "rawtext", "queue"),
+    ("image_intermediate", 0, "pdf.intermediates", "pdf.intermediates", "queue"),
+    ("bounding_box", 0, "bounding_box", "pdf.figures", "queue"),
+    ("analytical", 0, "analytical", "analytical", "queue"),
+    ("ner", 0, "ner.leadmine.chemblactivityterms", "ner.leadmine.chemblactivityterms", "queue"),
+    ("ner", 1, "ner.leadmine.chemicalentities", "ner.leadmine.chemicalentities", "queue"),
+    ("ner", 2, "ner.leadmine.chemicalidentifiers", "ner.leadmine.chemicalidentifiers", "queue"),
+    ("ner", 3, "ner.leadmine.poseidon", "ner.leadmine.poseidon", "queue"),
+    ("ner", 4, "ner.leadmine.geneprotein", "ner.leadmine.geneprotein", "queue"),
 ]
 
 

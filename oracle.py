@@ -21,7 +21,7 @@ mime(i, mimetype) AS (VALUES
  (20,'audio/wav'),(21,'video/mpeg'),(22,'dummy/mimetype'),(23,'application/x-tar')),
 keys(k, flag_key) AS (VALUES
  (0,'unarchived'),(1,'tabular.totsv'),(2,'tabular.analysis'),(3,'rawtext'),(4,'pdf.intermediates'),
- (5,'bounding_box'),(6,'analytical.supervisor'),(7,'ner.leadmine.chemblactivityterms'),
+ (5,'bounding_box'),(6,'analytical'),(7,'ner.leadmine.chemblactivityterms'),
  (8,'ner.leadmine.chemicalentities'),(9,'ner.leadmine.chemicalidentifiers'),
  (10,'ner.leadmine.poseidon'),(11,'ner.leadmine.geneprotein')),
 docs AS (SELECT lpad(lower(hex(d.doc_id)),24,'0') AS id, d.doc_id, m.mimetype
@@ -114,18 +114,18 @@ pred AS (SELECT id, mimetype,
 
 # (rule, stage, condition, wins when empty)
 STEPS = [
-    ("Archive", "supervisor.archive", "is_archive", True),
-    ("Tabular", "supervisor.tabular.totsv", "is_spreadsheet", False),
-    ("Tabular", "supervisor.ner", "is_tabular_text", False),
-    ("Tabular", "supervisor.tabular.analyse", "is_tabular_text AND is_analysable", False),
-    ("HTML", "supervisor.ner", "is_html", False),
-    ("XML", "supervisor.ner", "is_xml", False),
-    ("Text", "supervisor.ner", "is_text", False),
-    ("Document", "supervisor.text", "is_raw_text_convertible", False),
-    ("PDF", "supervisor.image_intermediate", "needs_page_images", False),
-    ("PDF", "supervisor.bounding_box", "needs_bounding_boxes", False),
-    ("Chemical", "supervisor.ner", "is_chemical", False),
-    ("Analytical", "supervisor.analytical", "true", False),
+    ("Archive", "archive", "is_archive", True),
+    ("Tabular", "tabular.totsv", "is_spreadsheet", False),
+    ("Tabular", "ner", "is_tabular_text", False),
+    ("Tabular", "tabular.analyse", "is_tabular_text AND is_analysable", False),
+    ("HTML", "ner", "is_html", False),
+    ("XML", "ner", "is_xml", False),
+    ("Text", "ner", "is_text", False),
+    ("Document", "text", "is_raw_text_convertible", False),
+    ("PDF", "image_intermediate", "needs_page_images", False),
+    ("PDF", "bounding_box", "needs_bounding_boxes", False),
+    ("Chemical", "ner", "is_chemical", False),
+    ("Analytical", "analytical", "true", False),
 ]
 
 
@@ -140,7 +140,7 @@ def _allowed(flags: str, entries: list[tuple]) -> str:
 head AS (SELECT * FROM {flags} QUALIFY row_number() OVER (PARTITION BY id, flag_key ORDER BY seq) = 1),
 per_key AS (SELECT id, flag_key, bool_or(ended IS NOT NULL) AS any_ended, bool_or(coalesce(queued, false)) AS any_queued
  FROM {flags} GROUP BY id, flag_key),
-allowed AS (SELECT d.id, r.*, CASE WHEN r.flag = 'analytical.supervisor' THEN true
+allowed AS (SELECT d.id, r.*, CASE WHEN r.flag = 'analytical' THEN true
    WHEN h.flag_key IS NULL THEN true WHEN h.reset IS NULL THEN false WHEN h.started IS NULL THEN NULL
    ELSE date_trunc('second', h.reset) > date_trunc('second', h.started) END AS allowed
  FROM docs d CROSS JOIN req r LEFT JOIN head h ON h.id = d.id AND h.flag_key = r.flag),
@@ -190,23 +190,23 @@ PLAIN = STEPS[:-1]
 NO_ERROR = "resolved WHERE stage_key IS NOT NULL"
 
 SHARED_ROUTES = [
-    ("supervisor.ner", 0, "ner.leadmine.chemblactivityterms", "ner.chemistry", "queue"),
-    ("supervisor.ner", 1, "ner.leadmine.chemicalentities", "ner.chemistry", "queue"),
-    ("supervisor.ner", 2, "ner.leadmine.chemicalidentifiers", "ner.chemistry", "queue"),
-    ("supervisor.ner", 3, "ner.leadmine.poseidon", "ner.biology", "queue"),
-    ("supervisor.ner", 4, "ner.leadmine.geneprotein", "ner.biology", "queue"),
-] + [e for e in DEFAULT_ENTRIES if e[0] != "supervisor.ner"]
+    ("ner", 0, "ner.leadmine.chemblactivityterms", "ner.chemistry", "queue"),
+    ("ner", 1, "ner.leadmine.chemicalentities", "ner.chemistry", "queue"),
+    ("ner", 2, "ner.leadmine.chemicalidentifiers", "ner.chemistry", "queue"),
+    ("ner", 3, "ner.leadmine.poseidon", "ner.biology", "queue"),
+    ("ner", 4, "ner.leadmine.geneprotein", "ner.biology", "queue"),
+] + [e for e in DEFAULT_ENTRIES if e[0] != "ner"]
 
 CUSTOM_ENTRIES = DEFAULT_ENTRIES + [
-    ("supervisor.media", 0, "rawtext", "media.caption", "queue"),
-    ("supervisor.media", 1, "bounding_box", "media.objects", "queue"),
+    ("media", 0, "rawtext", "media.caption", "queue"),
+    ("media", 1, "bounding_box", "media.objects", "queue"),
 ]
-CUSTOM_STEPS = PLAIN + [("Media", "supervisor.media", "is_image OR is_audio OR is_video", False)]
+CUSTOM_STEPS = PLAIN + [("Media", "media", "is_image OR is_audio OR is_video", False)]
 
 FLAG_TEST_ENTRIES = [
-    ("supervisor.flag-test", 0, "rawtext", "supervisor.flag.one", "queue"),
-    ("supervisor.flag-test", 1, "tabular.totsv", "supervisor.flag.two", "queue"),
-    ("supervisor.flag-test", 2, "bounding_box", "supervisor.flag.three", "queue"),
+    ("flag-test", 0, "rawtext", "flag.one", "queue"),
+    ("flag-test", 1, "tabular.totsv", "flag.two", "queue"),
+    ("flag-test", 2, "bounding_box", "flag.three", "queue"),
 ]
 
 
@@ -328,7 +328,7 @@ FROM docs d LEFT JOIN new_flags n ON n.id = d.id GROUP BY d.id""",
 SELECT id, rule, stage_key, n_sends FROM resolved""",
         "custom_engine": f"""{msgs},{FIRST_ASKED},{_reset("flags", "asked")},{_allowed("renewed_flags", FLAG_TEST_ENTRIES)},
 sends AS (SELECT d.id, r.stage_key, r.ordinal, r.flag, r.route FROM docs d CROSS JOIN req r),{_selected("asked")}
-SELECT d.id, 'FlagTest' AS rule, 'supervisor.flag-test' AS stage_key, CAST(count(s.id) AS INTEGER) AS n_sends
+SELECT d.id, 'FlagTest' AS rule, 'flag-test' AS stage_key, CAST(count(s.id) AS INTEGER) AS n_sends
 FROM docs d JOIN firsts m ON m.id = d.id LEFT JOIN selected s ON s.id = d.id GROUP BY d.id""",
     }
     for rule in dict.fromkeys(step[0] for step in STEPS):

@@ -46,7 +46,7 @@ def messages(spark, *bodies):
 
 def _table(**stages):
     return RulesTable(
-        (f"supervisor.{stage.replace('__', '.')}", i, flag, route)
+        (f"{stage.replace('__', '.')}", i, flag, route)
         for stage, entries in stages.items()
         for i, (flag, route) in enumerate(entries)
     )
@@ -65,7 +65,7 @@ ENGINE_TABLE = _table(
     text=_same("rawtext"),
     image_intermediate=_same("pdf_intermediates"),
     bounding_box=[("bounding_boxes", "pdf_figures")],
-    analytical=_same("analytical.supervisor"),
+    analytical=_same("analytical"),
     ner=_same(*NER3),
 )
 
@@ -76,7 +76,7 @@ ANALYTICAL_TABLE = _table(
     text=_same("rawtext"),
     image_intermediate=_same("pdf_intermediates"),
     bounding_box=[("bounding_box", "pdf.figures")],
-    analytical=_same("analytical.supervisor"),
+    analytical=_same("analytical"),
     ner=_same(
         "ner.leadmine.chemblactivityterms",
         "ner.leadmine.chemicalentities",
@@ -85,8 +85,8 @@ ANALYTICAL_TABLE = _table(
     ),
 )
 
-FLAG_TEST = "supervisor.flag-test"
+FLAG_TEST = "flag-test"
 FLAG_TEST_TABLE = RulesTable(
-    (FLAG_TEST, i, f"supervisor.flag.{name}", f"supervisor.flag.{name}")
+    (FLAG_TEST, i, f"flag.{name}", f"flag.{name}")
     for i, name in enumerate(["one", "two", "three"])
 )

@@ -6,7 +6,7 @@ Independent of the library: only for comparison in tests.
 from docroute.functions import mimetypes as m
 from docroute.sources.rules import DEFAULT_ENTRIES
 
-NER = "supervisor.ner"
+NER = "ner"
 
 
 def _is(pattern):
@@ -16,17 +16,17 @@ def _is(pattern):
 
 
 STEPS = [
-    ("supervisor.tabular.totsv", lambda t: t in m.SPREADSHEET),
+    ("tabular.totsv", lambda t: t in m.SPREADSHEET),
     (NER, _is(m.TABULAR_TEXT_PATTERN)),
-    ("supervisor.tabular.analyse", lambda t: t in m.ANALYSABLE),
+    ("tabular.analyse", lambda t: t in m.ANALYSABLE),
     (NER, _is(m.HTML_PATTERN)),
     (NER, lambda t: t in m.XML),
     (NER, lambda t: t in m.TEXT),
-    ("supervisor.text", lambda t: t in m.OFFICE + m.SPREADSHEET),
-    ("supervisor.image_intermediate", lambda t: t == m.PDF),
-    ("supervisor.bounding_box", lambda t: t == m.PDF),
+    ("text", lambda t: t in m.OFFICE + m.SPREADSHEET),
+    ("image_intermediate", lambda t: t == m.PDF),
+    ("bounding_box", lambda t: t == m.PDF),
     (NER, _is(m.CHEMICAL_PATTERN)),
-    ("supervisor.analytical", lambda t: True),
+    ("analytical", lambda t: True),
 ]
 
 
@@ -44,7 +44,7 @@ def second(ts):
 
 def allowed(flags, key):
     own = [f for f in flags if f["key"] == key]
-    if key == "analytical.supervisor" or not own:
+    if key == "analytical" or not own:
         return True
     if own[0]["reset"] is None:
         return False
@@ -59,9 +59,9 @@ def sendables(flags, stage):
 
 def resolve(mimetype, flags):
     if mimetype in m.ARCHIVE:
-        done = [any(f["key"] == k and f["ended"] for f in flags) for k, _ in required("supervisor.archive")]
+        done = [any(f["key"] == k and f["ended"] for f in flags) for k, _ in required("archive")]
         if not all(done):
-            return "supervisor.archive", lambda: sendables(flags, "supervisor.archive")
+            return "archive", lambda: sendables(flags, "archive")
     for stage, fits in STEPS:
         if fits(mimetype):
             try:

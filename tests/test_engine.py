@@ -15,7 +15,7 @@ TSV = "text/tab-separated-values"
 EXCEL = "application/vnd.ms-excel"
 OFFICE = [t for t in m.OFFICE if t != "application/vnd.ms-cab-compressed"]
 
-NER = ("supervisor.ner", NER3)
+NER = ("ner", NER3)
 NONE = None
 
 
@@ -25,15 +25,15 @@ def each(types, expected):
 
 RESOLVE = [
     ("dummy/mimetype", [], NONE),
-    *each(m.SPREADSHEET, ("supervisor.tabular.totsv", ["tabular.totsv"])),
+    *each(m.SPREADSHEET, ("tabular.totsv", ["tabular.totsv"])),
     (TSV, [], NER),
     ("text/csv", [], NER),
     ("text/tab-custom", [ended(k) for k in NER3], NONE),
     *each(m.TEXT, NER),
-    *each(m.ARCHIVE, ("supervisor.archive", ["unarchive"])),
-    *each(OFFICE, ("supervisor.text", ["rawtext"])),
-    (PDF, [ended("prefetch"), ended("rawtext")], ("supervisor.image_intermediate", ["pdf_intermediates"])),
-    (PDF, [ended("rawtext"), ended("pdf_intermediates")], ("supervisor.bounding_box", ["pdf_figures"])),
+    *each(m.ARCHIVE, ("archive", ["unarchive"])),
+    *each(OFFICE, ("text", ["rawtext"])),
+    (PDF, [ended("prefetch"), ended("rawtext")], ("image_intermediate", ["pdf_intermediates"])),
+    (PDF, [ended("rawtext"), ended("pdf_intermediates")], ("bounding_box", ["pdf_figures"])),
     (PDF, [ended("rawtext"), ended("pdf_intermediates"), ended("bounding_boxes")], NONE),
     *each(["text/html", "text/webviewhtml", "text/x-server-parsed-html", "text/html; charset=utf-8"], NER),
     *each(["image/png", "image/tiff", "image/webp", "image/bmp", "image/vnd.microsoft.icon"], NONE),
@@ -44,17 +44,17 @@ RESOLVE = [
     (
         PDF,
         [ended("rawtext"), ended("pdf_intermediates", reset=LATER), ended("bounding_boxes", reset=LATER)],
-        ("supervisor.image_intermediate", ["pdf_intermediates"]),
+        ("image_intermediate", ["pdf_intermediates"]),
     ),
     (
         TSV,
         [ended(NER3[0]), ended(NER3[1], reset=LATER), ended(NER3[2], reset=LATER), begun("tabular.analysis")],
-        ("supervisor.ner", NER3[1:]),
+        ("ner", NER3[1:]),
     ),
     (
         TSV,
         [*map(ended, NER3), begun("tabular.analysis", reset=LATER)],
-        ("supervisor.tabular.analyse", ["tabular.analysis"]),
+        ("tabular.analyse", ["tabular.analysis"]),
     ),
     (TSV, [*map(ended, NER3), begun("tabular.analysis", reset=EARLIER)], NONE),
     # A reset within the second of the start does not count.
@@ -63,24 +63,24 @@ RESOLVE = [
     (
         PDF,
         [begun("rawtext"), begun("rawtext", reset=LATER)],
-        ("supervisor.image_intermediate", ["pdf_intermediates"]),
+        ("image_intermediate", ["pdf_intermediates"]),
     ),
-    (PDF, [begun("rawtext", reset=LATER), begun("rawtext")], ("supervisor.text", ["rawtext"])),
+    (PDF, [begun("rawtext", reset=LATER), begun("rawtext")], ("text", ["rawtext"])),
     # Archives: in progress stops the search, completed falls through, also after a reset.
-    ("application/gzip", [begun("unarchived")], ("supervisor.archive", [])),
+    ("application/gzip", [begun("unarchived")], ("archive", [])),
     ("application/gzip", [ended("unarchived")], NONE),
     ("application/gzip", [ended("unarchived", reset=LATER)], NONE),
-    ("application/gzip", [begun("unarchived", reset=LATER)], ("supervisor.archive", ["unarchive"])),
+    ("application/gzip", [begun("unarchived", reset=LATER)], ("archive", ["unarchive"])),
     (
         "application/vnd.ms-cab-compressed",
         [begun("unarchived"), ended("unarchived")],
-        ("supervisor.text", ["rawtext"]),
+        ("text", ["rawtext"]),
     ),
-    (EXCEL, [ended("tabular.totsv")], ("supervisor.text", ["rawtext"])),
+    (EXCEL, [ended("tabular.totsv")], ("text", ["rawtext"])),
     # A reset of a flag that never started is an error, if its stage is reached.
-    (PDF, [flag("rawtext", reset=LATER)], ("supervisor.text", "reset_without_start")),
-    ("text/plain", [flag(NER3[1], reset=LATER)], ("supervisor.ner", "reset_without_start")),
-    (PDF, [flag("pdf_intermediates", reset=LATER)], ("supervisor.text", ["rawtext"])),
+    (PDF, [flag("rawtext", reset=LATER)], ("text", "reset_without_start")),
+    ("text/plain", [flag(NER3[1], reset=LATER)], ("ner", "reset_without_start")),
+    (PDF, [flag("pdf_intermediates", reset=LATER)], ("text", ["rawtext"])),
 ]
 
 
@@ -124,7 +124,7 @@ RULES = [
     ("PDF", PDF, [], ["pdf_intermediates"]),
     ("PDF", PDF, [ended("pdf_intermediates")], ["pdf_figures"]),
     ("PDF", PDF, [ended("pdf_intermediates"), ended("bounding_boxes")], None),
-    ("Analytical", "image/jpeg", [ended("analytical.supervisor")], ["analytical.supervisor"]),
+    ("Analytical", "image/jpeg", [ended("analytical")], ["analytical"]),
     ("Image", "image/jpeg", [], None),
 ]
 
@@ -142,9 +142,9 @@ def test_analytical_comes_last(spark):
     df = h.documents(spark, (PDF, flags), (PDF, flags[:2]), ("application/gzip", [begun("unarchived")]))
     got = outcomes(Engine.default(True, h.ANALYTICAL_TABLE), df)
     assert got == [
-        ("supervisor.analytical", ["analytical.supervisor"]),
-        ("supervisor.bounding_box", ["pdf.figures"]),
-        ("supervisor.archive", []),
+        ("analytical", ["analytical"]),
+        ("bounding_box", ["pdf.figures"]),
+        ("archive", []),
     ]
 
 
@@ -161,12 +161,12 @@ def test_resolve_does_not_depend_on_the_session_time_zone(spark):
 
 def test_unknown_route_type_raises():
     with pytest.raises(ValueError, match="something"):
-        RulesTable([Required("supervisor.someprocess", 0, "flag", "route", "something")])
+        RulesTable([Required("someprocess", 0, "flag", "route", "something")])
 
 
 def test_unknown_stage_raises(spark):
-    with pytest.raises(ValueError, match="supervisor.nowhere"):
-        Engine([Rule("Nowhere", F.lit(True), ["supervisor.nowhere"])])
+    with pytest.raises(ValueError, match="nowhere"):
+        Engine([Rule("Nowhere", F.lit(True), ["nowhere"])])
 
 
 def test_rules_table_round_trip(spark, tmp_path):

@@ -154,7 +154,7 @@ def test_distinct_routes_keeps_the_first(spark):
 def send_to(*names):
     """A resolver that always sends to these queues."""
     sends = ", ".join(
-        f"named_struct('ordinal', {i}, 'flag', 'supervisor.flag.{n}', 'route', 'supervisor.flag.{n}')"
+        f"named_struct('ordinal', {i}, 'flag', 'flag.{n}', 'route', 'flag.{n}')"
         for i, n in enumerate(names)
     )
     text = (
@@ -163,7 +163,7 @@ def send_to(*names):
     return lambda df: df.withColumn("resolution", F.expr(text).cast(RESOLUTION_TYPE))
 
 
-ONE, TWO, THREE = (f"supervisor.flag.{n}" for n in ("one", "two", "three"))
+ONE, TWO, THREE = (f"flag.{n}" for n in ("one", "two", "three"))
 
 
 def handle_one(spark, flags, names, reset=()):
