@@ -41,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docroute.llm import exchange
@@ -57,12 +57,14 @@ CELL_BITS = 26
 LARGEST_LIGHT = 64
 #: A list is split by a further member if its pairs across classes may be more
 #: than the square of this.
-LONG_LIST = 64
-#: Rounds of comparing the members of each list with ends of it, and how many
-#: ends a member is compared with in each round.  What links this leaves over is
-#: found among the pairs across classes.
-STAR_ROUNDS = 3
-ENDS = [2, 8]
+LONG_LIST = 1024
+#: Rounds of comparing the members of each list with ends of it, at most, and how
+#: many ends a member is compared with in each round.  What links this leaves over
+#: is found among the pairs across classes; rounds end when less than one pair in
+#: ``FEW_LINKS`` is linked.
+STAR_ROUNDS = 6
+ENDS = [2, 16, 64]
+FEW_LINKS = 10
 
 
 class Sets:
@@ -172,6 +174,13 @@ def boundary(costs: list[tuple[int, float, float]]) -> int:
     return min(range(LARGEST_LIGHT + 1), key=cost)
 
 
+def _few(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in short slices, since each row holds a whole set."""
+    for batch in batches:
+        for lo in range(0, len(batch), rows):
+            yield batch.slice(lo, rows)
+
+
 LISTS = "sig long, node long, n long, pos int"
 
 
@@ -181,7 +190,7 @@ def _postings(sets: DataFrame, light: int) -> DataFrame:
     two sets share, ``pos`` members of either are known not to be shared."""
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _few(batches):
             sigs, places, nodes, sizes, times = [], [], [], [], []
             for node, n, singles, body in zip(*(batch.column(c).to_pylist() for c in ("node", "n", "singles", "body"))):
                 if n < 2:
@@ -224,7 +233,7 @@ def _split_lists(sets: DataFrame, long: DataFrame) -> DataFrame:
     joined = long.join(sets.select("node", "body"), "node")
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _few(batches):
             sigs, places, nodes, sizes, times = [], [], [], [], []
             for sig, node, n, pos, body in zip(*(batch.column(c).to_pylist() for c in ("sig", "node", "n", "pos", "body"))):
                 members = np.frombuffer(body, "<u8")[: int(allowed_misses(np.int64(n))) + 2]
@@ -249,7 +258,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     right = sets.select(F.col("node").alias("v"), F.col("body").alias("b"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _few(batches):
             linked = []
             for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
                 a, b = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
@@ -288,16 +297,24 @@ def _largest(rows: DataFrame) -> DataFrame:
 
 def _star_pairs(rows: DataFrame, turn: int) -> DataFrame:
     """Pairs of each member with ends of its lists, those it shares most lists
-    with.  At first the ends are the same for all lists; later each list has ends
-    of its own from its largest class, so a member meets several of that class."""
+    with.  An end of a list is the member of its largest class with the fewest
+    members ahead of the common one, which is near to many; later also others of
+    that class, different ones for each list and turn."""
     few = ENDS[min(turn, len(ENDS) - 1)]
     from_class = rows if not turn else rows.join(_largest(rows), "sig").filter("class = largest")
-    place = F.xxhash64("sig", "node", F.lit(turn)) if turn else F.col("node")
-    member = F.struct(place.alias("place"), F.col("node").alias("v"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("class").alias("class2"))
-    ends = from_class.groupBy("sig").agg(F.array(F.min(member), F.max(member)).alias("ends")).select("sig", F.inline("ends"))
+
+    def end(*order: Column) -> Column:
+        own = [F.col("node").alias("v"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("class").alias("class2")]
+        return F.struct(F.struct(*order).alias("place"), *own)
+
+    chosen = [F.min(end(F.col("pos"), F.col("node")))]
+    for k in range(2 * turn):
+        place = end(F.hash("sig", "node", F.lit(turn), F.lit(k)).alias("pos"), F.col("node"))
+        chosen.append(F.min(place))
+    ends = from_class.groupBy("sig").agg(F.array(*chosen).alias("ends")).select("sig", F.inline("ends"))
     met = rows.join(ends, "sig").filter(F.col("class") != F.col("class2")).filter(_NEAR)
     shared = met.select(F.col("node").alias("u"), "v").groupBy("u", "v").agg(F.count("*").alias("times"))
-    # A member has two ends for each member of its prefix at most.
+    # A member has a few ends for each member of its prefix at most.
     best = Window.partitionBy("u").orderBy(F.desc("times"), "v")
     return shared.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= few).select("u", "v")
 
@@ -317,21 +334,29 @@ def _cross_pairs(rows: DataFrame, tried: DataFrame) -> DataFrame:
 
 
 def _work(rows: DataFrame) -> DataFrame:
-    """The lists whose pairs across classes are too many to form as they are."""
+    """(sig, pairs): how many pairs across classes a list has, about."""
     sizes = rows.groupBy("sig", "class").agg(F.count("*").alias("members"))
     lists = sizes.groupBy("sig").agg(F.sum("members").alias("m"), F.max("members").alias("largest"))
-    return lists.filter(F.col("m") * (F.col("m") - F.col("largest")) > LONG_LIST * LONG_LIST).select("sig")
+    return lists.select("sig", (F.col("m") * (F.col("m") - F.col("largest"))).alias("pairs"))
 
 
-def _classes(links: DataFrame | None) -> DataFrame | None:
-    return None if links is None else cut_lineage(components(links).withColumnRenamed("component", "class"))
+def _merged(classes: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, class) after further links: the classes they join become one."""
+    if classes is None:
+        return cut_lineage(components(links).withColumnRenamed("component", "class"))
+    of_u, of_v = (classes.select(F.col("node").alias(c), F.col("class").alias(f"class_{c}")) for c in "uv")
+    edges = links.join(of_u, "u", "left").join(of_v, "v", "left")
+    edges = edges.select(F.coalesce("class_u", "u").alias("u"), F.coalesce("class_v", "v").alias("v"))
+    joined = components(edges).select(F.col("node").alias("class"), F.col("component").alias("larger"))
+    moved = classes.join(joined, "class", "left").select("node", F.coalesce("larger", "class").alias("class"))
+    fresh = joined.select(F.col("class").alias("node"), F.col("larger").alias("class")).join(classes, "node", "left_anti")
+    return cut_lineage(moved.union(fresh))
 
 
 def joined(docs: DataFrame, shingle: int = SHINGLE, star_rounds: int = STAR_ROUNDS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents, links, classes): doc_id, n, node of every document; the checked
     links (u, v) that join the sets into classes; node, class of linked sets."""
     found = _candidates(docs, shingle)
-    spark = docs.sparkSession
     bodies = found.filter("node IS NOT NULL")
     sets = cut_lineage(bodies.select("node", "n", "singles", "subsets", "scans", "body").dropDuplicates(["node"]))
     costs = (
@@ -343,22 +368,22 @@ def joined(docs: DataFrame, shingle: int = SHINGLE, star_rounds: int = STAR_ROUN
     light = boundary([tuple(r) for r in costs.collect()])
     lists = cut_lineage(_classed(_postings(sets, light), None).drop("class"))
 
-    tried = links = classes = None
+    tried = classes = None
+    rows = lists.withColumn("class", F.col("node"))
     for turn in range(star_rounds):
-        rows = _classed(lists, classes)
         checked = cut_lineage(_verified(_star_pairs(rows, turn), sets))
         tried = checked if tried is None else tried.union(checked)
-        links = tried.filter("linked").select("u", "v")
-        classes = _classes(links)
-
-    rows = cut_lineage(_classed(lists, classes))
-    long = cut_lineage(_work(rows))
+        classes = _merged(classes, checked.filter("linked").select("u", "v"))
+        rows = cut_lineage(_classed(lists, classes))
+        if checked.filter("linked").count() * FEW_LINKS < checked.count():
+            break
+    long = cut_lineage(_work(rows).filter(F.col("pairs") > LONG_LIST * LONG_LIST).select("sig"))
     if not long.isEmpty():
         split = _split_lists(sets, rows.join(long, "sig", "left_semi").select("sig", "node", "n", "pos"))
         rows = cut_lineage(rows.join(long, "sig", "left_anti").unionByName(_classed(split, classes)))
     checked = cut_lineage(_verified(_cross_pairs(rows, tried), sets))
+    classes = _merged(classes, checked.filter("linked").select("u", "v"))
     links = tried.union(checked).filter("linked").select("u", "v")
-    classes = _classes(links)
     return found.select("doc_id", "n", "node"), links, classes
 
 
