@@ -119,3 +119,14 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
         "event_id AS seq", "CAST(ts AS TIMESTAMP_NTZ) AS ts", f"{body} AS body"
     )
+
+
+def hot_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages, a third of which name one document and a seventh one that
+    does not exist."""
+    key, hot, missing = '"id":"[0-9a-f]{24}"', f'"id":"{16:024x}"', f'{{"id":"{999_999_999:024x}"}}'
+    body = (
+        f"CASE WHEN seq % 7 = 1 THEN '{missing}'"
+        f" WHEN seq % 3 = 0 THEN regexp_replace(body, '{key}', '{hot}') ELSE body END"
+    )
+    return messages(spark, sf_dir).selectExpr("seq", "ts", f"{body} AS body")

@@ -150,18 +150,22 @@ def can_queue(flag: str, reset: str = "reset", flags: str = "doclib") -> Column:
 # -- updates -----------------------------------------------------------------------
 
 
-def _is_latest_sql(flag: str, index: str, flags: str) -> str:
-    """Is this the entry of its key that started last?  (The first of equals;
-    entries that never started come last.)"""
-    rank = (
-        f"transform({flags}, (other, place) -> CASE WHEN other.key = {flag}.key"
-        " THEN named_struct('started', other.started, 'place', -place) END)"
+def _latest_places_sql(flags: str) -> str:
+    """The places of the entries of their key that started last (the first of
+    equals; entries that never started come last), in order: the array is sorted
+    by key once, and the last of each run is kept."""
+    ranked = (
+        f"array_sort(transform({flags}, (f, at) -> named_struct("
+        "'key', f.key, 'started', f.started, 'before', -at)))"
     )
-    return f"array_max({rank}).place = -{index}"
+    lasts = "filter(ranked, (r, i) -> NOT (get(ranked, i + 1).key <=> r.key))"
+    return let_sql(ranked, "ranked", f"array_sort(transform({lasts}, r -> -r.before))")
 
 
 def latest_flags_sql(flags: str = "doclib") -> str:
-    return f"filter({flags}, (latest, at) -> {_is_latest_sql('latest', 'at', flags)})"
+    return let_sql(
+        flags, "all_flags", f"transform({_latest_places_sql('all_flags')}, place -> get(all_flags, place))"
+    )
 
 
 def latest_flag_per_key(flags: str = "doclib") -> Column:
@@ -169,7 +173,7 @@ def latest_flag_per_key(flags: str = "doclib") -> Column:
     return F.expr(latest_flags_sql(flags))
 
 
-def _with_sql(flag: str, **changed: str) -> str:
+def with_sql(flag: str, **changed: str) -> str:
     fields = ", ".join(
         f"'{name}', {changed.get(name, f'{flag}.{name}')}" for name in FLAG_TYPE.fieldNames()
     )
@@ -179,10 +183,10 @@ def _with_sql(flag: str, **changed: str) -> str:
 def stamp_resets_sql(flags: str, stamp: Callable[[str], str]) -> str:
     """Collapse and stamp the flags for which ``stamp(key)`` gives a time;
     leave the others as they are."""
-    kept = (
-        f"filter({flags}, (own, at) -> {stamp('own.key')} IS NULL OR {_is_latest_sql('own', 'at', flags)})"
-    )
-    stamped = _with_sql("kept", reset=f"coalesce({stamp('kept.key')}, kept.reset)")
+    plain = f"filter(transform({flags}, (own, at) -> CASE WHEN {stamp('own.key')} IS NULL THEN at END), at -> at IS NOT NULL)"
+    places = f"array_sort(array_union({_latest_places_sql(flags)}, {plain}))"
+    kept = f"transform({places}, place -> get({flags}, place))"
+    stamped = with_sql("kept", reset=f"coalesce({stamp('kept.key')}, kept.reset)")
     return f"transform({kept}, kept -> {stamped})"
 
 
@@ -219,7 +223,7 @@ def new_flag_sql(key: str, reset: str = "NULL") -> str:
 
 def mark_queued_sql(selected: str, flags: str = "doclib") -> str:
     queued = f"CASE WHEN array_contains({selected}, own.key) THEN true ELSE own.queued END"
-    return f"transform({flags}, own -> {_with_sql('own', queued=queued)})"
+    return f"transform({flags}, own -> {with_sql('own', queued=queued)})"
 
 
 def queue_flags(selected: str = "sends.flag", flags: str = "doclib") -> Column:

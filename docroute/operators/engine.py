@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -110,7 +111,13 @@ class Engine:
                 f" 'marked', {quote(marked)}, 'marked_place', {self.flags.index(marked)})"
             )
 
-        stages = [f"array({', '.join(map(entry, self.table.stage(key)))})" for key in self.stage_keys]
+        kind = (
+            "array<struct<ordinal: int, flag: string, route: string, place: int,"
+            " earlier: array<int>, marked: string, marked_place: int>>"
+        )
+        stages = [
+            f"CAST(array({', '.join(map(entry, self.table.stage(key)))}) AS {kind})" for key in self.stage_keys
+        ]
         return f"array({', '.join(stages)})"
 
     def choose_sql(self, eligible: str, allowed: str, ended: EntryTest) -> str:
@@ -159,6 +166,14 @@ class Engine:
         conditions = [F.coalesce(step.condition, F.lit(False)) for step in self.steps]
         return F.array(*conditions).cast("array<boolean>")
 
+    def reads_flags(self, documents: DataFrame) -> bool:
+        """Does a condition look at the flags of the documents?"""
+        try:
+            documents.drop("doclib").select(self.eligible())
+        except AnalysisException:
+            return True
+        return False
+
     # -- operators over documents ---------------------------------------------
 
     def resolve(self, documents: DataFrame, column: str = "resolution") -> DataFrame:

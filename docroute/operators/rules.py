@@ -28,8 +28,9 @@ class Stage:
 class Rule:
     """Documents that meet ``condition`` enter the first of ``stages`` that has
     something to send.  A rule without stages recognises documents and routes
-    none of them.  Conditions are columns over the documents and must not
-    look at the flags: those belong to the stages.
+    none of them.  Conditions are columns over the documents.  One that looks at
+    the flags (``doclib``) sees them as they are when the message is handled;
+    logs with such rules are handled in rounds.
     """
 
     name: str
@@ -70,5 +71,6 @@ def default_rules(analytical: bool = False, mimetype: str = "mimetype") -> list[
         Rule("Image", m.is_image(mimetype)),
         Rule("Audio", m.is_audio(mimetype)),
         Rule("Video", m.is_video(mimetype)),
-        Rule("Analytical", F.lit(analytical), ["analytical"]),
+        # Switched off, it reaches no stage, so the table need not have one.
+        Rule("Analytical", F.lit(analytical), ["analytical"] if analytical else []),
     ]

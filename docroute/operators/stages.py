@@ -5,6 +5,8 @@ The entries are literals in the row, so these multiply rows without a join.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,10 +15,16 @@ from docroute.functions.flags import let_sql, quote, strings_sql
 from docroute.sources.rules import RulesTable
 
 
-def head_flags(documents: DataFrame) -> DataFrame:
-    """The first flag of every key of a document."""
-    first = "filter(doclib, (f, at) -> array_position(doclib.key, f.key) = at + 1)"
-    return flag_rows(documents.withColumn("doclib", F.expr(first))).drop("version")
+def head_flags(documents: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Every key against every document: is there such a flag, and the first one."""
+    rows = F.array(
+        *[
+            F.struct(F.lit(key).alias("flag_key"), ff.has_flag(key).alias("has_flag"), ff.head_flag(key).alias("head"))
+            for key in keys
+        ]
+    )
+    fields = ["started", "ended", "reset", "queued"]
+    return documents.select("id", F.inline(rows)).select("id", "flag_key", "has_flag", *[f"head.{c}" for c in fields])
 
 
 def sends_of(selected: DataFrame, sends: str = "sends") -> DataFrame:
@@ -80,27 +88,37 @@ def stage_sendables(
 
 def stage_progress(documents: DataFrame, table: RulesTable) -> DataFrame:
     """For every stage: have all required flags ended, do all of them exist?"""
-    stages = ", ".join(
-        f"named_struct('stage_key', {quote(key)}, 'flags', {strings_sql(table.flags(key))})"
-        for key in table.stages()
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(key).alias("stage_key"),
+                ff.completed(table.flags(key)).alias("completed"),
+                ff.started(table.flags(key)).alias("started_all"),
+            )
+            for key in table.stages()
+        ]
     )
-    progress = let_sql(
-        ff.ended_keys_sql(),
-        "ended",
-        f"transform(array({stages}), s -> named_struct('stage_key', s.stage_key,"
-        f" 'completed', forall(s.flags, key -> {ff.contains_sql('ended', 'key')}),"
-        f" 'started_all', forall(s.flags, key -> {ff.contains_sql('doclib.key', 'key')})))",
-    )
-    return documents.selectExpr("id", f"inline_outer({progress})")
+    return documents.select("id", F.inline(rows))
+
+
+def queued_flags(documents: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Every key against every document: has an entry of it been queued?"""
+    rows = [F.struct(F.lit(key).alias("flag"), ff.is_queued(key).alias("is_queued")) for key in keys]
+    return documents.select("id", F.inline(F.array(*rows)))
+
+
+def queueable_flags(rows: DataFrame, keys: Sequence[str], reset: str, *columns: str) -> DataFrame:
+    """Every key against every row of messages with documents: may it be queued,
+    given the list in the column ``reset``?"""
+    tested = [F.struct(F.lit(key).alias("flag"), ff.can_queue(key, reset).alias("can_queue")) for key in keys]
+    return rows.select(*columns, F.inline(F.array(*tested)))
 
 
-def queueable_flags(documents: DataFrame, flags: list[str], reset: str) -> DataFrame:
-    """Every flag against every document: may it be queued, given the list in
-    the column ``reset``?"""
-    tested = let_sql(
-        ff.queued_keys_sql(),
-        "queued",
-        f"transform({strings_sql(flags)}, key -> named_struct('flag', key,"
-        f" 'can_queue', {ff.contains_sql(reset, 'key')} OR NOT {ff.contains_sql('queued', 'key')}))",
+def matched_entries(resolved: DataFrame, table: RulesTable) -> DataFrame:
+    """The allowed entries of the stage that a document resolved to, as ``sends``
+    that may name a queue more than once."""
+    allowed = stage_sendables(resolved, table).groupBy("id", "stage_key").agg(
+        F.array_sort(F.collect_list(F.struct("ordinal", "flag", "route"))).alias("sends")
     )
-    return documents.selectExpr("id", f"inline_outer({tested})")
+    chosen = resolved.filter("resolution.error IS NULL").select("id", "resolution")
+    return chosen.withColumn("stage_key", F.col("resolution.stage_key")).join(allowed, ["id", "stage_key"]).drop("stage_key")

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docroute.functions import flags as ff
-from docroute.sources.documents import cut_lineage
 
 
 def latest_flag_per_key(documents: DataFrame) -> DataFrame:
@@ -42,16 +41,19 @@ def resets_per_document(resets: DataFrame, documents: DataFrame, keys: Sequence[
 def reset_flags(documents: DataFrame, messages: DataFrame) -> DataFrame:
     """Apply the reset lists of decoded messages: the named flags collapse to
     their most current entry, stamped with the time of the last message that
-    names them.  ``started`` and ``ended`` stay."""
-    # Written, since it is read twice and the messages are many.
-    asked = resets_per_document(cut_lineage(last_resets(messages)), documents)
-    stamped = ff.stamp_resets_sql(
-        "doclib", lambda key: f"get(resets.ts, CAST(array_position(resets.key, {key}) AS INT) - 1)"
-    )
+    names them.  ``started`` and ``ended`` stay.
+
+    The last resets are aggregated before they are shuffled, and meet the
+    documents on the id they are then grouped by.  A document's list holds every
+    key that its messages name; keys that it lacks change nothing.
+    """
+    last = messages.select("id", "seq", "ts", F.explode("reset").alias("key")).groupBy("id", "key").agg(F.max_by("ts", "seq").alias("ts"))
+    asked = last.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("key", "ts"))).alias("__resets"))
+    stamped = ff.stamp_resets_sql("doclib", lambda key: f"try_element_at(__resets, {key})")
     return (
         documents.join(asked, "id", "left")
-        .withColumn("doclib", F.expr(f"CASE WHEN resets IS NULL THEN doclib ELSE {stamped} END"))
-        .drop("resets")
+        .withColumn("doclib", F.expr(f"CASE WHEN __resets IS NULL THEN doclib ELSE {stamped} END"))
+        .drop("__resets")
     )
 
 
@@ -59,8 +61,3 @@ def reset_changed(messages: DataFrame, documents: DataFrame) -> DataFrame:
     """Per message with a document: does its reset list change anything?"""
     joined = messages.join(documents.select("id", F.col("doclib").alias("__doclib")), "id")
     return joined.withColumn("changed", ff.reset_changed("reset", "__doclib")).drop("__doclib")
-
-
-def queue_flags(selected: DataFrame) -> DataFrame:
-    """Mark the flags of ``sends`` as queued in ``doclib``, adding missing ones."""
-    return selected.withColumn("doclib", ff.queue_flags())

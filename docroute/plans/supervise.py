@@ -1,144 +1,59 @@
-"""The full handling of a batch with one message per document."""
+"""The full handling of messages, with any rules or resolver.
+
+Every message of every document is handled, in the order of ``seq``: its resets,
+the resolution, the sends and their marks.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from docroute.functions import flags as ff
-from docroute.functions.flags import quote
-from docroute.functions.messages import MISSING_DOCUMENT
-from docroute.operators.engine import NO_SENDS, Engine, select_sends
-from docroute.schema import FLAGS_TYPE, SENDS_TYPE
+from docroute.operators.engine import Engine
+from docroute.plans.results import SupervisedLog
+from docroute.plans.supervise_log import DECODED_COLUMNS, supervise_decoded
+from docroute.plans.supervise_rounds import supervise_rounds
+from docroute.sources.documents import Work
 from docroute.sources.messages import decode_messages
 from docroute.sources.rules import RulesTable
-from docroute.sources.sinks import dead_letters, outgoing
-
-RESULT_COLUMNS = ["seq", "ts", "id", "status", "rule", "stage_key", "sends", "reason"]
-
-
-def status(reason: Column, stage_key: Column, sends: Column) -> Column:
-    """What became of a message: the reason it failed, ``no_match``, ``held``
-    (a stage matched, but there is nothing to send) or ``sent``."""
-    return (
-        F.when(reason.isNotNull(), reason)
-        .when(stage_key.isNull(), F.lit("no_match"))
-        .when(F.size(sends) > 0, F.lit("sent"))
-        .otherwise(F.lit("held"))
-    )
-
-
-def failed_results(messages: DataFrame) -> DataFrame:
-    """Result rows for messages that carry a ``reason``."""
-    none = F.lit(None).cast("string")
-    return messages.select(
-        "seq",
-        "ts",
-        "id",
-        F.col("reason").alias("status"),
-        none.alias("rule"),
-        none.alias("stage_key"),
-        F.array().cast(SENDS_TYPE).alias("sends"),
-        "reason",
-    )
-
-
-@dataclass
-class Supervised:
-    """``handled`` holds a row per handled or undecodable message, with the new
-    flags of its document; all but ``deferred`` is derived from it.  Write
-    ``handled`` once if several of the outputs are needed."""
-
-    handled: DataFrame
-    decoded: DataFrame
-
-    @property
-    def deferred(self) -> DataFrame:
-        """The messages after the first of their document."""
-        valid = self.decoded.filter("reason is null").select("seq", "ts", "id", "reset")
-        first = valid.groupBy("id").agg(F.min("seq").alias("seq"))
-        # Keyed by id and seq, so a document with most of the messages is no hot key.
-        return valid.join(first, ["id", "seq"], "left_anti")
 
-    @property
-    def results(self) -> DataFrame:
-        return self.handled.select(*RESULT_COLUMNS)
-
-    @property
-    def sends(self) -> DataFrame:
-        return outgoing(self.handled)
-
-    @property
-    def dead_letters(self) -> DataFrame:
-        return dead_letters(self.results)
-
-    @property
-    def documents(self) -> DataFrame:
-        """New flags (id, doclib) of the documents that were handled."""
-        return self.handled.filter("found").select("id", "doclib")
-
-
-def first_per_document(decoded: DataFrame) -> DataFrame:
-    """The message with the lowest seq of every document, pre-aggregated."""
-    first = decoded.groupBy("id").agg(F.min_by(F.struct("seq", "ts", "reset"), "seq").alias("m"))
-    return first.select("m.seq", "m.ts", "id", "m.reset")
+Resolver = Engine | Callable[[DataFrame], DataFrame]
 
 
 def supervise(
     messages: DataFrame,
     documents: DataFrame,
-    resolver: Engine | Callable[[DataFrame], DataFrame],
+    resolver: Resolver,
     table: RulesTable | None = None,
-) -> Supervised:
-    """Handle the first message of every document: reset its flags, resolve,
-    select the sends and mark their flags as queued.
+    keep: bool = False,
+) -> SupervisedLog:
+    """Handle all messages.
 
     ``resolver`` is an engine, or any function that adds a ``resolution`` column
-    to documents.  Messages after the first of a document come back as
-    ``deferred``; ``supervise_log`` handles whole logs.
+    to documents and keeps their other columns; its sends are looked up in ``table``.  ``keep`` saves
+    what the outputs have in common, for callers that use several of them.
     """
-    resolve = resolver.resolve if isinstance(resolver, Engine) else resolver
-    if table is None and isinstance(resolver, Engine):
-        table = resolver.table
-    decoded = decode_messages(messages)
-    # Failed messages go along under keys of their own, so that all messages are
-    # decoded and shuffled once.
-    first = (
-        decoded.withColumn("__key", F.expr("CASE WHEN reason IS NULL THEN id ELSE concat('!', seq) END"))
-        .groupBy("__key")
-        .agg(F.min_by(F.struct("seq", "ts", "id", "reset", "reason"), "seq").alias("m"))
-        .selectExpr(
-            "__key", "m.seq", "m.ts", "m.reset AS __reset", "m.id AS __id", "m.reason AS __reason"
-        )
-    )
-    found = documents.withColumns(
-        {
-            "doclib": F.coalesce("doclib", F.array().cast(FLAGS_TYPE)),
-            "__key": F.col("id"),
-            "found": F.lit(True),
-        }
-    )
-    reset = first.join(found, "__key", "left").withColumn("doclib", ff.apply_reset("__reset", "ts"))
-    selected = select_sends(resolve(reset), table, "__reset")
-    handled = (
-        selected.selectExpr(
-            "seq",
-            "ts",
-            "__id AS id",
-            "CASE WHEN found THEN resolution.rule END AS rule",
-            "CASE WHEN found THEN resolution.stage_key END AS stage_key",
-            f"CASE WHEN found AND resolution.error IS NULL THEN sends ELSE {NO_SENDS} END AS sends",
-            "coalesce(__reason, CASE WHEN found THEN resolution.error"
-            f" ELSE {quote(MISSING_DOCUMENT)} END) AS reason",
-            "coalesce(found, false) AS found",
-            "__reset AS reset",
-            "doclib",
-        )
-        .withColumn("status", status(F.col("reason"), F.col("stage_key"), F.col("sends")))
-        .withColumn("doclib", ff.queue_flags())
-        .select(*RESULT_COLUMNS, "found", "reset", "doclib")
-    )
-    return Supervised(handled, decoded)
+    work = Work(messages.sparkSession)
+    decoded = work.table(decode_messages(messages).select(*DECODED_COLUMNS))
+    return handle_decoded(decoded, documents, resolver, work, table, keep)
+
+
+def handle_decoded(
+    decoded: DataFrame,
+    documents: DataFrame,
+    resolver: Resolver,
+    work: Work,
+    table: RulesTable | None = None,
+    keep: bool = False,
+) -> SupervisedLog:
+    """``supervise`` for decoded messages.  An engine whose conditions do not look
+    at the flags has a closed form; anything else is handled in rounds."""
+    if isinstance(resolver, Engine):
+        if not resolver.reads_flags(documents):
+            return supervise_decoded(decoded, documents, resolver, work, keep=keep)
+        resolver, table = resolver.resolve, table or resolver.table
+    log = supervise_rounds(decoded, documents, resolver, table or RulesTable.default(), work)
+    if keep:
+        log.results = work.table(log.results)
+    return log

@@ -16,29 +16,35 @@ first send.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from docroute.functions import flags as ff
-from docroute.functions.flags import let_sql, quote
+from docroute.functions.flags import let_sql, quote, strings_sql
 from docroute.functions.messages import MISSING_DOCUMENT, RESET_WITHOUT_START
 from docroute.operators.engine import NO_SENDS, SENDS, Engine
 from docroute.operators.updates import last_resets, resets_per_document
-from docroute.plans.supervise import RESULT_COLUMNS, failed_results, status
-from docroute.sources.documents import cut_lineage
+from docroute.plans.results import RESULT_COLUMNS, SupervisedLog, failed_results, status
+from docroute.sources.documents import Work
 from docroute.sources.messages import decode_messages
 
 # Documents with more messages than this are solved in parallel rounds.
 HOT_MESSAGES = 2_000
+# Messages per task of the fold.
+FOLD_MESSAGES = 20_000
 # Messages per task in those rounds.
 PIECE_MESSAGES = 1_000_000
+# Logs up to this long are looked at as a whole in every round.
+SHORT_LOG = 64
 # Up to this many document ids (24 characters each) are broadcast.
 BROADCAST_IDS = 100_000
-# Up to this many pieces (a few kilobytes each) are broadcast.
-BROADCAST_PIECES = 20_000
+# Up to this many bytes of what the pieces need are broadcast.
+BROADCAST_BYTES = 64_000_000
+# Bytes per flag and per piece that this is reckoned by.
+FLAG_BYTES, PIECE_BYTES = 250, 1_000
 
 DECODED_COLUMNS = ["seq", "ts", "id", "reset", "reason"]
 
@@ -47,15 +53,6 @@ OUTCOME = f"struct<seq: bigint, ts: timestamp_ntz, step: int, failed: boolean, s
 STATE = f"struct<resets: array<{RESET}>, since: array<bigint>, log: array<{OUTCOME}>>"
 
 
-@dataclass
-class SupervisedLog:
-    """``results`` has a row per message, ``documents`` the new flags (id,
-    doclib) of every document that was named."""
-
-    results: DataFrame
-    documents: DataFrame
-
-
 def supervise_log(
     messages: DataFrame,
     documents: DataFrame,
@@ -63,43 +60,48 @@ def supervise_log(
     hot_messages: int = HOT_MESSAGES,
     piece_messages: int = PIECE_MESSAGES,
     keep: bool = False,
+    work: Work | None = None,
 ) -> SupervisedLog:
     """Handle every message in the order of ``seq``, which must be unique.
 
-    ``keep`` saves the fold, for callers that use both outputs.
+    ``keep`` saves the fold, for callers that use several outputs.
     """
-    decoded = cut_lineage(decode_messages(messages).select(*DECODED_COLUMNS))
-    return supervise_decoded(decoded, documents, engine, hot_messages, piece_messages, keep)
+    work = work or Work(messages.sparkSession)
+    decoded = work.table(decode_messages(messages).select(*DECODED_COLUMNS))
+    return supervise_decoded(decoded, documents, engine, work, hot_messages, piece_messages, keep)
 
 
 def supervise_decoded(
     decoded: DataFrame,
     documents: DataFrame,
     engine: Engine,
+    work: Work,
     hot_messages: int = HOT_MESSAGES,
     piece_messages: int = PIECE_MESSAGES,
     keep: bool = False,
 ) -> SupervisedLog:
     """``supervise_log`` for decoded messages, which are read several times."""
+    if engine.reads_flags(documents):
+        raise ValueError("a rule's condition looks at the flags: use supervise(), which handles such rules in rounds")
     valid = decoded.filter("reason is null").select("seq", "ts", "id", "reset")
     failed = failed_results(decoded.filter("reason is not null"))
     prepared = _prepare(documents, engine)
 
-    hot = cut_lineage(valid.groupBy("id").agg(F.count("*").alias("n")).filter(F.col("n") > hot_messages))
+    hot = work.table(valid.groupBy("id").agg(F.count("*").alias("n")).filter(F.col("n") > hot_messages))
     n_ids, n_messages = hot.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    cold = valid if n_ids == 0 else _restrict(valid, hot, n_ids, "left_anti")
+    cold = valid if n_ids == 0 else restrict(valid, hot, n_ids, "left_anti")
     folded = _fold(cold, prepared, engine)
     if keep:
-        folded = cut_lineage(folded)
+        folded = work.table(folded)
     results, changed = _fold_results(folded, engine), _fold_documents(folded, engine)
     if n_ids > 0:
         pieces = max(
             n_messages // piece_messages + 1, valid.sparkSession.sparkContext.defaultParallelism
         )
-        rows = _restrict(valid, hot, n_ids, "left_semi")
-        solved = _solve(rows, hot, n_ids, prepared, engine, pieces)
+        rows = restrict(valid, hot, n_ids, "left_semi")
+        solved = _solve(rows, hot, n_ids, prepared, engine, pieces, work)
         results, changed = results.unionByName(solved.results), changed.unionByName(solved.documents)
-    return SupervisedLog(results.unionByName(failed), changed)
+    return SupervisedLog(results.unionByName(failed), changed, work)
 
 
 # -- what a message meets -------------------------------------------------------
@@ -171,17 +173,18 @@ def _outcome(engine: Engine, seq: str, ts: str, standings: str) -> str:
     )
 
 
-def _new_flags(engine: Engine) -> str:
-    """The flags of a document after its log, from ``doclib``, ``resets`` and
-    ``since``: named ones stamped with their last reset, sent ones queued, sent
-    ones it lacked added in the order of sending."""
+def new_flags(flags: Sequence[str]) -> str:
+    """The flags of a document after some of its log, from ``doclib``, ``resets`` and
+    ``since`` (aligned to ``flags``): named ones stamped with their last reset, sent
+    ones queued, sent ones it lacked added in the order of sending."""
+    flags_sql = strings_sql(flags)
 
     def last(key: str, field: str) -> str:
         return f"get(resets.{field}, CAST(array_position(resets.key, {key}) AS INT) - 1)"
 
     sent = (
         f"filter(transform(since, (first, i) -> named_struct('first', first, 'i', i,"
-        f" 'key', get({engine.flags_sql}, i))), s -> s.first IS NOT NULL)"
+        f" 'key', get({flags_sql}, i))), s -> s.first IS NOT NULL)"
     )
     own = (
         "CASE WHEN coalesce(arrays_overlap(doclib.key, resets.key), false)"
@@ -222,9 +225,10 @@ def _fold(valid: DataFrame, prepared: DataFrame, engine: Engine) -> DataFrame:
     """One row per document: its messages, outcomes and first sends.  The messages
     are grouped on the id, which the join with the documents reuses."""
     entry = F.struct("seq", "ts", "reset")
-    # The fold is bound by its work, not by its data, so the number of partitions
-    # is set, where adaptive execution would merge small ones.
-    parts = int(valid.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The fold is bound by its work, not by its data, so there is a partition for
+    # so many messages, where adaptive execution would go by bytes.
+    cores = valid.sparkSession.sparkContext.defaultParallelism
+    parts = max(cores, valid.count() // FOLD_MESSAGES + 1)
     logs = valid.repartition(parts, "id").groupBy("id").agg(F.sort_array(F.collect_list(entry)).alias("messages"))
     joined = logs.join(prepared.withColumn("found", F.lit(True)), "id", "left").withColumn(
         "views", F.expr(_views(engine))
@@ -302,14 +306,14 @@ def _fold_documents(folded: DataFrame, engine: Engine) -> DataFrame:
             F.expr("filter(messages, m -> size(m.reset) > 0)").alias("asking"),
         )
         .withColumn("resets", F.expr(resets))
-        .select("id", F.expr(_new_flags(engine)).alias("doclib"))
+        .select("id", F.expr(new_flags(engine.flags)).alias("doclib"))
     )
 
 
 # -- documents with very many messages: parallel rounds ------------------------------
 
 
-def _restrict(valid: DataFrame, hot: DataFrame, n_ids: int, how: str) -> DataFrame:
+def restrict(valid: DataFrame, hot: DataFrame, n_ids: int, how: str) -> DataFrame:
     """Messages of the hot documents, or of the others.  The ids are broadcast if
     they are few; if not, both sides are salted, so that no id is one task."""
     ids = hot.select("id")
@@ -324,41 +328,36 @@ def _restrict(valid: DataFrame, hot: DataFrame, n_ids: int, how: str) -> DataFra
     )
 
 
-def _solve(
-    rows: DataFrame, hot: DataFrame, n_ids: int, prepared: DataFrame, engine: Engine, pieces: int
-) -> SupervisedLog:
-    """Solve whole logs without ever holding one: every document's messages are
-    cut by range of seq into pieces of bounded size, which are worked in parallel."""
-    found = cut_lineage(
-        prepared.join(hot.select("id"), "id", "left_semi").withColumn("views", F.expr(_views(engine)))
-    )
+def running_resets(rows: DataFrame, flags: Sequence[str], pieces: int, work: Work) -> tuple[DataFrame, DataFrame]:
+    """Cut whole logs by range of seq into pieces of bounded size, and give every
+    message the last reset of each flag up to now.
+
+    Gives (log, totals): the log (id, piece, seq, ts, asked, resets) as a table
+    partitioned by piece, so that a reader of few pieces reads few files; totals
+    has a row per document and piece, of which a document has few.
+    """
     # Written first, since the ranges are sampled from it.
-    rows = cut_lineage(rows)
-    ranged = cut_lineage(
+    rows = work.table(rows)
+    ranged = work.table(
         rows.repartitionByRange(pieces, "id", "seq").withColumn("piece", F.spark_partition_id())
     )
-    missing = _restrict(ranged, found, n_ids, "left_anti").select(
-        "seq", "ts", "id", F.lit(MISSING_DOCUMENT).alias("reason")
-    )
-
-    # The last reset of each flag: within the piece by a window, before it by a
-    # window over the totals of the pieces, of which a document has few.
+    # Within the piece by a window, before it by a window over the totals.
     inside = Window.partitionBy("id", "piece").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy("id").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     stamp = "named_struct('seq', seq, 'ts', ts, 'second', " + ff.epoch_second_sql("ts") + ")"
     resets = [
         F.max(F.expr(f"CASE WHEN array_contains(reset, {quote(flag)}) THEN {stamp} END")).over(inside)
-        for flag in engine.flags
+        for flag in flags
     ]
     running = ranged.select(
         "id",
         "piece",
         "seq",
         "ts",
-        F.array_intersect("reset", F.expr(engine.flags_sql)).alias("asked"),
+        F.array_intersect("reset", F.expr(strings_sql(flags))).alias("asked"),
         F.array(*resets).cast(f"array<{RESET}>").alias("resets"),
     )
-    places = range(len(engine.flags))
+    places = range(len(flags))
     totals = (
         ranged.select(
             "id",
@@ -367,13 +366,14 @@ def _solve(
             "ts",
             *[
                 F.expr(f"CASE WHEN array_contains(reset, {quote(flag)}) THEN seq END").alias(f"seq_{i}")
-                for i, flag in enumerate(engine.flags)
+                for i, flag in enumerate(flags)
             ],
         )
         .groupBy("id", "piece")
         .agg(
             F.min("seq").alias("low"),
             F.max("seq").alias("high"),
+            F.count("*").alias("n"),
             *[F.max(f"seq_{i}").alias(f"seq_{i}") for i in places],
             *[F.max_by("ts", f"seq_{i}").alias(f"ts_{i}") for i in places],
         )
@@ -383,13 +383,13 @@ def _solve(
         f" 'second', {ff.epoch_second_sql(f'ts_{i}')}) END"
         for i in places
     ]
-    totals = cut_lineage(totals)
+    totals = work.table(totals)
     carried = totals.select(
         "id",
         "piece",
         F.array(*[F.max(F.expr(c)).over(before) for c in last]).cast(f"array<{RESET}>").alias("carried"),
     )
-    log = cut_lineage(
+    log = work.table(
         running.join(carried, ["id", "piece"]).select(
             "id",
             "piece",
@@ -397,18 +397,55 @@ def _solve(
             "ts",
             "asked",
             F.zip_with("resets", "carried", lambda here, earlier: F.coalesce(here, earlier)).alias("resets"),
-        )
+        ),
+        "piece",
     )
-    # One row per piece with all that its messages need, to join without skew.
-    heads = cut_lineage(
-        totals.select("id", "piece").join(found.select("id", "eligible", "views"), "id")
+    return log, totals.select("id", "piece", "low", "high", "n")
+
+
+def in_window(log: DataFrame, heads: DataFrame, sent: DataFrame, few: bool, whole: bool = False) -> DataFrame:
+    """The messages that a round looks at, with what their document needs.  Only
+    pieces that meet the window are read: the log is partitioned by piece, and the
+    pieces on the other side of the join prune it."""
+    needed = heads.join(sent, "id")
+    if not whole:
+        needed = needed.filter("high >= settled + 1 AND low - settled <= width")
+    needed = needed.drop("low", "high")
+    joined = log.join(F.broadcast(needed) if few else needed, ["id", "piece"])
+    return joined if whole else joined.filter("seq > settled AND seq - settled <= width")
+
+
+def unsent(totals: DataFrame, n_flags: int) -> DataFrame:
+    """The state that the rounds begin with: nothing sent, nothing settled."""
+    bounds = totals.groupBy("id").agg(F.min("low").alias("first"), F.max("high").alias("last"), F.sum("n").alias("n"))
+    return bounds.select(
+        "id",
+        "last",
+        F.array_repeat(F.lit(None).cast("bigint"), n_flags).alias("since"),
+        F.expr("first - 1").alias("settled"),
+        # Short logs are looked at as a whole.
+        F.expr(f"IF(n <= {SHORT_LOG}, last - first, (last - first) div 64) + 1").alias("width"),
+    )
+
+
+def _solve(
+    rows: DataFrame, hot: DataFrame, n_ids: int, prepared: DataFrame, engine: Engine, pieces: int, work: Work
+) -> SupervisedLog:
+    """Solve whole logs without ever holding one, piece by piece in parallel."""
+    found = work.table(
+        prepared.join(hot.select("id"), "id", "left_semi").withColumn("views", F.expr(_views(engine)))
     )
-    few = heads.count() <= BROADCAST_PIECES
+    rows = work.table(rows)
+    missing = restrict(rows, found, n_ids, "left_anti").select(
+        "seq", "ts", "id", F.lit(MISSING_DOCUMENT).alias("reason")
+    )
+    log, totals = running_resets(rows, engine.flags, pieces, work)
+    # One row per piece with all that its messages need, to join without skew.
+    heads = work.table(totals.drop("n").join(found.select("id", "eligible", "views"), "id"))
+    few = heads.count() * (PIECE_BYTES + FLAG_BYTES * len(engine.flags)) <= BROADCAST_BYTES
 
-    def evaluate(sent: DataFrame, window: str = "true") -> DataFrame:
-        needed = heads.join(sent, "id")
-        joined = log.join(F.broadcast(needed) if few else needed, ["id", "piece"]).filter(window)
-        joined = joined.withColumn(
+    def evaluate(sent: DataFrame, whole: bool = False) -> DataFrame:
+        joined = in_window(log, heads, sent, few, whole).withColumn(
             "earlier", F.expr("transform(since, first -> CASE WHEN first < seq THEN first END)")
         )
         standings = _standings(engine, "resets", "earlier", "asked")
@@ -417,57 +454,52 @@ def _solve(
 
     # Messages up to `settled` add no first send that is not in `since`.  A round looks
     # at the next `width` numbers only, and at eight times as many after finding
-    # nothing, so that all rounds together evaluate little more than one log.
-    bounds = totals.groupBy("id").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    sent = cut_lineage(
-        found.select("id").join(bounds, "id").select(
-            "id",
-            "high",
-            F.array_repeat(F.lit(None).cast("bigint"), len(engine.flags)).alias("since"),
-            F.expr("low - 1").alias("settled"),
-            F.expr("(high - low) div 64 + 1").alias("width"),
-        )
-    )
-    while not sent.filter("settled < high").isEmpty():
-        window = evaluate(sent.filter("settled < high"), "seq > settled AND seq - settled <= width")
-        sent = cut_lineage(_advance(sent, _first_sends(window, engine), engine))
+    # nothing, so that all rounds together read little more than one log.
+    sent = work.table(unsent(totals, len(engine.flags)).join(found.select("id"), "id"))
+    while not sent.filter("settled < last").isEmpty():
+        sent = work.table(advance(sent, first_sends(evaluate(sent.filter("settled < last")), engine.flags), engine.flags))
+
+    outcomes = evaluate(sent, whole=True).select("id", F.lit(True).alias("found"), "outcome")
+    resets = resets_per_document(work.table(last_resets(rows)), found, engine.flags)
+    documents = documents_after(found, sent, resets, engine.flags)
+    return SupervisedLog(_results(outcomes, engine).unionByName(failed_results(missing)), documents, work)
 
-    outcomes = evaluate(sent).select("id", F.lit(True).alias("found"), "outcome")
-    resets = resets_per_document(cut_lineage(last_resets(rows)), found, engine.flags)
+
+def documents_after(found: DataFrame, sent: DataFrame, resets: DataFrame, flags: Sequence[str]) -> DataFrame:
+    """The new flags (id, doclib), given the last resets and first sends."""
     no_resets = "CAST(array() AS array<struct<key: string, seq: bigint, ts: timestamp_ntz>>)"
-    documents = (
+    return (
         found.join(sent, "id")
         .join(resets, "id", "left")
         .withColumn("resets", F.expr(f"coalesce(resets, {no_resets})"))
-        .select("id", F.expr(_new_flags(engine)).alias("doclib"))
+        .select("id", F.expr(new_flags(flags)).alias("doclib"))
     )
-    return SupervisedLog(_results(outcomes, engine).unionByName(failed_results(missing)), documents)
 
 
-def _first_sends(evaluated: DataFrame, engine: Engine) -> DataFrame:
+def first_sends(evaluated: DataFrame, flags: Sequence[str]) -> DataFrame:
     """Per document, the first message that sends a flag not sent before."""
     unsent = (
-        f"transform(since, (first, i) -> CASE WHEN first IS NULL THEN get({engine.flags_sql}, i) END)"
+        f"transform(since, (first, i) -> CASE WHEN first IS NULL THEN get({strings_sql(flags)}, i) END)"
     )
     return (
-        evaluated.select("id", "seq", F.expr(f"array_intersect(outcome.sends.flag, {unsent})").alias("flags"))
-        .filter(F.size("flags") > 0)
+        evaluated.select("id", "seq", F.expr(f"array_intersect(outcome.sends.flag, {unsent})").alias("sent_flags"))
+        .filter(F.size("sent_flags") > 0)
         .groupBy("id")
-        .agg(F.min("seq").alias("first_seq"), F.min_by("flags", "seq").alias("flags"))
+        .agg(F.min("seq").alias("first_seq"), F.min_by("sent_flags", "seq").alias("sent_flags"))
     )
 
 
-def _advance(sent: DataFrame, step: DataFrame, engine: Engine) -> DataFrame:
+def advance(sent: DataFrame, step: DataFrame, flags: Sequence[str]) -> DataFrame:
     """Enter the first sends found; documents without one have settled the window."""
     since = (
         "transform(since, (first, i) -> coalesce(first,"
-        f" CASE WHEN array_contains(flags, get({engine.flags_sql}, i)) THEN first_seq END))"
+        f" CASE WHEN array_contains(sent_flags, get({strings_sql(flags)}, i)) THEN first_seq END))"
     )
     return sent.join(step, "id", "left").select(
         "id",
-        "high",
+        "last",
         F.expr(since).alias("since"),
-        F.expr("coalesce(first_seq, least(high, settled + least(width, high - settled)))").alias("settled"),
-        F.expr("CASE WHEN first_seq IS NULL AND width < high - settled THEN width * 8 ELSE width END")
+        F.expr("coalesce(first_seq, least(last, settled + least(width, last - settled)))").alias("settled"),
+        F.expr("CASE WHEN first_seq IS NULL AND width < last - settled THEN width * 8 ELSE width END")
         .alias("width"),
     )

@@ -2,17 +2,36 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docroute.schema import DOCUMENT_SCHEMA
 
 
+# Parts of a snapshot, by the document id.
+BUCKETS = 64
+
+
+def bucket_of(id_column: str) -> Column:
+    return F.pmod(F.xxhash64(id_column), F.lit(BUCKETS)).cast("int")
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(DOCUMENT_SCHEMA).parquet(path)
+    """The documents of a snapshot.  One that ``write_flags`` wrote also has the
+    column ``bucket``, by which readers of few documents can skip files."""
+    if not any(name.startswith("bucket=") for name in folders(spark, path)):
+        return spark.read.schema(DOCUMENT_SCHEMA).parquet(path)
+    return spark.read.schema(T.StructType([*DOCUMENT_SCHEMA, T.StructField("bucket", T.IntegerType())])).parquet(path)
+
+
+def in_buckets(documents: DataFrame, buckets: list[int]) -> DataFrame:
+    """The documents of some buckets, where the snapshot is written in buckets."""
+    if "bucket" not in documents.columns:
+        return documents
+    return documents.filter(F.col("bucket").isin(buckets)).drop("bucket")
 
 
 def update_documents(documents: DataFrame, changed: DataFrame) -> DataFrame:
@@ -30,26 +49,36 @@ def update_documents(documents: DataFrame, changed: DataFrame) -> DataFrame:
 
 
 def write_flags(documents: DataFrame, changed: DataFrame, path: str) -> DataFrame:
-    """Write a new snapshot of all documents with the changed flags to ``path``.
+    """Write the documents with the changed flags to ``path``, in buckets of the id.
 
-    The snapshot goes to a path of its own, since the old one is being read.
+    To a path of its own this is a whole new snapshot.  To the path that holds
+    the documents, only the buckets with a change are written anew; their rows
+    are saved first, since they are being read.
     """
-    update_documents(documents, changed).write.mode("errorifexists").parquet(path)
-    return documents.sparkSession.read.schema(documents.schema).parquet(path)
+    spark = documents.sparkSession
+    plain = documents.drop("bucket")
+    if exists(spark, path):
+        work = Work(spark)
+        changed = work.table(changed.select("id", "doclib"))
+        # At most BUCKETS numbers.
+        touched = [r.b for r in changed.select(bucket_of("id").alias("b")).distinct().collect()]
+        rows = work.table(update_documents(in_buckets(read_documents(spark, path), touched), changed))
+        rows = rows.withColumn("bucket", bucket_of("id"))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+        work.remove()
+    else:
+        rows = update_documents(plain, changed).withColumn("bucket", bucket_of("id"))
+        rows.write.partitionBy("bucket").parquet(path)
+    return spark.read.schema(T.StructType([*plain.schema, T.StructField("bucket", T.IntegerType())])).parquet(path).drop("bucket")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share, as named by ``spark.checkpoint.dir``.
-    Only a local session without the setting falls back to a temporary one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="docroute-"))
-    return context.getCheckpointDir()
+    """The folder that all executors share, as named by ``spark.checkpoint.dir``
+    or set on the context."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return folder
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -58,3 +87,41 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/docroute-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place, files = _file_system(spark, path)
+    return files.exists(place)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The names of the folders in ``path``, none if there is no such path."""
+    place, files = _file_system(spark, path)
+    if not files.exists(place):
+        return []
+    return sorted(f.getPath().getName() for f in files.listStatus(place) if f.isDirectory())
+
+
+class Work:
+    """Intermediate tables of one run, in a folder of their own, to be removed
+    together when the run's results have been used."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.path = f"{shared_folder(spark)}/docroute-{uuid.uuid4().hex}"
+        self.n = 0
+
+    def table(self, df: DataFrame, *partition_by: str) -> DataFrame:
+        self.n += 1
+        path = f"{self.path}/{self.n}"
+        df.write.partitionBy(*partition_by).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+    def remove(self) -> None:
+        place, files = _file_system(self.spark, self.path)
+        files.delete(place, True)

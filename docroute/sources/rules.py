@@ -47,22 +47,22 @@ class Required:
 
 
 class RulesTable:
-    """The required entries of all stages, in order."""
+    """The required entries of all stages, in order.  ``stages`` names further
+    stages, which require nothing and so never send."""
 
-    def __init__(self, entries: Iterable[Required | tuple]):
+    def __init__(self, entries: Iterable[Required | tuple], stages: Iterable[str] = ()):
         rows = [e if isinstance(e, Required) else Required(*e) for e in entries]
         if len(rows) > MAX_ENTRIES:
             raise ValueError(f"a rules table has at most {MAX_ENTRIES} entries, not {len(rows)}")
         seen = set()
         for row in rows:
             if row.type != "queue":
-                raise ValueError(
-                    f"cannot handle type '{row.type}' of required flag '{row.flag}' in stage '{row.stage_key}'"
-                )
+                raise ValueError(f"flag '{row.flag}' of stage '{row.stage_key}': '{row.type}' is no kind of route")
             if (row.stage_key, row.ordinal) in seen:
                 raise ValueError(f"stage '{row.stage_key}' has two entries with ordinal {row.ordinal}")
             seen.add((row.stage_key, row.ordinal))
         self.entries = sorted(rows, key=lambda r: (r.stage_key, r.ordinal))
+        self._stages = list(dict.fromkeys([*(r.stage_key for r in self.entries), *sorted(stages)]))
 
     @staticmethod
     def default() -> RulesTable:
@@ -70,27 +70,30 @@ class RulesTable:
 
     @staticmethod
     def from_dataframe(df: DataFrame) -> RulesTable:
-        """Take the table from a DataFrame with the columns of REQUIRED_SCHEMA."""
+        """Take the table from a DataFrame with the columns of REQUIRED_SCHEMA; a row
+        without a flag names a stage that requires nothing."""
         rows = df.select(*REQUIRED_SCHEMA.fieldNames()).limit(MAX_ENTRIES + 1).collect()
-        return RulesTable(Required(*row) for row in rows)
+        empty = [row.stage_key for row in rows if row.flag is None]
+        return RulesTable((Required(*row) for row in rows if row.flag is not None), empty)
 
     @staticmethod
     def read(spark: SparkSession, path: str) -> RulesTable:
         """Read JSON lines ``{"stage_key": ..., "required": [{"flag", "route", "type"}, ...]}``;
-        the order of the list is the order of the entries."""
+        the order of the list is the order of the entries, and it may be empty."""
         schema = "stage_key string, required array<struct<flag: string, route: string, type: string>>"
         stages = spark.read.schema(schema).json(path)
-        entries = stages.select("stage_key", F.posexplode("required").alias("ordinal", "r"))
+        entries = stages.select("stage_key", F.posexplode_outer("required").alias("ordinal", "r"))
         return RulesTable.from_dataframe(
             entries.select("stage_key", "ordinal", "r.flag", "r.route", "r.type")
         )
 
     def to_dataframe(self, spark: SparkSession) -> DataFrame:
         rows = [(e.stage_key, e.ordinal, e.flag, e.route, e.type) for e in self.entries]
+        rows += [(key, None, None, None, None) for key in self._stages if not self.stage(key)]
         return spark.createDataFrame(rows, REQUIRED_SCHEMA)
 
     def stages(self) -> list[str]:
-        return list(dict.fromkeys(e.stage_key for e in self.entries))
+        return list(self._stages)
 
     def stage(self, stage_key: str) -> list[Required]:
         return [e for e in self.entries if e.stage_key == stage_key]

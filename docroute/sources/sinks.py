@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docroute.functions.messages import render_body
@@ -26,6 +26,11 @@ def publish(handled: DataFrame, path: str) -> None:
     outgoing(handled).write.mode("overwrite").partitionBy("route").text(path)
 
 
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """What ``publish`` wrote: (route, body)."""
+    return spark.read.schema("value string, route string").text(path).select("route", F.col("value").alias("body"))
+
+
 def dead_letters(results: DataFrame) -> DataFrame:
     """The failed messages with their reason."""
     return results.filter(F.col("reason").isNotNull()).select("seq", "ts", "id", "reason")

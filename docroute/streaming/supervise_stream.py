@@ -1,29 +1,53 @@
-"""Continuous supervision: the log plan over micro-batches.
-
-The flags of the documents are the state.  Every batch writes the flags it
-changed under its own number and reads those of the batches before it, so a
-batch that is repeated after a failure replaces its own output.
+"""Continuous supervision: the log plan over micro-batches, on a live store.
+
+The store belongs to others as well: documents arrive in it and consumers write
+``started`` and ``ended`` into it between batches.  So every batch reads the store
+anew, and the stream keeps only what it changed itself, flag by flag: the last
+reset and the mark as queued.  These are laid over the document as the store has
+it now.
+
+State is kept by bucket of the document id.  A batch writes the changes it made
+under its own number, and reads those of the buckets that its messages name, so a
+batch that is repeated after a failure replaces its own output.  Now and then all
+changes are written anew as a base; a batch starts from the newest base that is
+complete, whatever interval wrote it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from docroute.operators.engine import Engine
-from docroute.plans.supervise_log import DECODED_COLUMNS, supervise_decoded
-from docroute.schema import FLAGS_TYPE
-from docroute.sources.documents import cut_lineage, update_documents
+from docroute.functions import flags as ff
+from docroute.functions.flags import let_sql
+from docroute.plans.supervise import Resolver, handle_decoded
+from docroute.plans.supervise_log import DECODED_COLUMNS
+from docroute.sources.documents import BUCKETS, Work, bucket_of, exists, folders, in_buckets, read_documents
 from docroute.sources.messages import decode_messages
+from docroute.sources.rules import RulesTable
 from docroute.sources.sinks import dead_letters, publish
 
-# Every so many batches the flags of all changed documents are written anew, so
-# that later batches need not read further back.
+# Every so many batches the changes of all batches are written anew.
 COMPACT_EVERY = 20
 
-CHANGED = T.StructType([T.StructField("id", T.StringType()), T.StructField("doclib", FLAGS_TYPE)])
+#: A change to one flag: the last reset, the mark as queued and when it was set
+#: first, and whether the document lacked the flag then.
+CHANGE = T.StructType(
+    [
+        T.StructField("id", T.StringType()),
+        T.StructField("key", T.StringType()),
+        T.StructField("reset", T.TimestampNTZType()),
+        T.StructField("queued_at", T.TimestampNTZType()),
+        T.StructField("queued_by", T.LongType()),
+    ]
+)
+
+#: The store: a folder of documents, or a function that reads them.
+Store = str | Callable[[], DataFrame]
 
 
 def _folder(path: str, output: str, batch_id: int) -> str:
@@ -31,51 +55,116 @@ def _folder(path: str, output: str, batch_id: int) -> str:
 
 
 def read_output(spark: SparkSession, path: str, output: str) -> DataFrame:
-    """One of the outputs ``results``, ``dead_letters``, ``flags`` or ``sends``."""
+    """One of the outputs ``results``, ``dead_letters`` or ``sends``."""
     if output == "sends":
         return spark.read.text(f"{path}/sends").withColumnRenamed("value", "body")
     return spark.read.parquet(f"{path}/{output}")
 
 
-def changed_flags(
-    spark: SparkSession, path: str, before: int, compact_every: int = COMPACT_EVERY
-) -> DataFrame | None:
-    """The latest flags (id, doclib) of every document that a batch before this
-    one changed; None if there was no batch."""
-    if before == 0:
-        return None
-    compacted = max(before // compact_every * compact_every - 1, 0)
-    folders = [_folder(path, "flags", batch) for batch in range(compacted, before)]
-    flags = spark.read.schema(T.StructType([*CHANGED, T.StructField("batch_id", T.LongType())]))
-    history = flags.option("basePath", f"{path}/flags").parquet(*folders)
-    return history.groupBy("id").agg(F.max_by("doclib", "batch_id").alias("doclib"))
-
-
-def current_documents(
-    documents: DataFrame, path: str, before: int, compact_every: int = COMPACT_EVERY
-) -> DataFrame:
-    """The documents as the batches before this one left them."""
-    changed = changed_flags(documents.sparkSession, path, before, compact_every)
-    return documents if changed is None else update_documents(documents, changed)
+def _base(spark: SparkSession, path: str, before: int) -> int:
+    """The newest batch up to which all changes are in a complete base; -1 if none."""
+    found = [int(name.split("=")[1]) for name in folders(spark, f"{path}/base")]
+    complete = [b for b in found if b < before and exists(spark, f"{path}/base/upto={b}/_SUCCESS")]
+    return max(complete, default=-1)
+
+
+def changes(spark: SparkSession, path: str, before: int, buckets: list[int] | None = None) -> DataFrame:
+    """The last change (``CHANGE``) to every flag that a batch before this one
+    changed, of the documents in the given buckets."""
+    schema = T.StructType([*CHANGE, T.StructField("bucket", T.IntegerType())])
+    base = _base(spark, path, before)
+    parts = [f"{path}/base/upto={base}"] if base >= 0 else []
+    parts += [p for b in range(base + 1, before) if exists(spark, p := _folder(path, "changes", b))]
+    if not parts:
+        return spark.createDataFrame([], CHANGE)
+    rows = None
+    for part in parts:  # at most as many as lie between two bases
+        own = spark.read.schema(schema).parquet(part)
+        own = own if buckets is None else own.filter(F.col("bucket").isin(buckets))
+        rows = own if rows is None else rows.union(own)
+    return rows.groupBy("id", "key").agg(
+        F.max("reset").alias("reset"), F.min("queued_at").alias("queued_at"), F.min("queued_by").alias("queued_by")
+    )
+
+
+def lay_over(documents: DataFrame, changed: DataFrame) -> DataFrame:
+    """The documents with the stream's changes over their own flags.
+
+    A reset counts if it is later than the flag's own, and collapses its
+    duplicates.  A mark as queued counts unless the flag has been started since:
+    then what the store says is later.  A flag that the store lacks is added.
+    """
+    gathered = changed.groupBy("id").agg(
+        F.array_sort(F.collect_list(F.struct("queued_by", "key", "reset", "queued_at"))).alias("__changes")
+    )
+    own = "get(filter(__changes, c -> c.key = f.key), 0)"
+    stamp = (
+        "CASE WHEN c.reset IS NOT NULL AND (f.reset IS NULL OR c.reset > f.reset) THEN c.reset ELSE f.reset END"
+    )
+    queued = "CASE WHEN c.queued_at IS NULL OR f.started > c.queued_at THEN f.queued ELSE true END"
+    laid = f"transform(kept, f -> {let_sql(own, 'c', ff.with_sql('f', reset=stamp, queued=queued))})"
+    renewed = "transform(filter(__changes, c -> c.reset IS NOT NULL), c -> c.key)"
+    collapsed = f"concat(filter(doclib, f -> NOT array_contains(renewed, f.key)), {ff.latest_flags_sql('filter(doclib, f -> array_contains(renewed, f.key))')})"
+    ordered = let_sql(renewed, "renewed", f"CASE WHEN size(renewed) = 0 THEN doclib ELSE {collapsed} END")
+    missing = f"filter(__changes, c -> c.queued_by IS NOT NULL AND NOT {ff.contains_sql('doclib.key', 'c.key')})"
+    added = f"transform({missing}, c -> {ff.new_flag_sql('c.key', 'c.reset')})"
+    expression = f"CASE WHEN __changes IS NULL THEN doclib ELSE concat({let_sql(ordered, 'kept', laid)}, {added}) END"
+    known = documents.withColumn("doclib", F.expr(f"coalesce(doclib, {ff.NO_FLAGS})"))
+    joined = known.join(gathered, "id", "left")
+    return joined.withColumn("doclib", F.expr(expression)).select(*documents.columns)
+
+
+def _read(store: Store, spark: SparkSession) -> DataFrame:
+    return store() if callable(store) else read_documents(spark, store)
+
+
+def current_documents(spark: SparkSession, store: Store, path: str, before: int) -> DataFrame:
+    """The documents of the store with all changes of the batches before this one."""
+    return lay_over(_read(store, spark), changes(spark, path, before))
+
+
+def _changed(log, decoded: DataFrame, named: DataFrame) -> DataFrame:
+    """The changes (``CHANGE``) that a batch made: resets of flags that the
+    document had or got, and marks as queued."""
+    valid = decoded.filter("reason is null")
+    marks = (
+        log.results.select("id", "seq", "ts", F.explode("sends.flag").alias("key"))
+        .groupBy("id", "key")
+        .agg(F.min("seq").alias("queued_by"), F.min("ts").alias("queued_at"))
+    )
+    own = named.select("id", F.explode("doclib.key").alias("key")).distinct().withColumn("own", F.lit(True))
+    resets = (
+        valid.select("id", "seq", "ts", F.explode("reset").alias("key"))
+        .join(own, ["id", "key"], "left")
+        .join(marks.select("id", "key", "queued_by"), ["id", "key"], "left")
+        # A flag that the document got in this batch can be reset from then on.
+        .filter("own OR seq > queued_by")
+        .groupBy("id", "key")
+        .agg(F.max("ts").alias("reset"))
+    )
+    return resets.join(marks, ["id", "key"], "full_outer").select(*CHANGE.fieldNames())
 
 
 def supervise_batch(
     batch: DataFrame,
     batch_id: int,
-    documents: DataFrame,
-    engine: Engine,
+    store: Store,
+    resolver: Resolver,
     path: str,
     compact_every: int = COMPACT_EVERY,
+    table: RulesTable | None = None,
 ) -> None:
     """Handle one batch of messages and write all its outputs under its number."""
     spark = batch.sparkSession
-    # Only the documents that the batch names are brought up to date.
-    decoded = cut_lineage(decode_messages(batch).select(*DECODED_COLUMNS))
-    ids = decoded.filter("reason is null").select("id").distinct()
-    named = documents.join(ids, "id", "left_semi")
-    changed = changed_flags(spark, path, batch_id, compact_every)
-    current = named if changed is None else update_documents(named, changed)
-    log = supervise_decoded(decoded, current, engine, keep=True)
+    work = Work(spark)
+    decoded = work.table(decode_messages(batch).select(*DECODED_COLUMNS))
+    ids = work.table(decoded.filter("reason is null").select("id").distinct().withColumn("bucket", bucket_of("id")))
+    # At most BUCKETS numbers.
+    buckets = [r.bucket for r in ids.select("bucket").distinct().collect()]
+    named = in_buckets(_read(store, spark), buckets).join(ids.select("id"), "id", "left_semi")
+    changed = changes(spark, path, batch_id, buckets).join(ids.select("id"), "id", "left_semi")
+    current = work.table(lay_over(named, changed))
+    log = handle_decoded(decoded, current, resolver, work, table, keep=True)
 
     results_folder = _folder(path, "results", batch_id)
     log.results.write.mode("overwrite").parquet(results_folder)
@@ -83,29 +172,37 @@ def supervise_batch(
     publish(results, _folder(path, "sends", batch_id))
     dead_letters(results).write.mode("overwrite").parquet(_folder(path, "dead_letters", batch_id))
 
-    flags = log.documents
-    if changed is not None and (batch_id + 1) % compact_every == 0:
-        flags = flags.unionByName(changed.join(flags.select("id"), "id", "left_anti"))
-    flags.write.mode("overwrite").parquet(_folder(path, "flags", batch_id))
+    log.results = results
+    made = _changed(log, decoded, current).withColumn("bucket", bucket_of("id"))
+    made.write.mode("overwrite").partitionBy("bucket").parquet(_folder(path, "changes", batch_id))
+    if (batch_id + 1) % compact_every == 0:
+        everything = changes(spark, path, batch_id + 1).withColumn("bucket", bucket_of("id"))
+        everything.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/base/upto={batch_id}")
+    work.remove()
 
 
 def supervise_stream(
     messages: DataFrame,
-    documents: DataFrame,
-    engine: Engine,
+    store: Store,
+    resolver: Resolver,
     path: str,
     checkpoint: str,
     available_now: bool = False,
     compact_every: int = COMPACT_EVERY,
+    table: RulesTable | None = None,
 ) -> StreamingQuery:
     """Start handling a stream of messages; the outputs grow under ``path``.
 
-    Both folders must be shared by the cluster.  With ``available_now`` the
-    query ends when it has handled what there is.
+    ``store`` names the folder of documents, or reads them; it is read anew in
+    every batch.  All folders must be shared by the cluster.  With
+    ``available_now`` the query ends when it has handled what there is.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        supervise_batch(batch, batch_id, documents, engine, path, compact_every)
+        supervise_batch(batch, batch_id, store, resolver, path, compact_every, table)
 
     writer = messages.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+__all__ = ["BUCKETS", "current_documents", "read_output", "supervise_batch", "supervise_stream"]

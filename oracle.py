@@ -6,8 +6,158 @@ grouped conditions, so the method differs from the nested arrays of the library.
 
 from __future__ import annotations
 
-from docroute.functions import mimetypes as m
-from docroute.sources.rules import DEFAULT_ENTRIES
+# Fixed values, written out here so that the statements do not rest on the library's.
+ARCHIVE = [
+    "application/gzip",
+    "application/vnd.ms-cab-compressed",
+    "application/x-7z-compressed",
+    "application/x-ace-compressed",
+    "application/x-alz-compressed",
+    "application/x-apple-diskimage",
+    "application/x-arj",
+    "application/x-astrotite-afa",
+    "application/x-b1",
+    "application/x-bzip2",
+    "application/x-cfs-compressed",
+    "application/x-compress",
+    "application/x-cpio",
+    "application/x-dar",
+    "application/x-dgc-compressed",
+    "application/x-gca-compressed",
+    "application/x-gtar",
+    "application/x-lzh",
+    "application/x-lzip",
+    "application/x-lzma",
+    "application/x-lzop",
+    "application/x-lzx",
+    "application/x-par2",
+    "application/x-rar-compressed",
+    "application/x-sbx",
+    "application/x-shar",
+    "application/x-snappy-framed",
+    "application/x-stuffit",
+    "application/x-stuffitx",
+    "application/x-tar",
+    "application/x-xz",
+    "application/x-zoo",
+    "application/zip",
+]
+SPREADSHEET = [
+    "application/vnd.lotus-1-2-3",
+    "application/vnd.ms-excel",
+    "application/vnd.ms-excel.sheet.macroenabled.12",
+    "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet",
+    "application/vnd.openxmlformats-officedocument.spreadsheetml.template",
+    "application/vnd.stardivision.calc",
+    "application/vnd.sun.xml.calc",
+    "application/vnd.sun.xml.calc.template",
+]
+ANALYSABLE = [
+    "text/csv",
+    "text/tab-separated-values",
+]
+XML = [
+    "application/rdf+xml",
+    "application/smil+xml",
+    "application/vnd.google-earth.kml+xml",
+    "application/xml",
+    "application/xslt+xml",
+    "image/svg+xml",
+    "model/x3d+xml",
+    "text/xml",
+    "xml/dtd",
+]
+TEXT = [
+    "message/news",
+    "message/rfc822",
+    "text/aln",
+    "text/calendar",
+    "text/css",
+    "text/fasta",
+    "text/hkl",
+    "text/html",
+    "text/markdown",
+    "text/matlab",
+    "text/nex",
+    "text/plain",
+    "text/r",
+    "text/rtf",
+    "text/texmacs",
+    "text/troff",
+    "text/vcard",
+    "text/x-asm",
+    "text/x-awk",
+    "text/x-bibtex",
+    "text/x-c",
+    "text/x-c++",
+    "text/x-c++hdr",
+    "text/x-c++src",
+    "text/x-chdr",
+    "text/x-csh",
+    "text/x-csrc",
+    "text/x-diff",
+    "text/x-dsrc",
+    "text/x-fortran",
+    "text/x-gawk",
+    "text/x-java",
+    "text/x-lisp",
+    "text/x-literate-haskell",
+    "text/x-m4",
+    "text/x-makefile",
+    "text/x-msdos-batch",
+    "text/x-objective-c",
+    "text/x-pascal",
+    "text/x-perl",
+    "text/x-php",
+    "text/x-po",
+    "text/x-python",
+    "text/x-ruby",
+    "text/x-scala",
+    "text/x-sfv",
+    "text/x-sh",
+    "text/x-shellscript",
+    "text/x-tcl",
+    "text/x-tex",
+]
+OFFICE = [
+    "application/msword",
+    "application/pdf",
+    "application/rtf",
+    "application/vnd.apple.pages",
+    "application/vnd.ms-cab-compressed",
+    "application/vnd.ms-powerpoint",
+    "application/vnd.oasis.opendocument.chart",
+    "application/vnd.oasis.opendocument.database",
+    "application/vnd.oasis.opendocument.presentation",
+    "application/vnd.oasis.opendocument.text",
+    "application/vnd.openxmlformats-officedocument.presentationml.presentation",
+    "application/vnd.openxmlformats-officedocument.presentationml.slideshow",
+    "application/vnd.openxmlformats-officedocument.wordprocessingml.document",
+    "application/vnd.sun.xml.draw.template",
+    "application/vnd.sun.xml.impress.template",
+    "application/vnd.visio",
+    "application/vnd.wordperfect",
+    "application/x-appleworks3",
+    "application/x-ms-manifest",
+    "application/x-ms-pdb",
+    "application/x-msaccess",
+]
+DEFAULT_ENTRIES = [
+    ("archive", 0, "unarchived", "unarchive", "queue"),
+    ("tabular.totsv", 0, "tabular.totsv", "tabular.totsv", "queue"),
+    ("tabular.analyse", 0, "tabular.analysis", "tabular.analysis", "queue"),
+    ("html", 0, "html.screenshot", "html.screenshot", "queue"),
+    ("html", 1, "html.render", "html.render", "queue"),
+    ("text", 0, "rawtext", "rawtext", "queue"),
+    ("image_intermediate", 0, "pdf.intermediates", "pdf.intermediates", "queue"),
+    ("bounding_box", 0, "bounding_box", "pdf.figures", "queue"),
+    ("analytical", 0, "analytical", "analytical", "queue"),
+    ("ner", 0, "ner.leadmine.chemblactivityterms", "ner.leadmine.chemblactivityterms", "queue"),
+    ("ner", 1, "ner.leadmine.chemicalentities", "ner.leadmine.chemicalentities", "queue"),
+    ("ner", 2, "ner.leadmine.chemicalidentifiers", "ner.leadmine.chemicalidentifiers", "queue"),
+    ("ner", 3, "ner.leadmine.poseidon", "ner.leadmine.poseidon", "queue"),
+    ("ner", 4, "ner.leadmine.geneprotein", "ner.leadmine.geneprotein", "queue"),
+]
 
 # -- the derived tables ---------------------------------------------------------------
 
@@ -45,13 +195,20 @@ flags AS (SELECT id, seq, flag_key, started, ended, reset, queued FROM first_fla
   CAST(NULL AS TIMESTAMP), true
  FROM first_flags WHERE (s = 6 AND doc_id % 4 = 0) OR (s = 8 AND doc_id % 7 = 0))"""
 
-MESSAGES = """
+DERIVED_MESSAGES = """
 msgs AS (SELECT e.event_id AS seq, e.ts,
  CASE WHEN e.event_id % 97 = 0 THEN 'not json'
       WHEN e.event_id % 89 = 0 THEN '{"reset":["rawtext"]}'
       WHEN e.event_type = 'error' THEN concat('{"id":"', lpad(lower(hex(CAST(floor(e.event_id/9) AS BIGINT))),24,'0'), '","reset":["rawtext","', k.flag_key, '"]}')
       ELSE concat('{"id":"', lpad(lower(hex(CAST(floor(e.event_id/9) AS BIGINT))),24,'0'), '"}') END AS body
- FROM events e JOIN keys k ON k.k = e.event_id % 12),
+ FROM events e JOIN keys k ON k.k = e.event_id % 12),"""
+
+HOT_MESSAGES = DERIVED_MESSAGES.replace("msgs AS", "plain_msgs AS") + """
+msgs AS (SELECT seq, ts, CASE WHEN seq % 7 = 1 THEN '{"id":"' || lpad(lower(hex(999999999)),24,'0') || '"}'
+  WHEN seq % 3 = 0 THEN regexp_replace(body, '"id":"[0-9a-f]{24}"', '"id":"' || lpad(lower(hex(16)),24,'0') || '"')
+  ELSE body END AS body FROM plain_msgs),"""
+
+DECODED = """
 parsed AS (SELECT seq, ts, CASE WHEN json_valid(body) THEN body::JSON END AS j FROM msgs),
 typed AS (SELECT seq, ts, j,
  coalesce(json_type(j, '$.id') = 'VARCHAR', false) AND (coalesce(json_type(j, '$.reset'), 'NULL') = 'NULL'
@@ -64,8 +221,10 @@ decoded AS (SELECT seq, ts, ok,
  CASE WHEN NOT ok THEN 'undecodable'
       WHEN NOT regexp_matches(j->>'$.id', '^[0-9a-fA-F]{24}$') THEN 'bad_id' END AS reason
  FROM typed),
-valid AS (SELECT seq, ts, id, reset FROM decoded WHERE reason IS NULL),
-firsts AS (SELECT seq, ts, id, reset FROM valid QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq) = 1)"""
+valid AS (SELECT seq, ts, id, reset FROM decoded WHERE reason IS NULL)"""
+
+
+MESSAGES = DERIVED_MESSAGES + DECODED
 
 
 def _reset(flags: str, asked: str) -> str:
@@ -78,9 +237,6 @@ marked AS (SELECT f.id, f.seq, f.flag_key, f.started, f.ended, coalesce(a.ts, f.
 renewed_flags AS (SELECT id, seq, flag_key, started, ended, reset, queued FROM marked WHERE NOT renewed OR latest = 1)"""
 
 
-FIRST_ASKED = """
-asked AS (SELECT DISTINCT id, unnest(reset) AS flag_key, ts FROM firsts)"""
-
 ALL_ASKED = """
 named AS (SELECT id, seq, ts, unnest(reset) AS flag_key FROM valid),
 asked AS (SELECT id, flag_key, ts FROM named
@@ -96,14 +252,14 @@ def _values(values: list[str]) -> str:
 
 PREDICATES = f"""
 pred AS (SELECT id, mimetype,
- mimetype IN ({_values(m.ARCHIVE)}) AS is_archive,
- mimetype IN ({_values(m.SPREADSHEET)}) AS is_spreadsheet,
- mimetype IN ({_values(m.ANALYSABLE)}) AS is_analysable,
+ mimetype IN ({_values(ARCHIVE)}) AS is_archive,
+ mimetype IN ({_values(SPREADSHEET)}) AS is_spreadsheet,
+ mimetype IN ({_values(ANALYSABLE)}) AS is_analysable,
  regexp_matches(mimetype, '^(text/(csv|tab.*))$') AS is_tabular_text,
  regexp_matches(mimetype, '(text/((x-server-parsed-|webview)*html))') AS is_html,
- mimetype IN ({_values(m.XML)}) AS is_xml,
- mimetype IN ({_values(m.TEXT)}) AS is_text,
- mimetype IN ({_values(m.OFFICE + m.SPREADSHEET)}) AS is_raw_text_convertible,
+ mimetype IN ({_values(XML)}) AS is_xml,
+ mimetype IN ({_values(TEXT)}) AS is_text,
+ mimetype IN ({_values(OFFICE + SPREADSHEET)}) AS is_raw_text_convertible,
  mimetype = 'application/pdf' AS needs_page_images,
  mimetype = 'application/pdf' AS needs_bounding_boxes,
  regexp_matches(mimetype, 'chemical/(.*)') AS is_chemical,
@@ -203,6 +359,10 @@ CUSTOM_ENTRIES = DEFAULT_ENTRIES + [
 ]
 CUSTOM_STEPS = PLAIN + [("Media", "media", "is_image OR is_audio OR is_video", False)]
 
+IDLE_STEPS = [
+    ("Idle", "media", "NOT EXISTS (SELECT 1 FROM now_flags f WHERE f.id = p.id AND coalesce(f.queued, false))", False)
+] + STEPS
+
 FLAG_TEST_ENTRIES = [
     ("flag-test", 0, "rawtext", "flag.one", "queue"),
     ("flag-test", 1, "tabular.totsv", "flag.two", "queue"),
@@ -210,31 +370,20 @@ FLAG_TEST_ENTRIES = [
 ]
 
 
-def _handled(steps: list[tuple]) -> str:
-    """The first message of every document, handled in full."""
-    return f"""{DERIVED},{MESSAGES},{FIRST_ASKED},{_reset("flags", "asked")},{_resolved("renewed_flags", steps)},{_selected("asked")},
-sent AS (SELECT m.id, s.stage_key, s.flag, s.route FROM selected s JOIN firsts m ON m.id = s.id),
-handled AS (SELECT m.seq, m.id, m.ts, r.rule, r.stage_key, CAST(coalesce(n.n, 0) AS INTEGER) AS n_sent,
-  CASE WHEN r.id IS NULL THEN 'missing_document' ELSE r.error END AS reason, r.id IS NOT NULL AS found
- FROM firsts m LEFT JOIN resolved r ON r.id = m.id
- LEFT JOIN (SELECT id, count(*) AS n FROM sent GROUP BY id) n ON n.id = m.id),
-results AS (SELECT seq, id, coalesce(reason, CASE WHEN stage_key IS NULL THEN 'no_match'
-   WHEN n_sent > 0 THEN 'sent' ELSE 'held' END) AS status, stage_key, n_sent, reason FROM handled
- UNION ALL SELECT seq, id, reason, NULL, 0, reason FROM decoded WHERE reason IS NOT NULL),
-new_flags AS (SELECT f.id, f.flag_key, f.started, f.reset, coalesce(s.id IS NOT NULL, false) OR coalesce(f.queued, false) AS queued_now,
-   CASE WHEN s.id IS NOT NULL THEN true ELSE f.queued END AS queued, false AS added
-  FROM renewed_flags f LEFT JOIN sent s ON s.id = f.id AND s.flag = f.flag_key
- UNION ALL
- SELECT s.id, s.flag, NULL, NULL, true, true, true FROM sent s
-  WHERE NOT EXISTS (SELECT 1 FROM renewed_flags f WHERE f.id = s.id AND f.flag_key = s.flag))"""
+def _flag_test() -> str:
+    """Every document is sent to all queues of one stage."""
+    return f"""{_allowed("now_flags", FLAG_TEST_ENTRIES)},
+chosen AS (SELECT id, 'flag-test' AS stage_key, false AS erred FROM docs d),
+sends AS (SELECT d.id, r.stage_key, r.ordinal, r.flag, r.route FROM docs d CROSS JOIN req r)"""
 
 
-def _log() -> str:
+def _log(resolved: str | None = None, messages: str = MESSAGES) -> str:
     """All messages in order: the n-th round handles the n-th message of every
     document.  The state is rows too: ``doc`` and ``flag`` rows carry on to the
-    next round, ``done`` rows are the outcomes."""
-    inner = f"{_resolved('now_flags', STEPS)},{_selected('asked')}".replace("FROM docs d", "FROM now_docs d")
-    return f"""{DERIVED},{MESSAGES},
+    next round, ``done`` rows are the outcomes and ``send`` rows what was sent."""
+    resolved = resolved or _resolved("now_flags", STEPS)
+    inner = f"{resolved},{_selected('asked')}".replace("FROM docs d", "FROM now_docs d")
+    return f"""{DERIVED},{messages},
 ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq) AS n FROM valid),
 log AS (
  SELECT CAST(0 AS BIGINT) AS n, id, 'doc' AS kind, CAST(0 AS BIGINT) AS seq, CAST(NULL AS VARCHAR) AS flag_key,
@@ -245,7 +394,7 @@ log AS (
  SELECT 0, id, 'flag', seq, flag_key, started, ended, reset, queued, NULL, NULL, NULL FROM flags
  UNION ALL
  (WITH cur AS (SELECT l.*, m.seq AS message, m.ts, m.reset AS named
-   FROM log l JOIN ranked m ON m.id = l.id AND m.n = l.n + 1 WHERE l.kind <> 'done'),
+   FROM log l JOIN ranked m ON m.id = l.id AND m.n = l.n + 1 WHERE l.kind IN ('doc', 'flag')),
  now_docs AS (SELECT id, n + 1 AS n, message, ts, named FROM cur WHERE kind = 'doc'),
  asked AS (SELECT DISTINCT id, unnest(named) AS flag_key FROM now_docs),
  marked AS (SELECT *, coalesce(list_contains(named, flag_key), false) AS renewed,
@@ -267,17 +416,27 @@ log AS (
  SELECT d.n, d.id, 'done', d.message, NULL, NULL, NULL, NULL, NULL,
   CASE WHEN c.erred THEN 'reset_without_start' WHEN c.id IS NULL THEN 'no_match'
    WHEN k.n > 0 THEN 'sent' ELSE 'held' END, c.stage_key, coalesce(k.n, 0)
- FROM now_docs d LEFT JOIN chosen c ON c.id = d.id LEFT JOIN counted k ON k.id = d.id))
-SELECT seq, id, status, stage_key, n_sent FROM log WHERE kind = 'done'
-UNION ALL SELECT seq, id, reason, NULL, 0 FROM decoded WHERE reason IS NOT NULL
-UNION ALL SELECT seq, id, 'missing_document', NULL, 0 FROM valid v WHERE NOT EXISTS (SELECT 1 FROM docs d WHERE d.id = v.id)"""
+ FROM now_docs d LEFT JOIN chosen c ON c.id = d.id LEFT JOIN counted k ON k.id = d.id
+ UNION ALL
+ SELECT d.n, s.id, 'send', d.message, s.flag, NULL, NULL, NULL, NULL, s.route, s.stage_key, NULL
+ FROM selected s JOIN now_docs d ON d.id = s.id)),
+handled_to AS (SELECT id, max(n) AS n FROM log WHERE kind = 'doc' GROUP BY id),
+last_flags AS (SELECT l.id, l.flag_key, l.queued, l.seq = 1000 AS added, h.n FROM log l
+ JOIN handled_to h ON h.id = l.id AND h.n = l.n WHERE l.kind = 'flag'),
+results AS (SELECT seq, id, status, stage_key, n_sent FROM log WHERE kind = 'done'
+ UNION ALL SELECT seq, id, reason, NULL, 0 FROM decoded WHERE reason IS NOT NULL
+ UNION ALL SELECT seq, id, 'missing_document', NULL, 0 FROM valid v WHERE NOT EXISTS (SELECT 1 FROM docs d WHERE d.id = v.id))"""
+
+
+RESULTS = "SELECT seq, id, status, stage_key, n_sent FROM results"
+FAILURES = "('undecodable', 'bad_id', 'missing_document', 'reset_without_start')"
 
 
 def statements() -> dict[str, str]:
     base = f"WITH {DERIVED}"
     msgs = f"{base},{MESSAGES}"
     allowed = f"{base},{_allowed('flags', DEFAULT_ENTRIES)}"
-    handled = f"WITH {_handled(STEPS)}"
+    log = f"WITH RECURSIVE {_log()}"
     sql = {
         "mimetype_predicates": f"{base},{PREDICATES} SELECT * FROM pred",
         "head_flags": f"""{base}
@@ -287,10 +446,13 @@ UNION ALL SELECT d.id, k.flag_key, false, NULL, NULL, NULL, NULL FROM docs d CRO
 WHERE NOT EXISTS (SELECT 1 FROM flags f WHERE f.id = d.id AND f.flag_key = k.flag_key)""",
         "stage_completed": f"{allowed} SELECT id, stage_key, completed, started_all FROM progress",
         "sendable_allowed": f"{allowed} SELECT id, stage_key, flag, allowed FROM allowed",
-        "can_queue": f"""{msgs},{FIRST_ASKED},{_allowed("flags", DEFAULT_ENTRIES)}
-SELECT d.id, k.flag_key AS flag, a.id IS NOT NULL OR coalesce(NOT p.any_queued, true) AS can_queue
-FROM docs d CROSS JOIN keys k LEFT JOIN per_key p ON p.id = d.id AND p.flag_key = k.flag_key
-LEFT JOIN asked a ON a.id = d.id AND a.flag_key = k.flag_key""",
+        "can_queue": f"""{msgs},{_allowed("flags", DEFAULT_ENTRIES)}
+SELECT v.seq, v.id, k.flag_key AS flag,
+ coalesce(list_contains(v.reset, k.flag_key), false) OR coalesce(NOT p.any_queued, true) AS can_queue
+FROM valid v JOIN docs d ON d.id = v.id CROSS JOIN keys k
+LEFT JOIN per_key p ON p.id = v.id AND p.flag_key = k.flag_key""",
+        "queued_flags": f"""{allowed} SELECT d.id, k.flag_key AS flag, coalesce(p.any_queued, false) AS is_queued
+FROM docs d CROSS JOIN keys k LEFT JOIN per_key p ON p.id = d.id AND p.flag_key = k.flag_key""",
         "stage_sendables": f"""{allowed} SELECT id, stage_key, ordinal, flag, route FROM allowed a WHERE allowed
 AND NOT EXISTS (SELECT 1 FROM allowed b WHERE b.id = a.id AND b.stage_key = a.stage_key AND b.allowed IS NULL)""",
         "never_routed_media": f"""{base},{PREDICATES} SELECT id, mimetype,
@@ -315,21 +477,21 @@ QUALIFY row_number() OVER (PARTITION BY id, flag_key ORDER BY started DESC NULLS
         "reset_flags": f"""{msgs},{ALL_ASKED},{_reset("flags", "asked")} SELECT id, flag_key, started, reset FROM renewed_flags""",
         "reset_changed": f"""{msgs} SELECT v.seq, v.id, v.reset IS NULL OR EXISTS (SELECT 1 FROM flags f
 WHERE f.id = v.id AND list_contains(v.reset, f.flag_key)) AS changed FROM valid v JOIN docs d ON d.id = v.id""",
-        "dead_letters": f"{handled} SELECT seq, reason FROM results WHERE reason IS NOT NULL",
-        "publish": f"""{handled} SELECT route, concat('{{"id":"', id, '"}}') AS body FROM sent""",
-        "queue_flags": f"""{handled} SELECT n.id, n.flag_key, n.queued, n.added FROM new_flags n JOIN firsts m ON m.id = n.id""",
-        "supervise": f"{handled} SELECT seq, id, status, stage_key, n_sent FROM results",
-        "deferred_messages": f"{msgs} SELECT seq, id FROM valid EXCEPT SELECT seq, id FROM firsts",
-        "written_flags": f"""{handled} SELECT d.id, count(n.id) AS n_flags, count(n.id) FILTER (WHERE n.queued_now) AS n_queued
-FROM docs d LEFT JOIN new_flags n ON n.id = d.id GROUP BY d.id""",
-        "supervise_log": f"WITH RECURSIVE {_log()}",
-        "supervise_stream": f"WITH RECURSIVE {_log()}",
+        "dead_letters": f"{log} SELECT seq, status AS reason FROM results WHERE status IN {FAILURES}",
+        "publish": f"""{log} SELECT status AS route, concat('{{"id":"', id, '"}}') AS body FROM log WHERE kind = 'send'""",
+        "queue_flags": f"{log} SELECT id, flag_key, queued, added FROM last_flags WHERE n > 0",
+        "supervise": f"{log} {RESULTS}",
+        "written_flags": f"""{log} SELECT d.id, count(n.id) AS n_flags, count(n.id) FILTER (WHERE n.queued) AS n_queued
+FROM docs d LEFT JOIN last_flags n ON n.id = d.id GROUP BY d.id""",
+        "supervise_log": f"{log} {RESULTS}",
+        "supervise_log_hot": f"WITH RECURSIVE {_log(messages=HOT_MESSAGES + DECODED)} {RESULTS}",
+        "supervise_stream": f"{log} {RESULTS}",
+        "rules_table": f"""{base},{_resolved('flags', PLAIN, [e for e in DEFAULT_ENTRIES if e[0] != "ner"])}
+SELECT id, rule, stage_key, n_sends, error FROM resolved""",
+        "custom_rule_log": f"WITH RECURSIVE {_log(_resolved('now_flags', IDLE_STEPS, CUSTOM_ENTRIES))} {RESULTS}",
         "custom_rule": f"""{base},{_resolved('flags', CUSTOM_STEPS, CUSTOM_ENTRIES)}
 SELECT id, rule, stage_key, n_sends FROM resolved""",
-        "custom_engine": f"""{msgs},{FIRST_ASKED},{_reset("flags", "asked")},{_allowed("renewed_flags", FLAG_TEST_ENTRIES)},
-sends AS (SELECT d.id, r.stage_key, r.ordinal, r.flag, r.route FROM docs d CROSS JOIN req r),{_selected("asked")}
-SELECT d.id, 'FlagTest' AS rule, 'flag-test' AS stage_key, CAST(count(s.id) AS INTEGER) AS n_sends
-FROM docs d JOIN firsts m ON m.id = d.id LEFT JOIN selected s ON s.id = d.id GROUP BY d.id""",
+        "custom_engine": f"WITH RECURSIVE {_log(_flag_test())} {RESULTS}",
     }
     for rule in dict.fromkeys(step[0] for step in STEPS):
         steps = [step for step in STEPS if step[0] == rule]

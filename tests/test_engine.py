@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from docroute.functions import mimetypes as m
 from docroute.operators.engine import Engine, select_sends
 from docroute.operators.rules import Rule, Stage, default_rules
-from docroute.sources.rules import Required, RulesTable
+from docroute.functions import flags as ff
+from docroute.sources.rules import DEFAULT_ENTRIES, Required, RulesTable
 from tests import helpers as h
 from tests.helpers import EARLIER, ENGINE_TABLE, LATER, NER3, begun, ended, flag
 
@@ -177,10 +178,35 @@ def test_rules_table_round_trip(spark, tmp_path):
     )
     table = RulesTable.read(spark, str(path))
     assert table.entries == [Required("a", 0, "x", "q"), Required("a", 1, "y", "q")]
-    assert RulesTable.from_dataframe(table.to_dataframe(spark)).entries == table.entries
+    assert table.stages() == ["a", "b"] and table.flags("b") == []
+    again = RulesTable.from_dataframe(table.to_dataframe(spark))
+    assert (again.entries, again.stages()) == (table.entries, table.stages())
     assert table.config("a", "q").flag == "x"
 
 
+def test_empty_and_unused_stages(spark):
+    """A stage that requires nothing never sends and counts as completed; a stage
+    that no active rule reaches need not be there."""
+    df = h.documents(spark, ("text/html", []), ("application/zip", []))
+    entries = [e for e in RulesTable.default().entries if e.stage_key not in ("ner", "analytical", "archive")]
+    engine = Engine.default(analytical=False, table=RulesTable(entries, ["ner", "archive"]))
+    assert [r.resolution for r in engine.resolve(df).orderBy("id").collect()] == [None, None]
+    assert df.select(ff.completed(engine.table.flags("ner")).alias("c")).first().c
+    with pytest.raises(ValueError, match="no stage 'archive'"):
+        Engine.default(table=RulesTable(entries))
+
+
+def test_own_constants_of_the_statements():
+    """The statements hold the lists and the table themselves; both are the same."""
+    import oracle
+    from docroute.functions import mimetypes as m
+
+    for name in ("ARCHIVE", "SPREADSHEET", "ANALYSABLE", "XML", "TEXT", "OFFICE"):
+        assert sorted(getattr(oracle, name)) == sorted(getattr(m, name)), name
+    assert [len(getattr(oracle, n)) for n in ("ARCHIVE", "SPREADSHEET", "ANALYSABLE", "XML", "TEXT", "OFFICE")] == [33, 8, 2, 9, 50, 21]
+    assert oracle.DEFAULT_ENTRIES == DEFAULT_ENTRIES
+
+
 def test_custom_rule_and_table(spark):
     table = RulesTable([("first", 0, "a", "qa"), ("second", 0, "b", "qb"), ("empty", 0, "a", "qa")])
     mime = F.col("mimetype")

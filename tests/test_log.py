@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from docroute import fixtures
 from docroute.operators.engine import Engine
 from docroute.plans import supervise_log as plan
-from docroute.plans.supervise import first_per_document, supervise
+from docroute.plans.supervise import supervise
 from docroute.plans.supervise_log import supervise_log
-from docroute.sources.messages import decode_messages, read_messages
+from docroute.operators.rules import Rule, default_rules
+from docroute.sources.documents import read_documents, write_flags
+from docroute.sources.messages import read_messages
 from docroute.streaming.supervise_stream import (
     current_documents,
     read_output,
@@ -92,46 +94,142 @@ def test_salted_split_equals_the_model(tables, expected, monkeypatch):
     assert outcome(log.results) == expected[0]
 
 
-def test_log_of_single_messages_equals_supervise(tables):
+@pytest.mark.parametrize("bytes_", [0, plan.BROADCAST_BYTES])
+def test_pieces_joined_or_broadcast_equal_the_model(tables, expected, monkeypatch, bytes_):
+    monkeypatch.setattr(plan, "BROADCAST_BYTES", bytes_)
     documents, messages = tables
-    first = first_per_document(decode_messages(messages).filter("reason is null"))
-    single = messages.join(first.select("seq"), "seq", "left_semi")
-    engine = Engine.default(True)
-    log, batch = supervise_log(single, documents, engine), supervise(messages, documents, engine)
-    handled = batch.handled.filter("status <> 'undecodable'").select("seq", "status", "stage_key", "sends")
-    assert outcome(log.results) == outcome(handled)
-    assert changed(log.documents) == changed(batch.documents)
+    log = supervise_log(messages, documents, Engine.default(True), hot_messages=5, piece_messages=40)
+    assert outcome(log.results) == expected[0]
 
 
-def test_stream_equals_the_model(spark, tables, expected, tmp_path):
+def test_any_resolver_equals_the_model(tables, expected):
+    """The same engine, given as a function that nothing is known of."""
     documents, messages = tables
-    source, out = f"{tmp_path}/in", f"{tmp_path}/out"
-    edges = [0, 300, 301, 500, 800, 2_000]
+    engine = Engine.default(True)
+    log = supervise(messages, documents, lambda docs: engine.resolve(docs), engine.table)
+    assert outcome(log.results) == expected[0]
+    assert changed(log.documents) == expected[1]
+    assert log.sends.count() == sum(len(r[2]) for r in expected[0].values())
+    log.work.remove()
+
+
+def test_conditions_on_flags_see_the_flags_of_the_moment(spark, tables):
+    import tests.helpers as h
+
+    idle = ~F.exists("doclib", lambda flag: F.coalesce(flag["queued"], F.lit(False)))
+    engine = Engine([Rule("Idle", idle, ["text"])])
+    documents = h.documents(spark, ("x", []))
+    body = '{"id":"%s"}' % h.hex_id(0)
+    again = '{"id":"%s","reset":["rawtext"]}' % h.hex_id(0)
+    log = supervise(h.messages(spark, body, again, body), documents, engine)
+    assert [r.status for r in log.results.orderBy("seq").collect()] == ["sent", "no_match", "no_match"]
+    with pytest.raises(ValueError, match="looks at the flags"):
+        supervise_log(h.messages(spark, body), documents, engine)
+
+
+FAILED = ("undecodable", "missing_document", "reset_without_start")
+
+
+def write_in_parts(messages, source, edges):
     for low, high in zip(edges, edges[1:]):
         part = messages.filter((F.col("seq") >= low) & (F.col("seq") < high))
         part.coalesce(1).write.mode("append").parquet(source)
+
+
+def test_stream_equals_the_model(spark, tables, expected, tmp_path):
+    documents, messages = tables
+    source, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    write_in_parts(messages, source, [0, 300, 301, 500, 800, 2_000])
     stream = read_messages(spark, source, stream=True, files_per_trigger=1)
+    store = lambda: documents
     supervise_stream(
-        stream,
-        documents,
-        Engine.default(True),
-        out,
-        f"{tmp_path}/checkpoint",
-        available_now=True,
-        compact_every=2,
+        stream, store, Engine.default(True), out, f"{tmp_path}/checkpoint", available_now=True, compact_every=2
     ).awaitTermination()
     results = read_output(spark, out, "results")
     assert results.select("batch_id").distinct().count() == 5
     assert outcome(results) == expected[0]
     assert read_output(spark, out, "sends").count() == sum(len(r[2]) for r in expected[0].values())
-    assert read_output(spark, out, "dead_letters").count() == sum(
-        r[0] in ("undecodable", "missing_document", "reset_without_start") for r in expected[0].values()
-    )
-    now = current_documents(documents, out, 5, compact_every=2)
+    assert read_output(spark, out, "dead_letters").count() == sum(r[0] in FAILED for r in expected[0].values())
+    now = current_documents(spark, store, out, 5)
     assert {i: f for i, f in changed(now).items() if i in expected[1]} == expected[1]
     assert now.count() == documents.count()
 
-    # A repeated batch replaces its own output.
+    # A repeated batch replaces its own output, also under another interval.
     last = messages.filter(F.col("seq") >= 800)
-    supervise_batch(last, 4, documents, Engine.default(True), out, compact_every=2)
-    assert outcome(read_output(spark, out, "results")) == expected[0]
+    for compact_every in (2, 3, 20):
+        supervise_batch(last, 4, store, Engine.default(True), out, compact_every)
+        assert outcome(read_output(spark, out, "results")) == expected[0]
+        now = current_documents(spark, store, out, 5)
+        assert {i: f for i, f in changed(now).items() if i in expected[1]} == expected[1]
+
+
+def test_stream_follows_a_live_store(spark, tables, tmp_path):
+    """Between batches a consumer ends a flag, and a document arrives."""
+    import tests.helpers as h
+
+    archive = "application/zip"
+    engine = Engine.default(True)
+    first = h.documents(spark, (archive, []), ("text/plain", []))
+    body = ['{"id":"%s"}' % h.hex_id(i) for i in range(3)]
+    path, store = f"{tmp_path}/out", f"{tmp_path}/store"
+    write_flags(first, first.limit(0).select("id", "doclib"), store)
+
+    def handle(batch, *numbers):
+        messages = h.messages(spark, *[body[i] for i in numbers])
+        supervise_batch(messages.withColumn("seq", F.col("seq") + 10 * batch), batch, store, engine, path, 2)
+        found = read_output(spark, path, "results").filter(F.col("batch_id") == batch).orderBy("seq")
+        return [(r.status, r.stage_key) for r in found.collect()]
+
+    assert handle(0, 0, 0, 2) == [("sent", "archive"), ("held", "archive"), ("missing_document", None)]
+    # The consumer has unpacked it, and queued nothing further.
+    done = h.documents(spark, (archive, [h.ended("unarchived")]))
+    write_flags(first, done.select("id", "doclib"), store)
+    assert handle(1, 0, 0) == [("sent", "analytical"), ("held", "analytical")]
+    flags = {f.key: f for f in current_documents(spark, store, path, 2).filter(F.col("id") == h.hex_id(0)).first().doclib}
+    assert set(flags) == {"unarchived", "analytical"} and flags["unarchived"].ended is not None
+    # A document that was not there before.
+    more = h.documents(spark, (archive, []), ("text/plain", []), ("text/plain", []))
+    late = more.filter(F.col("id") == h.hex_id(2))
+    now = read_documents(spark, store).drop("bucket")
+    write_flags(now.unionByName(late), first.limit(0).select("id", "doclib"), f"{store}2")
+    store = f"{store}2"
+    assert handle(2, 2, 1) == [("sent", "ner"), ("sent", "ner")]
+
+
+def test_restriction_comes_before_the_state_is_aggregated(spark, tables, tmp_path):
+    """Buckets that a batch names restrict both the state and the snapshot."""
+    from docroute.sources.documents import in_buckets
+    from docroute.streaming.supervise_stream import changes
+
+    documents, messages = tables
+    store, out = f"{tmp_path}/store", f"{tmp_path}/out"
+    write_flags(documents.drop("doc_id"), documents.limit(0).select("id", "doclib"), store)
+    supervise_batch(messages.filter("seq < 300"), 0, lambda: documents, Engine.default(True), out)
+    state = changes(spark, out, 1, [3])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in state
+    snapshot = in_buckets(spark.read.parquet(store), [3])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in snapshot
+
+
+def test_rounds_prune_pieces(spark, tables):
+    """Pieces that a round does not look at are not read."""
+    from docroute.sources.documents import Work
+    from docroute.sources.messages import decode_messages
+
+    work, flags = Work(spark), Engine.default(True).flags
+    rows = decode_messages(tables[1]).filter("reason is null").select("seq", "ts", "id", "reset")
+    log, totals = plan.running_resets(rows, flags, 10, work)
+    sent = work.table(plan.unsent(totals, len(flags)))
+    met = plan.in_window(log, work.table(totals.drop("n")), sent.filter("settled < last"), True)
+    assert "dynamicpruning" in met._jdf.queryExecution().executedPlan().toString().lower()
+    assert met.count() > 0
+
+
+def test_intermediate_tables_are_removed(spark, tables):
+    from docroute.sources.documents import exists
+
+    documents, messages = tables
+    log = supervise_log(messages, documents, Engine.default(True), hot_messages=50)
+    assert exists(spark, log.work.path)
+    log.work.remove()
+    assert not exists(spark, log.work.path)

@@ -1,5 +1,7 @@
 """Every registered query against its SQL, on whole tables."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
@@ -13,7 +15,11 @@ def con():
     return check.connect(SF)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+# The text operators have tests of their own.
+NAMES = [name for name in entry.queries() if not re.match(r"op\d+_|pipeline", name)]
+
+
+@pytest.mark.parametrize("name", NAMES)
 def test_query(spark, con, name):
     verdict = check.compare(spark, con, name, SF)
     assert verdict.startswith(("same", "rows only")), verdict

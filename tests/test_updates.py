@@ -11,7 +11,7 @@ from docroute.plans.supervise import supervise
 from docroute.schema import RESOLUTION_TYPE
 from docroute.sources.documents import read_documents, write_flags
 from docroute.sources.messages import decode_messages
-from docroute.sources.sinks import publish
+from docroute.sources.sinks import publish, read_published
 from tests import helpers as h
 from tests.helpers import NOW, begun, ended, flag, hex_id
 
@@ -169,11 +169,11 @@ ONE, TWO, THREE = (f"flag.{n}" for n in ("one", "two", "three"))
 def handle_one(spark, flags, names, reset=()):
     df = h.documents(spark, ("application/pdf", flags))
     asked = ', "reset": [%s]' % ", ".join('"%s"' % r for r in reset) if reset else ""
-    handled = supervise(
+    log = supervise(
         h.messages(spark, '{"id": "%s"%s}' % (hex_id(0), asked)), df, send_to(*names), h.FLAG_TEST_TABLE
-    ).handled.first()
-    queued = {f.key: f.queued for f in handled.doclib}
-    return [s.route for s in handled.sends], queued
+    )
+    queued = {f.key: f.queued for f in log.documents.first().doclib}
+    return [s.route for s in log.results.first().sends], queued
 
 
 def test_send_adds_the_flag(spark):
@@ -215,6 +215,7 @@ def test_supervise_outputs(spark, tmp_path):
         4: "missing_document",
         5: "undecodable",
         6: "bad_id",
+        7: "sent",
     }
     assert {r.seq: r.reason for r in done.dead_letters.collect()} == {
         1: "reset_without_start",
@@ -222,15 +223,44 @@ def test_supervise_outputs(spark, tmp_path):
         5: "undecodable",
         6: "bad_id",
     }
-    assert [r.seq for r in done.deferred.collect()] == [7]
-    assert done.sends.count() == 5 and results[0].rule == "Tabular"
+    assert results[7].stage_key == "tabular.analyse"
+    assert done.sends.count() == 6 and results[0].rule == "Tabular"
 
     publish(done.results, str(tmp_path / "sends"))
-    sent = spark.read.json(str(tmp_path / "sends"))
-    assert sent.filter(f"id = '{hex_id(0)}'").count() == 5
+    sent = read_published(spark, str(tmp_path / "sends"))
+    assert sent.filter(F.col("body").contains(hex_id(0))).count() == 6
+    assert sorted(map(tuple, sent.collect())) == sorted(map(tuple, done.sends.collect()))
     snapshot = write_flags(df, done.documents, str(tmp_path / "new"))
     again = read_documents(spark, str(tmp_path / "new")).orderBy("id").collect()
     assert snapshot.count() == 4
-    assert [len(r.doclib) for r in again] == [5, 1, 1, 0]
+    assert [len(r.doclib) for r in again] == [6, 1, 1, 0]
     version = again[0].doclib[0].version
     assert tuple(version) == ("", 0, 0, 0, "")
+
+
+def test_only_changed_buckets_are_written_anew(spark, tmp_path):
+    import os
+
+    df = h.documents(spark, *[("x", [begun("a")])] * 40)
+    path = str(tmp_path / "store")
+    write_flags(df, df.limit(0).select("id", "doclib"), path)
+
+    def files():
+        return {os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+
+    before = files()
+    new = h.documents(spark, ("x", [ended("a")]))
+    after_write = write_flags(df, new.select("id", "doclib"), path)
+    assert len(before - files()) == len(files() - before) == 1
+    assert after_write.count() == 40 and after_write.columns == df.columns
+    assert [r.id for r in after_write.collect() if r.doclib[0].ended] == [hex_id(0)]
+
+
+def test_latest_flags_of_a_long_history(spark):
+    flags = [flag(f"k{i % 400}", NOW + timedelta(seconds=i % 7)) for i in range(1200)]
+    row = updates.latest_flag_per_key(h.documents(spark, ("x", flags))).first()
+    want = {}
+    for key, _, started, *_ in flags:
+        if key not in want or started > want[key]:
+            want[key] = started
+    assert {f.key: f.started for f in row.doclib} == want and len(row.doclib) == 400
