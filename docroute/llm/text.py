@@ -8,6 +8,7 @@ a single longer text makes a slice of its own.
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +20,10 @@ SLICE_BYTES = 4_000_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_PUNCTUATION = np.zeros(256, bool)
+_PUNCTUATION[[ord(c) for c in string.punctuation if c != "'"]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _MASK = np.array([(1 << (8 * i)) - 1 for i in range(8)] + [2**64 - 1], np.uint64)
@@ -150,17 +155,20 @@ _WIDER_SPACES = (
 
 def pieces(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Cut texts before every ASCII white space that follows a character that
-    is none: (starts, ends, first), as in ``Words``.
+    is none, and before ASCII punctuation (but not an apostrophe) that follows an
+    ASCII letter: (starts, ends, first), as in ``Words``.
 
-    Tokenizers whose pre-tokens hold white space only at their front never join
-    text across such a place, whatever stands on either side, so the ids of a
-    text are those of its pieces, one after the other.
+    Tokenizers whose pre-tokens hold white space only at their front, and letters
+    and punctuation together only in contractions, never join text across such a
+    place, whatever stands on either side, so the ids of a text are those of its
+    pieces, one after the other.
     """
     n, ptr = texts.n_bytes, texts.ptr
     data = texts.data[:n]
     space = _SPACE[data]
     cut = np.zeros(n + 1, bool)
     cut[1:n] = space[1:] & ~space[:-1]
+    cut[1:n] |= _PUNCTUATION[data[1:]] & _LETTER[data[:-1]]
     wide = np.flatnonzero(cut[:n] & (np.concatenate([[0], data[:-1]]) >= 0x80)) if n else np.zeros(0, int)
     if len(wide):
         data = data.astype(np.uint32)

@@ -7,6 +7,8 @@ then on.  A worker keeps what it has learned between batches, up to a bound.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 
 from docroute.llm.text import Texts, pieces, ranges
@@ -49,7 +51,7 @@ class PieceEncoder:
         strings = [raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[fresh].tolist(), ends[fresh].tolist())]
         encoded = [e.ids for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
         size = np.fromiter(map(len, encoded), np.int32, len(encoded))
-        ids = np.fromiter((i for e in encoded for i in e), np.int32, int(size.sum()))
+        ids = np.fromiter(itertools.chain.from_iterable(encoded), np.int32, int(size.sum()))
         at = len(self.ids) + np.cumsum(size, dtype=np.int64) - size
         self.ids = np.concatenate([self.ids, ids])
         self.keys = np.insert(self.keys, place[fresh], keys[fresh])
