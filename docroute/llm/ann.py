@@ -187,13 +187,19 @@ def fit(sample: np.ndarray, total: int, longest: float, k: int = K, list_size: i
     lists = max(1, min(total // list_size, len(sample) // SAMPLE_PER_LIST))
     centroids = Centroids(halve(points, lists))
     queries = np.linspace(0, len(sample) - 1, min(PROBES, len(sample))).astype(int)
-    scores = sample[queries] @ sample.T
-    scores[np.arange(len(queries)), queries] = -np.inf
-    best = np.argsort(-scores, axis=1, kind="stable")[:, : min(k, len(sample) - 1)]
-    if not best.size:
+    k = min(k, len(sample) - 1)
+    if not k:
         return centroids, LADDER[-1]
+    best = []
+    for some in np.array_split(queries, -(-len(queries) // 16)):
+        scores = sample[some] @ sample.T
+        scores[np.arange(len(some)), some] = -np.inf
+        best.append(np.argpartition(-scores, k - 1, axis=1)[:, :k])
+    best = np.concatenate(best)
+    home: dict[int, list[int]] = {}
     needed = np.unique(best)
-    home = dict(zip(needed.tolist(), (r.tolist() for r in replicas(centroids, points[needed]))))
+    for some in np.array_split(needed, -(-len(needed) // 512)):
+        home.update(zip(some.tolist(), (r.tolist() for r in replicas(centroids, points[some]))))
     for ratio in LADDER:
         within, _ = centroids.near(as_query(sample[queries]), ratio)
         hit = [any(w[c] for c in home[v]) for w, row in zip(within, best.tolist()) for v in row]
