@@ -60,8 +60,9 @@ def _hex_id_sql(number: str) -> str:
     return f"lpad(lower(hex({number})), 24, '0')"
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, doc_id, mimetype, doclib)"""
+def documents(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFrame:
+    """(id, doc_id, mimetype, doclib); with ``copies``, as many documents with
+    numbers of their own for each given one."""
     version = "named_struct('number', '0.0.1', 'major', 0, 'minor', 0, 'patch', 1, 'hash', '1234567890')"
     state = "((doc_id + 1) * (2 * k + 3) * 7919 + k * 104729) % 1009 % 10"
     states = (
@@ -89,6 +90,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return (
         spark.read.parquet(f"{sf_dir}/documents.parquet")
+        .selectExpr("doc_id", f"explode(sequence(0, {copies - 1})) AS copy")
+        .selectExpr(f"doc_id * {copies} + copy AS doc_id")
         .selectExpr(
             f"{_hex_id_sql('doc_id')} AS id",
             "doc_id",
