@@ -154,7 +154,8 @@ def _decisions(docs: DataFrame, digest: Callable[[Column], Column], files_per_tr
 
     # Full bytes of the hits against those of the row that stays.
     texts = docs.select("locator", digest(normalised()).alias("digest"), normalised().alias("body"), F.col("doc_id").cast("long").alias("doc_id"))
-    hit = _maybe_hit(texts, groups).filter("maybe").join(groups, "digest")
+    # Written, since both sides of the comparison come from it.
+    hit = cut_lineage(_maybe_hit(texts, groups).filter("maybe").drop("maybe").join(groups, "digest"))
     kept = hit.filter(F.col("locator") == F.col("keep.locator")).select("digest", F.col("body").alias("kept_body"))
     differ = (
         hit.select("digest", "body").join(kept, "digest").filter(F.col("body") != F.col("kept_body")).select("digest").distinct()
