@@ -20,6 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle  # noqa: E402
 from docroute import fixtures  # noqa: E402
+from docroute.functions.flags import strings_sql, with_sql  # noqa: E402
 from docroute.functions.mimetypes import PREDICATES, is_audio, is_image, is_video  # noqa: E402
 from docroute.operators import stages, updates  # noqa: E402
 from docroute.operators.engine import Engine, distinct_routes as drop_repeated_routes, select_sends  # noqa: E402
@@ -221,22 +222,48 @@ def supervise_log_hot(spark, sf):
     return _status(log.results)
 
 
-def supervise_stream(spark, sf):
-    folder = _run_folder(spark, "stream")
+def _halves(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """The messages in two parts, in the order of arrival."""
     messages = fixtures.messages(spark, sf)
-    # Two batches, in the order of arrival, each of several files.
     middle = messages.agg(F.min("seq") + F.floor((F.max("seq") - F.min("seq")) / 2)).first()[0]
-    for half in (F.col("seq") <= F.lit(middle), F.col("seq") > F.lit(middle)):
-        messages.filter(half).repartitionByRange(2, "seq").write.mode("append").parquet(f"{folder}/messages")
+    return [messages.filter(F.col("seq") <= F.lit(middle)), messages.filter(F.col("seq") > F.lit(middle))]
+
+
+def _arrive(messages: DataFrame, folder: str) -> None:
+    messages.repartitionByRange(2, "seq").write.mode("append").parquet(f"{folder}/messages")
+
+
+def _run_stream(spark: SparkSession, folder: str, store) -> None:
     stream = sm.read_messages(spark, f"{folder}/messages", stream=True, files_per_trigger=2)
-    start_stream(
-        stream,
-        lambda: fixtures.documents(spark, sf),
-        Engine.default(analytical=True),
-        f"{folder}/out",
-        f"{folder}/checkpoint",
-        available_now=True,
-    ).awaitTermination()
+    engine = Engine.default(analytical=True)
+    start_stream(stream, store, engine, f"{folder}/out", f"{folder}/checkpoint", available_now=True).awaitTermination()
+
+
+def supervise_stream(spark, sf):
+    folder = _run_folder(spark, "stream")
+    for half in _halves(spark, sf):
+        _arrive(half, folder)
+    _run_stream(spark, folder, lambda: fixtures.documents(spark, sf))
+    return _status(read_output(spark, f"{folder}/out", "results"))
+
+
+def supervise_stream_live(spark, sf):
+    """Between two batches every fifth document arrives, and a consumer begins and
+    ends every second flag that waits in a queue."""
+    folder = _run_folder(spark, "live")
+    documents = fixtures.documents(spark, sf)
+    first, second = _halves(spark, sf)
+    documents.filter("doc_id % 5 <> 0").write.parquet(f"{folder}/store/1")
+    _arrive(first, folder)
+    _run_stream(spark, folder, lambda: spark.read.parquet(f"{folder}/store/1"))
+
+    waits = f"f.started IS NULL AND array_contains({strings_sql(fixtures.FLAG_KEYS[::2])}, f.key)"
+    at = "TIMESTAMP_NTZ '2031-01-01 00:00:00'"
+    done = with_sql("f", started=at, ended=at)
+    consumed = F.expr(f"transform(doclib, f -> CASE WHEN {waits} THEN {done} ELSE f END)")
+    documents.withColumn("doclib", consumed).write.parquet(f"{folder}/store/2")
+    _arrive(second, folder)
+    _run_stream(spark, folder, lambda: spark.read.parquet(f"{folder}/store/2"))
     return _status(read_output(spark, f"{folder}/out", "results"))
 
 
@@ -367,6 +394,7 @@ def _all_queries() -> dict[str, Query]:
         "supervise_log": supervise_log,
         "supervise_log_hot": supervise_log_hot,
         "supervise_stream": supervise_stream,
+        "supervise_stream_live": supervise_stream_live,
         "custom_rule": custom_rule,
         "custom_engine": custom_engine,
         "custom_rule_log": custom_rule_log,

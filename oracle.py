@@ -377,14 +377,37 @@ chosen AS (SELECT id, 'flag-test' AS stage_key, false AS erred FROM docs d),
 sends AS (SELECT d.id, r.stage_key, r.ordinal, r.flag, r.route FROM docs d CROSS JOIN req r)"""
 
 
-def _log(resolved: str | None = None, messages: str = MESSAGES) -> str:
+# Between the two batches of the live store a consumer begins and ends every second
+# flag that waits in a queue, and every fifth document arrives.
+CONSUMED = "TIMESTAMP '2031-01-01 00:00:00'"
+
+
+def _log(resolved: str | None = None, messages: str = MESSAGES, live: bool = False) -> str:
     """All messages in order: the n-th round handles the n-th message of every
     document.  The state is rows too: ``doc`` and ``flag`` rows carry on to the
-    next round, ``done`` rows are the outcomes and ``send`` rows what was sent."""
+    next round, ``done`` rows are the outcomes and ``send`` rows what was sent.
+
+    ``live``: the store changes halfway through the log."""
+    cur = "l.*"
+    if live:
+        consumed = (
+            "l.kind = 'flag' AND m.seq > (SELECT seq FROM halfway) AND l.started IS NULL AND l.seq < 1000"
+            " AND l.flag_key IN (SELECT flag_key FROM keys WHERE k % 2 = 0)"
+        )
+        cur = (
+            f"l.* REPLACE (CASE WHEN {consumed} THEN {CONSUMED} ELSE l.started END AS started,"
+            f" CASE WHEN {consumed} THEN {CONSUMED} ELSE l.ended END AS ended)"
+        )
+    late = """
+halfway AS (SELECT min(seq) + (max(seq) - min(seq)) // 2 AS seq FROM msgs),
+early AS (SELECT v.seq, v.id FROM valid v JOIN docs d ON d.id = v.id
+ WHERE d.doc_id % 5 = 0 AND v.seq <= (SELECT seq FROM halfway)),"""
+    late = late if live else "\nearly AS (SELECT seq, id FROM valid WHERE false),"
     resolved = resolved or _resolved("now_flags", STEPS)
     inner = f"{resolved},{_selected('asked')}".replace("FROM docs d", "FROM now_docs d")
-    return f"""{DERIVED},{messages},
-ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq) AS n FROM valid),
+    return f"""{DERIVED},{messages},{late}
+ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq) AS n FROM valid
+ WHERE seq NOT IN (SELECT seq FROM early)),
 log AS (
  SELECT CAST(0 AS BIGINT) AS n, id, 'doc' AS kind, CAST(0 AS BIGINT) AS seq, CAST(NULL AS VARCHAR) AS flag_key,
   CAST(NULL AS TIMESTAMP) AS started, CAST(NULL AS TIMESTAMP) AS ended, CAST(NULL AS TIMESTAMP) AS reset,
@@ -393,7 +416,7 @@ log AS (
  UNION ALL
  SELECT 0, id, 'flag', seq, flag_key, started, ended, reset, queued, NULL, NULL, NULL FROM flags
  UNION ALL
- (WITH cur AS (SELECT l.*, m.seq AS message, m.ts, m.reset AS named
+ (WITH cur AS (SELECT {cur}, m.seq AS message, m.ts, m.reset AS named
    FROM log l JOIN ranked m ON m.id = l.id AND m.n = l.n + 1 WHERE l.kind IN ('doc', 'flag')),
  now_docs AS (SELECT id, n + 1 AS n, message, ts, named FROM cur WHERE kind = 'doc'),
  asked AS (SELECT DISTINCT id, unnest(named) AS flag_key FROM now_docs),
@@ -425,6 +448,7 @@ last_flags AS (SELECT l.id, l.flag_key, l.queued, l.seq = 1000 AS added, h.n FRO
  JOIN handled_to h ON h.id = l.id AND h.n = l.n WHERE l.kind = 'flag'),
 results AS (SELECT seq, id, status, stage_key, n_sent FROM log WHERE kind = 'done'
  UNION ALL SELECT seq, id, reason, NULL, 0 FROM decoded WHERE reason IS NOT NULL
+ UNION ALL SELECT seq, id, 'missing_document', NULL, 0 FROM early
  UNION ALL SELECT seq, id, 'missing_document', NULL, 0 FROM valid v WHERE NOT EXISTS (SELECT 1 FROM docs d WHERE d.id = v.id))"""
 
 
@@ -486,6 +510,7 @@ FROM docs d LEFT JOIN last_flags n ON n.id = d.id GROUP BY d.id""",
         "supervise_log": f"{log} {RESULTS}",
         "supervise_log_hot": f"WITH RECURSIVE {_log(messages=HOT_MESSAGES + DECODED)} {RESULTS}",
         "supervise_stream": f"{log} {RESULTS}",
+        "supervise_stream_live": f"WITH RECURSIVE {_log(live=True)} {RESULTS}",
         "rules_table": f"""{base},{_resolved('flags', PLAIN, [e for e in DEFAULT_ENTRIES if e[0] != "ner"])}
 SELECT id, rule, stage_key, n_sends, error FROM resolved""",
         "custom_rule_log": f"WITH RECURSIVE {_log(_resolved('now_flags', IDLE_STEPS, CUSTOM_ENTRIES))} {RESULTS}",
