@@ -36,10 +36,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docroute.llm.files import store
+from docroute.llm.text import give_back
 from docroute.sources.documents import cut_lineage, shared_folder
 
 #: Bytes of text in a block.
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 2_000_000
 #: Slices per shuffle partition.
 SLICES_PER_PARTITION = 4
 
@@ -90,6 +91,8 @@ def blocks(batches: Iterator[pa.RecordBatch], most: int = BLOCK_BYTES) -> Iterat
             lo = hi
     if held:
         yield current, number, joined()
+    held.clear()
+    give_back()
 
 
 class Slices:

@@ -41,6 +41,8 @@ PENALTY = 8.0
 #: Languages in a set, at most, and steps of expectation-maximisation.
 LARGEST_SET, STEPS = 3, 12
 UND = "und"
+#: Bytes of text worked on at a time; every word has a row of likelihoods.
+SLICE_BYTES = 1_000_000
 
 _CLASS = np.full(256, 0x20, np.uint8)
 _CLASS[97:123] = np.arange(97, 123)
@@ -87,7 +89,7 @@ def train(docs: DataFrame) -> Model:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
         for batch in batches:
-            for some in slices(batch):
+            for some in slices(batch, most=SLICE_BYTES):
                 grams = Grams(some.column("text"))
                 names, which = np.unique(np.array(some.column("lang").to_pylist(), object).astype(str), return_inverse=True)
                 ends = np.append(grams.word_at, len(grams.buckets))
@@ -187,7 +189,7 @@ def identify(docs: DataFrame, model: Model, *columns: str, prefix: str = "") ->
         model = shared.value
         labels = np.array([*model.names, UND], object)
         for batch in batches:
-            for some in slices(batch):
+            for some in slices(batch, most=SLICE_BYTES):
                 letter = np.asarray(some.column("letter").to_numpy(zero_copy_only=False), bool)
                 if model.names:
                     share = mixtures(model, Grams(some.column("text")))

@@ -8,6 +8,7 @@ a single longer text makes a slice of its own.
 
 from __future__ import annotations
 
+import ctypes
 import string
 from collections.abc import Iterator
 
@@ -16,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute
 
 #: Bytes of text worked on at a time.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -184,6 +185,15 @@ def pieces(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return starts, ends, np.searchsorted(starts, ptr)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker that waits for its next task
+    shares its executor's memory with others."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in slices of about ``most`` bytes of text."""
     texts = batch.column(column)
@@ -194,6 +204,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES)
     edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts)]
     for lo, hi in zip(edges, edges[1:]):
         yield batch.slice(lo, hi - lo)
+    give_back()
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
