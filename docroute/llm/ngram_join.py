@@ -404,3 +404,30 @@ def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``docs`` with one document of each class, the one with the smallest id."""
     gone = near_copies(docs, shingle).filter("doc_id <> component_id").select("doc_id")
     return docs.join(cut_lineage(gone.distinct()), "doc_id", "left_anti").select(*docs.columns)
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+),
+starts AS (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, CAST(len(words) > 0 AS INT) + 1))) AS i FROM split),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle FROM starts),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+),
+links AS (
+  SELECT s.a, s.b FROM shared s JOIN sizes x ON x.doc_id = s.a JOIN sizes y ON y.doc_id = s.b
+  WHERE 100 * s.n >= 75 * (x.n + y.n - s.n)
+),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other
+)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.least AS component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
+JOIN (SELECT doc_id, min(other) AS least FROM reached GROUP BY doc_id) r ON r.doc_id = d.doc_id
+"""

@@ -79,4 +79,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": exact_dedup.ORACLE_SQL}
+    return {
+        "op1_ngram_join": ngram_join.ORACLE_SQL,
+        "op6_exact_dedup": exact_dedup.ORACLE_SQL,
+        "op8_substring_dedup": substring.ORACLE_SQL,
+    }

@@ -180,3 +180,21 @@ def remove_repeated(docs: DataFrame, size: int = SIZE, cell_bits: int = CELL_BIT
 
     own = [F.col("text") if c == "text" else F.col(c).alias(f"c{i}") for i, c in enumerate(names)]
     return exchange.with_split(docs, *own).mapInArrow(cut, StructType(docs.schema.fields))
+
+
+ORACLE_SQL = r"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+),
+starts AS (SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS i FROM split),
+windows AS (SELECT doc_id, i, array_to_string(words[i:i + 34], ' ') AS run FROM starts),
+repeated AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY run) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS j FROM repeated),
+each AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS j FROM split),
+left_over AS (
+  SELECT e.doc_id, count(g.j) AS n_removed, string_agg(e.word, ' ' ORDER BY e.j) FILTER (WHERE g.j IS NULL) AS kept
+  FROM each e LEFT JOIN gone g ON g.doc_id = e.doc_id AND g.j = e.j GROUP BY e.doc_id
+)
+SELECT s.doc_id, len(s.words) AS n_words, coalesce(l.n_removed, 0) AS n_removed, sha256(coalesce(l.kept, '')) AS kept_sha256
+FROM split s LEFT JOIN left_over l ON l.doc_id = s.doc_id
+"""
