@@ -287,10 +287,8 @@ def nearest(vectors: DataFrame, k: int = K, query_step: int = QUERY_STEP, sample
             ["list", "vec_id", "embedding"],
         )
 
-    listed = "list int, vec_id long, embedding array<float>"
-    held = candidates.select("vec_id", F.col("embedding").cast("array<float>").alias("embedding"))
+    listed = f"list int, vec_id long, embedding {rows.schema['embedding'].dataType.simpleString()}"
     asked = rows.filter(F.col("vec_id") % query_step == 0).dropDuplicates(["vec_id"])
-    asked = asked.select("vec_id", F.col("embedding").cast("array<float>").alias("embedding"))
 
     def blocks(rows: DataFrame, block: str, members: str) -> DataFrame:
         """Lists in blocks of about BLOCK rows: (list, block, members)."""
@@ -301,7 +299,7 @@ def nearest(vectors: DataFrame, k: int = K, query_step: int = QUERY_STEP, sample
             F.collect_list("vec_id").alias(f"{members}_ids"), F.collect_list("embedding").alias(members)
         )
 
-    posted = cut_lineage(held.mapInArrow(to_lists, listed))
+    posted = cut_lineage(candidates.mapInArrow(to_lists, listed))
     probed = cut_lineage(asked.mapInArrow(to_probes, listed))
     met = blocks(posted, "vector_block", "vectors").join(blocks(probed, "query_block", "queries"), "list")
 
