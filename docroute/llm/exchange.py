@@ -41,8 +41,9 @@ from docroute.sources.documents import cut_lineage, shared_folder
 
 #: Bytes of text in a block.
 BLOCK_BYTES = 2_000_000
-#: Slices per shuffle partition.
-SLICES_PER_PARTITION = 4
+#: Slices per shuffle partition, and how many slices there are at least before
+#: there is only one per partition: a block sends a row to each.
+SLICES_PER_PARTITION, ENOUGH_SLICES = 4, 1024
 
 
 def with_split(docs: DataFrame, *columns: str) -> DataFrame:
@@ -262,7 +263,8 @@ def distinct_and_sum(spark: SparkSession, folder: str) -> tuple[int, int]:
 
 
 def slices_for(df: DataFrame, cell_bits: int | None = None) -> Slices:
-    return Slices(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) * SLICES_PER_PARTITION, cell_bits)
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return Slices(partitions * max(1, min(SLICES_PER_PARTITION, ENOUGH_SLICES // partitions)), cell_bits)
 
 
 class Codes:
