@@ -48,12 +48,16 @@ class Required:
 
 class RulesTable:
     """The required entries of all stages, in order.  ``stages`` names further
-    stages, which require nothing and so never send."""
+    stages, which require nothing and so never send.
 
-    def __init__(self, entries: Iterable[Required | tuple], stages: Iterable[str] = ()):
+    The entries become part of every expression, so a table with more than
+    ``most`` of them is refused.
+    """
+
+    def __init__(self, entries: Iterable[Required | tuple], stages: Iterable[str] = (), most: int = MAX_ENTRIES):
         rows = [e if isinstance(e, Required) else Required(*e) for e in entries]
-        if len(rows) > MAX_ENTRIES:
-            raise ValueError(f"a rules table has at most {MAX_ENTRIES} entries, not {len(rows)}")
+        if len(rows) > most:
+            raise ValueError(f"a rules table has at most {most} entries, not {len(rows)}")
         seen = set()
         for row in rows:
             if row.type != "queue":
@@ -69,12 +73,12 @@ class RulesTable:
         return RulesTable(DEFAULT_ENTRIES)
 
     @staticmethod
-    def from_dataframe(df: DataFrame) -> RulesTable:
+    def from_dataframe(df: DataFrame, most: int = MAX_ENTRIES) -> RulesTable:
         """Take the table from a DataFrame with the columns of REQUIRED_SCHEMA; a row
         without a flag names a stage that requires nothing."""
-        rows = df.select(*REQUIRED_SCHEMA.fieldNames()).limit(MAX_ENTRIES + 1).collect()
+        rows = df.select(*REQUIRED_SCHEMA.fieldNames()).limit(most + 1).collect()
         empty = [row.stage_key for row in rows if row.flag is None]
-        return RulesTable((Required(*row) for row in rows if row.flag is not None), empty)
+        return RulesTable((Required(*row) for row in rows if row.flag is not None), empty, most)
 
     @staticmethod
     def read(spark: SparkSession, path: str) -> RulesTable:
