@@ -130,62 +130,48 @@ class Sequence:
         return out
 
 
-def build(words: np.ndarray, streams: list[np.ndarray], log10: list[np.ndarray]) -> Writer:
+def build(words: np.ndarray, tokens: np.ndarray, at: list[np.ndarray], log10: list[np.ndarray]) -> Writer:
     """A trie of the n-grams of some texts.
 
-    ``words``: the distinct words (64-bit values), sorted.  ``streams[k]``: the
-    n-grams of order k + 1 that occur, as an array (m, k + 1) of word places; all
-    but the first word of one must occur one order below, as must all but the
-    last.  ``log10[k]``: the log10 probability of the last word of each.
+    ``words``: the distinct words (64-bit values), sorted.  ``tokens``: the texts
+    as places of words.  ``at[k]``: where the n-grams of order k + 1 begin, in
+    order; all tokens for order one.  ``log10[k]``: the log10 probability of the
+    last word of each.
     """
     out = Writer()
     v = len(words)
-    out.add(np.array([len(streams), v], "<u8"))
+    out.add(np.array([len(at), v], "<u8"))
     out.sequence(words, 1 << 64)
     first = np.zeros(v, "<u2")
-    first[streams[0][:, 0]] = quantised(log10[0])
+    first[tokens] = quantised(log10[0])
     out.add(first)
-    sizes = [v]
-    lookup = pair = pair_starts = None
-    for k in range(1, len(streams)):
-        grams = streams[k]
+    # Per token, the node of the n-gram of the order at hand that begins there.
+    nodes, n_nodes, pairs, pair_starts = tokens.astype(np.int64), v, None, None
+    for k in range(1, len(at)):
+        here = at[k]
+        parents = nodes[here]
         if k == 1:
-            parents, last = grams[:, 0].astype(np.int64), grams[:, 1].astype(np.int64)
+            last = tokens[here + 1].astype(np.int64)
         else:
-            parents = lookup(grams[:, :-1])
             # Place of the last word among the successors of the one before it.
-            last = pair(grams[:, -2:]) - pair_starts[grams[:, -2]]
-        n_parents = sizes[-1]
+            last = pairs[here + k - 1] - pair_starts[tokens[here + k - 1]]
         span = int(last.max()) + 1 if len(last) else 1
-        keys, one = np.unique(parents * span + last, return_index=True)
+        keys, one, back = np.unique(parents * span + last, return_index=True, return_inverse=True)
         parent, relative = keys // span, keys % span
-        starts = np.searchsorted(parent, np.arange(n_parents + 1))
+        starts = np.searchsorted(parent, np.arange(n_nodes + 1))
         out.sequence(starts, len(keys) + 1)
         # Each stretch is moved up by the last words of those before it.
         filled = np.flatnonzero(np.diff(starts))
-        tops = np.zeros(n_parents + 1, np.int64)
+        tops = np.zeros(n_nodes + 1, np.int64)
         tops[filled + 1] = relative[starts[filled + 1] - 1] + 1
         base = np.cumsum(tops)
         out.sequence(relative + base[parent], int(base[-1]) + 1)
         out.sequence(base, int(base[-1]) + 1)
         out.add(quantised(log10[k][one]))
-        sizes.append(len(keys))
-
-        def find(parents, last, keys=keys, span=span):
-            return np.searchsorted(keys, parents * span + last)
-
+        nodes, n_nodes = np.full(len(tokens), -1), len(keys)
+        nodes[here] = back
         if k == 1:
-            pair_starts = starts
-
-            def pair(g, find=find):
-                return find(g[:, 0].astype(np.int64), g[:, 1].astype(np.int64))
-
-            lookup = pair
-        else:
-
-            def lookup(g, find=find, below=lookup):
-                return find(below(g[:, :-1]), pair(g[:, -2:]) - pair_starts[g[:, -2]])
-
+            pairs, pair_starts = nodes, starts
     return out
 
 
@@ -232,10 +218,32 @@ class Trie:
         first = self.starts[0][np.maximum(grams[:, -2], 0)].astype(np.int64)
         return self._child(grams.shape[1] - 2, parents, np.where(pairs >= 0, pairs - first, -1))
 
-    def log10(self, grams: np.ndarray, nodes: np.ndarray | None = None) -> np.ndarray:
-        """The stored log10 probabilities; nan for n-grams it does not hold."""
-        nodes = self.nodes(grams) if nodes is None else nodes
-        codes = self.codes[grams.shape[1] - 1]
+    def scores(self, places: np.ndarray, at: list[np.ndarray]) -> np.ndarray:
+        """The log10 probability of each token of some texts, given as places of
+        words, in the longest context the trie has; ``at`` as in ``build``."""
+        each = self._read(0, places)
+        nodes, pairs = places, None
+        for k in range(1, self.order):
+            here = at[k]
+            if k == 1:
+                last = places[here + 1]
+            else:
+                first = self.starts[0][np.maximum(places[here + k - 1], 0)].astype(np.int64)
+                last = np.where(pairs[here + k - 1] >= 0, pairs[here + k - 1] - first, -1)
+            found = self._child(k - 1, nodes[here], last)
+            each[here + k] = self._read(k, found)
+            nodes = np.full(len(places), -1)
+            nodes[here] = found
+            if k == 1:
+                pairs = nodes
+        return each
+
+    def _read(self, level: int, nodes: np.ndarray) -> np.ndarray:
+        codes = self.codes[level]
         if not len(codes):
-            return np.full(len(grams), np.nan)
+            return np.full(len(nodes), np.nan)
         return np.where(nodes >= 0, codes[np.maximum(nodes, 0)] / -float(STEPS), np.nan)
+
+    def log10(self, grams: np.ndarray) -> np.ndarray:
+        """The stored log10 probabilities; nan for n-grams it does not hold."""
+        return self._read(grams.shape[1] - 1, self.nodes(grams))

@@ -114,20 +114,14 @@ def _log10(tokens: _Tokens, words: np.ndarray, grams: np.ndarray, n: int, v: int
 
 def block_trie(tokens: _Tokens, log10: list[np.ndarray]) -> elias_fano.Writer:
     """The trie of a block's n-grams with their log10 probabilities."""
-    streams = [tokens.ids[:, None]]
-    for k, at in zip(range(2, tokens.order + 1), tokens.at):
-        streams.append(np.stack([tokens.ids[at + i] for i in range(k)], axis=1))
-    return elias_fano.build(tokens.keys, streams, log10)
+    return elias_fano.build(tokens.keys, tokens.ids, [np.arange(len(tokens.ids)), *tokens.at], log10)
 
 
 def text_scores(trie: elias_fano.Trie, hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     """The log10 probability of each text, given its tokens, by the trie: every
     token in the context of up to order - 1 tokens before it."""
-    places = trie.word(hashes)
-    each = trie.log10(places[:, None])
-    for k in range(2, trie.order + 1):
-        at = np.flatnonzero(starts_of_runs(first, k))
-        each[at + k - 1] = trie.log10(np.stack([places[at + i] for i in range(k)], axis=1))
+    at = [np.flatnonzero(starts_of_runs(first, k)) for k in range(1, trie.order + 1)]
+    each = trie.scores(trie.word(hashes), at)
     return np.add.reduceat(each, first[:-1]) if len(first) > 1 else np.zeros(0)
 
 

@@ -94,11 +94,14 @@ def test_trie_holds_what_it_is_given(tmp_path, order):
         known: dict = {}
         streams.append(grams)
         logs.append(np.array([known.setdefault(tuple(g), -9 * r.random()) for g in grams.tolist()]))
-    writer = elias_fano.build(words, streams, logs)
+    at = [np.arange(len(text) - k) for k in range(order)]
+    writer = elias_fano.build(words, text, at, logs)
     writer.save(str(tmp_path / "trie"))
     for trie in (elias_fano.Trie(writer.buffer()), elias_fano.Trie.open(str(tmp_path / "trie"))):
         assert trie.word(words).tolist() == list(range(30))
         assert trie.word(np.array([1], np.uint64)).tolist() == [-1]
+        longest = np.concatenate([*(logs[k][:1] for k in range(order - 1)), logs[-1]])
+        assert np.abs(trie.scores(trie.word(words[text]), at) - longest).max() <= 0.5 / elias_fano.STEPS + 1e-9
         for grams, log in zip(streams, logs):
             assert np.abs(trie.log10(grams) - log).max() <= 0.5 / elias_fano.STEPS + 1e-9
             held = {tuple(g) for g in grams.tolist()}
