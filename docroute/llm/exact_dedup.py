@@ -46,6 +46,8 @@ BITS, BITMAPS = 15, 8
 
 _STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # A partition's store is closed between batches, so memory does not grow with their number.
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else megabytes of empty log a partition
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
