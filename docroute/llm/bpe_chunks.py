@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docroute.llm.text import short_batches
 from docroute.sources.documents import cut_lineage
 
 #: Characters in a chunk, and how many of them the next chunk repeats.
@@ -113,6 +114,7 @@ def encode_digests(docs: DataFrame, ranks: str, pattern: str, chunk: int = CHUNK
 
 
 def _coded(docs: DataFrame, ranks: str, pattern: str, chunk: int, overlap: int, digests: bool) -> DataFrame:
+    short_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     whole = "doc_id long, n_tokens long, " + (
         "ids_sha256 string, decoded_sha256 string" if digests else "ids binary, decoded binary"

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docroute.llm.files import store
-from docroute.llm.text import give_back
+from docroute.llm.text import give_back, short_batches
 from docroute.sources.documents import cut_lineage, shared_folder
 
 #: Bytes of text in a block.
@@ -49,6 +49,7 @@ SLICES_PER_PARTITION, ENOUGH_SLICES = 4, 1024
 def with_split(docs: DataFrame, *columns: str) -> DataFrame:
     """The columns of a table of texts, and the input split of each row.  What is
     not read from files as it is gets written to the shared folder first."""
+    short_batches(docs.sparkSession)
     split = F.xxhash64("_metadata.file_path", "_metadata.file_block_start").alias("split")
     if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
         docs = cut_lineage(docs)

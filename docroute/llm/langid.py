@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, MapType, StringType, StructField, StructType
 
-from docroute.llm.text import Texts, slices
+from docroute.llm.text import Texts, short_batches, slices
 
 BUCKETS = 1 << 16
 MAX_LANGUAGES = 256
@@ -103,6 +103,7 @@ def train(docs: DataFrame) -> Model:
                 [pa.array([name] * len(some), pa.string()), pa.array(some.astype(np.int32)), pa.array(found[some])], ["lang", "bucket", "n"]
             )
 
+    short_batches(docs.sparkSession)
     labelled = docs.select("text", F.col("lang").cast("string").alias("lang")).filter("lang IS NOT NULL")
     counts = labelled.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     # At most MAX_LANGUAGES * BUCKETS rows.
@@ -180,6 +181,7 @@ def identify(docs: DataFrame, model: Model, *columns: str, prefix: str = "") ->
     """``columns`` of ``docs`` with lang_pred, score and mixture (language to
     proportion, of the languages in the set), the three with a prefix to their names."""
     spark = docs.sparkSession
+    short_batches(spark)
     shared = spark.sparkContext.broadcast(model)
     names = list(columns)
     added = {"lang_pred": StringType(), "score": DoubleType(), "mixture": MapType(StringType(), DoubleType())}

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docroute.llm.text import Texts, slices
+from docroute.llm.text import Texts, short_batches, slices
 from docroute.llm.tokenise import encoder
 from docroute.sources.documents import cut_lineage
 
@@ -45,6 +45,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 def token_pieces(docs: DataFrame, tokenizer: str, size: int = SIZE, end_id: int = END_ID, keep_ids: bool = False) -> DataFrame:
     """One row per piece of every text; ``ids`` (binary, uint32) if asked for."""
     schema = PIECES + (", ids binary" if keep_ids else "")
+    short_batches(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -15,9 +15,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+from pyspark.sql import SparkSession
 
 #: Bytes of text worked on at a time.
 SLICE_BYTES = 2_000_000
+#: Rows that go to a Python worker at a time.
+BATCH_ROWS = 1_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -185,6 +188,15 @@ def pieces(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return starts, ends, np.searchsorted(starts, ptr)
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Have rows with texts go to Python workers in batches of at most
+    ``BATCH_ROWS`` from now on.  The setting is the session's; its default of
+    10,000 rows would hold tens of megabytes on both sides, several times over."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def give_back() -> None:
     """Return freed memory to the system: a worker that waits for its next task
     shares its executor's memory with others."""

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docroute.llm.text import Texts, Words, slices
+from docroute.llm.text import Texts, Words, short_batches, slices
 
 MARK = "▁"
 #: Distinct words a worker remembers before it starts anew.
@@ -147,5 +147,6 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
                     ["doc_id", "n_words", "n_tokens"],
                 )
 
+    short_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(count, "doc_id long, n_words long, n_tokens long")

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docroute.llm.files import store
-from docroute.llm.text import Texts, slices
+from docroute.llm.text import Texts, short_batches, slices
 from docroute.llm.tokenise import encoder
 from docroute.sources.documents import cut_lineage, shared_folder
 
@@ -271,6 +271,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0,
         if names:
             yield flush()
 
+    short_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     ranged = rows.repartitionByRange(F.col("doc_id").asc_nulls_first())
     ordered = ranged.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
