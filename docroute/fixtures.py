@@ -60,6 +60,18 @@ def _hex_id_sql(number: str) -> str:
     return f"lpad(lower(hex({number})), 24, '0')"
 
 
+def _numbers(spark: SparkSession, sf_dir: str, copies: int) -> DataFrame:
+    numbers = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id")
+    if copies == 1:
+        return numbers
+    # A small table is one task until it is dealt out.
+    return (
+        numbers.selectExpr("doc_id", f"explode(sequence(0, {copies - 1})) AS copy")
+        .selectExpr(f"doc_id * {copies} + copy AS doc_id")
+        .repartition(spark.sparkContext.defaultParallelism * 4)
+    )
+
+
 def documents(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFrame:
     """(id, doc_id, mimetype, doclib); with ``copies``, as many documents with
     numbers of their own for each given one."""
@@ -89,9 +101,7 @@ def documents(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFrame:
         "filter(states, x -> (x.s = 6 AND doc_id % 4 = 0) OR (x.s = 8 AND doc_id % 7 = 0))"
     )
     return (
-        spark.read.parquet(f"{sf_dir}/documents.parquet")
-        .selectExpr("doc_id", f"explode(sequence(0, {copies - 1})) AS copy")
-        .selectExpr(f"doc_id * {copies} + copy AS doc_id")
+        _numbers(spark, sf_dir, copies)
         .selectExpr(
             f"{_hex_id_sql('doc_id')} AS id",
             "doc_id",
