@@ -252,9 +252,6 @@ def returned(
     met = runs.repartition(partitions, "slice").sortWithinPartitions("slice")
     codes = met.mapInArrow(merge, "split long, number int, slice int, check long, codes binary")
     codes.repartition("split").write.partitionBy("split").parquet(folder)
-    # Nothing reads the exchange's shuffle files again; they go when the driver next
-    # collects its garbage, which is now rather than after the exchanges to come.
-    spark._jvm.System.gc()
     return folder
 
 
