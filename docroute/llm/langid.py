@@ -9,7 +9,7 @@ A document is a bag of words, each written in one of its languages.  The
 likelihood of a word in a language is the product over its grams.
 Expectation-maximisation gives the proportions of the languages that make the
 document most likely; single words are evidence, so a second language needs no
-switch marks.  Then sets of languages compete, each holding the likeliest ones:
+switch marks.  Then sets of languages of any size compete, each holding the likeliest ones:
 one more language must raise the log-likelihood by ``PENALTY`` / 2 * log(number of words).
 The answer is the language with the largest proportion in the set that wins, and
 the score is that proportion.
@@ -38,8 +38,8 @@ MAX_LANGUAGES = 256
 #: Added to every count.
 SMOOTHING = 0.5
 PENALTY = 8.0
-#: Languages in a set, at most, and steps of expectation-maximisation.
-LARGEST_SET, STEPS = 3, 12
+#: Steps of expectation-maximisation.
+STEPS = 12
 UND = "und"
 #: Bytes of text worked on at a time; every word has a row of likelihoods.
 SLICE_BYTES = 1_000_000
@@ -128,7 +128,7 @@ def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def mixtures(model: Model, grams: Grams, penalty: float = PENALTY, largest: int = LARGEST_SET, steps: int = STEPS) -> np.ndarray:
+def mixtures(model: Model, grams: Grams, penalty: float = PENALTY, steps: int = STEPS) -> np.ndarray:
     """The proportions of all languages in each text; those not in the set are 0."""
     n_words = np.diff(grams.first)
     k = len(model.names)
@@ -155,24 +155,33 @@ def mixtures(model: Model, grams: Grams, penalty: float = PENALTY, largest: int
     if k == 1 or not len(log):
         return result
     score = alone[texts, best]
-    full, _ = fit(np.full((grams.texts, k), 1.0 / k), grams.first, word, owner, steps)
+    full, reached = fit(np.full((grams.texts, k), 1.0 / k), grams.first, word, owner, steps)
+    # The log-likelihood is concave, so its slope at the full fit bounds that of every set.
+    joint = np.maximum((full[owner] * word).sum(1, keepdims=True), 1e-300)
+    most = reached + np.maximum(_sums(word / joint, grams.first).max(1) - n_words, 0)
     rank = np.argsort(-full, axis=1, kind="stable")
     price = penalty / 2 * np.log(np.maximum(n_words, 2))
-    for size in range(2, min(largest, k) + 1):
-        # Only texts in which the next language has a share can gain by it.
-        some = np.flatnonzero(full[texts, rank[:, size - 1]] * n_words > 1)
-        if not len(some):
+    for size in range(2, k + 1):
+        # Only texts in which the next language has a share can gain by it, unless
+        # the price of the set is more than any set can gain.
+        shared = full[texts, rank[:, size - 1]] * n_words > 1
+        if not shared.any():
             break
+        some = np.flatnonzero(shared & (most - (size - 1) * price > score))
+        if not len(some):
+            continue
         words = np.concatenate([np.arange(a, b) for a, b in zip(grams.first[some], grams.first[some + 1])])
+        own = np.repeat(np.arange(len(some)), n_words[some])
         first = np.concatenate([[0], np.cumsum(n_words[some])])
-        share = np.zeros((len(some), k))
         chosen = rank[some, :size]
-        np.put_along_axis(share, chosen, np.take_along_axis(full[some], chosen, 1), 1)
+        share = np.take_along_axis(full[some], chosen, 1)
         share /= share.sum(1, keepdims=True)
-        share, gained = fit(share, first, word[words], np.repeat(np.arange(len(some)), n_words[some]), steps // 2)
+        within = np.take_along_axis(word[words], chosen[own], 1)
+        share, gained = fit(share, first, within, own, steps // 2)
         gained = gained - (size - 1) * price[some]
         better = gained > score[some]
-        result[some[better]] = share[better]
+        result[some[better]] = 0
+        result[some[better, None], chosen[better]] = share[better]
         score[some[better]] = gained[better]
     return result
 

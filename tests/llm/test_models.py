@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -184,6 +185,20 @@ def test_languages(spark, tmp_path):
     assert {r.doc_id for r in langid.keep_identified(docs).collect()} == set(found) - {1000, 1001, 1002}
 
 
+@pytest.mark.parametrize("parts", [4, 6])
+def test_languages_of_a_text_in_more_than_three(parts):
+    r = random.Random(5)
+    alphabet = "abcdefghijklmnopqrstuvwx"
+    letters = [alphabet[4 * i : 4 * i + 4] for i in range(6)]
+    texts = [" ".join("".join(r.choices(own, k=r.randint(2, 6))) for _ in range(400)) for own in letters]
+    counts = np.array([np.bincount(langid.Grams(pa.array([t])).buckets, minlength=langid.BUCKETS) for t in texts])
+    model = langid.Model([f"l{i}" for i in range(6)], counts)
+    words = [w for t in texts[:parts] for w in t.split()[:100]]
+    share = langid.mixtures(model, langid.Grams(pa.array([" ".join(words), texts[5], ""])))
+    assert share[0] == pytest.approx([1 / parts] * parts + [0] * (6 - parts), abs=0.02)
+    assert share[1].tolist() == [0, 0, 0, 0, 0, 1] and not share[2].any()
+
+
 def test_languages_without_labels_and_clashing_names(spark, tmp_path):
     docs = written(spark, tmp_path / "docs", awkward_rows())
     assert {r.lang_pred for r in langid.languages(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
