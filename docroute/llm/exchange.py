@@ -129,6 +129,23 @@ def unpack_sorted(raw: bytes, n: int, wide: bool) -> np.ndarray:
     return np.cumsum(gaps, dtype=np.uint64)
 
 
+def pack_counts(total: np.ndarray) -> np.ndarray:
+    """Counts in one byte; those of 255 and more stand behind, in four bytes or eight."""
+    large = total[total >= 0xFF]
+    larger = large[large >= 0xFFFFFFFF]
+    raw = np.minimum(total, 0xFF).astype("u1").tobytes() + np.minimum(large, 0xFFFFFFFF).astype("<u4").tobytes()
+    return np.frombuffer(raw + larger.astype("<u8").tobytes(), np.uint8)
+
+
+def unpack_counts(raw: bytes, n: int) -> np.ndarray:
+    counts = np.frombuffer(raw, "u1", n).astype(np.int64)
+    large = np.flatnonzero(counts == 0xFF)
+    counts[large] = np.frombuffer(raw, "<u4", len(large), n)
+    larger = large[counts[large] == 0xFFFFFFFF]
+    counts[larger] = np.frombuffer(raw, "<u8", len(larger), n + 4 * len(large))
+    return counts
+
+
 RUNS = "slice int, split long, number int, n int, keys binary, more binary"
 
 
@@ -288,11 +305,12 @@ class Codes:
                     self.by[number, i] = check, codes
 
     def of(
-        self, slices: Slices, number: int, keys: np.ndarray, wide: bool = False, bits: bool = False, dtype=np.uint8
+        self, slices: Slices, number: int, keys: np.ndarray, wide: bool = False, bits: bool = False, dtype=np.uint8, counts: bool = False
     ) -> np.ndarray:
-        """The codes of a block's sorted keys, which must be those it sent."""
+        """The codes of a block's sorted keys, which must be those it sent: numbers,
+        bits, or counts from ``pack_counts``."""
         edges = slices.edges(keys)
-        out = np.zeros(len(keys), dtype)
+        out = np.zeros(len(keys), np.int64 if counts else dtype)
         for i in np.flatnonzero(np.diff(edges)).tolist():
             a, b = int(edges[i]), int(edges[i + 1])
             own = keys[a:b]
@@ -300,6 +318,9 @@ class Codes:
             check, codes = self.by.get((number, i), (None, b""))
             if check != zlib.crc32(sent):
                 raise RuntimeError("the table's splits are not those of the first pass")
+            if counts:
+                out[a:b] = unpack_counts(codes, b - a)
+                continue
             raw = np.frombuffer(codes, dtype)
             out[a:b] = np.unpackbits(raw, count=b - a) if bits else raw
         return out

@@ -11,8 +11,8 @@ after h, which grows as a power of c(h); since it depends on h alone, every
 distribution sums to one, and an unseen context falls back to the shorter one.
 
 Counts are of all training texts.  Words are counted exactly; longer n-grams by
-hash cells of 40 bits within a slice (``exchange``), a count above 64 to within
-a twelfth.
+hash cells of 40 bits within a slice (``exchange``).  Only the finished
+probabilities are rounded, in the trie.
 
 The model of a corpus does not fit a worker, but the part that a block of texts
 asks for does: each block gets the counts of its own n-grams, held-out texts
@@ -50,14 +50,6 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0, F.lit(False))
 
 
-def small_code(total: np.ndarray) -> np.ndarray:
-    """A count in one byte: exact below 64, then in steps of a twelfth."""
-    return np.where(total < 64, total, np.minimum(64 + np.floor(np.log2(np.maximum(total, 64) / 64) * 8), 255)).astype(np.uint8)
-
-
-_DECODED = np.concatenate([np.arange(64.0), np.floor(64 * 2 ** (np.arange(192) / 8))])
-
-
 def eight_bytes(total: np.ndarray) -> np.ndarray:
     return total.astype("<i8")
 
@@ -147,7 +139,7 @@ def score(docs: DataFrame, held: Column | None = None, order: int = ORDER, rate:
         table.mapInArrow(count_words, exchange.RUNS), whole, eight_bytes, more="count", name="words", totals=True
     )
     grams = exchange.returned(
-        table.mapInArrow(count_grams, exchange.RUNS), cells, small_code, more="count", wide=True, name="grams"
+        table.mapInArrow(count_grams, exchange.RUNS), cells, exchange.pack_counts, more="count", wide=True, name="grams"
     )
     distinct, total = exchange.distinct_and_sum(docs.sparkSession, words)
 
@@ -156,7 +148,7 @@ def score(docs: DataFrame, held: Column | None = None, order: int = ORDER, rate:
         for split, number, rows in exchange.blocks(batches):
             tokens = _Tokens(rows, order)
             c = by_word(split).of(whole, number, tokens.keys, dtype=np.int64)
-            g = _DECODED[by_gram(split).of(cells, number, tokens.gram_keys, wide=True)]
+            g = by_gram(split).of(cells, number, tokens.gram_keys, wide=True, counts=True)
             log10 = _log10(tokens, c, g, total, distinct, rate, power)
             trie = elias_fano.Trie(block_trie(tokens, log10).buffer())
             at = tokens.first[:-1]

@@ -23,6 +23,13 @@ def test_sorted_numbers_round_trip():
         assert len(unpack_sorted(pack_sorted(np.zeros(0, np.uint64), wide), 0, wide)) == 0
 
 
+def test_counts_round_trip():
+    counts = np.array([0, 1, 254, 255, 256, 70_000, 2**32 - 2, 2**32 - 1, 2**32, 2**40, 3])
+    for some in (counts, counts[:3], counts[:0]):
+        raw = exchange.pack_counts(some).tobytes()
+        assert exchange.unpack_counts(raw, len(some)).tolist() == some.tolist()
+
+
 def test_slices_cover_all_keys():
     keys = np.sort(np.array([0, 1, 2**63, 2**64 - 1], np.uint64))
     for n in (1, 3, 48, 844):
@@ -147,6 +154,38 @@ def test_lm_scores(spark, tmp_path, order):
         assert a[6] == pytest.approx(b[6], abs=0.05 + 0.02 * b[2])
 
 
+@pytest.mark.parametrize("times", [139, 1100])
+def test_lm_of_a_frequent_context_sums_to_one(spark, tmp_path, times):
+    # "a b" occurs so often, each time with another of ten words or the end after it.
+    after = [*(f"w{i}" for i in range(10)), None]
+    texts = [["a", "b", *([after[i % 11]] if after[i % 11] else [])] for i in range(times)]
+    counts = [Counter() for _ in range(4)]
+    for tokens in ([*t, None] for t in texts):
+        for k in (1, 2, 3):
+            counts[k].update(tuple(tokens[i : i + k]) for i in range(len(tokens) - k + 1))
+    n, v = sum(counts[1].values()), len(counts[1])
+
+    def p(*gram):
+        if len(gram) == 1:
+            return (counts[1][gram] + 0.1) / (n + 0.1 * (v + 1))
+        c, shorter = counts[len(gram) - 1][gram[:-1]], p(*gram[1:])
+        m = lm.RATE * c**lm.POWER
+        return (counts[len(gram)][gram] + m * shorter) / (c + m) if c else shorter
+
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    docs = written(spark, tmp_path / "docs", rows)
+    got = {r.doc_id: r.score for r in lm.score(docs, held=F.lit(False)).collect()}
+    mass = p("other")  # every word that no text has
+    for _ in range(2):
+        mass *= (m := lm.RATE * times**lm.POWER) / (times + m)
+    for i, w in enumerate(after):
+        ends = [p("b", w, None)] if w else []
+        mass += 10 ** (got[i] - sum(map(math.log10, [p("a"), p("a", "b"), *ends])))
+    # The words a and b never follow; four probabilities a text are rounded in the trie.
+    mass += p("a", "b", "a") + p("a", "b", "b")
+    assert mass == pytest.approx(1, abs=0.01)
+
+
 def test_lm_without_training_or_rows(spark, tmp_path):
     docs = written(spark, tmp_path / "docs", awkward_rows()[:6])
     got = lm.score(docs, held=F.lit(True)).collect()
