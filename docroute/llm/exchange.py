@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docroute.llm.files import store
@@ -46,17 +46,24 @@ BLOCK_BYTES = 2_000_000
 SLICES_PER_PARTITION, ENOUGH_SLICES = 4, 1024
 
 
-def with_split(docs: DataFrame, *columns: str) -> DataFrame:
+def from_files(docs: DataFrame, *columns: str | Column) -> DataFrame:
+    """``docs`` itself if it is read from files as it is, with these columns of
+    theirs; else written to the shared folder and read from there."""
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
+        return cut_lineage(docs)
+    try:
+        docs.select(*columns)
+        return docs
+    except AnalysisException:
+        return cut_lineage(docs)
+
+
+def with_split(docs: DataFrame, *columns: str | Column) -> DataFrame:
     """The columns of a table of texts, and the input split of each row.  What is
     not read from files as it is gets written to the shared folder first."""
     short_batches(docs.sparkSession)
     split = F.xxhash64("_metadata.file_path", "_metadata.file_block_start").alias("split")
-    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
-        docs = cut_lineage(docs)
-    try:
-        return docs.select(*columns, split)
-    except AnalysisException:
-        return cut_lineage(docs).select(*columns, split)
+    return from_files(docs, *columns, split).select(*columns, split)
 
 
 def blocks(batches: Iterator[pa.RecordBatch], most: int = BLOCK_BYTES) -> Iterator[tuple[int, int, pa.RecordBatch]]:

@@ -27,7 +27,7 @@ The result is the classes that the links make.
    Every pair that is formed is checked on the full sets; no link between classes
    is lost.
 
-Sets and shingles are told apart by 64 bits of hash.
+Sets, shingles and files are told apart by 64 bits of hash.
 
 Null text, empty text and text of white space make an empty set, which is linked
 with nothing.  Rows with the same id are rows of their own; null ids come in no
@@ -101,12 +101,20 @@ def allowed_misses(size: np.ndarray) -> np.ndarray:
 
 
 CANDIDATES = "doc_id long, n long, node long, singles int, subsets double, scans double, body binary"
+LOCATOR = "struct<file: bigint, row: bigint>"
 
 
-def _candidates(docs: DataFrame, shingle: int) -> DataFrame:
+def _locator() -> Column:
+    """The place a row is read from; the file by its hash."""
+    return F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+
+
+def _candidates(docs: DataFrame, shingle: int, located: bool = False) -> DataFrame:
     """One row per document; those that may be linked have a node (a hash of
-    their set) and a body: the shingles in the common order."""
-    table = exchange.with_split(docs, F.col("doc_id").cast("long").alias("doc_id"), "text")
+    their set) and a body: the shingles in the common order.  If asked for, also
+    the locators of the rows."""
+    more = {"locator": _locator().alias("locator")} if located else {}
+    table = exchange.with_split(docs, F.col("doc_id").cast("long").alias("doc_id"), "text", *more.values())
     slices = exchange.slices_for(table, CELL_BITS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,11 +160,13 @@ def _candidates(docs: DataFrame, shingle: int) -> DataFrame:
                     pa.array(subsets),
                     pa.array(scans),
                     pa.array(bodies, pa.binary()),
+                    *(rows.column(c) for c in names),
                 ],
-                ["doc_id", "n", "node", "singles", "subsets", "scans", "body"],
+                ["doc_id", "n", "node", "singles", "subsets", "scans", "body", *names],
             )
 
-    return cut_lineage(table.mapInArrow(judge, CANDIDATES))
+    names = list(more)
+    return cut_lineage(table.mapInArrow(judge, ", ".join([CANDIDATES, *(f"{c} {LOCATOR}" for c in names)])))
 
 
 def boundary(costs: list[tuple[int, float, float]]) -> int:
@@ -353,10 +363,13 @@ def _merged(classes: DataFrame | None, links: DataFrame) -> DataFrame:
     return cut_lineage(moved.union(fresh))
 
 
-def joined(docs: DataFrame, shingle: int = SHINGLE, star_rounds: int = STAR_ROUNDS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents, links, classes): doc_id, n, node of every document; the checked
-    links (u, v) that join the sets into classes; node, class of linked sets."""
-    found = _candidates(docs, shingle)
+def joined(
+    docs: DataFrame, shingle: int = SHINGLE, star_rounds: int = STAR_ROUNDS, located: bool = False
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents, links, classes): doc_id, n, node of every document, and its
+    locator if asked for; the checked links (u, v) that join the sets into
+    classes; node, class of linked sets."""
+    found = _candidates(docs, shingle, located)
     bodies = found.filter("node IS NOT NULL")
     sets = cut_lineage(bodies.select("node", "n", "singles", "subsets", "scans", "body").dropDuplicates(["node"]))
     costs = (
@@ -384,26 +397,40 @@ def joined(docs: DataFrame, shingle: int = SHINGLE, star_rounds: int = STAR_ROUN
     checked = cut_lineage(_verified(_cross_pairs(rows, tried), sets))
     classes = _merged(classes, checked.filter("linked").select("u", "v"))
     links = tried.union(checked).filter("linked").select("u", "v")
-    return found.select("doc_id", "n", "node"), links, classes
+    return found.drop("singles", "subsets", "scans", "body"), links, classes
+
+
+def _leasts(rows: DataFrame, classes: DataFrame, least: Column) -> DataFrame:
+    """(node, least): the least of its class for every set."""
+    by_set = rows.filter("node IS NOT NULL").groupBy("node").agg(least.alias("least"))
+    by_set = by_set.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
+    by_class = by_set.groupBy("class").agg(F.min("least").alias("of_class"))
+    return by_set.join(by_class, "class").select("node", F.col("of_class").alias("least"))
 
 
 def near_copies(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest
     doc_id that links lead to, its own included)."""
     rows, _, classes = joined(docs, shingle)
-    by_set = rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
-    by_set = by_set.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
-    by_class = by_set.groupBy("class").agg(F.min("least").alias("component_id"))
-    labels = by_set.join(by_class, "class").select("node", "component_id")
+    labels = _leasts(rows, classes, F.min("doc_id")).withColumnRenamed("least", "component_id")
     alone = rows.filter("node IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     found = rows.filter("node IS NOT NULL").join(labels, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return alone.union(found)
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``docs`` with one document of each class, the one with the smallest id."""
-    gone = near_copies(docs, shingle).filter("doc_id <> component_id").select("doc_id")
-    return docs.join(cut_lineage(gone.distinct()), "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` with one document of each class: the row with the smallest id
+    (null after all others), of equal ids the first by file and row.  Rows that
+    repeat it, with its id and its set, stay along with it."""
+    docs = exchange.from_files(docs, _locator())
+    rows, _, classes = joined(docs, shingle, located=True)
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "locator", F.col("node").alias("of"))
+    met = rows.filter("node IS NOT NULL").join(_leasts(rows, classes, F.min(place)), "node")
+    repeats = F.coalesce((F.col("doc_id") == F.col("least.doc_id")) & (F.col("node") == F.col("least.of")), F.lit(False))
+    gone = met.filter((F.col("locator") != F.col("least.locator")) & ~repeats).select("locator")
+    marked = docs.select(*(F.col(c) for c in docs.columns), _locator().alias("__locator"))
+    gone = cut_lineage(gone.withColumnRenamed("locator", "__locator"))
+    return marked.join(gone, "__locator", "left_anti").select(*docs.columns)
 
 
 ORACLE_SQL = r"""
