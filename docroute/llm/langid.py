@@ -16,7 +16,8 @@ the score is that proportion.
 
 Null, empty and very short texts are scored like any other as long as they hold
 a letter; without one the language is ``und`` and the score 0.  Labels that are
-null are not learned; with no labels at all every document is ``und``.  Of equal
+null are not learned; with no labels at all every document is ``und``, and
+``keep_identified`` goes by the letters alone.  Of equal
 proportions the language that sorts first wins.  Rows with equal or null ids are
 rows of their own (a null id counts as training).  An empty table gives no rows.
 """
@@ -186,6 +187,11 @@ def mixtures(model: Model, grams: Grams, penalty: float = PENALTY, steps: int =
     return result
 
 
+def _letter() -> Column:
+    """Whether the text holds a letter."""
+    return F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+
+
 def identify(docs: DataFrame, model: Model, *columns: str, prefix: str = "") -> DataFrame:
     """``columns`` of ``docs`` with lang_pred, score and mixture (language to
     proportion, of the languages in the set), the three with a prefix to their names."""
@@ -222,8 +228,7 @@ def identify(docs: DataFrame, model: Model, *columns: str, prefix: str = "") ->
                     schema.names,
                 )
 
-    letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letter")
-    rows = docs.select("text", letter, *[F.col(c).alias(f"c{i}") for i, c in enumerate(names)])
+    rows = docs.select("text", _letter().alias("letter"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(names)])
     return rows.mapInArrow(judge, schema)
 
 
@@ -236,5 +241,9 @@ def languages(docs: DataFrame) -> DataFrame:
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """``docs`` without those that have no language."""
-    known = identify(docs, train(docs.filter(training())), *docs.columns, prefix="__")
+    model = train(docs.filter(training()))
+    if not model.names:
+        # No languages to be told apart, so only texts without letters have none.
+        return docs.filter(_letter())
+    known = identify(docs, model, *docs.columns, prefix="__")
     return known.filter(F.col("__lang_pred") != UND).select(*docs.columns)

@@ -55,6 +55,17 @@ def test_pipeline(spark, tmp_path):
     assert sorted(tuple(x)[:5] for x in corpus_pipeline.run(spark, str(tmp_path)).collect()) == sorted(pieces)
 
 
+def test_no_labels_lose_no_document(spark, tmp_path):
+    rows = [x for x in awkward_rows() if x[0] is not None]
+    table = [(d, t, None, "src", None if t is None else len(t)) for d, t in rows]
+    spark.createDataFrame(table, SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    left = corpus_pipeline.identify_languages(spark, docs, str(tmp_path))
+    assert left.schema == docs.schema
+    want = [(d, t) for d, t in rows if t and any(c.isalpha() for c in t)]
+    assert sorted((x.doc_id, x.text) for x in left.collect()) == sorted(want)
+
+
 def test_registered():
     names = list(queries.queries())
     assert [n.split("_")[0] for n in names] == [*(f"op{i}" for i in range(1, 11)), "pipeline"]
