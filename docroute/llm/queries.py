@@ -9,9 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from docroute.llm import ann, bpe_chunks, exact_dedup, langid, lm, ngram_join, packing, substring, token_counts, wavelet
+from docroute.llm import ann, bpe_chunks, exact_dedup, langid, lm, ngram_join, packing, substring, token_counts, wavelet, whitening
 from docroute.llm.tokenise import tokenizer_file
 
 
@@ -62,6 +63,12 @@ def op10_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
     return lm.score(_documents(spark, sf))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    """A deviation of more than 63 bits is null."""
+    rows = whitening.whiten(spark.read.parquet(f"{sf}/embeddings.parquet"))
+    return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_join": op1_ngram_join,
@@ -74,6 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_lm_scores": op10_lm_scores,
+        "op11_embedding_whitening": op11_embedding_whitening,
         "pipeline": corpus_pipeline.run,
     }
 
