@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from docroute.llm import ann, bpe_chunks, exact_dedup, langid, lm, ngram_join, packing, substring, token_counts, wavelet, whitening
+from docroute.llm import ann, bpe_chunks, exact_dedup, langid, lm, ngram_join, packing, phrases, substring, token_counts, wavelet, whitening
 from docroute.llm.tokenise import tokenizer_file
 
 
@@ -69,6 +69,10 @@ def op11_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
 
 
+def op13_phrase_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.collocations(_documents(spark, sf))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_join": op1_ngram_join,
@@ -82,6 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_lm_scores": op10_lm_scores,
         "op11_embedding_whitening": op11_embedding_whitening,
+        "op13_phrase_collocations": op13_phrase_collocations,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -91,4 +96,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_ngram_join": ngram_join.ORACLE_SQL,
         "op6_exact_dedup": exact_dedup.ORACLE_SQL,
         "op8_substring_dedup": substring.ORACLE_SQL,
+        "op13_phrase_collocations": phrases.ORACLE_SQL,
     }

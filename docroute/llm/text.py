@@ -84,12 +84,12 @@ class Texts:
 
 
 class Words:
-    """The words ``[^\\x20\\x09-\\x0D]+``: word j is data[starts[j]:ends[j]] and
-    those of text i are first[i] to first[i + 1]."""
+    """The words ``[^\\x20\\x09-\\x0D]+``, or those that the bytes of ``apart`` part:
+    word j is data[starts[j]:ends[j]] and those of text i are first[i] to first[i + 1]."""
 
-    def __init__(self, texts: Texts):
+    def __init__(self, texts: Texts, apart: np.ndarray = _SPACE):
         n, ptr = texts.n_bytes, texts.ptr
-        solid = ~_SPACE[texts.data[:n]]
+        solid = ~apart[texts.data[:n]]
         begin, end = np.zeros(n + 1, bool), np.zeros(n + 1, bool)
         begin[0:n] = solid
         begin[1:n] &= ~solid[:-1]
