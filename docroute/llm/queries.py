@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from docroute.llm import ann, bpe_chunks, exact_dedup, langid, lm, ngram_join, packing, phrases, substring, token_counts, wavelet, whitening
+from docroute.llm import ann, bpe_chunks, exact_dedup, langid, lm, ngram_join, packing, phrases, substring, suffixes, token_counts, wavelet, whitening
 from docroute.llm.tokenise import tokenizer_file
 
 
@@ -69,6 +69,11 @@ def op11_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    left = suffixes.remove_repeated_bytes(_documents(spark, sf))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_phrase_collocations(spark: SparkSession, sf: str) -> DataFrame:
     return phrases.collocations(_documents(spark, sf))
 
@@ -86,6 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_best_fit_packing": op9_best_fit_packing,
         "op10_lm_scores": op10_lm_scores,
         "op11_embedding_whitening": op11_embedding_whitening,
+        "op12_suffix_dedup": op12_suffix_dedup,
         "op13_phrase_collocations": op13_phrase_collocations,
         "pipeline": corpus_pipeline.run,
     }
