@@ -43,12 +43,13 @@ def reset_flags(documents: DataFrame, messages: DataFrame) -> DataFrame:
     their most current entry, stamped with the time of the last message that
     names them.  ``started`` and ``ended`` stay.
 
-    The last resets are aggregated before they are shuffled, and meet the
-    documents on the id they are then grouped by.  A document's list holds every
-    key that its messages name; keys that it lacks change nothing.
+    The last resets are aggregated before they are shuffled.  Of the keys that a log
+    names for a document only those that the document has are collected, so a row
+    stays as long as the document's own flags, whatever the log names.
     """
-    last = messages.select("id", "seq", "ts", F.explode("reset").alias("key")).groupBy("id", "key").agg(F.max_by("ts", "seq").alias("ts"))
-    asked = last.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("key", "ts"))).alias("__resets"))
+    asked = resets_per_document(last_resets(messages), documents).select(
+        "id", F.expr("map_from_entries(transform(resets, r -> struct(r.key, r.ts)))").alias("__resets")
+    )
     stamped = ff.stamp_resets_sql("doclib", lambda key: f"try_element_at(__resets, {key})")
     return (
         documents.join(asked, "id", "left")
