@@ -9,6 +9,7 @@ only those leaf columns.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
@@ -35,8 +36,20 @@ def contains_sql(array: str, value: str) -> str:
     return f"coalesce(array_contains({array}, {value}), false)"
 
 
+# Longer tables enter an expression as one text, which Spark reads once when it plans:
+# an expression of their entries would be gone through by every rule of the optimizer.
+LONG_TABLE = 200
+
+
+def table_sql(rows: Sequence | dict, kind: str) -> str:
+    """A constant of SQL type ``kind`` from what its JSON form holds."""
+    return f"from_json({quote(json.dumps(rows, ensure_ascii=False))}, {quote(kind)})"
+
+
 def strings_sql(values: Sequence[str]) -> str:
     """An array of string literals."""
+    if len(values) > LONG_TABLE:
+        return table_sql(list(values), "array<string>")
     return f"CAST(array({', '.join(map(quote, values))}) AS array<string>)"
 
 

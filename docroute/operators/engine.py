@@ -12,13 +12,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docroute.functions import flags as ff
 from docroute.functions.flags import quote, strings_sql
 from docroute.functions.messages import RESET_WITHOUT_START
+from docroute.operators.conditions import FlagTest
 from docroute.operators.rules import Rule, default_rules
 from docroute.schema import RESOLUTION_TYPE, SENDS_TYPE
 from docroute.sources.rules import Required, RulesTable
@@ -36,6 +36,7 @@ class Step:
     stage_key: str
     condition: Column
     empty_wins: bool
+    when: FlagTest | None
 
 
 class Engine:
@@ -60,6 +61,7 @@ class Engine:
                 stage.key,
                 rule.condition if stage.condition is None else rule.condition & stage.condition,
                 stage.empty_wins,
+                rule.when & stage.when if rule.when and stage.when else rule.when or stage.when,
             )
             for rule in self.rules
             for stage in rule.staged()
@@ -73,6 +75,12 @@ class Engine:
         self.flags = list(
             dict.fromkeys(flag for key in self.stage_keys for flag in self.table.flags(key))
         )
+        tests = [step.when for step in self.steps if step.when]
+        #: Is a step's match up to the flags, beyond what it sends?
+        self.tests_flags = bool(tests)
+        #: The flags whose standing matters, those of the stages first.
+        self.watched = list(dict.fromkeys([*self.flags, *(key for test in tests for key in test.keys)]))
+        self.watches_all = any(test.every for test in tests)
 
     @staticmethod
     def default(analytical: bool = False, table: RulesTable | None = None) -> Engine:
@@ -98,23 +106,36 @@ class Engine:
         earlier entries with the same route, and the flag that is marked when
         the route is sent to (the flag of the stage's first entry for it)."""
 
-        def entry(e: Required) -> str:
-            marked = self.table.config(e.stage_key, e.route).flag
-            earlier = [
-                str(self.flags.index(o.flag))
-                for o in self.table.stage(e.stage_key)
-                if o.route == e.route and o.ordinal < e.ordinal
-            ]
-            return (
-                f"named_struct('ordinal', {e.ordinal}, 'flag', {quote(e.flag)}, 'route', {quote(e.route)},"
-                f" 'place', {self.flags.index(e.flag)}, 'earlier', CAST(array({', '.join(earlier)}) AS array<int>),"
-                f" 'marked', {quote(marked)}, 'marked_place', {self.flags.index(marked)})"
-            )
-
+        places = {flag: i for i, flag in enumerate(self.flags)}
+        by_route: dict[tuple[str, str], list[Required]] = {}
+        for key in self.stage_keys:
+            for e in self.table.stage(key):
+                by_route.setdefault((key, e.route), []).append(e)
         kind = (
             "array<struct<ordinal: int, flag: string, route: string, place: int,"
             " earlier: array<int>, marked: string, marked_place: int>>"
         )
+
+        def values(e: Required) -> dict:
+            marked = self.table.config(e.stage_key, e.route).flag
+            earlier = [places[o.flag] for o in by_route[e.stage_key, e.route] if o.ordinal < e.ordinal]
+            return {
+                "ordinal": e.ordinal, "flag": e.flag, "route": e.route, "place": places[e.flag],
+                "earlier": earlier, "marked": marked, "marked_place": places[marked],
+            }
+
+        if sum(len(self.table.stage(key)) for key in self.stage_keys) > ff.LONG_TABLE:
+            rows = [[values(e) for e in self.table.stage(key)] for key in self.stage_keys]
+            return ff.table_sql(rows, f"array<{kind}>")
+
+        def entry(e: Required) -> str:
+            v = values(e)
+            return (
+                f"named_struct('ordinal', {v['ordinal']}, 'flag', {quote(v['flag'])}, 'route', {quote(v['route'])},"
+                f" 'place', {v['place']}, 'earlier', CAST(array({', '.join(map(str, v['earlier']))}) AS array<int>),"
+                f" 'marked', {quote(v['marked'])}, 'marked_place', {v['marked_place']})"
+            )
+
         stages = [
             f"CAST(array({', '.join(map(entry, self.table.stage(key)))}) AS {kind})" for key in self.stage_keys
         ]
@@ -162,17 +183,32 @@ class Engine:
         return f"get({strings_sql([getattr(s, field) for s in self.steps])}, {step})"
 
     def eligible(self) -> Column:
-        """Per step: does the document meet its condition?"""
+        """Per step: does the document meet its condition, tests of flags apart?"""
         conditions = [F.coalesce(step.condition, F.lit(False)) for step in self.steps]
         return F.array(*conditions).cast("array<boolean>")
 
+    def eligible_now(self) -> Column:
+        """Per step: does the document meet its condition and its test of the flags?"""
+        conditions = [F.coalesce(step.condition, F.lit(False)) for step in self.steps]
+        tested = [c & step.when.column() if step.when else c for c, step in zip(conditions, self.steps)]
+        return F.array(*tested).cast("array<boolean>")
+
+    def passes_sql(self, eligible: str, standings: str) -> str:
+        """The array ``eligible`` with the tests of flags, which look at the standings
+        of the watched flags (and of all others behind them)."""
+        if not self.tests_flags:
+            return eligible
+        places = {key: str(i) for i, key in enumerate(self.watched)}
+        tests = ", ".join(step.when.of_standings(standings, places.__getitem__) if step.when else "true" for step in self.steps)
+        return f"zip_with({eligible}, array({tests}), (a, b) -> a AND b)"
+
     def reads_flags(self, documents: DataFrame) -> bool:
-        """Does a condition look at the flags of the documents?"""
-        try:
-            documents.drop("doclib").select(self.eligible())
-        except AnalysisException:
-            return True
-        return False
+        """Does a condition, other than by a test, look at the flags of the documents?"""
+        references = documents.select(self.eligible())._jdf.queryExecution().analyzed().references().iterator()
+        names = []
+        while references.hasNext():
+            names.append(references.next().name())
+        return "doclib" in names
 
     # -- operators over documents ---------------------------------------------
 
@@ -198,7 +234,7 @@ class Engine:
             # All that is read of the flags is read here, by field.
             documents.select(
                 *given,
-                self.eligible().alias("__eligible"),
+                self.eligible_now().alias("__eligible"),
                 F.expr(allowed).alias("__allowed"),
                 F.expr(ff.ended_keys_sql()).alias("__ended"),
             )
@@ -229,18 +265,19 @@ def select_sends(
     the column with the reset list of the message, if there is one.
 
     Works on the resolution of any engine.  The lookup table is configuration,
-    so it is a literal map and not a join.
+    so it is a constant map and not a join.
     """
     table = table or RulesTable.default()
     reset = reset or "CAST(NULL AS array<string>)"
-    pairs = [(s, r) for s in table.stages() for r in dict.fromkeys(e.route for e in table.stage(s))]
-    config = ", ".join(
-        quote(x) for s, r in pairs for x in (f"{s}\n{r}", table.config(s, r).flag)
-    )
+    flag_of = {f"{e.stage_key}\n{e.route}": e.flag for e in reversed(table.entries)}
+    if len(flag_of) > ff.LONG_TABLE:
+        config = ff.table_sql(flag_of, "map<string, string>")
+    else:
+        config = f"map({', '.join(quote(x) for pair in flag_of.items() for x in pair)})"
     key = "concat_ws('\\n', resolution.stage_key, s.route)"
     configured = (
         "transform(resolution.sends, s -> named_struct('ordinal', s.ordinal,"
-        f" 'flag', try_element_at(map({config}), {key}), 'route', s.route))"
+        f" 'flag', try_element_at({config}, {key}), 'route', s.route))"
     )
     queueable = ff.can_queue_sql("s.flag", reset)
     return resolved.withColumn(

@@ -9,33 +9,37 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docroute.functions import mimetypes as m
+from docroute.operators.conditions import FlagTest
 
 
 @dataclass(frozen=True)
 class Stage:
     """A stage of a rule.
 
-    ``condition`` narrows the rule's own.  With ``empty_wins`` the stage
+    ``condition`` and ``when`` narrow the rule's own.  With ``empty_wins`` the stage
     matches even with nothing to send, unless all its flags have ended.
     """
 
     key: str
     condition: Column | None = None
     empty_wins: bool = False
+    when: FlagTest | None = None
 
 
 @dataclass(frozen=True)
 class Rule:
     """Documents that meet ``condition`` enter the first of ``stages`` that has
     something to send.  A rule without stages recognises documents and routes
-    none of them.  Conditions are columns over the documents.  One that looks at
-    the flags (``doclib``) sees them as they are when the message is handled;
-    logs with such rules are handled in rounds.
+    none of them.  Conditions are columns over the documents; ``when`` is a test of
+    their flags (``operators/conditions.py``), which sees them as they are when the
+    message is handled.  A condition may look at the flags (``doclib``) too, in ways
+    that no such test has; logs with such rules are handled in rounds.
     """
 
     name: str
     condition: Column
     stages: Sequence[Stage | str] = ()
+    when: FlagTest | None = None
 
     def staged(self) -> list[Stage]:
         return [s if isinstance(s, Stage) else Stage(s) for s in self.stages]

@@ -7,18 +7,18 @@ meets is a closed form of three things, per flag:
 * the last message up to now that resets the flag (``resets``),
 * the first message before now that sent the flag (``since``).
 
-Resets are known from the log alone; only the first sends build on each other,
-and there are at most as many as the rules have flags.  So documents with
-few messages are folded in one pass over their ordered messages, and documents
-with very many are solved over all their messages in parallel, one round per
-first send.
+Resets are known from the log alone; only the first sends build on each other.
+Documents with few messages are folded in one pass over their ordered messages.
+The logs of documents with very many are cut into pieces, which are folded in
+parallel, and again where the pieces before have sent what a fold did not know of.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -31,22 +31,21 @@ from docroute.plans.results import RESULT_COLUMNS, SupervisedLog, failed_results
 from docroute.sources.documents import Work
 from docroute.sources.messages import decode_messages
 
-# Documents with more messages than this are solved in parallel rounds.
-HOT_MESSAGES = 2_000
+# Documents with more messages than this are solved in pieces of as many.
+HOT_MESSAGES = PIECE_MESSAGES = 2_000
 # Messages per task of the fold.
 FOLD_MESSAGES = 20_000
-# Messages per task in those rounds.
-PIECE_MESSAGES = 1_000_000
-# Logs up to this long are looked at as a whole in every round.
-SHORT_LOG = 64
+# Messages per task where logs are cut into pieces.
+PART_MESSAGES = 1_000_000
 # Up to this many document ids (24 characters each) are broadcast.
 BROADCAST_IDS = 100_000
-# Up to this many bytes of what the pieces need are broadcast.
+# Up to this many bytes of what the pieces of logs need are broadcast.
 BROADCAST_BYTES = 64_000_000
-# Bytes per flag and per piece that this is reckoned by.
-FLAG_BYTES, PIECE_BYTES = 250, 1_000
+# Bytes per flag and per document that this is reckoned by.
+FLAG_BYTES, DOCUMENT_BYTES = 250, 4_000
 
 DECODED_COLUMNS = ["seq", "ts", "id", "reset", "reason"]
+PIECE = ["id", "part", "sub"]
 
 RESET = "struct<seq: bigint, ts: timestamp_ntz, second: bigint>"
 OUTCOME = f"struct<seq: bigint, ts: timestamp_ntz, step: int, failed: boolean, sends: {SENDS}>"
@@ -95,11 +94,8 @@ def supervise_decoded(
         folded = work.table(folded)
     results, changed = _fold_results(folded, engine), _fold_documents(folded, engine)
     if n_ids > 0:
-        pieces = max(
-            n_messages // piece_messages + 1, valid.sparkSession.sparkContext.defaultParallelism
-        )
         rows = restrict(valid, hot, n_ids, "left_semi")
-        solved = _solve(rows, hot, n_ids, prepared, engine, pieces, work)
+        solved = _solve(rows, hot, n_ids, n_messages, prepared, engine, piece_messages, work)
         results, changed = results.unionByName(solved.results), changed.unionByName(solved.documents)
     return SupervisedLog(results.unionByName(failed), changed, work)
 
@@ -116,37 +112,47 @@ def _prepare(documents: DataFrame, engine: Engine) -> DataFrame:
     )
 
 
-def _views(engine: Engine) -> str:
-    """Per flag of the rules, what the document's own entries say: at first, and
-    once a reset has collapsed them to the latest."""
-    allowed = ff.sendable_allowed_each_sql(engine.flags_sql, analytical_flag=engine.analytical_flag)
+def _views(engine: Engine, keys: str) -> str:
+    """Per flag, what the document's own entries say: at first, and once a reset
+    has collapsed them to the latest."""
+    allowed = ff.sendable_allowed_each_sql(keys, analytical_flag=engine.analytical_flag)
+    any_started = " 'any_started', exists(own, f -> f.started IS NOT NULL)," if engine.tests_flags else ""
     view = (
         f"named_struct('always', key = {quote(engine.analytical_flag)}, 'present', size(own) > 0,"
         " 'allowed', size(own) > 0 AND allowed[i],"
         " 'any_ended', exists(own, f -> f.ended IS NOT NULL),"
         " 'any_queued', exists(own, f -> coalesce(f.queued, false)),"
+        f"{any_started}"
         f" 'last_second', {ff.epoch_second_sql('last.started')},"
         " 'last_ended', last.ended IS NOT NULL,"
         " 'last_queued', coalesce(last.queued, false))"
     )
     last = let_sql(f"get({ff.latest_flags_sql('own')}, 0)", "last", view)
     own = let_sql("filter(doclib, f -> f.key = key)", "own", last)
-    return let_sql(allowed, "allowed", f"transform({engine.flags_sql}, (key, i) -> {own})")
+    return let_sql(allowed, "allowed", f"transform({keys}, (key, i) -> {own})")
 
 
 def _standings(engine: Engine, resets: str, since: str, asked: str) -> str:
-    """Per flag: is it allowed, has it ended, may this message queue it?"""
+    """Per flag: is it allowed, has it ended, may this message queue it?  For tests
+    also: is it there, queued, started?"""
     renewed = (
         "CASE WHEN view.present THEN reset IS NOT NULL ELSE coalesce(reset.seq > first, false) END"
     )
+    queued = "first IS NOT NULL OR CASE WHEN renewed THEN view.last_queued ELSE view.any_queued END"
     standing = (
         "named_struct('allowed',"
         " CASE WHEN view.always OR (NOT view.present AND first IS NULL) THEN true"
         " WHEN renewed THEN reset.second > view.last_second ELSE view.allowed END,"
         " 'ended', CASE WHEN renewed THEN view.last_ended ELSE view.any_ended END,"
         f" 'can_queue', {ff.contains_sql(asked, f'get({engine.flags_sql}, i)')} OR NOT"
-        " (first IS NOT NULL OR CASE WHEN renewed THEN view.last_queued ELSE view.any_queued END))"
+        f" ({queued})"
     )
+    if engine.tests_flags:
+        standing += (
+            f", 'has', view.present OR first IS NOT NULL, 'queued', {queued},"
+            " 'started', CASE WHEN renewed THEN view.last_second IS NOT NULL ELSE view.any_started END"
+        )
+    standing += ")"
     body = let_sql(
         f"get({resets}, i)",
         "reset",
@@ -157,7 +163,9 @@ def _standings(engine: Engine, resets: str, since: str, asked: str) -> str:
 
 def _outcome(engine: Engine, seq: str, ts: str, standings: str) -> str:
     """The step a message takes and what it sends."""
-    step = engine.choose_sql("eligible", "allowed", lambda entry: f"standings[{entry}.place].ended")
+    step = engine.choose_sql(
+        "passes" if engine.tests_flags else "eligible", "allowed", lambda entry: f"standings[{entry}.place].ended"
+    )
     sends = engine.sends_sql(
         "step", "allowed", lambda entry: f"standings[{entry}.marked_place].can_queue"
     )
@@ -166,11 +174,10 @@ def _outcome(engine: Engine, seq: str, ts: str, standings: str) -> str:
         f" 'sends', CASE WHEN failed THEN {NO_SENDS} ELSE {sends} END)"
     )
     failed = let_sql(engine.failed_sql("step", "allowed"), "failed", outcome)
-    return let_sql(
-        standings,
-        "standings",
-        let_sql("transform(standings, s -> s.allowed)", "allowed", let_sql(step, "step", failed)),
-    )
+    chosen = let_sql("transform(standings, s -> s.allowed)", "allowed", let_sql(step, "step", failed))
+    if engine.tests_flags:
+        chosen = let_sql(engine.passes_sql("eligible", "standings"), "passes", chosen)
+    return let_sql(standings, "standings", chosen)
 
 
 def new_flags(flags: Sequence[str]) -> str:
@@ -224,24 +231,46 @@ def _results(outcomes: DataFrame, engine: Engine) -> DataFrame:
 def _fold(valid: DataFrame, prepared: DataFrame, engine: Engine) -> DataFrame:
     """One row per document: its messages, outcomes and first sends.  The messages
     are grouped on the id, which the join with the documents reuses."""
-    entry = F.struct("seq", "ts", "reset")
-    # The fold is bound by its work, not by its data, so there is a partition for
-    # so many messages, where adaptive execution would go by bytes.
-    cores = valid.sparkSession.sparkContext.defaultParallelism
-    parts = max(cores, valid.count() // FOLD_MESSAGES + 1)
-    logs = valid.repartition(parts, "id").groupBy("id").agg(F.sort_array(F.collect_list(entry)).alias("messages"))
-    joined = logs.join(prepared.withColumn("found", F.lit(True)), "id", "left").withColumn(
-        "views", F.expr(_views(engine))
+    parts = _fold_parts(valid.sparkSession, valid.count())
+    logs = valid.repartition(parts, "id").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("seq", "ts", "reset"))).alias("messages"))
+    joined = logs.join(prepared.withColumn("found", F.lit(True)), "id", "left")
+    joined, keys, width = _followed(joined, engine)
+    unhandled = (
+        f"CAST(named_struct('resets', NULL, 'since', NULL, 'log', transform(messages, m -> named_struct("
+        f"'seq', m.seq, 'ts', m.ts, 'step', NULL, 'failed', false, 'sends', array()))) AS {STATE})"
     )
-    keys, width = engine.flags_sql, len(engine.flags)
-
-    start = (
-        f"CAST(named_struct('resets', array_repeat(CAST(NULL AS {RESET}), {width}),"
-        f" 'since', array_repeat(CAST(NULL AS BIGINT), {width}), 'log', array()) AS {STATE})"
+    start = f"array_repeat(CAST(NULL AS {RESET}), {width})", f"array_repeat(CAST(NULL AS BIGINT), {width})"
+    handled = _handled(engine, keys, *start)
+    return (
+        joined.withColumn("found", F.coalesce("found", F.lit(False)))
+        .withColumn("state", F.expr(f"CASE WHEN found THEN {handled} ELSE {unhandled} END"))
+        .select("id", "found", "messages", "doclib", "state")
     )
+
+
+def _fold_parts(spark: SparkSession, n_messages: int) -> int:
+    """The fold is bound by its work, not by its data, so there is a partition for
+    so many messages, where adaptive execution would go by bytes."""
+    return max(spark.sparkContext.defaultParallelism, n_messages // FOLD_MESSAGES + 1)
+
+
+def _followed(documents: DataFrame, engine: Engine) -> tuple[DataFrame, str, str]:
+    """Prepared documents with the views of the flags that are followed, the text of
+    these flags, and that of their number."""
+    keys, width = strings_sql(engine.watched), str(len(engine.watched))
+    if engine.watches_all:
+        documents = documents.withColumn("keys", F.expr(f"array_union({keys}, doclib.key)"))
+        keys, width = "keys", "size(keys)"
+    return documents.withColumn("views", F.expr(_views(engine, keys))), keys, width
+
+
+def _handled(engine: Engine, keys: str, resets: str, since: str) -> str:
+    """The state after the array ``messages``, from the last resets and the first
+    sends before them (arrays, aligned to ``keys``)."""
+    start = f"CAST(named_struct('resets', {resets}, 'since', {since}, 'log', array()) AS {STATE})"
     reset = f"named_struct('seq', m.seq, 'ts', m.ts, 'second', {ff.epoch_second_sql('m.ts')})"
     named = f"CASE WHEN array_contains(m.reset, get({keys}, i)) THEN stamp ELSE last END"
-    resets = (
+    resets_now = (
         "CASE WHEN size(m.reset) > 0 THEN "
         + let_sql(reset, "stamp", f"transform(state.resets, (last, i) -> {named})")
         + " ELSE state.resets END"
@@ -256,31 +285,21 @@ def _fold(valid: DataFrame, prepared: DataFrame, engine: Engine) -> DataFrame:
         " THEN named_struct('seq', m.seq, 'ts', m.ts, 'step', before.step,"
         f" 'failed', before.failed, 'sends', before.sends) ELSE {fresh} END"
     )
-    since = (
+    since_now = (
         "CASE WHEN size(outcome.sends) > 0 THEN transform(state.since, (first, i) ->"
         f" coalesce(first, CASE WHEN array_contains(outcome.sends.flag, get({keys}, i)) THEN m.seq END))"
         " ELSE state.since END"
     )
     # No cast here: it would copy the whole log at every message.
     advanced = (
-        f"named_struct('resets', resets_now, 'since', {since}, 'log', concat(state.log, array(outcome)))"
+        f"named_struct('resets', resets_now, 'since', {since_now}, 'log', concat(state.log, array(outcome)))"
     )
     handle = let_sql(
         "get(state.log, size(state.log) - 1)",
         "before",
-        let_sql(resets, "resets_now", let_sql(outcome, "outcome", advanced)),
-    )
-    unhandled = (
-        f"CAST(named_struct('resets', NULL, 'since', NULL, 'log', transform(messages, m -> named_struct("
-        f"'seq', m.seq, 'ts', m.ts, 'step', NULL, 'failed', false, 'sends', array()))) AS {STATE})"
+        let_sql(resets_now, "resets_now", let_sql(outcome, "outcome", advanced)),
     )
-    return joined.withColumn("found", F.coalesce("found", F.lit(False))).withColumn(
-        "state",
-        F.expr(
-            f"CASE WHEN found THEN aggregate(messages, {start}, (state, m) -> {handle})"
-            f" ELSE {unhandled} END"
-        ),
-    ).select("id", "found", "messages", "doclib", "state")
+    return f"aggregate(messages, {start}, (state, m) -> {handle})"
 
 
 def _fold_results(folded: DataFrame, engine: Engine) -> DataFrame:
@@ -310,7 +329,7 @@ def _fold_documents(folded: DataFrame, engine: Engine) -> DataFrame:
     )
 
 
-# -- documents with very many messages: parallel rounds ------------------------------
+# -- documents with very many messages: pieces of their logs --------------------------
 
 
 def restrict(valid: DataFrame, hot: DataFrame, n_ids: int, how: str) -> DataFrame:
@@ -328,140 +347,87 @@ def restrict(valid: DataFrame, hot: DataFrame, n_ids: int, how: str) -> DataFram
     )
 
 
-def running_resets(rows: DataFrame, flags: Sequence[str], pieces: int, work: Work) -> tuple[DataFrame, DataFrame]:
-    """Cut whole logs by range of seq into pieces of bounded size, and give every
-    message the last reset of each flag up to now.
-
-    Gives (log, totals): the log (id, piece, seq, ts, asked, resets) as a table
-    partitioned by piece, so that a reader of few pieces reads few files; totals
-    has a row per document and piece, of which a document has few.
-    """
-    # Written first, since the ranges are sampled from it.
+def _pieces(rows: DataFrame, n_messages: int, piece_messages: int, work: Work) -> DataFrame:
+    """Whole logs in pieces of bounded length, in order of (part, sub): their messages.
+    The log is cut by range of seq into parts, and these by number into pieces."""
+    parts = max(n_messages // PART_MESSAGES + 1, rows.sparkSession.sparkContext.defaultParallelism)
+    # Written first, since the ranges are sampled from it, and since a part is
+    # known by its partition.
     rows = work.table(rows)
-    ranged = work.table(
-        rows.repartitionByRange(pieces, "id", "seq").withColumn("piece", F.spark_partition_id())
-    )
-    # Within the piece by a window, before it by a window over the totals.
-    inside = Window.partitionBy("id", "piece").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy("id").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
-    stamp = "named_struct('seq', seq, 'ts', ts, 'second', " + ff.epoch_second_sql("ts") + ")"
-    resets = [
-        F.max(F.expr(f"CASE WHEN array_contains(reset, {quote(flag)}) THEN {stamp} END")).over(inside)
-        for flag in flags
-    ]
-    running = ranged.select(
-        "id",
-        "piece",
-        "seq",
-        "ts",
-        F.array_intersect("reset", F.expr(strings_sql(flags))).alias("asked"),
-        F.array(*resets).cast(f"array<{RESET}>").alias("resets"),
-    )
-    places = range(len(flags))
-    totals = (
-        ranged.select(
-            "id",
-            "piece",
-            "seq",
-            "ts",
-            *[
-                F.expr(f"CASE WHEN array_contains(reset, {quote(flag)}) THEN seq END").alias(f"seq_{i}")
-                for i, flag in enumerate(flags)
-            ],
-        )
-        .groupBy("id", "piece")
-        .agg(
-            F.min("seq").alias("low"),
-            F.max("seq").alias("high"),
-            F.count("*").alias("n"),
-            *[F.max(f"seq_{i}").alias(f"seq_{i}") for i in places],
-            *[F.max_by("ts", f"seq_{i}").alias(f"ts_{i}") for i in places],
-        )
-    )
-    last = [
-        f"CASE WHEN seq_{i} IS NOT NULL THEN named_struct('seq', seq_{i}, 'ts', ts_{i},"
-        f" 'second', {ff.epoch_second_sql(f'ts_{i}')}) END"
-        for i in places
-    ]
-    totals = work.table(totals)
-    carried = totals.select(
-        "id",
-        "piece",
-        F.array(*[F.max(F.expr(c)).over(before) for c in last]).cast(f"array<{RESET}>").alias("carried"),
-    )
-    log = work.table(
-        running.join(carried, ["id", "piece"]).select(
-            "id",
-            "piece",
-            "seq",
-            "ts",
-            "asked",
-            F.zip_with("resets", "carried", lambda here, earlier: F.coalesce(here, earlier)).alias("resets"),
-        ),
-        "piece",
-    )
-    return log, totals.select("id", "piece", "low", "high", "n")
-
+    ranged = work.table(rows.repartitionByRange(parts, "id", "seq").withColumn("part", F.spark_partition_id()))
+    number = F.row_number().over(Window.partitionBy("id", "part").orderBy("seq")) - 1
+    pieces = ranged.withColumn("sub", F.floor(number / piece_messages).cast("int"))
+    return pieces.groupBy("id", "part", "sub").agg(F.sort_array(F.collect_list(F.struct("seq", "ts", "reset"))).alias("messages"))
 
-def in_window(log: DataFrame, heads: DataFrame, sent: DataFrame, few: bool, whole: bool = False) -> DataFrame:
-    """The messages that a round looks at, with what their document needs.  Only
-    pieces that meet the window are read: the log is partitioned by piece, and the
-    pieces on the other side of the join prune it."""
-    needed = heads.join(sent, "id")
-    if not whole:
-        needed = needed.filter("high >= settled + 1 AND low - settled <= width")
-    needed = needed.drop("low", "high")
-    joined = log.join(F.broadcast(needed) if few else needed, ["id", "piece"])
-    return joined if whole else joined.filter("seq > settled AND seq - settled <= width")
 
-
-def unsent(totals: DataFrame, n_flags: int) -> DataFrame:
-    """The state that the rounds begin with: nothing sent, nothing settled."""
-    bounds = totals.groupBy("id").agg(F.min("low").alias("first"), F.max("high").alias("last"), F.sum("n").alias("n"))
-    return bounds.select(
-        "id",
-        "last",
-        F.array_repeat(F.lit(None).cast("bigint"), n_flags).alias("since"),
-        F.expr("first - 1").alias("settled"),
-        # Short logs are looked at as a whole.
-        F.expr(f"IF(n <= {SHORT_LOG}, last - first, (last - first) div 64) + 1").alias("width"),
-    )
+def _before(values: DataFrame, merged: Callable[[Column], Column], kind: str) -> DataFrame:
+    """Of arrays ``value`` per piece (id, part, sub), what ``merged`` makes of each
+    place over all pieces before, as an array: a window per document and place."""
+    before = Window.partitionBy("id", "i").orderBy("part", "sub").rowsBetween(Window.unboundedPreceding, -1)
+    each = values.select("id", "part", "sub", F.posexplode("value").alias("i", "one"))
+    met = each.withColumn("met", merged(F.col("one")).over(before))
+    back = met.groupBy("id", "part", "sub").agg(F.sort_array(F.collect_list(F.struct("i", "met"))).alias("met"))
+    return back.select("id", "part", "sub", F.expr(f"CAST(met.met AS array<{kind}>)").alias("value"))
 
 
 def _solve(
-    rows: DataFrame, hot: DataFrame, n_ids: int, prepared: DataFrame, engine: Engine, pieces: int, work: Work
+    rows: DataFrame, hot: DataFrame, n_ids: int, n_messages: int, prepared: DataFrame, engine: Engine, piece_messages: int, work: Work
 ) -> SupervisedLog:
-    """Solve whole logs without ever holding one, piece by piece in parallel."""
-    found = work.table(
-        prepared.join(hot.select("id"), "id", "left_semi").withColumn("views", F.expr(_views(engine)))
-    )
+    """Solve whole logs without ever holding one: pieces are folded in parallel, each
+    from the first sends before it as they are known by then.
+
+    The first piece of a document begins with none.  The others begin with what the
+    pieces before them have found, and are folded anew when that has changed.  A
+    piece is right once those before it are, so after as many passes as there are
+    pieces with a first send, and two more, nothing changes; first sends crowd at the
+    beginning of a log, and their number within a piece does not matter.
+    """
+    found = prepared.join(hot.select("id"), "id", "left_semi")
+    found, keys, width = _followed(found, engine)
+    found = work.table(found)
     rows = work.table(rows)
     missing = restrict(rows, found, n_ids, "left_anti").select(
         "seq", "ts", "id", F.lit(MISSING_DOCUMENT).alias("reason")
     )
-    log, totals = running_resets(rows, engine.flags, pieces, work)
-    # One row per piece with all that its messages need, to join without skew.
-    heads = work.table(totals.drop("n").join(found.select("id", "eligible", "views"), "id"))
-    few = heads.count() * (PIECE_BYTES + FLAG_BYTES * len(engine.flags)) <= BROADCAST_BYTES
-
-    def evaluate(sent: DataFrame, whole: bool = False) -> DataFrame:
-        joined = in_window(log, heads, sent, few, whole).withColumn(
-            "earlier", F.expr("transform(since, first -> CASE WHEN first < seq THEN first END)")
-        )
-        standings = _standings(engine, "resets", "earlier", "asked")
-        outcome = F.expr(_outcome(engine, "seq", "ts", standings))
-        return joined.select("id", "seq", "since", F.explode(F.array(outcome)).alias("outcome"))
-
-    # Messages up to `settled` add no first send that is not in `since`.  A round looks
-    # at the next `width` numbers only, and at eight times as many after finding
-    # nothing, so that all rounds together read little more than one log.
-    sent = work.table(unsent(totals, len(engine.flags)).join(found.select("id"), "id"))
-    while not sent.filter("settled < last").isEmpty():
-        sent = work.table(advance(sent, first_sends(evaluate(sent.filter("settled < last")), engine.flags), engine.flags))
-
-    outcomes = evaluate(sent, whole=True).select("id", F.lit(True).alias("found"), "outcome")
+    pieces = _pieces(restrict(rows, found, n_ids, "left_semi"), n_messages, piece_messages, work)
+    # What a piece needs besides its messages is a few kilobytes per document.
+    small = n_ids * (DOCUMENT_BYTES + FLAG_BYTES * len(engine.watched)) <= BROADCAST_BYTES and not engine.watches_all
+    met = work.table(pieces.join(F.broadcast(found) if small else found, "id"))
+    stamp = f"named_struct('seq', m.seq, 'ts', m.ts, 'second', {ff.epoch_second_sql('m.ts')})"
+    last = let_sql("get(asking, size(asking) - 1)", "m", f"CASE WHEN m IS NOT NULL THEN {stamp} END")
+    last = let_sql("filter(messages, m -> array_contains(m.reset, key))", "asking", last)
+    own_resets = met.select(*PIECE, F.expr(f"transform({keys}, key -> {last})").alias("value"))
+    carried = _before(own_resets, F.max, RESET).withColumnRenamed("value", "carried")
+    parts = _fold_parts(rows.sparkSession, n_messages)
+    met = work.table(met.join(carried, PIECE).repartition(parts, *PIECE))
+
+    def fold(begun: DataFrame) -> DataFrame:
+        """Pieces, given as (id, part, sub, entry), folded."""
+        joined = met.join(begun, PIECE).repartition(parts, *PIECE)
+        folded = joined.withColumn("state", F.expr(_handled(engine, keys, "carried", "entry")))
+        own = "zip_with(entry, state.since, (old, now) -> CASE WHEN old IS NULL THEN now END)"
+        return work.table(folded.select(*PIECE, "entry", F.expr(own).alias("value"), F.col("state.log").alias("log")))
+
+    none = F.expr(f"array_repeat(CAST(NULL AS BIGINT), {width})")
+    first = met.groupBy("id").agg(F.min(F.struct("part", "sub")).alias("at")).select("id", "at.*")
+    folds = [fold(met.select(*PIECE, none.alias("entry")).join(first, PIECE, "left_semi"))]
+    while True:
+        done = reduce(DataFrame.union, [f.withColumn("pass", F.lit(i)) for i, f in enumerate(folds)])
+        latest = done.join(done.groupBy(*PIECE).agg(F.max("pass").alias("pass")), [*PIECE, "pass"])
+        known = met.select(*PIECE, none.alias("none")).join(latest.select(*PIECE, "entry", "value"), PIECE, "left")
+        known = known.select(*PIECE, "entry", F.coalesce("value", "none").alias("value"))
+        now = _before(known, F.min, "bigint").withColumnRenamed("value", "now")
+        changed = known.join(now, PIECE).filter("NOT (entry <=> now)")
+        stale = work.table(changed.select(*PIECE, F.col("now").alias("entry")))
+        if stale.isEmpty():
+            break
+        folds.append(fold(stale))
+
+    outcomes = latest.select("id", F.lit(True).alias("found"), F.explode_outer("log").alias("outcome"))
+    since = latest.select("id", F.posexplode("value").alias("i", "first")).groupBy("id", "i").agg(F.min("first").alias("first"))
+    since = since.groupBy("id").agg(F.expr("sort_array(collect_list(struct(i, first))).first").alias("since"))
     resets = resets_per_document(work.table(last_resets(rows)), found, engine.flags)
-    documents = documents_after(found, sent, resets, engine.flags)
+    documents = documents_after(found, since, resets, engine.flags)
     return SupervisedLog(_results(outcomes, engine).unionByName(failed_results(missing)), documents, work)
 
 
@@ -476,30 +442,3 @@ def documents_after(found: DataFrame, sent: DataFrame, resets: DataFrame, flags:
     )
 
 
-def first_sends(evaluated: DataFrame, flags: Sequence[str]) -> DataFrame:
-    """Per document, the first message that sends a flag not sent before."""
-    unsent = (
-        f"transform(since, (first, i) -> CASE WHEN first IS NULL THEN get({strings_sql(flags)}, i) END)"
-    )
-    return (
-        evaluated.select("id", "seq", F.expr(f"array_intersect(outcome.sends.flag, {unsent})").alias("sent_flags"))
-        .filter(F.size("sent_flags") > 0)
-        .groupBy("id")
-        .agg(F.min("seq").alias("first_seq"), F.min_by("sent_flags", "seq").alias("sent_flags"))
-    )
-
-
-def advance(sent: DataFrame, step: DataFrame, flags: Sequence[str]) -> DataFrame:
-    """Enter the first sends found; documents without one have settled the window."""
-    since = (
-        "transform(since, (first, i) -> coalesce(first,"
-        f" CASE WHEN array_contains(sent_flags, get({strings_sql(flags)}, i)) THEN first_seq END))"
-    )
-    return sent.join(step, "id", "left").select(
-        "id",
-        "last",
-        F.expr(since).alias("since"),
-        F.expr("coalesce(first_seq, least(last, settled + least(width, last - settled)))").alias("settled"),
-        F.expr("CASE WHEN first_seq IS NULL AND width < last - settled THEN width * 8 ELSE width END")
-        .alias("width"),
-    )

@@ -50,8 +50,9 @@ class RulesTable:
     """The required entries of all stages, in order.  ``stages`` names further
     stages, which require nothing and so never send.
 
-    The entries become part of every expression, so a table with more than
-    ``most`` of them is refused.
+    The entries become part of every expression and go to every task, so a table
+    with more than ``most`` of them is refused; ``most`` may be any number that
+    tasks can hold (some hundred bytes an entry).
     """
 
     def __init__(self, entries: Iterable[Required | tuple], stages: Iterable[str] = (), most: int = MAX_ENTRIES):
@@ -66,7 +67,11 @@ class RulesTable:
                 raise ValueError(f"stage '{row.stage_key}' has two entries with ordinal {row.ordinal}")
             seen.add((row.stage_key, row.ordinal))
         self.entries = sorted(rows, key=lambda r: (r.stage_key, r.ordinal))
-        self._stages = list(dict.fromkeys([*(r.stage_key for r in self.entries), *sorted(stages)]))
+        self._by_stage: dict[str, list[Required]] = {key: [] for key in [*(r.stage_key for r in self.entries), *sorted(stages)]}
+        self._config: dict[tuple[str, str], Required] = {}
+        for row in self.entries:
+            self._by_stage[row.stage_key].append(row)
+            self._config.setdefault((row.stage_key, row.route), row)
 
     @staticmethod
     def default() -> RulesTable:
@@ -81,30 +86,30 @@ class RulesTable:
         return RulesTable((Required(*row) for row in rows if row.flag is not None), empty, most)
 
     @staticmethod
-    def read(spark: SparkSession, path: str) -> RulesTable:
+    def read(spark: SparkSession, path: str, most: int = MAX_ENTRIES) -> RulesTable:
         """Read JSON lines ``{"stage_key": ..., "required": [{"flag", "route", "type"}, ...]}``;
         the order of the list is the order of the entries, and it may be empty."""
         schema = "stage_key string, required array<struct<flag: string, route: string, type: string>>"
         stages = spark.read.schema(schema).json(path)
         entries = stages.select("stage_key", F.posexplode_outer("required").alias("ordinal", "r"))
         return RulesTable.from_dataframe(
-            entries.select("stage_key", "ordinal", "r.flag", "r.route", "r.type")
+            entries.select("stage_key", "ordinal", "r.flag", "r.route", "r.type"), most
         )
 
     def to_dataframe(self, spark: SparkSession) -> DataFrame:
         rows = [(e.stage_key, e.ordinal, e.flag, e.route, e.type) for e in self.entries]
-        rows += [(key, None, None, None, None) for key in self._stages if not self.stage(key)]
+        rows += [(key, None, None, None, None) for key in self._by_stage if not self.stage(key)]
         return spark.createDataFrame(rows, REQUIRED_SCHEMA)
 
     def stages(self) -> list[str]:
-        return list(self._stages)
+        return list(self._by_stage)
 
     def stage(self, stage_key: str) -> list[Required]:
-        return [e for e in self.entries if e.stage_key == stage_key]
+        return list(self._by_stage.get(stage_key, []))
 
     def flags(self, stage_key: str) -> list[str]:
         return [e.flag for e in self.stage(stage_key)]
 
     def config(self, stage_key: str, route: str) -> Required | None:
         """The first entry of the stage with this route."""
-        return next((e for e in self.stage(stage_key) if e.route == route), None)
+        return self._config.get((stage_key, route))
