@@ -143,3 +143,12 @@ def hot_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         f" WHEN seq % 3 = 0 THEN regexp_replace(body, '{key}', '{hot}') ELSE body END"
     )
     return messages(spark, sf_dir).selectExpr("seq", "ts", f"{body} AS body")
+
+
+def interleaved_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages in another order, every document's first ones first, each ninth
+    of them an hour after the one before."""
+    turn, start = "CAST(seq % 9 AS INT)", "TIMESTAMP_NTZ '2030-01-01 00:00:00'"
+    return messages(spark, sf_dir).selectExpr(
+        f"{turn} * 1000000000000 + seq AS seq", f"{start} + make_dt_interval(0, {turn}) AS ts", "body"
+    )

@@ -6,11 +6,12 @@ anew, and the stream keeps only what it changed itself, flag by flag: the last
 reset and the mark as queued.  These are laid over the document as the store has
 it now.
 
-State is kept by bucket of the document id.  A batch writes the changes it made
-under its own number, and reads those of the buckets that its messages name, so a
-batch that is repeated after a failure replaces its own output.  Now and then all
-changes are written anew as a base; a batch starts from the newest base that is
-complete, whatever interval wrote it.
+A batch looks up the documents that its messages name, in the store and among the
+changes, both sorted by the id.  It writes the changes it made under its own number,
+so a batch that is repeated after a failure replaces its own output.  Now and then all
+changes that the store does not hold by then are written anew as a base, and what
+only older bases are made of is removed; a batch starts from the newest base that
+is complete, whatever interval wrote it.
 """
 
 from __future__ import annotations
@@ -26,16 +27,18 @@ from docroute.functions import flags as ff
 from docroute.functions.flags import let_sql
 from docroute.plans.supervise import Resolver, handle_decoded
 from docroute.plans.supervise_log import DECODED_COLUMNS
-from docroute.sources.documents import BUCKETS, Work, bucket_of, exists, folders, in_buckets, read_documents
+from docroute.sources.documents import Work, exists, few_ids, folders, id_in, read_documents, read_named, remove
 from docroute.sources.messages import decode_messages
 from docroute.sources.rules import RulesTable
 from docroute.sources.sinks import dead_letters, publish
 
 # Every so many batches the changes of all batches are written anew.
 COMPACT_EVERY = 20
+# Changes in a file, about.
+FILE_CHANGES = 1_000_000
 
-#: A change to one flag: the last reset, the mark as queued and when it was set
-#: first, and whether the document lacked the flag then.
+#: A change to one flag: the last reset, when it was last marked as queued, and the
+#: message that marked it first (the order of the flags that a document lacked).
 CHANGE = T.StructType(
     [
         T.StructField("id", T.StringType()),
@@ -68,22 +71,20 @@ def _base(spark: SparkSession, path: str, before: int) -> int:
     return max(complete, default=-1)
 
 
-def changes(spark: SparkSession, path: str, before: int, buckets: list[int] | None = None) -> DataFrame:
+def changes(spark: SparkSession, path: str, before: int, ids: list[str] | None = None) -> DataFrame:
     """The last change (``CHANGE``) to every flag that a batch before this one
-    changed, of the documents in the given buckets."""
-    schema = T.StructType([*CHANGE, T.StructField("bucket", T.IntegerType())])
+    changed, of the documents with the given ids."""
     base = _base(spark, path, before)
     parts = [f"{path}/base/upto={base}"] if base >= 0 else []
     parts += [p for b in range(base + 1, before) if exists(spark, p := _folder(path, "changes", b))]
     if not parts:
         return spark.createDataFrame([], CHANGE)
-    rows = None
-    for part in parts:  # at most as many as lie between two bases
-        own = spark.read.schema(schema).parquet(part)
-        own = own if buckets is None else own.filter(F.col("bucket").isin(buckets))
-        rows = own if rows is None else rows.union(own)
+    # At most as many folders as lie between two bases.
+    rows = spark.read.schema(CHANGE).parquet(*parts)
+    if ids is not None:
+        rows = rows.filter(id_in(ids))
     return rows.groupBy("id", "key").agg(
-        F.max("reset").alias("reset"), F.min("queued_at").alias("queued_at"), F.min("queued_by").alias("queued_by")
+        F.max("reset").alias("reset"), F.max("queued_at").alias("queued_at"), F.min("queued_by").alias("queued_by")
     )
 
 
@@ -91,8 +92,8 @@ def lay_over(documents: DataFrame, changed: DataFrame) -> DataFrame:
     """The documents with the stream's changes over their own flags.
 
     A reset counts if it is later than the flag's own, and collapses its
-    duplicates.  A mark as queued counts unless the flag has been started since:
-    then what the store says is later.  A flag that the store lacks is added.
+    duplicates.  A mark as queued counts unless the flag has been started since its
+    last one: then what the store says is later.  A flag that the store lacks is added.
     """
     gathered = changed.groupBy("id").agg(
         F.array_sort(F.collect_list(F.struct("queued_by", "key", "reset", "queued_at"))).alias("__changes")
@@ -123,6 +124,44 @@ def current_documents(spark: SparkSession, store: Store, path: str, before: int)
     return lay_over(_read(store, spark), changes(spark, path, before))
 
 
+def outstanding(changed: DataFrame, documents: DataFrame) -> DataFrame:
+    """The changes that would still alter a document of the store: not those of a
+    flag that it has once, reset as late and queued or started since."""
+    flags = documents.join(changed.select("id").distinct(), "id", "left_semi").select("id", F.explode("doclib").alias("flag"))
+    held = flags.groupBy("id", F.col("flag.key").alias("key")).agg(
+        F.count("*").alias("n"),
+        F.max("flag.started").alias("own_started"),
+        F.max("flag.reset").alias("own_reset"),
+        F.coalesce(F.bool_or("flag.queued"), F.lit(False)).alias("own_queued"),
+    )
+    settled = (
+        "n = 1 AND (reset IS NULL OR coalesce(own_reset >= reset, false))"
+        " AND (queued_at IS NULL OR own_queued OR coalesce(own_started > queued_at, false))"
+    )
+    joined = changed.join(held, ["id", "key"], "left")
+    return joined.filter(f"n IS NULL OR NOT ({settled})").select(*CHANGE.fieldNames())
+
+
+def _write_changes(rows: DataFrame, folder: str, files: int) -> None:
+    """Files sorted by the id, each with a range of its own."""
+    ranged = rows.coalesce(1) if files == 1 else rows.repartitionByRange(files, "id")
+    ranged.sortWithinPartitions("id", "key").write.mode("overwrite").parquet(folder)
+
+
+def _compact(spark: SparkSession, store: Store, path: str, batch_id: int) -> None:
+    """Write a base up to this batch.  The one before it, and the changes since, stay
+    for the case that this batch is repeated; what is older goes."""
+    before = _base(spark, path, batch_id)
+    work = Work(spark)
+    left = work.table(outstanding(changes(spark, path, batch_id + 1), _read(store, spark)))
+    _write_changes(left, f"{path}/base/upto={batch_id}", left.count() // FILE_CHANGES + 1)
+    work.remove()
+    for folder, most in (("base", before - 1), ("changes", before)):
+        for name in folders(spark, f"{path}/{folder}"):
+            if int(name.split("=")[1]) <= most:
+                remove(spark, f"{path}/{folder}/{name}")
+
+
 def _changed(log, decoded: DataFrame, named: DataFrame) -> DataFrame:
     """The changes (``CHANGE``) that a batch made: resets of flags that the
     document had or got, and marks as queued."""
@@ -130,7 +169,7 @@ def _changed(log, decoded: DataFrame, named: DataFrame) -> DataFrame:
     marks = (
         log.results.select("id", "seq", "ts", F.explode("sends.flag").alias("key"))
         .groupBy("id", "key")
-        .agg(F.min("seq").alias("queued_by"), F.min("ts").alias("queued_at"))
+        .agg(F.min("seq").alias("queued_by"), F.max("ts").alias("queued_at"))
     )
     own = named.select("id", F.explode("doclib.key").alias("key")).distinct().withColumn("own", F.lit(True))
     resets = (
@@ -158,11 +197,15 @@ def supervise_batch(
     spark = batch.sparkSession
     work = Work(spark)
     decoded = work.table(decode_messages(batch).select(*DECODED_COLUMNS))
-    ids = work.table(decoded.filter("reason is null").select("id").distinct().withColumn("bucket", bucket_of("id")))
-    # At most BUCKETS numbers.
-    buckets = [r.bucket for r in ids.select("bucket").distinct().collect()]
-    named = in_buckets(_read(store, spark), buckets).join(ids.select("id"), "id", "left_semi")
-    changed = changes(spark, path, batch_id, buckets).join(ids.select("id"), "id", "left_semi")
+    ids = work.table(decoded.filter("reason is null").select("id").distinct())
+    few = few_ids(ids)
+    if callable(store):
+        named = store().filter(id_in(few)) if few is not None else store().join(ids, "id", "left_semi")
+    else:
+        named = read_named(spark, store, ids, few)
+    changed = changes(spark, path, batch_id, few)
+    if few is None:
+        changed = changed.join(ids, "id", "left_semi")
     current = work.table(lay_over(named, changed))
     log = handle_decoded(decoded, current, resolver, work, table, keep=True)
 
@@ -173,11 +216,10 @@ def supervise_batch(
     dead_letters(results).write.mode("overwrite").parquet(_folder(path, "dead_letters", batch_id))
 
     log.results = results
-    made = _changed(log, decoded, current).withColumn("bucket", bucket_of("id"))
-    made.write.mode("overwrite").partitionBy("bucket").parquet(_folder(path, "changes", batch_id))
+    made = work.table(_changed(log, decoded, current))
+    _write_changes(made, _folder(path, "changes", batch_id), made.count() // FILE_CHANGES + 1)
     if (batch_id + 1) % compact_every == 0:
-        everything = changes(spark, path, batch_id + 1).withColumn("bucket", bucket_of("id"))
-        everything.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/base/upto={batch_id}")
+        _compact(spark, store, path, batch_id)
     work.remove()
 
 
@@ -205,4 +247,4 @@ def supervise_stream(
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-__all__ = ["BUCKETS", "current_documents", "read_output", "supervise_batch", "supervise_stream"]
+__all__ = ["current_documents", "read_output", "supervise_batch", "supervise_stream"]
