@@ -20,9 +20,10 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle  # noqa: E402
 from docroute import fixtures  # noqa: E402
-from docroute.functions.flags import strings_sql, with_sql  # noqa: E402
+from docroute.functions.flags import new_flag_sql, strings_sql, with_sql  # noqa: E402
 from docroute.functions.mimetypes import PREDICATES, is_audio, is_image, is_video  # noqa: E402
 from docroute.operators import stages, updates  # noqa: E402
+from docroute.operators.conditions import any_flag  # noqa: E402
 from docroute.operators.engine import Engine, distinct_routes as drop_repeated_routes, select_sends  # noqa: E402
 from docroute.operators.rules import Rule, default_rules  # noqa: E402
 from docroute.plans.reports import routing_summary as summary  # noqa: E402
@@ -267,6 +268,34 @@ def supervise_stream_live(spark, sf):
     return _status(read_output(spark, f"{folder}/out", "results"))
 
 
+def supervise_stream_requeue(spark, sf):
+    """Three batches of every document's messages.  After the first, a consumer begins
+    and ends every second flag that waits, among them those that the stream queued
+    and the store does not know; the second resets some, which are sent again, and
+    the third must hold what is queued for the second time."""
+    folder = _run_folder(spark, "requeue")
+    documents, messages = fixtures.documents(spark, sf), fixtures.interleaved_messages(spark, sf)
+    documents.write.parquet(f"{folder}/store/1")
+    thirds = [messages.filter(f"seq div 3000000000000 = {third}") for third in range(3)]
+    _arrive(thirds[0], folder)
+    _run_stream(spark, folder, lambda: spark.read.parquet(f"{folder}/store/1"))
+
+    handled = strings_sql(fixtures.FLAG_KEYS[::2])
+    at = "TIMESTAMP_NTZ '2030-01-01 02:30:00'"
+    sent = read_output(spark, f"{folder}/out", "results").select("id", F.explode("sends.flag").alias("flag"))
+    queued = sent.filter(f"array_contains({handled}, flag)").groupBy("id").agg(F.sort_array(F.collect_set("flag")).alias("sent"))
+    done = with_sql("f", started=at, ended=at)
+    own = f"transform(doclib, f -> CASE WHEN f.started IS NULL AND array_contains({handled}, f.key) THEN {done} ELSE f END)"
+    new = f"transform(array_except(coalesce(sent, CAST(array() AS array<string>)), doclib.key), k -> {new_flag_sql('k')})"
+    begun = f"transform({new}, f -> {with_sql('f', started=at, ended=at, queued='CAST(NULL AS BOOLEAN)')})"
+    consumed = documents.join(queued, "id", "left").withColumn("doclib", F.expr(f"concat({own}, {begun})")).drop("sent")
+    consumed.write.parquet(f"{folder}/store/2")
+    for third in thirds[1:]:
+        _arrive(third, folder)
+        _run_stream(spark, folder, lambda: spark.read.parquet(f"{folder}/store/2"))
+    return _status(read_output(spark, f"{folder}/out", "results"))
+
+
 def custom_rule(spark, sf):
     media = Rule("Media", is_image() | is_audio() | is_video(), ["media"])
     engine = Engine([*default_rules(), media], RulesTable(oracle.CUSTOM_ENTRIES))
@@ -293,16 +322,24 @@ def custom_engine(spark, sf):
     return _status(supervised.results)
 
 
-def custom_rule_log(spark, sf):
-    """A log with a rule that looks at the flags: only documents none of whose
-    flags is queued are sent to be captioned."""
-    idle = ~F.exists("doclib", lambda flag: F.coalesce(flag["queued"], F.lit(False)))
-    rules = [Rule("Idle", idle, ["media"]), *default_rules(analytical=True)]
-    engine = Engine(rules, RulesTable(oracle.CUSTOM_ENTRIES))
+def _custom_log(spark: SparkSession, sf: str, idle: Rule) -> DataFrame:
+    engine = Engine([idle, *default_rules(analytical=True)], RulesTable(oracle.CUSTOM_ENTRIES))
     log = supervise_messages(fixtures.messages(spark, sf), fixtures.documents(spark, sf), engine)
     return _status(log.results)
 
 
+def custom_rule_log(spark, sf):
+    """A log with a rule that tests the flags: only documents none of whose flags is
+    queued are sent to be captioned."""
+    return _custom_log(spark, sf, Rule("Idle", F.lit(True), ["media"], when=~any_flag("queued")))
+
+
+def custom_condition_log(spark, sf):
+    """The same with a condition of its own on the flags, of which a log knows nothing."""
+    idle = ~F.exists("doclib", lambda flag: F.coalesce(flag["queued"], F.lit(False)))
+    return _custom_log(spark, sf, Rule("Idle", idle, ["media"]))
+
+
 def rules_table(spark, sf):
     """Rules read from JSON lines, in which one stage requires nothing and one that
     no rule reaches is missing."""
@@ -395,9 +432,11 @@ def _all_queries() -> dict[str, Query]:
         "supervise_log_hot": supervise_log_hot,
         "supervise_stream": supervise_stream,
         "supervise_stream_live": supervise_stream_live,
+        "supervise_stream_requeue": supervise_stream_requeue,
         "custom_rule": custom_rule,
         "custom_engine": custom_engine,
         "custom_rule_log": custom_rule_log,
+        "custom_condition_log": custom_condition_log,
         "rules_table": rules_table,
         "written_flags": written_flags,
         **(module.queries() if (module := _text_operators()) else {}),

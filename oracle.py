@@ -208,6 +208,10 @@ msgs AS (SELECT seq, ts, CASE WHEN seq % 7 = 1 THEN '{"id":"' || lpad(lower(hex(
   WHEN seq % 3 = 0 THEN regexp_replace(body, '"id":"[0-9a-f]{24}"', '"id":"' || lpad(lower(hex(16)),24,'0') || '"')
   ELSE body END AS body FROM plain_msgs),"""
 
+INTERLEAVED_MESSAGES = DERIVED_MESSAGES.replace("msgs AS", "plain_msgs AS") + """
+msgs AS (SELECT seq % 9 * 1000000000000 + seq AS seq,
+ TIMESTAMP '2030-01-01 00:00:00' + to_hours(CAST(seq % 9 AS INTEGER)) AS ts, body FROM plain_msgs),"""
+
 DECODED = """
 parsed AS (SELECT seq, ts, CASE WHEN json_valid(body) THEN body::JSON END AS j FROM msgs),
 typed AS (SELECT seq, ts, j,
@@ -382,13 +386,29 @@ sends AS (SELECT d.id, r.stage_key, r.ordinal, r.flag, r.route FROM docs d CROSS
 CONSUMED = "TIMESTAMP '2031-01-01 00:00:00'"
 
 
-def _log(resolved: str | None = None, messages: str = MESSAGES, live: bool = False) -> str:
+# In the log of three batches a consumer begins and ends every second flag that waits
+# after the first one; of flags that the supervisor added, it writes its own entry.
+FIRST_TURN, REQUEUE_CONSUMED = 3_000_000_000_000, "TIMESTAMP '2030-01-01 02:30:00'"
+
+
+def _log(resolved: str | None = None, messages: str = MESSAGES, live: bool = False, requeue: bool = False) -> str:
     """All messages in order: the n-th round handles the n-th message of every
     document.  The state is rows too: ``doc`` and ``flag`` rows carry on to the
     next round, ``done`` rows are the outcomes and ``send`` rows what was sent.
 
-    ``live``: the store changes halfway through the log."""
+    ``live``: the store changes halfway through the log.  ``requeue``: it does after
+    the first third of every document's messages."""
     cur = "l.*"
+    if requeue:
+        consumed = (
+            f"l.kind = 'flag' AND m.seq >= {FIRST_TURN} AND coalesce(m.before < {FIRST_TURN}, true) AND l.started IS NULL"
+            " AND l.flag_key IN (SELECT flag_key FROM keys WHERE k % 2 = 0)"
+        )
+        cur = (
+            f"l.* REPLACE (CASE WHEN {consumed} THEN {REQUEUE_CONSUMED} ELSE l.started END AS started,"
+            f" CASE WHEN {consumed} THEN {REQUEUE_CONSUMED} ELSE l.ended END AS ended,"
+            f" CASE WHEN {consumed} AND l.seq >= 1000 THEN NULL ELSE l.queued END AS queued)"
+        )
     if live:
         consumed = (
             "l.kind = 'flag' AND m.seq > (SELECT seq FROM halfway) AND l.started IS NULL AND l.seq < 1000"
@@ -406,7 +426,8 @@ early AS (SELECT v.seq, v.id FROM valid v JOIN docs d ON d.id = v.id
     resolved = resolved or _resolved("now_flags", STEPS)
     inner = f"{resolved},{_selected('asked')}".replace("FROM docs d", "FROM now_docs d")
     return f"""{DERIVED},{messages},{late}
-ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq) AS n FROM valid
+ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq) AS n,
+  lag(seq) OVER (PARTITION BY id ORDER BY seq) AS before FROM valid
  WHERE seq NOT IN (SELECT seq FROM early)),
 log AS (
  SELECT CAST(0 AS BIGINT) AS n, id, 'doc' AS kind, CAST(0 AS BIGINT) AS seq, CAST(NULL AS VARCHAR) AS flag_key,
@@ -510,10 +531,12 @@ FROM docs d LEFT JOIN last_flags n ON n.id = d.id GROUP BY d.id""",
         "supervise_log": f"{log} {RESULTS}",
         "supervise_log_hot": f"WITH RECURSIVE {_log(messages=HOT_MESSAGES + DECODED)} {RESULTS}",
         "supervise_stream": f"{log} {RESULTS}",
+        "supervise_stream_requeue": f"WITH RECURSIVE {_log(messages=INTERLEAVED_MESSAGES + DECODED, requeue=True)} {RESULTS}",
         "supervise_stream_live": f"WITH RECURSIVE {_log(live=True)} {RESULTS}",
         "rules_table": f"""{base},{_resolved('flags', PLAIN, [e for e in DEFAULT_ENTRIES if e[0] != "ner"])}
 SELECT id, rule, stage_key, n_sends, error FROM resolved""",
         "custom_rule_log": f"WITH RECURSIVE {_log(_resolved('now_flags', IDLE_STEPS, CUSTOM_ENTRIES))} {RESULTS}",
+        "custom_condition_log": f"WITH RECURSIVE {_log(_resolved('now_flags', IDLE_STEPS, CUSTOM_ENTRIES))} {RESULTS}",
         "custom_rule": f"""{base},{_resolved('flags', CUSTOM_STEPS, CUSTOM_ENTRIES)}
 SELECT id, rule, stage_key, n_sends FROM resolved""",
         "custom_engine": f"WITH RECURSIVE {_log(_flag_test())} {RESULTS}",

@@ -94,6 +94,68 @@ def test_salted_split_equals_the_model(tables, expected, monkeypatch):
     assert outcome(log.results) == expected[0]
 
 
+def test_tests_of_flags_equal_conditions_on_them(spark, tables):
+    """A test is followed through the log, a condition asked for at every change; cold
+    and hot documents alike."""
+    from docroute.operators.conditions import all_flags, any_flag, ended, has, queued, started
+    from docroute.operators.rules import Stage
+
+    documents, messages = tables
+    flag = lambda test: lambda f: test(f)
+    own = lambda key, test: F.exists("doclib", lambda f: (f["key"] == key) & test(f))
+    is_queued, has_ended = (lambda f: F.coalesce(f["queued"], F.lit(False))), (lambda f: f["ended"].isNotNull())
+    begun = lambda f: f["started"].isNotNull()
+    cases = [
+        (~any_flag("queued"), ~F.exists("doclib", flag(is_queued))),
+        (has("rawtext") & ~ended("rawtext"), F.array_contains("doclib.key", "rawtext") & ~own("rawtext", has_ended)),
+        (queued("bounding_box") | started("analytical"), own("bounding_box", is_queued) | own("analytical", begun)),
+        (
+            all_flags("ended") | queued("no.such.flag"),
+            F.forall(F.col("doclib.key"), lambda k: F.exists("doclib", lambda f: (f["key"] == k) & has_ended(f))),
+        ),
+    ]
+    for test, condition in cases:
+        with_test = Engine([Rule("Own", F.lit(True), ["text"], when=test), *default_rules(True)])
+        with_condition = Engine([Rule("Own", condition, ["text"]), *default_rules(True)])
+        assert not with_test.reads_flags(documents) and with_condition.reads_flags(documents)
+        want = supervise(messages, documents, with_condition)
+        for hot in (2_000, 20):
+            got = supervise_log(messages, documents, with_test, hot_messages=hot, piece_messages=15)
+            assert outcome(got.results) == outcome(want.results)
+            assert changed(got.documents) == changed(want.documents)
+        resolved = [
+            sorted((r.id, r.resolution) for r in e.resolve(documents).collect()) for e in (with_test, with_condition)
+        ]
+        assert repr(resolved[0]) == repr(resolved[1])
+    staged = Engine([Rule("Own", F.lit(True), [Stage("text", when=has("rawtext"))], when=~ended("rawtext"))])
+    joint = Engine([Rule("Own", cases[1][1], ["text"])])
+    assert outcome(supervise(messages, documents, staged).results) == outcome(supervise(messages, documents, joint).results)
+
+
+def test_passes_do_not_grow_with_the_flags(spark, tables, monkeypatch):
+    """First sends at the beginning of a log are found in the same passes, twelve or a
+    hundred of them."""
+    import tests.helpers as h
+    from docroute.sources.rules import RulesTable
+
+    passes = []
+    for n in (12, 100):
+        entries = [("text", i, f"flag.{i}", f"route.{i}") for i in range(n)]
+        engine = Engine([Rule("All", F.lit(True), ["text"])], RulesTable(entries))
+        documents = h.documents(spark, ("x", []))
+        bodies = ['{"id":"%s"%s}' % (h.hex_id(0), "" if i % 9 else ', "reset": ["flag.3"]') for i in range(400)]
+        tables_ = []
+        table = plan.Work.table
+        monkeypatch.setattr(plan.Work, "table", lambda self, *a, t=table: tables_.append(1) or t(self, *a))
+        log = supervise_log(h.messages(spark, *bodies), documents, engine, hot_messages=10, piece_messages=25)
+        monkeypatch.setattr(plan.Work, "table", table)
+        cold = supervise_log(h.messages(spark, *bodies), documents, engine)
+        assert outcome(log.results) == outcome(cold.results)
+        assert changed(log.documents) == changed(cold.documents)
+        passes.append(len(tables_))
+    assert passes[0] == passes[1]
+
+
 @pytest.mark.parametrize("bytes_", [0, plan.BROADCAST_BYTES])
 def test_pieces_joined_or_broadcast_equal_the_model(tables, expected, monkeypatch, bytes_):
     monkeypatch.setattr(plan, "BROADCAST_BYTES", bytes_)
@@ -196,33 +258,111 @@ def test_stream_follows_a_live_store(spark, tables, tmp_path):
     assert handle(2, 2, 1) == [("sent", "ner"), ("sent", "ner")]
 
 
-def test_restriction_comes_before_the_state_is_aggregated(spark, tables, tmp_path):
-    """Buckets that a batch names restrict both the state and the snapshot."""
-    from docroute.sources.documents import in_buckets
+def test_a_mark_outlives_a_consumers_start(spark, tmp_path):
+    """Sent, then consumed, then reset and sent again: the second mark holds."""
+    import tests.helpers as h
+
+    engine, path, text = Engine.default(True), f"{tmp_path}/out", '{"id":"%s"}' % h.hex_id(0)
+    again = '{"id":"%s","reset":["rawtext"]}' % h.hex_id(0)
+    statuses = []
+    flags = []
+    for batch, (body, second) in enumerate([(text, 10), (again, 20), (text, 21)]):
+        store = h.documents(spark, ("application/msword", flags))
+        message = h.messages(spark, body).selectExpr(
+            f"{batch}L AS seq", f"TIMESTAMP_NTZ '2030-01-01 00:00:{second}' AS ts", "body"
+        )
+        supervise_batch(message, batch, lambda: store, engine, path)
+        found = read_output(spark, path, "results").filter(F.col("batch_id") == batch)
+        statuses += [(r.status, r.stage_key) for r in found.collect()]
+        start = h.NOW.replace(year=2030, month=1, day=1, hour=0, minute=0, second=12, microsecond=0)
+        flags = [("rawtext", None, start, start.replace(second=13), None, None)]
+    assert statuses == [("sent", "text"), ("sent", "text"), ("held", "text")]
+
+
+def test_bases_hold_what_the_store_does_not(spark, tmp_path):
+    """Changes that the store has caught up with leave the base; older ones are removed."""
+    import os
+
     from docroute.streaming.supervise_stream import changes
 
-    documents, messages = tables
-    store, out = f"{tmp_path}/store", f"{tmp_path}/out"
-    write_flags(documents.drop("doc_id"), documents.limit(0).select("id", "doclib"), store)
-    supervise_batch(messages.filter("seq < 300"), 0, lambda: documents, Engine.default(True), out)
-    state = changes(spark, out, 1, [3])._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(bucket" in state
-    snapshot = in_buckets(spark.read.parquet(store), [3])._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(bucket" in snapshot
-
-
-def test_rounds_prune_pieces(spark, tables):
-    """Pieces that a round does not look at are not read."""
-    from docroute.sources.documents import Work
-    from docroute.sources.messages import decode_messages
-
-    work, flags = Work(spark), Engine.default(True).flags
-    rows = decode_messages(tables[1]).filter("reason is null").select("seq", "ts", "id", "reset")
-    log, totals = plan.running_resets(rows, flags, 10, work)
-    sent = work.table(plan.unsent(totals, len(flags)))
-    met = plan.in_window(log, work.table(totals.drop("n")), sent.filter("settled < last"), True)
-    assert "dynamicpruning" in met._jdf.queryExecution().executedPlan().toString().lower()
-    assert met.count() > 0
+    import tests.helpers as h
+
+    engine, path = Engine.default(True), f"{tmp_path}/out"
+    body = ['{"id":"%s"}' % h.hex_id(i) for i in range(2)]
+    store = h.documents(spark, ("application/zip", []), ("application/zip", []))
+    for batch in range(4):
+        if batch == 3:
+            # A consumer has written down what the stream sent for the first document.
+            done = [h.flag("unarchived", queued=True)]
+            store = h.documents(spark, ("application/zip", done), ("application/zip", []))
+        messages = h.messages(spark, body[batch % 2]).withColumn("seq", F.lit(batch).cast("long"))
+        supervise_batch(messages, batch, lambda: store, engine, path, compact_every=2)
+    kept = {r.id for r in spark.read.parquet(f"{path}/base/upto=3").collect()}
+    assert kept == {h.hex_id(1)}
+    assert sorted(os.listdir(f"{path}/base")) == ["upto=1", "upto=3"]
+    assert sorted(os.listdir(f"{path}/changes")) == ["batch_id=2", "batch_id=3"]
+    assert {r.id for r in changes(spark, path, 4).collect()} == {h.hex_id(1)}
+    assert {r.id for r in changes(spark, path, 4, [h.hex_id(0)]).collect()} == set()
+
+
+def scanned(df):
+    """(rows that the scans of the plan gave, the result)"""
+    rows = df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    scans = [leaves.apply(i) for i in range(leaves.size()) if "Scan parquet" in leaves.apply(i).nodeName()]
+    return sum(scan.metrics().apply("numOutputRows").value() for scan in scans), rows
+
+
+def test_few_documents_are_read_at_the_cost_of_few(spark, tmp_path, monkeypatch):
+    """Of a store of many row groups, three hundred ids read a fraction."""
+    from docroute.sources import documents as store
+
+    monkeypatch.setattr(store, "ROW_GROUP_BYTES", 40_000)
+    path = str(tmp_path / "store")
+    docs = fixtures.documents(spark, SF, 200).drop("doc_id")
+    total = docs.count()
+    write_flags(docs, docs.limit(0).select("id", "doclib"), path, buckets=4)
+    ids = docs.select("id").orderBy("id").limit(300)
+    few = store.few_ids(ids)
+    read, rows = scanned(store.read_named(spark, path, ids, few))
+    assert sorted(r.id for r in rows) == sorted(few) and len(few) == 300
+    assert total == 40_000 and read < total / 4
+    # Too many to be looked up one by one: joined.
+    many = store.read_named(spark, path, ids, None)
+    assert sorted(r.id for r in many.collect()) == sorted(few)
+
+
+def intervals_of(documents, messages, engine, work):
+    """The rows that a resolver is given in the last pass, and in all."""
+    seen = []
+
+    def resolve(docs):
+        seen.append(docs.count())
+        return engine.resolve(docs)
+
+    log = supervise(messages, documents, resolve, engine.table)
+    return seen, log
+
+
+def test_a_resolver_is_asked_once_per_interval(spark, tables):
+    """A document without resets, whose flags change twice, is three intervals,
+    however many messages it has."""
+    import tests.helpers as h
+
+    engine = Engine.default(True)
+    documents = h.documents(spark, ("text/csv", []), ("application/msword", []))
+    body = ['{"id":"%s"}' % h.hex_id(i) for i in range(2)]
+    again = '{"id":"%s","reset":["rawtext"]}' % h.hex_id(1)
+    bodies = [body[0]] * 200 + [body[1], body[1], again, body[1], body[1], again] + [body[1]] * 100
+    seen, log = intervals_of(documents, h.messages(spark, *bodies), engine, None)
+    closed = supervise(h.messages(spark, *bodies), documents, engine)
+    assert outcome(log.results) == outcome(closed.results)
+    # Intervals: one and the first sends of the first document; the second's also
+    # begin anew with each of its two resets.  A log is cut into at most eight pieces.
+    sends = {s.flag for r in log.results.filter(F.col("id") == h.hex_id(0)).collect() for s in r.sends}
+    changes = len({r.seq for r in log.results.collect() if r.sends})
+    assert sends and seen[-1] <= 2 + changes + 2 + 8
+    assert sum(seen) < len(bodies)
 
 
 def test_intermediate_tables_are_removed(spark, tables):

@@ -2,6 +2,8 @@
 
 from datetime import timedelta
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from docroute.functions import flags as ff
@@ -238,22 +240,89 @@ def test_supervise_outputs(spark, tmp_path):
     assert tuple(version) == ("", 0, 0, 0, "")
 
 
-def test_only_changed_buckets_are_written_anew(spark, tmp_path):
+def parquet_files(path):
     import os
 
-    df = h.documents(spark, *[("x", [begun("a")])] * 40)
-    path = str(tmp_path / "store")
-    write_flags(df, df.limit(0).select("id", "doclib"), path)
+    return {os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
 
-    def files():
-        return {os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
 
-    before = files()
+def test_only_changed_buckets_are_written_anew(spark, tmp_path):
+    df = h.documents(spark, *[("x", [begun("a")])] * 40).withColumn("extra", F.col("id"))
+    path = str(tmp_path / "store")
+    write_flags(df, df.limit(0).select("id", "doclib"), path, buckets=16)
+    before = parquet_files(path)
+    assert len(before) <= 16
+    first = read_documents(spark, path, df.schema)
     new = h.documents(spark, ("x", [ended("a")]))
     after_write = write_flags(df, new.select("id", "doclib"), path)
-    assert len(before - files()) == len(files() - before) == 1
+    # One file more, none touched.
+    assert before <= parquet_files(path) and len(parquet_files(path)) == len(before) + 1
     assert after_write.count() == 40 and after_write.columns == df.columns
     assert [r.id for r in after_write.collect() if r.doclib[0].ended] == [hex_id(0)]
+    assert all(r.extra == r.id for r in after_write.collect())
+    # Whoever reads the version before goes on.
+    assert first.count() == 40 and not [r for r in first.collect() if r.doclib[0].ended]
+
+
+def test_a_write_that_breaks_off_is_not_seen(spark, tmp_path, monkeypatch):
+    from docroute.sources import documents as store
+
+    df = h.documents(spark, *[("x", [begun("a")])] * 20)
+    path = str(tmp_path / "store")
+    write_flags(df, df.limit(0).select("id", "doclib"), path)
+    new = df.select("id", F.expr("transform(doclib, f -> named_struct('key', 'b', 'version', f.version, 'started', f.started,"
+                                 " 'ended', f.ended, 'reset', f.reset, 'queued', f.queued))").cast(df.schema["doclib"].dataType).alias("doclib"))
+    write = store._write_buckets
+
+    def broken(rows, folder, *more):
+        write(rows.limit(5), folder, *more)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(store, "_write_buckets", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        write_flags(df, new, path)
+    keys = lambda: {f.key for r in read_documents(spark, path).collect() for f in r.doclib}
+    assert keys() == {"a"}
+    # Nor is one whose version is not complete.
+    monkeypatch.setattr(store, "_write_buckets", write)
+    write_flags(df, new, path)
+    assert keys() == {"b"} and store.current_version(spark, path).number == 2
+    (tmp_path / "store/versions/2/_SUCCESS").unlink()
+    assert keys() == {"a"}
+
+
+def test_old_versions_are_removed(spark, tmp_path):
+    from docroute.sources.documents import current_version, remove_old_versions
+
+    df = h.documents(spark, *[("x", [begun("a")])] * 30)
+    path = str(tmp_path / "store")
+    changed = df.filter(F.col("id") == hex_id(0)).select("id", "doclib")
+    for _ in range(4):
+        write_flags(df, changed, path)
+    held = {f"{path}/{f}" for f in current_version(spark, path).folders.values()}
+    files = len(parquet_files(path))
+    remove_old_versions(spark, path, keep=1)
+    assert len(parquet_files(path)) == files - 3
+    assert {f.rpartition("/")[0] for f in parquet_files(path)} == held
+    assert read_documents(spark, path).count() == 30 and current_version(spark, path).number == 4
+
+
+def test_an_empty_store(spark, tmp_path):
+    df = h.documents(spark, ("x", [begun("a")])).limit(0)
+    path = str(tmp_path / "store")
+    assert write_flags(df, df.select("id", "doclib"), path).count() == 0
+    assert read_documents(spark, path).count() == 0
+
+
+def test_keys_that_a_document_lacks_are_not_collected(spark):
+    """A log that names very many keys for a document keeps its list at its own."""
+    df = h.documents(spark, ("x", [begun("a"), begun("b")]))
+    reset = F.concat(F.array(F.lit("a")), F.transform(F.sequence(F.lit(1), F.lit(50_000)), lambda i: F.concat(F.lit("k"), i)))
+    message = spark.range(1).select(F.col("id").alias("seq"), F.lit(NOW).cast("timestamp_ntz").alias("ts"), F.lit(hex_id(0)).alias("id"), reset.alias("reset"))
+    collected = updates.resets_per_document(updates.last_resets(message), df).first().resets
+    assert [r.key for r in collected] == ["a"]
+    flags = updates.reset_flags(df, message).first().doclib
+    assert {f.key: f.reset for f in flags} == {"a": NOW, "b": None}
 
 
 def test_latest_flags_of_a_long_history(spark):
