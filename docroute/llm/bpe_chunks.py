@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docroute.llm.text import short_batches
-from docroute.sources.documents import cut_lineage
+from docroute.llm.tables import cut_lineage
 
 #: Characters in a chunk, and how many of them the next chunk repeats.
 CHUNK, OVERLAP = 32_768, 512

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docroute.sources.documents import cut_lineage
+from docroute.llm.tables import cut_lineage
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -17,14 +17,14 @@ A block sends each of its keys once, so a key that a third of all texts hold is
 as cheap as any other: nothing is skewed, nothing is broadcast, and the number
 of slices grows with the number of shuffle partitions.
 
-Blocks depend on the files and splits that Spark plans, which are the same for
-each pass over the same table in one session; a checksum of the keys guards it.
+Blocks depend on the files and splits that Spark plans.  Operators that work so are
+``finished`` (``tables``): their passes are over when they return, and plan the same
+splits whatever executors there are; a checksum of the keys guards it.
 """
 
 from __future__ import annotations
 
 import struct
-import uuid
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from docroute.llm.files import store
 from docroute.llm.text import give_back, short_batches
-from docroute.sources.documents import cut_lineage, shared_folder
+from docroute.llm.tables import cut_lineage, new_folder
 
 #: Bytes of text in a block.
 BLOCK_BYTES = 2_000_000
@@ -218,7 +218,7 @@ def returned(
     not cut, with counts) the folder also holds what ``distinct_and_sum`` gives.
     """
     spark = runs.sparkSession
-    folder = f"{shared_folder(spark)}/docroute-{name}-{uuid.uuid4().hex}"
+    folder = new_folder(spark, name)
 
     distinct: list[int] = []
     sums: list[int] = []

@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docroute.llm import elias_fano, exchange
+from docroute.llm.tables import finished
 from docroute.llm.text import Texts, Words, starts_of_runs, windows
 
 ORDER = 3
@@ -117,6 +118,7 @@ def text_scores(trie: elias_fano.Trie, hashes: np.ndarray, first: np.ndarray) ->
     return np.add.reduceat(each, first[:-1]) if len(first) > 1 else np.zeros(0)
 
 
+@finished
 def score(docs: DataFrame, held: Column | None = None, order: int = ORDER, rate: float = RATE, power: float = POWER) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score, score.  Documents for which ``held`` is true are not learned from."""

@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from docroute.llm import exchange
 from docroute.llm.components import components
 from docroute.llm.text import Texts, Words, mix, starts_of_runs, windows
-from docroute.sources.documents import cut_lineage
+from docroute.llm.tables import cut_lineage, finished
 
 SHINGLE = 5
 #: Linked if PART * |A & B| >= WHOLE * |A | B|.
@@ -408,6 +408,7 @@ def _leasts(rows: DataFrame, classes: DataFrame, least: Column) -> DataFrame:
     return by_set.join(by_class, "class").select("node", F.col("of_class").alias("least"))
 
 
+@finished
 def near_copies(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest
     doc_id that links lead to, its own included)."""
@@ -418,19 +419,23 @@ def near_copies(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return alone.union(found)
 
 
+@finished
+def _spare_rows(docs: DataFrame, shingle: int) -> DataFrame:
+    """The locators of the rows that ``drop_near_copies`` drops."""
+    rows, _, classes = joined(docs, shingle, located=True)
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "locator", F.col("node").alias("of"))
+    met = rows.filter("node IS NOT NULL").join(_leasts(rows, classes, F.min(place)), "node")
+    repeats = F.coalesce((F.col("doc_id") == F.col("least.doc_id")) & (F.col("node") == F.col("least.of")), F.lit(False))
+    return met.filter((F.col("locator") != F.col("least.locator")) & ~repeats).select(F.col("locator").alias("__locator"))
+
+
 def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``docs`` with one document of each class: the row with the smallest id
     (null after all others), of equal ids the first by file and row.  Rows that
     repeat it, with its id and its set, stay along with it."""
     docs = exchange.from_files(docs, _locator())
-    rows, _, classes = joined(docs, shingle, located=True)
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "locator", F.col("node").alias("of"))
-    met = rows.filter("node IS NOT NULL").join(_leasts(rows, classes, F.min(place)), "node")
-    repeats = F.coalesce((F.col("doc_id") == F.col("least.doc_id")) & (F.col("node") == F.col("least.of")), F.lit(False))
-    gone = met.filter((F.col("locator") != F.col("least.locator")) & ~repeats).select("locator")
     marked = docs.select(*(F.col(c) for c in docs.columns), _locator().alias("__locator"))
-    gone = cut_lineage(gone.withColumnRenamed("locator", "__locator"))
-    return marked.join(gone, "__locator", "left_anti").select(*docs.columns)
+    return marked.join(_spare_rows(docs, shingle), "__locator", "left_anti").select(*docs.columns)
 
 
 ORACLE_SQL = r"""

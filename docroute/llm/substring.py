@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from docroute.llm import exchange
+from docroute.llm.tables import finished
 from docroute.llm.text import Texts, Words, ranges, starts_of_runs, windows
 
 SIZE = 35
@@ -132,6 +133,7 @@ def kept_bytes(words: Words, keep: np.ndarray) -> tuple[bytes, np.ndarray]:
     return raw.tobytes(), ptr
 
 
+@finished
 def substring_digests(docs: DataFrame, size: int = SIZE, cell_bits: int = CELL_BITS) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256."""
     estimated, grouped, covered = repeated_words(docs, size, cell_bits)
@@ -157,6 +159,7 @@ def substring_digests(docs: DataFrame, size: int = SIZE, cell_bits: int = CELL_B
     return table.mapInArrow(digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
+@finished
 def remove_repeated(docs: DataFrame, size: int = SIZE, cell_bits: int = CELL_BITS) -> DataFrame:
     """``docs`` without the repeated passages.  A text that loses words becomes
     its other words, joined by one space; the others stay as they are."""
