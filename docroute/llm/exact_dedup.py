@@ -12,8 +12,9 @@
    differ, the rows of that digest are grouped by the text itself.
 
 A digest that holds a third of all rows costs nothing in the stream, which
-aggregates before it shuffles; in the joins that follow, such a key is on the
-side that adaptive execution splits.
+aggregates before it shuffles.  In the joins that follow, rows of such a digest
+are dealt over ``SALTS`` keys by their locator, and what they meet is there once
+per salt.  At most ``HOT_DIGESTS`` digests can be that frequent.
 
 Only rows that may have been hit are shuffled with their text.  They are picked
 by a bitmap of 2**23 positions (1 MB whatever the input): a position that a
@@ -23,24 +24,28 @@ it finds no partner, so a full bitmap costs time and no rows.
 Null text counts as empty, and empty texts are equal.  Of equal texts the row
 with the largest ``doc_id`` stays, null being smaller than any; among rows with
 that id, the one with the last locator, but every row with the same id and text
-reports ``kept`` as the id says.  An empty table gives no rows.
+reports ``kept`` as the id says.  An empty table gives no rows.  Columns of any
+name pass through ``drop_copies`` as they are; ``exact_dedup`` reads the id and the
+text only.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docroute.sources.documents import cut_lineage, shared_folder
+from docroute.llm.tables import cut_lineage, finished, new_folder
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Files of digests in a micro-batch.
 FILES_PER_TRIGGER = 64
+#: Digests of more rows than this, and than one in ``HOT_DIGESTS`` of all, are dealt
+#: over ``SALTS`` keys.
+HOT_ROWS, HOT_DIGESTS, SALTS = 500, 1000, 64
 #: 2**15 positions in each of 2**8 bitmaps.
 BITS, BITMAPS = 15, 8
 
@@ -57,7 +62,7 @@ _STATE = {
 
 def normalised() -> Column:
     """The text with A-Z in lower case; null is empty."""
-    return F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER, LOWER)
+    return F.translate(F.coalesce(F.col("own.text"), F.lit("")), UPPER, LOWER)
 
 
 def sha256(text: Column) -> Column:
@@ -65,17 +70,22 @@ def sha256(text: Column) -> Column:
 
 
 def _located(docs: DataFrame) -> DataFrame:
-    """The rows with the place they are read from."""
+    """The rows as ``own``, whatever their columns are called, with the ``locator`` of
+    the place they are read from."""
     here = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+
+    def read(rows: DataFrame) -> DataFrame:
+        return rows.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own"), here.alias("locator"))
+
     try:
-        return docs.select("*", here.alias("locator"))
+        return read(docs)
     except AnalysisException:
-        return cut_lineage(docs).select("*", here.alias("locator"))
+        return read(cut_lineage(docs))
 
 
-def digest_rows(docs: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+def digest_rows(located: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
+    return located.select(
+        F.col("own.doc_id").cast("long").alias("doc_id"),
         "locator",
         sha256(normalised()).alias("text_sha256"),
         digest(normalised()).alias("digest"),
@@ -146,25 +156,46 @@ def _maybe_hit(rows: DataFrame, hits: DataFrame) -> DataFrame:
     )
 
 
-def _decisions(docs: DataFrame, digest: Callable[[Column], Column], files_per_trigger: int) -> tuple[DataFrame, DataFrame]:
+def _salted(groups: DataFrame, total: int) -> tuple[Callable[[DataFrame], DataFrame], Callable[[DataFrame], DataFrame]]:
+    """Two functions that add a ``salt`` to tables with a digest: one deals the rows of
+    a hot digest by their locator, the other repeats what they meet for each salt."""
+    hot = groups.filter(F.col("n") > max(HOT_ROWS, total // HOT_DIGESTS)).select("digest", F.lit(True).alias("hot"))
+    # Fewer than HOT_DIGESTS rows, for together they have at most all rows.
+    hot = F.broadcast(cut_lineage(hot))
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        salt = F.when(F.col("hot"), F.pmod(F.xxhash64("locator"), F.lit(SALTS)).cast("int")).otherwise(0)
+        return rows.join(hot, "digest", "left").withColumn("salt", salt).drop("hot")
+
+    def repeated(rows: DataFrame) -> DataFrame:
+        salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+        return rows.join(hot, "digest", "left").withColumn("salt", F.explode(salts)).drop("hot")
+
+    return dealt, repeated
+
+
+def _decisions(located: DataFrame, digest: Callable[[Column], Column], files_per_trigger: int) -> tuple[DataFrame, DataFrame]:
     """(decisions with locator and digest, groups of more than one row)."""
-    spark = docs.sparkSession
-    folder = f"{shared_folder(spark)}/docroute-dedup-{uuid.uuid4().hex}"
-    digest_rows(docs, digest).write.parquet(f"{folder}/digests")
+    spark = located.sparkSession
+    folder = new_folder(spark, "dedup")
+    digest_rows(located, digest).write.parquet(f"{folder}/digests")
     rows = spark.read.parquet(f"{folder}/digests")
     groups = cut_lineage(stream_groups(spark, f"{folder}/digests", folder, files_per_trigger).filter("n > 1"))
+    dealt, repeated = _salted(groups, rows.count())
+    keys = ["digest", "salt"]
 
     # Full bytes of the hits against those of the row that stays.
-    texts = docs.select("locator", digest(normalised()).alias("digest"), normalised().alias("body"), F.col("doc_id").cast("long").alias("doc_id"))
+    texts = located.select("locator", digest(normalised()).alias("digest"), normalised().alias("body"), F.col("own.doc_id").cast("long").alias("doc_id"))
+    maybe = _maybe_hit(texts, groups).filter("maybe").drop("maybe")
     # Written, since both sides of the comparison come from it.
-    hit = cut_lineage(_maybe_hit(texts, groups).filter("maybe").drop("maybe").join(groups, "digest"))
+    hit = cut_lineage(dealt(maybe).join(repeated(groups), keys))
     kept = hit.filter(F.col("locator") == F.col("keep.locator")).select("digest", F.col("body").alias("kept_body"))
     differ = (
-        hit.select("digest", "body").join(kept, "digest").filter(F.col("body") != F.col("kept_body")).select("digest").distinct()
+        hit.select(*keys, "body").join(repeated(kept), keys).filter(F.col("body") != F.col("kept_body")).select("digest").distinct()
     )
     differ = cut_lineage(differ)
     state = groups.select("digest", "n", F.col("keep.doc_id").alias("keep_id"), F.col("keep.locator").alias("keep_locator"))
-    joined = rows.join(state, "digest", "left")
+    joined = dealt(rows).join(repeated(state), keys, "left")
     if not differ.isEmpty():
         whole = hit.join(differ, "digest", "left_semi").groupBy("digest", "body").agg(
             F.count("*").alias("n"), F.max(F.struct("doc_id", "locator")).alias("keep")
@@ -194,6 +225,7 @@ def _decisions(docs: DataFrame, digest: Callable[[Column], Column], files_per_tr
     return decided, groups
 
 
+@finished
 def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
     decided, _ = _decisions(_located(docs), digest, files_per_trigger)
@@ -206,14 +238,20 @@ def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256, fi
     )
 
 
+@finished
+def _spare_rows(located: DataFrame, digest: Callable[[Column], Column], files_per_trigger: int) -> DataFrame:
+    """The locators of the rows that ``drop_copies`` drops."""
+    decided, _ = _decisions(located, digest, files_per_trigger)
+    return decided.filter(F.col("locator") != F.col("keep_locator")).select("locator", "digest")
+
+
 def drop_copies(docs: DataFrame, digest: Callable[[Column], Column] = sha256, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """The rows of ``docs`` without all but one of each group of equal texts."""
     located = _located(docs)
-    decided, groups = _decisions(located, digest, files_per_trigger)
-    dropped = decided.filter(F.col("locator") != F.col("keep_locator")).select("locator")
-    marked = _maybe_hit(located.withColumn("digest", digest(normalised())), groups)
-    stay = marked.filter("NOT maybe").union(marked.filter("maybe").join(dropped, "locator", "left_anti").select(*marked.columns))
-    return stay.select(*docs.columns)
+    dropped = _spare_rows(located, digest, files_per_trigger)
+    marked = _maybe_hit(located.withColumn("digest", digest(normalised())), dropped)
+    hit = marked.filter("maybe").join(dropped.select("locator"), "locator", "left_anti").select(*marked.columns)
+    return marked.filter("NOT maybe").union(hit).select("own.*")
 
 
 ORACLE_SQL = """

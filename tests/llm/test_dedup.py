@@ -55,6 +55,29 @@ def test_exact_dedup_of_a_derived_and_an_empty_table(spark, tmp_path):
     assert exact_dedup.drop_copies(empty).collect() == []
 
 
+def test_columns_of_any_name_pass_through(spark, tmp_path):
+    names = ["locator", "digest", "maybe", "bit", "bits", "bitmap", "own", "salt", "hot", "keep", "n", "file", "a.b"]
+    rows = [(i, f"text {i % 4}", *(f"{c}{i}" for c in names)) for i in range(8)]
+    schema = "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in names)
+    spark.createDataFrame(rows, schema).repartition(2).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    assert rows_of(exact_dedup.exact_dedup(docs)) == exact_groups([r[:2] for r in rows])
+    left = exact_dedup.drop_copies(docs)
+    assert left.schema == docs.schema
+    assert sorted(tuple(r) for r in left.collect()) == rows[4:]
+
+
+def test_digests_of_many_rows_are_dealt_out(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "HOT_ROWS", 3)
+    monkeypatch.setattr(exact_dedup, "HOT_DIGESTS", 10)
+    rows = awkward_rows() + [(500 + i, "much the same" if i % 3 else "MUCH the same") for i in range(60)]
+    docs = written(spark, tmp_path / "docs", rows)
+    assert rows_of(exact_dedup.exact_dedup(docs)) == exact_groups(rows)
+    digest = lambda text: F.substring(exact_dedup.sha256(text), 1, 1)
+    assert rows_of(exact_dedup.exact_dedup(docs, digest)) == exact_groups(rows)
+    assert exact_dedup.drop_copies(docs).count() == len({(t or "").translate(LOWER) for _, t in rows})
+
+
 def test_exact_dedup_plan_is_native(spark, tmp_path):
     docs = written(spark, tmp_path / "docs", awkward_rows())
     plan = exact_dedup.exact_dedup(docs)._jdf.queryExecution().toString()
