@@ -1,7 +1,8 @@
 """Approximate nearest neighbours by largest inner product, from balanced posting lists.
 
-1. Of equal vectors only those with the smallest ids can be in a result, as ties
-   go to the smaller id; the others leave before anything is compared.
+1. Rows that repeat an id and its vector count once.  Of equal vectors only those
+   with the smallest ids can be in a result, as ties go to the smaller id; the
+   others leave before anything is compared.
 2. Largest inner product becomes nearest in one more dimension: x gets
    sqrt(M^2 - |x|^2), M being the largest length, and a query gets 0.
 3. A bounded sample is halved again and again along its widest direction, at the
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docroute.sources.documents import cut_lineage
+from docroute.llm.tables import cut_lineage, finished
 
 K = 20
 QUERY_STEP = 20
@@ -52,8 +53,6 @@ RECALL = 0.97
 LADDER = [1.02, 1.04, 1.06, 1.08, 1.1, 1.12, 1.14, 1.16, 1.18, 1.2, 1.25, 1.3, 1.4, 1.5, 2.0, 1e9]
 PROBES = 512
 BLOCK = 1024
-#: Parts that a vector held by many rows is counted in.
-SALTS = 64
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -66,14 +65,12 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def first_of_equal(vectors: DataFrame, most: int) -> DataFrame:
-    """Of equal vectors the ``most`` with the smallest ids; counted in salted parts first."""
-    rows = vectors.withColumn("same", F.xxhash64("embedding")).withColumn(
-        "salt", F.pmod(F.xxhash64("vec_id"), F.lit(SALTS))
-    )
-    for keys in (["same", "salt"], ["same"]):
-        order = Window.partitionBy(*keys, "embedding").orderBy("vec_id")
-        rows = rows.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= most)
-    return rows.select("vec_id", "embedding")
+    """Of equal vectors the ``most`` smallest ids.  Repeated rows are dropped before
+    and after a shuffle by id and vector, which deals a vector of many rows out; of
+    what a task then has of it, the ``most`` smallest go on to the next shuffle."""
+    rows = vectors.dropDuplicates(["vec_id", "embedding"])
+    order = Window.partitionBy("embedding").orderBy("vec_id")
+    return rows.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= most).select("vec_id", "embedding")
 
 
 def halve(points: np.ndarray, parts: int) -> np.ndarray:
@@ -215,16 +212,18 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 def _best(queries: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, id, score) of the ``k`` best of a block for each query of a block."""
-    rough = np.round(q @ x.T, 12)
+    rough = q @ x.T
+    # Sums in another order differ by less than this.
+    error = 4 * q.shape[1] * np.finfo(np.float64).eps * np.sqrt((q * q).sum(1) * (x * x).sum(1).max(initial=0.0))
     rough[queries[:, None] == ids[None, :]] = -np.inf
     k = min(k, len(ids))
-    order = np.lexsort((np.broadcast_to(ids, rough.shape), -rough), axis=1)[:, :k]
-    row = np.repeat(np.arange(len(queries)), k)
-    col = order.reshape(-1)
-    keep = np.isfinite(rough[row, col])
-    row, col = row[keep], col[keep]
-    # Row by row in one order of summing, so that equal vectors have equal scores.
-    return queries[row], ids[col], (q[row] * x[col]).sum(1)
+    least = -np.partition(-rough, k - 1, axis=1)[:, k - 1] - error
+    row, col = np.nonzero((rough >= least[:, None]) & (rough > -np.inf))
+    # One dimension after the other, so that equal vectors have equal scores.
+    score = np.zeros(len(row))
+    for d in range(q.shape[1]):
+        score += q[row, d] * x[col, d]
+    return queries[row], ids[col], score
 
 
 def _merged(parts: list[tuple], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -239,6 +238,7 @@ def _merged(parts: list[tuple], k: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     return query[top], vec[top], score[top]
 
 
+@finished
 def nearest(vectors: DataFrame, k: int = K, query_step: int = QUERY_STEP, sample: int = SAMPLE, list_size: int = LIST_SIZE, recall: float = RECALL) -> DataFrame:
     """The ``k`` nearest of each vector whose id is divisible by ``query_step``:
     query_id, rank (from 1), vec_id, score."""
@@ -335,3 +335,18 @@ def nearest(vectors: DataFrame, k: int = K, query_step: int = QUERY_STEP, sample
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = scanned.distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
+
+
+ORACLE_SQL = """
+WITH good AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+pairs AS (
+  SELECT q.vec_id AS query_id, x.vec_id, list_inner_product(q.v, x.v) AS score
+  FROM good q JOIN good x ON x.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM pairs)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 20
+"""

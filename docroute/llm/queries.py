@@ -100,6 +100,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_ngram_join": ngram_join.ORACLE_SQL,
+        "op5_nearest_vectors": ann.ORACLE_SQL,
         "op6_exact_dedup": exact_dedup.ORACLE_SQL,
         "op8_substring_dedup": substring.ORACLE_SQL,
         "op13_phrase_collocations": phrases.ORACLE_SQL,
