@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from docroute.llm.text import Texts, short_batches, slices
 from docroute.llm.tokenise import encoder
-from docroute.sources.documents import cut_lineage
+from docroute.llm.tables import cut_lineage, finished
 
 SIZE = 2048
 END_ID = 0
@@ -147,27 +147,30 @@ def pack(pieces: DataFrame, size: int = SIZE, buckets: int = BUCKETS) -> DataFra
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     slots = _slots(spark, plan(counts, size))
     ranked = _ranked(pieces, buckets)
-    # The slots are a few thousand runs; the join is on the length, and a run is found by its range.
-    placed = ranked.join(F.broadcast(slots), "length").withColumn(
-        "run", F.expr("array_position(transform(firsts, f -> f <= rank), false)")
-    )
-    run = F.expr("CAST(IF(run = 0, size(firsts), run - 1) AS INT)")
-    return placed.withColumn("run", run).select(
-        *pieces.columns,
-        F.expr("sequences[run - 1] + (rank - firsts[run - 1])").alias("sequence_id"),
-        F.expr("offsets[run - 1]").alias("offset"),
+    # The slots are a few thousand runs; the join is on the length.  A run is found by
+    # its rank: first the block of runs, then the run in it.
+    at = "size(filter({firsts}, f -> f <= rank)) - 1"
+    placed = ranked.join(F.broadcast(slots), "length").withColumn("block", F.expr(f"get(blocks, {at.format(firsts='blocks.first')})"))
+    placed = placed.withColumn("run", F.expr(f"get(block.runs, {at.format(firsts='block.runs.first')})"))
+    return placed.select(
+        *pieces.columns, F.expr("run.sequence + (rank - run.first)").alias("sequence_id"), F.expr("run.offset").alias("offset")
     )
 
 
-def _slots(spark: SparkSession, slots: list[tuple]) -> DataFrame:
-    """One row per length: the runs of its slots in order of rank."""
+def _slots(spark: SparkSession, slots: list[tuple], block: int = 32) -> DataFrame:
+    """One row per length: the runs of its slots in order of rank, in blocks."""
     by: dict[int, list[tuple]] = {}
     for length, first, _, sequence, offset in slots:
         by.setdefault(length, []).append((first, sequence, offset))
-    rows = [(k, *map(list, zip(*sorted(v)))) for k, v in by.items()]
-    return spark.createDataFrame(rows, "length long, firsts array<long>, sequences array<long>, offsets array<long>")
+    rows = []
+    for length, runs in by.items():
+        runs.sort()
+        rows.append((length, [(runs[i][0], runs[i : i + block]) for i in range(0, len(runs), block)]))
+    run = "struct<first: long, sequence: long, offset: long>"
+    return spark.createDataFrame(rows, f"length long, blocks array<struct<first: long, runs: array<{run}>>>")
 
 
+@finished
 def pack_documents(docs: DataFrame, tokenizer: str, size: int = SIZE, end_id: int = END_ID) -> DataFrame:
     """Encode, cut and pack: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     return pack(cut_lineage(token_pieces(docs, tokenizer, size, end_id)), size)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import ctypes
 import string
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -157,7 +157,19 @@ _WIDER_SPACES = (
 )
 
 
-def pieces(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def inside(texts: Texts, strings: Sequence[bytes]) -> np.ndarray:
+    """The places within an occurrence of one of the strings, but for its first."""
+    raw = texts.data[: texts.n_bytes].tobytes()
+    found = []
+    for string in strings:
+        at = raw.find(string)
+        while at >= 0:
+            found.append(np.arange(at + 1, at + len(string)))
+            at = raw.find(string, at + 1)
+    return np.concatenate(found) if found else np.zeros(0, np.int64)
+
+
+def pieces(texts: Texts, uncut: Sequence[bytes] = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Cut texts before every ASCII white space that follows a character that
     is none, and before ASCII punctuation (but not an apostrophe) that follows an
     ASCII letter: (starts, ends, first), as in ``Words``.
@@ -165,7 +177,7 @@ def pieces(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     Tokenizers whose pre-tokens hold white space only at their front, and letters
     and punctuation together only in contractions, never join text across such a
     place, whatever stands on either side, so the ids of a text are those of its
-    pieces, one after the other.
+    pieces, one after the other.  No cut is made within one of the strings ``uncut``.
     """
     n, ptr = texts.n_bytes, texts.ptr
     data = texts.data[:n]
@@ -181,6 +193,8 @@ def pieces(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         odd = np.isin(two, [int.from_bytes(x) for x in _WIDE_SPACES])
         odd |= np.isin(three, [int.from_bytes(x) for x in _WIDER_SPACES])
         cut[wide[odd]] = False
+    if uncut:
+        cut[inside(texts, uncut)] = False
     edges = ptr[:-1][np.diff(ptr) > 0]
     cut[edges] = True
     starts = np.flatnonzero(cut[:n])

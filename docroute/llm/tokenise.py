@@ -3,6 +3,9 @@
 Texts are cut into pieces across which no token reaches (``text.pieces``); each
 distinct piece is encoded once by the library and its ids are looked up from
 then on.  A worker keeps what it has learned between batches, up to a bound.
+
+As by the library's default, a special token's text within a text is that token;
+no piece ends within one.
 """
 
 from __future__ import annotations
@@ -29,7 +32,11 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [token.content.encode() for token in added]
+        # A token that is found in other forms, or takes up what stands beside it, can
+        # be anywhere: then texts are encoded as wholes.
+        self.cuts = not any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added)
         self._forget()
 
     def _forget(self) -> None:
@@ -60,7 +67,10 @@ class PieceEncoder:
 
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """(ids, first): the ids of text i are ids[first[i]:first[i + 1]]."""
-        starts, ends, first = pieces(texts)
+        if self.cuts:
+            starts, ends, first = pieces(texts, self.added)
+        else:
+            starts, ends, first = texts.ptr[:-1], texts.ptr[1:], np.arange(len(texts) + 1)
         hashes = texts.hashes(starts, ends)
         keys, where, back = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.keys) + len(keys) > KEPT_PIECES:

@@ -40,11 +40,14 @@ from pyspark.sql import functions as F
 from docroute.llm.files import store
 from docroute.llm.text import Texts, short_batches, slices
 from docroute.llm.tokenise import encoder
-from docroute.sources.documents import cut_lineage, shared_folder
+from docroute.llm.tables import cut_lineage
+from docroute.sources.documents import shared_folder
 
 MAGIC = b"WVMX0001"
 BLOCK_BITS = 1 << 20
 SHARD_IDS = 1 << 22
+#: Tasks that read shards, at most.
+READ_TASKS = 4096
 LEVEL = 1
 
 
@@ -281,9 +284,13 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0,
 def read_documents(manifest: DataFrame, folder: str, keep_ids: bool = False) -> DataFrame:
     """From the files: doc_id, start (ids of all documents before it), n_tokens,
     ids_crc32 and, if asked for, ids (binary, uint32)."""
-    # One row per shard, so the running sum is over a small table.
-    before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
-    shards = manifest.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
+    # Shards are summed up within their part; parts are as many as tasks wrote.
+    earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("part").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
+    parts = manifest.groupBy("part").agg(F.sum("n_ids").alias("n_ids"))
+    parts = parts.select("part", F.coalesce(F.sum("n_ids").over(earlier.orderBy("part")), F.lit(0)).alias("part_base"))
+    own = F.coalesce(F.sum("n_ids").over(inside), F.lit(0))
+    shards = manifest.withColumn("own", own).join(parts, "part").withColumn("base", F.col("part_base") + F.col("own"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = store(folder)
@@ -308,8 +315,8 @@ def read_documents(manifest: DataFrame, folder: str, keep_ids: bool = False) ->
                     yield pa.RecordBatch.from_pydict(columns)
 
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids binary" if keep_ids else "")
-    # A task per shard: the rows are tiny, what they name is not.
-    dealt = shards.select("file", "base").repartition(max(1, manifest.count()))
+    # The rows are tiny, what they name is not: a task for each, up to a number.
+    dealt = shards.select("file", "base").repartition(max(1, min(manifest.count(), READ_TASKS)))
     return dealt.mapInArrow(read, schema)
 
 

@@ -50,10 +50,13 @@ def test_lower_case_is_ascii_only():
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_pieces_encode_like_whole_texts(name):
-    texts = [x or "" for x in some_texts(1500, 3)] + ["<|endoftext|> x", "a  b", "ΟΔΟΣ ΟΔΟΣ"]
+    special = ["<|endoftext|>", "<|startoftext|>"]
+    texts = [x or "" for x in some_texts(1500, 3)] + [*special, "<|endoftext|", "<|endoftext|> x", "a  b", "ΟΔΟΣ ΟΔΟΣ"]
+    r = random.Random(4)
+    parts = [*special, "a", "Zé", " ", "  ", "\n", "\t ", "<", "|>", "<|", "endoftext", "'ll", "12", "　", "日", ".", "!?"]
+    texts += ["".join(r.choice(parts) for _ in range(r.randrange(1, 12))) for _ in range(3000)]
     path = public_tokenizers.path(name)
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
     ids, first = PieceEncoder(path).encode(Texts(pa.array(texts)))
     for i, text in enumerate(texts):
         assert ids[first[i] : first[i + 1]].tolist() == whole.encode(text, add_special_tokens=False).ids

@@ -23,7 +23,6 @@ def sha(raw):
 
 def library_ids(name, text, end=True):
     t = Tokenizer.from_file(public_tokenizers.path(name))
-    t.encode_special_tokens = True
     return t.encode(text or "", add_special_tokens=False).ids + [0] * end
 
 
