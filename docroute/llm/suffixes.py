@@ -42,8 +42,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docroute.llm.tables import cut_lineage, finished
 from docroute.llm.text import Texts, mix, ranges, slices
-from docroute.sources.documents import Work, cut_lineage
 
 SIZE = 200
 #: Bytes from an anchor on that tell segments apart at first.
@@ -307,22 +307,23 @@ def _sorted_spans(bodies: DataFrame, size: int) -> DataFrame:
     return dealt.mapInArrow(rows, _SPAN)
 
 
+@finished
 def repeated_spans(docs: DataFrame, size: int = SIZE, key: int = KEY, large: int = LARGE) -> DataFrame:
     """file, row and the stretches (lo, hi) to remove, which may overlap, of every
     row of ``docs`` (as ``located`` gives them) that has any."""
-    work = Work(docs.sparkSession)
     texts = docs.select("file", "row", "text").filter(F.octet_length("text") >= size)
-    rows = work.table(_segment_rows(texts, size, key))
-    shared = rows.groupBy("key").count().filter("count > 1").select("key")
-    suspects = work.table(rows.join(shared, "key"))
+    rows = cut_lineage(_segment_rows(texts, size, key))
+    # Written, so that the join shuffles both sides and can split a key of many rows.
+    shared = cut_lineage(rows.groupBy("key").count().filter("count > 1").select("key"))
+    suspects = cut_lineage(rows.join(shared, "key"))
 
-    classes = work.table(
+    classes = cut_lineage(
         suspects.groupBy("key", "seg").agg(F.count("*").alias("m"), F.min(F.struct("file", "row", "start", "n")).alias("one"))
     )
     several = classes.groupBy("key").agg(F.count("*").alias("d"), F.sum(F.expr("CAST(m = 1 AS INT)")).alias("open"))
     several = several.filter("d > 1 AND open > 0").select("key", (F.col("d") > large).alias("crowded"))
     wanted = classes.join(several, "key").select("one.*", "key", (F.col("m") > 1).alias("settled"), "crowded")
-    bodies = work.table(_bodies(texts, wanted, size))
+    bodies = cut_lineage(_bodies(texts, wanted, size))
 
     whole = suspects.join(classes.filter("m > 1").select("key", "seg"), ["key", "seg"]).select(
         "file", "row", F.col("start").alias("lo"), (F.col("start") + F.col("n") + (size - 1)).alias("hi")
@@ -334,10 +335,7 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, key: int = KEY, large: int
         "file", "row", F.col("start").alias("lo"), (F.col("start") + size).alias("hi")
     )
     compared = _sorted_spans(bodies.filter("body IS NOT NULL"), size)
-    spans = whole.union(compared).union(crowded).groupBy("file", "row").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    out = cut_lineage(spans)
-    work.remove()
-    return out
+    return whole.union(compared).union(crowded).groupBy("file", "row").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
 
 def remove_repeated_bytes(docs: DataFrame, size: int = SIZE, key: int = KEY, large: int = LARGE, id_column: str = "doc_id") -> DataFrame:
