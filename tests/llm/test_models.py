@@ -1,3 +1,4 @@
+import itertools
 import math
 import random
 import zlib
@@ -238,6 +239,75 @@ def test_languages_of_a_text_in_more_than_three(parts):
     assert share[1].tolist() == [0, 0, 0, 0, 0, 1] and not share[2].any()
 
 
+def plain_words(text):
+    """Words as lists of gram buckets."""
+    data = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 0x80 else 32 for b in (text or "").encode())
+    words = []
+    for word in data.split(b" "):
+        if word:
+            padded = b" " + word + b" "
+            grams = [padded[i] | padded[i + 1] << 8 | padded[i + 2] << 16 for i in range(len(word))]
+            words.append([(g * 0x9E3779B1 & 0xFFFFFFFF) >> 16 for g in grams])
+    return words
+
+
+def plain_mixture(likelihoods):
+    """The proportions of the set of languages with the best penalised likelihood: all
+    sets are tried, each fitted to the end."""
+    n, k = likelihoods.shape
+    best = None
+    for subset in (s for size in range(1, k + 1) for s in itertools.combinations(range(k), size)):
+        own = likelihoods[:, subset]
+        top = own.max(1, keepdims=True)
+        word, share = np.exp(own - top), np.full(len(subset), 1 / len(subset))
+        for _ in range(300):
+            joint = share * word
+            share = (joint / joint.sum(1, keepdims=True)).mean(0)
+        reached = np.log((share * word).sum(1)).sum() + top.sum()
+        reached -= (len(subset) - 1) * langid.PENALTY / 2 * np.log(max(n, 2))
+        if best is None or reached > best[0] + 1e-9:
+            best = reached, dict(zip(subset, share))
+    return best[1]
+
+
+def test_languages_against_all_subsets(spark, tmp_path):
+    """A plain model, and expectation-maximisation for every set of languages."""
+    given = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang").collect()
+    r = random.Random(6)
+    by_lang = {}
+    for row in given:
+        by_lang.setdefault(row.lang, []).append(row.text)
+    rows = [(x.doc_id, x.text, x.lang) for x in given]
+    rows += [rows[3], rows[3], (rows[5][0], rows[9][1], None)]  # repeated rows and ids
+    for i in range(40):
+        parts = [" ".join(r.choice(by_lang[v]).split()[: r.choice([5, 30, 120])]) for v in r.sample(sorted(by_lang), r.randint(2, 4))]
+        rows.append((10**6 + i, " ".join(parts), None))
+    schema = "doc_id long, text string, lang string, lang_pred string, score string, mixture string, letter string"
+    spark.createDataFrame([(*x, "p", "s", "m", "l") for x in rows], schema).repartition(3).write.parquet(str(tmp_path / "docs"))
+    got = langid.languages(spark.read.parquet(str(tmp_path / "docs"))).collect()
+    assert len(got) == len(rows)
+
+    counts = {lang: np.zeros(langid.BUCKETS) for lang in sorted(by_lang)}
+    for d, text, lang in rows:
+        if lang is not None and zlib.crc32(str(d).encode()) % 4 != 2:
+            for word in plain_words(text):
+                np.add.at(counts[lang], word, 1)
+    log = np.array([np.log((c + langid.SMOOTHING) / (c.sum() + langid.SMOOTHING * langid.BUCKETS)) for c in counts.values()])
+    names, want = list(counts), {}
+    for d, text, _ in rows:
+        words = plain_words(text)
+        found = plain_mixture(np.array([log[:, w].sum(1) for w in words])) if words else {}
+        share = {names[j]: p for j, p in found.items()}
+        want.setdefault(d, []).append(share)
+    same, near = 0, 0
+    for row in got:
+        options = want[row.doc_id]
+        assert row.lang_pred in {max(o, key=o.get) for o in options if o} or max(max(o.values()) for o in options) < 0.55
+        same += any(set(row.mixture) == set(o) for o in options)
+        near += any(abs(row.score - max(o.values())) < 0.03 for o in options if o)
+    assert same >= 0.97 * len(got) and near >= 0.97 * len(got)
+
+
 def test_languages_without_labels_and_clashing_names(spark, tmp_path):
     docs = written(spark, tmp_path / "docs", awkward_rows())
     assert {r.lang_pred for r in langid.languages(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
@@ -297,6 +367,14 @@ def test_nearest_vectors_recall_over_many_lists(spark, tmp_path):
     assert np.mean([len(found[q] & {i for i, _ in want[q]}) / 10 for q in want]) >= 0.9
 
 
+def test_repeated_rows_take_no_neighbour_away(spark, tmp_path):
+    """Rows that repeat an id and its vector count once."""
+    rows = [(1, [1.0, 2.0])] * 30 + [(i, [1.0, 2.0]) for i in [*range(2, 26), 40]]
+    got = sorted((x.query_id, x.rank, x.vec_id) for x in ann.nearest(vectors(spark, tmp_path / "v", rows)).collect())
+    want = [(q, r + 1, v) for q in (20, 40) for r, v in enumerate([i for i in range(1, 26) if i != q][:20])]
+    assert got == want
+
+
 def test_nearest_vectors_of_few_or_no_rows(spark, tmp_path):
     few = ann.nearest(vectors(spark, tmp_path / "few", [(0, [1.0, 2.0]), (1, [2.0, 1.0]), (40, [0.5, 0.5])])).collect()
     assert sorted((x.query_id, x.rank, x.vec_id) for x in few) == [(0, 1, 1), (0, 2, 40), (40, 1, 0), (40, 2, 1)]
