@@ -114,23 +114,12 @@ def _flag_allowed_sql(reset: str, begun: str) -> str:
     )
 
 
-def sendable_allowed(
-    flag: str, flags: str = "doclib", analytical_flag: str = ANALYTICAL_FLAG
-) -> Column:
-    """May work on this flag be sent?  Absent flags may, present ones only if
-    they were reset in a later second than they started; the analytical flag
-    always may.  NULL stands for the error of a reset without a start."""
-    if flag == analytical_flag:
-        return F.lit(True)
-    head = f"get({flags}, {_position_sql(flag, flags)})"
-    allowed = let_sql(head, "head", _flag_allowed_sql("head.reset", "head.started"))
-    return F.expr(f"CASE WHEN {has_flag_sql(flag, flags)} THEN {allowed} ELSE true END")
-
-
 def sendable_allowed_each_sql(
     keys: str, flags: str = "doclib", analytical_flag: str = ANALYTICAL_FLAG
 ) -> str:
-    """``sendable_allowed`` of every key in the array ``keys``, as an array.
+    """May work on each flag of the array ``keys`` be sent?  Absent flags may, present
+    ones only if they were reset in a later second than they started; the analytical
+    flag always may.  NULL stands for the error of a reset without a start.
 
     The flags are judged in one pass and then looked up, so the size of the
     expression does not grow with the number of keys.
@@ -203,19 +192,6 @@ def stamp_resets_sql(flags: str, stamp: Callable[[str], str]) -> str:
     return f"transform({kept}, kept -> {stamped})"
 
 
-def apply_reset_sql(reset: str, now: str, flags: str = "doclib") -> str:
-    stamped = stamp_resets_sql(
-        flags, lambda key: f"CASE WHEN array_contains({reset}, {key}) THEN {now} END"
-    )
-    return f"CASE WHEN {resets_any_sql(reset, flags)} THEN {stamped} ELSE {flags} END"
-
-
-def apply_reset(reset: str = "reset", now: str = "ts", flags: str = "doclib") -> Column:
-    """Collapse duplicates of the keys in ``reset`` and stamp them with ``now``;
-    keys that the document does not have change nothing."""
-    return F.expr(apply_reset_sql(reset, now, flags))
-
-
 def resets_any_sql(reset: str, flags: str = "doclib") -> str:
     return f"coalesce(arrays_overlap({flags}.key, {reset}), false)"
 
@@ -237,12 +213,3 @@ def new_flag_sql(key: str, reset: str = "NULL") -> str:
 def mark_queued_sql(selected: str, flags: str = "doclib") -> str:
     queued = f"CASE WHEN array_contains({selected}, own.key) THEN true ELSE own.queued END"
     return f"transform({flags}, own -> {with_sql('own', queued=queued)})"
-
-
-def queue_flags(selected: str = "sends.flag", flags: str = "doclib") -> Column:
-    """Mark the selected keys as queued, adding those the document lacks."""
-    added = f"transform(array_except({selected}, {flags}.key), added -> {new_flag_sql('added')})"
-    return F.expr(
-        f"CASE WHEN size({selected}) > 0 THEN concat({mark_queued_sql(selected, flags)}, {added})"
-        f" ELSE {flags} END"
-    )

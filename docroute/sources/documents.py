@@ -188,14 +188,6 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and go on from there: worked
-    out once, safe from lost executors, and of known size."""
-    path = f"{shared_folder(df.sparkSession)}/docroute-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _file_system(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place, place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())

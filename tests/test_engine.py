@@ -196,6 +196,38 @@ def test_empty_and_unused_stages(spark):
         Engine.default(table=RulesTable(entries))
 
 
+def test_tables_of_very_many_entries(spark, tmp_path):
+    """Twenty thousand entries route the others as a short table does, and are read
+    under a bound of one's own."""
+    import json
+
+    from docroute import fixtures
+    from docroute.functions.flags import LONG_TABLE
+
+    n = 20_000
+    stages = {key: [{"flag": e.flag, "route": e.route, "type": e.type} for e in RulesTable.default().stage(key)] for key in RulesTable.default().stages()}
+    stages["bulk"] = [{"flag": f"bulk'{i}\\", "route": f"q{i % 15_000}é", "type": "queue"} for i in range(n)]
+    lines = "\n".join(json.dumps({"stage_key": k, "required": v}) for k, v in stages.items())
+    (tmp_path / "rules.json").write_text(lines)
+    with pytest.raises(ValueError, match="at most"):
+        RulesTable.read(spark, str(tmp_path / "rules.json"))
+    table = RulesTable.read(spark, str(tmp_path / "rules.json"), most=30_000)
+    assert len(table.entries) > n > LONG_TABLE
+    bulk = Rule("Bulk", F.col("mimetype") == "x/bulk", ["bulk"])
+    long, short = Engine([bulk, *default_rules(True)], table), Engine.default(True)
+    docs = fixtures.documents(spark, "/root/testdata/sf0.001").limit(60)
+    sends = lambda engine, df: sorted(
+        (r.id, repr(r.resolution), repr(r.sends)) for r in select_sends(engine.resolve(df), engine.table).collect()
+    )
+    assert sends(long, docs) == sends(short, docs)
+    one = h.documents(spark, ("x/bulk", [begun("bulk'3\\"), ended("bulk'4\\", reset=LATER)]))
+    resolved = select_sends(long.resolve(one), table).first()
+    # One per route, but for that of the flag which has begun and has a second entry.
+    flags = [s.flag for s in resolved.resolution.sends]
+    assert len(flags) == 15_000 and "bulk'3\\" not in flags and "bulk'15003\\" in flags and "bulk'4\\" in flags
+    assert len(resolved.sends) == 15_000
+
+
 def test_own_constants_of_the_statements():
     """The statements hold the lists and the table themselves; both are the same."""
     import oracle

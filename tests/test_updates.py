@@ -122,23 +122,31 @@ def test_flag_predicates(spark):
         ("x", [ended("a", reset=h.LATER), ended("b", reset=h.EARLIER)]),
         ("x", [flag("a", reset=NOW)]),
     )
+    def allowed(key, **more):
+        return F.expr(f"get({ff.sendable_allowed_each_sql(ff.strings_sql([key]), **more)}, 0)")
+
     rows = df.orderBy("id").select(
+        "doclib",  # where none of it is read as a whole, Spark 4.1 loses track of it
         ff.has_flag("a"),
         ff.head_flag("a")["ended"],
         ff.completed(["a"]),
         ff.completed(["a", "b"]),
         ff.completed([]),
         ff.started(["a", "b"]),
-        ff.sendable_allowed("a"),
-        ff.sendable_allowed("b"),
-        ff.sendable_allowed("a", analytical_flag="a"),
         ff.is_queued("a"),
     )
-    assert [tuple(r) for r in rows.collect()] == [
-        (False, None, False, False, True, False, True, True, True, False),
-        (True, None, True, False, True, False, False, True, True, False),
-        (True, NOW, True, True, True, True, True, False, True, False),
-        (True, None, False, False, True, False, None, True, True, False),
+    assert [tuple(r)[1:] for r in rows.collect()] == [
+        (False, None, False, False, True, False, False),
+        (True, None, True, False, True, False, False),
+        (True, NOW, True, True, True, True, False),
+        (True, None, False, False, True, False, False),
+    ]
+    sent = df.orderBy("id").select("doclib", allowed("a"), allowed("b"), allowed("a", analytical_flag="a"))
+    assert [tuple(r)[1:] for r in sent.collect()] == [
+        (True, True, True),
+        (False, True, True),
+        (True, False, True),
+        (None, True, True),
     ]
 
 
