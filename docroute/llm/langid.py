@@ -3,7 +3,8 @@
 Training counts, for every language that labels name, the three-byte grams of
 words (ASCII letters in lower case, other bytes as they are, anything else a
 space), hashed to 2**16 buckets.  All training documents count; the model is one
-row of 2**16 probabilities per language, at most ``MAX_LANGUAGES`` rows.
+row of 2**16 probabilities per language, at most ``MAX_LANGUAGES`` rows or as many
+as the caller allows.
 
 A document is a bag of words, each written in one of its languages.  The
 likelihood of a word in a language is the product over its grams.
@@ -84,8 +85,9 @@ class Model:
         self.log = np.log((counts + SMOOTHING) / (total + SMOOTHING * BUCKETS)).T.astype(np.float32).copy()
 
 
-def train(docs: DataFrame) -> Model:
-    """Learn from the rows of ``docs`` whose ``lang`` is not null."""
+def train(docs: DataFrame, most: int = MAX_LANGUAGES) -> Model:
+    """Learn from the rows of ``docs`` whose ``lang`` is not null: ``most`` languages at
+    most, each of which is a row of the model (half a megabyte while it is made)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
@@ -107,11 +109,11 @@ def train(docs: DataFrame) -> Model:
     short_batches(docs.sparkSession)
     labelled = docs.select("text", F.col("lang").cast("string").alias("lang")).filter("lang IS NOT NULL")
     counts = labelled.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    # At most MAX_LANGUAGES * BUCKETS rows.
+    # At most BUCKETS rows for each of ``most`` languages.
     packed = counts.groupBy("lang").agg(F.collect_list("bucket").alias("buckets"), F.collect_list("n").alias("n"))
-    packed = packed.limit(MAX_LANGUAGES + 1).toArrow()
-    if len(packed) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages in the labels")
+    packed = packed.limit(most + 1).toArrow()
+    if len(packed) > most:
+        raise ValueError(f"more than {most} languages in the labels")
     order = np.argsort(np.array(packed.column("lang").to_pylist(), object).astype(str), kind="stable")
     names = [packed.column("lang")[int(i)].as_py() for i in order]
     table = np.zeros((len(names), BUCKETS))
@@ -232,16 +234,16 @@ def identify(docs: DataFrame, model: Model, *columns: str, prefix: str = "") ->
     return rows.mapInArrow(judge, schema)
 
 
-def languages(docs: DataFrame) -> DataFrame:
+def languages(docs: DataFrame, most: int = MAX_LANGUAGES) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score, mixture; learned
     from the documents that ``training`` names."""
-    model = train(docs.filter(training()))
+    model = train(docs.filter(training()), most)
     return identify(docs.withColumn("held_out", ~training()), model, "doc_id", "held_out")
 
 
-def keep_identified(docs: DataFrame) -> DataFrame:
+def keep_identified(docs: DataFrame, most: int = MAX_LANGUAGES) -> DataFrame:
     """``docs`` without those that have no language."""
-    model = train(docs.filter(training()))
+    model = train(docs.filter(training()), most)
     if not model.names:
         # No languages to be told apart, so only texts without letters have none.
         return docs.filter(_letter())

@@ -222,6 +222,8 @@ def test_languages(spark, tmp_path):
     mixed = found[1003]
     assert mixed.lang_pred == "bb" and set(mixed.mixture) == {"bb", "cc"} and mixed.score == pytest.approx(0.75, abs=0.02)
     assert found[1004].lang_pred == "cc" and found[None].lang_pred == "aa"
+    with pytest.raises(ValueError, match="more than 2 languages"):
+        langid.languages(docs, most=2)
     assert {r.doc_id for r in langid.keep_identified(docs).collect()} == set(found) - {1000, 1001, 1002}
 
 
