@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docroute.llm.files import store
-from docroute.llm.text import give_back, short_batches
+from docroute.llm.text import forget, give_back, short_batches
 from docroute.llm.tables import cut_lineage, new_folder
 
 #: Bytes of text in a block.
@@ -69,6 +69,7 @@ def with_split(docs: DataFrame, *columns: str | Column) -> DataFrame:
 def blocks(batches: Iterator[pa.RecordBatch], most: int = BLOCK_BYTES) -> Iterator[tuple[int, int, pa.RecordBatch]]:
     """(split, number, rows): the rows of each split in blocks of at least
     ``most`` bytes of text, wherever the batches end."""
+    forget()
     held: list[pa.RecordBatch] = []
     size, current, number = 0, None, 0
 
@@ -254,6 +255,7 @@ def returned(
                 ["split", "number", "slice", "check", "codes"],
             )
 
+        forget()
         key, held = None, []
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("slice", "split", "number", "n", "keys", "more")]

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, MapType, StringType, StructField, StructType
 
-from docroute.llm.text import Texts, short_batches, slices
+from docroute.llm.text import Texts, forget, short_batches, slices
 
 BUCKETS = 1 << 16
 MAX_LANGUAGES = 256
@@ -90,6 +90,7 @@ def train(docs: DataFrame, most: int = MAX_LANGUAGES) -> Model:
     most, each of which is a row of the model (half a megabyte while it is made)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         held: dict[str, np.ndarray] = {}
         for batch in batches:
             for some in slices(batch, most=SLICE_BYTES):
@@ -205,6 +206,7 @@ def identify(docs: DataFrame, model: Model, *columns: str, prefix: str = "") ->
     schema = StructType([*docs.select(*names).schema.fields, *(StructField(prefix + c, t) for c, t in added.items())])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         model = shared.value
         labels = np.array([*model.names, UND], object)
         for batch in batches:

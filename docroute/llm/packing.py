@@ -159,15 +159,19 @@ def pack(pieces: DataFrame, size: int = SIZE, buckets: int = BUCKETS) -> DataFra
 
 def _slots(spark: SparkSession, slots: list[tuple], block: int = 32) -> DataFrame:
     """One row per length: the runs of its slots in order of rank, in blocks."""
-    by: dict[int, list[tuple]] = {}
+    by: dict[int, list[dict[str, int]]] = {}
     for length, first, _, sequence, offset in slots:
-        by.setdefault(length, []).append((first, sequence, offset))
+        by.setdefault(length, []).append({"first": first, "sequence": sequence, "offset": offset})
     rows = []
     for length, runs in by.items():
-        runs.sort()
-        rows.append((length, [(runs[i][0], runs[i : i + block]) for i in range(0, len(runs), block)]))
-    run = "struct<first: long, sequence: long, offset: long>"
-    return spark.createDataFrame(rows, f"length long, blocks array<struct<first: long, runs: array<{run}>>>")
+        runs.sort(key=lambda run: run["first"])
+        parts = [runs[i : i + block] for i in range(0, len(runs), block)]
+        rows.append({"length": length, "blocks": [{"first": part[0]["first"], "runs": part} for part in parts]})
+    # An Arrow table, since rows would be converted by Python workers on the executors.
+    run = pa.struct([(name, pa.int64()) for name in ("first", "sequence", "offset")])
+    blocks = pa.list_(pa.struct([("first", pa.int64()), ("runs", pa.list_(run))]))
+    schema = pa.schema([("length", pa.int64()), ("blocks", blocks)])
+    return spark.createDataFrame(pa.Table.from_pylist(rows, schema=schema))
 
 
 @finished

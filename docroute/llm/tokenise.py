@@ -2,7 +2,8 @@
 
 Texts are cut into pieces across which no token reaches (``text.pieces``); each
 distinct piece is encoded once by the library and its ids are looked up from
-then on.  A worker keeps what it has learned between batches, up to a bound.
+then on.  A worker keeps what it has learned between batches and tasks, up to a
+bound, until it turns to other work on texts.
 
 As by the library's default, a special token's text within a text is that token;
 no piece ends within one.
@@ -14,7 +15,7 @@ import itertools
 
 import numpy as np
 
-from docroute.llm.text import Texts, pieces, ranges
+from docroute.llm.text import Texts, kept, pieces, ranges
 
 #: Distinct pieces a worker remembers before it starts anew.
 KEPT_PIECES = 1_500_000
@@ -89,14 +90,9 @@ class PieceEncoder:
         return out, first + np.arange(n + 1)
 
 
-_ENCODERS: dict[str, PieceEncoder] = {}
-
-
 def encoder(path: str) -> PieceEncoder:
     """The worker's encoder for a file."""
     import os
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
+    return kept(path, lambda: PieceEncoder(path))

@@ -2,10 +2,14 @@
 
 import os
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from docroute.llm import ann, exact_dedup, exchange, files, lm, ngram_join, packing, phrases, substring, suffixes
-from docroute.llm.tokenise import tokenizer_file
+from docroute.llm.tables import finished
+from docroute.llm.text import BATCH_BYTES, short_batches
+from docroute.llm.tokenise import encoder, tokenizer_file
 from tests.llm.helpers import awkward_rows, rows_of, sentences, written
 
 PASSES = [substring.substring_digests, ngram_join.near_copies, lm.score, substring.remove_repeated]
@@ -79,3 +83,52 @@ def test_folders_of_other_stores(monkeypatch, path):
     monkeypatch.setattr(fs, "FileSystem", type("F", (), {"from_uri": staticmethod(lambda uri: asked.append(uri))}))
     files.store(path)
     assert asked == [{"s3a": "s3://b/x/y", "s3n": "s3://b/x/y", "dbfs": "/dbfs/x/y", "file": "/tmp/y"}.get(path.partition(":")[0], path)]
+
+
+def batch_sizes(rows):
+    def size(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(batch)]), pa.array([batch.nbytes])], ["rows", "bytes"])
+
+    return rows.mapInArrow(size, "rows long, bytes long")
+
+
+def test_batches_of_long_rows_are_bounded_in_bytes(spark):
+    long = 300_000
+    rows = spark.range(0, 40, 1, 1).select(F.repeat(F.lit("x"), long).alias("text"))
+    keys = ["spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"]
+    before = {key: spark.conf.get(key, None) for key in keys}
+    try:
+        for key in keys:
+            spark.conf.unset(key)
+        operator = finished(batch_sizes)
+        runs = [operator(rows).collect()]
+        short_batches(spark)
+        runs.append(batch_sizes(rows).collect())
+        spark.conf.set(keys[1], "4m")
+        short_batches(spark)
+        assert spark.conf.get(keys[1]) == "4m"
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    for run in runs:
+        assert sum(r["rows"] for r in run) == 40
+        assert max(r["bytes"] for r in run) < BATCH_BYTES + 2 * long
+
+
+def test_a_worker_drops_its_encoder_when_it_turns_to_other_work():
+    path = tokenizer_file("word_bpe_49k.json")
+    first = encoder(path)
+    assert encoder(path) is first
+    assert list(exchange.blocks(iter([]))) == []
+    assert encoder(path) is not first
+
+
+def test_slots_need_no_python_worker(spark):
+    planned = packing.plan({7: 5, 3: 900, 2048: 2}, 2048)
+    found = packing._slots(spark, planned, 2)
+    assert "ExistingRDD" not in found._jdf.queryExecution().toString()
+    told = [(r.length, run.first, run.sequence, run.offset) for r in found.collect() for part in r.blocks for run in part.runs]
+    assert sorted(told) == sorted((length, first, sequence, offset) for length, first, _, sequence, offset in planned)
+    assert all(part.first == part.runs[0].first for r in found.collect() for part in r.blocks)
+    assert packing._slots(spark, []).collect() == []
